@@ -16,9 +16,7 @@
   window, not by the partition.  Streaming form: ``sluice.streaming.pending``.
 """
 
-from __future__ import annotations
-
-from typing import Iterator
+from typing import Any, Iterator, Tuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -52,7 +50,7 @@ PRUNE_SCHEMA = ("partition int, ack_seq long, offset long, action string, "
 
 
 def _prune_fold(max_offset_behind: int):
-    def fold(key, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         low = None           # every offset below `low` is no longer pending
         nxt = None           # next offset to emit (pending = [low, nxt) - removed)
         removed: set[int] = set()

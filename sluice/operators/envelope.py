@@ -37,7 +37,9 @@ ENVELOPE = T.StructType([
 
 ENVELOPE_COLUMNS = [f.name for f in ENVELOPE.fields]
 
-_EMPTY_MAP = F.create_map().cast("map<string,string>")
+
+def _empty_map() -> Column:
+    return F.create_map().cast("map<string,string>")
 
 
 def message_id(origin: Column, partition: Column, offset: Column) -> Column:
@@ -67,8 +69,8 @@ def make_envelope(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         pick("stream", F.lit(None)),
         pick("key", F.lit(None)),
         pick("value", F.lit(None)),
-        pick("headers", _EMPTY_MAP),
-        pick("context", _EMPTY_MAP),
+        pick("headers", _empty_map()),
+        pick("context", _empty_map()),
         pick("partition", F.lit(None)),
         pick("offset", F.lit(None)),
         pick("ts", F.lit(None)),

@@ -29,8 +29,9 @@ def _eid() -> F.Column:
     return F.col("event_id")
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as broker messages in the common envelope."""
+def messages(spark: SparkSession, sf_dir: str, extra: list[F.Column] | None = None) -> DataFrame:
+    """``events`` as broker messages in the common envelope; ``extra`` columns
+    (expressions over ``events``) are carried along after ``event_id``."""
     e = table(spark, sf_dir, "events")
     eid = _eid()
     value_text = (F.when(eid % 13 == 0, F.lit("not json"))
@@ -39,7 +40,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = e.select(
         eid,
         F.col("event_type").alias("origin"),
-        F.element_at(F.array(*[F.lit(p) for p in PROTOCOLS]), (eid % 5 + 1).cast("int")).alias("protocol"),
+        protocol_of(eid).alias("protocol"),
         F.when(eid % 2 == 0, F.lit(None).cast("string")).otherwise(F.lit("raw")).alias("stream"),
         text_bytes(F.col("user_id").cast("string")).alias("key"),
         text_bytes(value_text).alias("value"),
@@ -47,25 +48,27 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (eid % 4).cast("int").alias("partition"),
         F.expr("event_id div 4").alias("offset"),
         F.col("ts").cast("timestamp").alias("ts"),
+        *(extra or []),
     )
-    return make_envelope(src, keep=["event_id"])
+    extra_names = [c for c in src.columns[src.columns.index("ts") + 1:]]
+    return make_envelope(src, keep=["event_id"] + extra_names)
 
 
-def protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-message acknowledgement configuration."""
-    e = table(spark, sf_dir, "events")
-    eid = _eid()
+def protocol_of(eid: F.Column) -> F.Column:
+    return F.element_at(F.array(*[F.lit(p) for p in PROTOCOLS]), (eid % 5 + 1).cast("int"))
+
+
+def ack_config(eid: F.Column) -> list[F.Column]:
+    """Per-message acknowledgement configuration (P12, T2) as columns over event_id."""
     m = (eid % 3).cast("int")
-    return e.select(
-        eid,
-        F.element_at(F.array(*[F.lit(p) for p in PROTOCOLS]), (eid % 5 + 1).cast("int")).alias("protocol"),
+    return [
         (eid % 2 == 0).alias("requeue"),
         F.element_at(F.array(F.lit("auto"), F.lit("manual"), F.lit("client")), m + 1).alias("ack_mode"),
         (m + 1).alias("jms_ack_mode"),
         F.when(m == 2, F.lit(2)).otherwise(F.lit(1)).alias("delivery_mode"),
         F.element_at(F.array(F.lit("AT_MOST_ONCE"), F.lit("AT_LEAST_ONCE"), F.lit("EXACTLY_ONCE")), m + 1).alias("qos"),
         m.alias("kestrel_ack_mode"),
-    )
+    ]
 
 
 def destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +198,7 @@ def queue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(st == "O", F.lit("waiting")).when(st == "P", F.lit("open")).otherwise(F.lit("confirmed")).alias("state"),
         (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).cast("timestamp").alias("opened_at"),
         F.when(ck % 4 == 0, F.lit(0).cast("long")).otherwise(F.lit(DAY_MS * 30).cast("long")).alias("auto_abort_ms"),
+        F.col("o_totalprice").alias("price"),
     )
 
 
