@@ -10,9 +10,16 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz_as_utc(c: str | Column) -> Column:
+    """A TIMESTAMP_NTZ wall-clock value read as UTC, as a TIMESTAMP instant.
+    Independent of the session time zone (a plain cast is not)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, col(c)))
+
+
 def epoch_ms(c: str | Column) -> Column:
-    """Epoch milliseconds of a TIMESTAMP or TIMESTAMP_NTZ column (session in UTC)."""
-    return F.floor(F.unix_micros(col(c).cast("timestamp")) / F.lit(1000)).cast("long")
+    """Epoch milliseconds (floor) of a TIMESTAMP column."""
+    return F.floor(F.unix_micros(col(c)) / F.lit(1000)).cast("long")
 
 
 def ms_to_ts(c: str | Column) -> Column:

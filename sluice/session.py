@@ -42,7 +42,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     for k, v in _DEFAULTS.items():
-        if k != "spark.ui.enabled":
+        if k.startswith("spark.sql."):
             spark.conf.set(k, v)
     checkpoint_dir(spark)
     return spark

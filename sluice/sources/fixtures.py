@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.columns import epoch_ms, text_bytes
+from sluice.functions.columns import epoch_ms, ntz_as_utc, text_bytes
 from sluice.operators.envelope import PROTOCOLS, make_envelope
 
 DAY_MS = 86_400_000
@@ -44,10 +44,10 @@ def messages(spark: SparkSession, sf_dir: str, extra: list[F.Column] | None = No
         F.when(eid % 2 == 0, F.lit(None).cast("string")).otherwise(F.lit("raw")).alias("stream"),
         text_bytes(F.col("user_id").cast("string")).alias("key"),
         text_bytes(value_text).alias("value"),
-        F.create_map(F.lit("time"), epoch_ms("ts").cast("string")).alias("headers"),
+        F.create_map(F.lit("time"), epoch_ms(ntz_as_utc("ts")).cast("string")).alias("headers"),
         (eid % 4).cast("int").alias("partition"),
         F.expr("event_id div 4").alias("offset"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        ntz_as_utc("ts").alias("ts"),
         *(extra or []),
     )
     extra_names = [c for c in src.columns[src.columns.index("ts") + 1:]]
@@ -193,17 +193,17 @@ def queue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("queue"),
         F.col("o_orderkey").alias("seq"),
         F.concat(st, F.lit(":"), ck.cast("string")).alias("value"),
-        F.col("o_orderdate").cast("timestamp").alias("put_at"),
+        ntz_as_utc("o_orderdate").alias("put_at"),
         F.when(ck % 3 == 0, F.lit(0).cast("long")).otherwise(F.lit(DAY_MS * 400).cast("long")).alias("expiration_ms"),
         F.when(st == "O", F.lit("waiting")).when(st == "P", F.lit("open")).otherwise(F.lit("confirmed")).alias("state"),
-        (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).cast("timestamp").alias("opened_at"),
+        ntz_as_utc(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("opened_at"),
         F.when(ck % 4 == 0, F.lit(0).cast("long")).otherwise(F.lit(DAY_MS * 30).cast("long")).alias("auto_abort_ms"),
         F.col("o_totalprice").alias("price"),
     )
 
 
 def observed_at() -> F.Column:
-    return F.lit(QUEUE_OBSERVED_AT).cast("timestamp")
+    return ntz_as_utc(F.lit(QUEUE_OBSERVED_AT).cast("timestamp_ntz"))
 
 
 def queue_state(spark: SparkSession, sf_dir: str) -> DataFrame:
