@@ -19,8 +19,8 @@ DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` in bytes, or None if unavailable."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes().toString()))
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(str(size.toString()))
     except Exception:  # pragma: no cover - e.g. Spark Connect
         return None
 

@@ -35,7 +35,7 @@ def after_warmup(rows: DataFrame, task: str = "task", seq: str = "seq", arrival:
 
 def running_latency(rows: DataFrame, task: str = "task", seq: str = "seq", arrival: str = "arrival_ms",
                     val: str = "val", warmup_ms: int = DEFAULT_WARMUP_MS,
-                    block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                    block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
     """A1: one output row per emitted mean: (task, seq, val, mean_latency)."""
     w = after_warmup(rows.select(task, seq, arrival, val), task, seq, arrival, warmup_ms)
     neg = F.col(val) < 0

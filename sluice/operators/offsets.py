@@ -68,7 +68,7 @@ def starting_offsets_option(plan: DataFrame, topic: str, max_partitions: int = 1
 
 
 def fetch_slice(msgs: DataFrame, starts: DataFrame, fetch_bytes: int = DEFAULT_FETCH_BYTES,
-                size_col: str | None = None, block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                size_col: str | None = None, block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
     """Per partition, messages from the start offset on, while the running
     byte total stays within ``fetch_bytes``; the first message is always
     admitted.  ``starts``: (partition, start_offset).  Adds ``slice_bytes``."""

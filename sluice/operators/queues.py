@@ -91,7 +91,7 @@ def abort(items: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def put_with_capacity(puts: DataFrame, waiting: DataFrame, limits: DataFrame,
-                      block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                      block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
     """Per queue, accept the first (capacity - waiting) puts by seq, refuse
     the rest.  ``limits``: (queue, capacity); a queue without a limit accepts all.
     Adds ``accepted``."""

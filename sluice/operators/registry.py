@@ -46,7 +46,7 @@ def current_paths(changes: DataFrame) -> DataFrame:
 
 def as_of(facts: DataFrame, fact_key: str, fact_seq: str,
           changes: DataFrame, change_key: str, change_seq: str, change_value: F.Column,
-          out: str, block_size: int = DEFAULT_BLOCK) -> DataFrame:
+          out: str, block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
     """For every fact row, the last change (``change_value``) with the same key
     and ``change_seq <= fact_seq``; null when there is none.
 

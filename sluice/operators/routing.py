@@ -79,7 +79,7 @@ def direct_exchange(published: DataFrame, bindings: DataFrame) -> DataFrame:
 
 def route_as_of(msgs: DataFrame, selection: Column, seq_col: str, changes: DataFrame,
                 path_col: str = "path", dest_col: str = "destination",
-                block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
     """Two-hop routing against the registry state at the message's
     sequence number.  ``changes``: (seq, op, name, path) change log."""
     m = msgs.withColumn(path_col, selection)

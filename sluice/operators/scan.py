@@ -11,17 +11,19 @@ one task reading a third of the data.
 The blocked scan splits each key into blocks of the sequence column:
 
 1. ``block = floor(seq / block_size)``; a block holds at most ``block_size``
-   rows of one key when ``seq`` is an integer unique within the key.
-2. Per (key, block) totals by ``groupBy`` -- partial aggregation runs map side,
-   so only one small row per (key, block, map task) is shuffled.
-3. Exclusive prefix of the block totals per key by a window over the small
-   totals table (a hot key has ``rows / block_size`` entries there).
-4. Join the offsets back on (key, block) and run the window over
-   (key, block) only; result = combine(offset, in-block running value).
-
-The big input is shuffled once (by key and block); the offsets table is
-broadcast by AQE when it turns out small, or shuffle-joined on the same keys
-so that the later window reuses that partitioning.  Supported aggregates are
+   rows of one key when ``seq`` is an integer unique within the key
+   (``auto_block_size`` picks it from the plan's size estimate).
+2. The in-block running value by a window over (key, block) -- the one
+   shuffle of the rows.
+3. Per (key, block) totals from that same partitioning, then their exclusive
+   prefix per key by a window over the small totals table (a hot key has
+   ``rows / block_size`` entries there).
+4. Join the offsets back on (key, block) -- the rows are already partitioned
+   and sorted on it -- and combine(offset, in-block running value).
+
+The big input is shuffled once (by key and block); the totals branch reads
+the same reused exchange.  The offsets table is broadcast by AQE when it
+turns out small, or shuffle-joined on the keys the rows already have.  Supported aggregates are
 the associative ones: ``sum``, ``max`` and ``min``.  ``max`` of a
 ``struct(seq, value)`` gives "last value so far" (carry forward).
 """
@@ -30,8 +32,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-DEFAULT_BLOCK = 1 << 16
+from pyspark.sql import types as T
+
+DEFAULT_BLOCK = None            # None: size blocks from the plan's size estimate
+MIN_BLOCK = 1 << 10
+MAX_BLOCK = 1 << 16
+BLOCK_COL = "_scan_blk"
+
+
+def auto_block_size(df: DataFrame, blocks_per_core: int = 8) -> int:
+    """Rows per block from the optimizer's size estimate (no job is run).
+
+    Small inputs get small blocks so that (key, block) windows spread over all
+    cores; large inputs get MAX_BLOCK so that the per-key offsets table stays
+    small (a hot key with 1e12 rows has ~1.5e7 blocks).  The estimate is an
+    upper bound, so big data always lands on MAX_BLOCK."""
+    from sluice.operators.joins import estimated_bytes
+    size = estimated_bytes(df)
+    if size is None:
+        return MAX_BLOCK
+    est_rows = max(size // 16, 1)
+    target = max(df.sparkSession.sparkContext.defaultParallelism * blocks_per_core, 1)
+    want = est_rows // target
+    block = MIN_BLOCK
+    while block < want and block < MAX_BLOCK:
+        block <<= 1
+    return block
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -44,60 +70,82 @@ def _combine(kind: str, off: Column, loc: Column) -> Column:
     return F.least(off, loc)
 
 
+def _key_default(dtype: T.DataType) -> Column:
+    """A placeholder for null keys (the null flag column keeps them apart)."""
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    return F.lit(0).cast(dtype)
+
+
 def prefix_scan(df: DataFrame, keys: list[str], order: str,
                 aggs: dict[str, tuple[str, Column]],
-                block_size: int = DEFAULT_BLOCK, keep_block: bool = False) -> DataFrame:
+                block_size: int | None = DEFAULT_BLOCK, keep_block: bool = False) -> DataFrame:
     """Add one column per ``aggs`` entry: the inclusive running aggregate of
     the given expression over rows with the same ``keys`` ordered by ``order``.
 
     ``order`` must be an integer column, unique within a key (ties would make
-    any running value ambiguous).  Keys may be null (matched null-safely).
-    With ``keep_block`` the block column stays in the output; a second scan
-    over the same keys then reuses it -- and the partitioning the first scan
-    left behind -- instead of shuffling the rows again.
+    any running value ambiguous).  Keys may be null (a null key is its own
+    group).  With ``keep_block`` the internal key/block columns stay in the
+    output; a second scan over the same keys then reuses them -- and the
+    partitioning the first scan left behind -- instead of shuffling again.
     """
+    if block_size is None:
+        block_size = MAX_BLOCK if BLOCK_COL in df.columns else auto_block_size(df)
     if block_size < 1:
         raise ValueError("block_size must be positive")
     for kind, _ in aggs.values():
         if kind not in _AGG:
             raise ValueError(f"unsupported prefix aggregate {kind!r}")
 
-    blk = "_scan_blk"
+    blk = BLOCK_COL
+    skeys = [f"_scan_k{i}" for i in range(len(keys))] + [f"_scan_n{i}" for i in range(len(keys))]
+    part = skeys + [blk]
+    internal = set(part)
+    base_cols = [c for c in df.columns if c not in internal]
+
+    # Non-nullable key and block columns: plain equi-join keys (no null-safe
+    # rewrite that would re-partition) and no inferred not-null filters, so the
+    # two uses of the shuffled input below are one reused exchange.
+    d = df
+    if not internal <= set(df.columns):
+        d = df.select(
+            *[F.col(c) for c in base_cols],
+            *[F.coalesce(F.col(k), _key_default(df.schema[k].dataType)).alias(f"_scan_k{i}")
+              for i, k in enumerate(keys)],
+            *[F.isnull(F.col(k)).alias(f"_scan_n{i}") for i, k in enumerate(keys)],
+            F.coalesce(F.floor(F.col(order) / F.lit(block_size)).cast("long"), F.lit(-1).cast("long")).alias(blk))
     inputs = {name: f"_scan_in_{name}" for name in aggs}
-    base_cols = [c for c in df.columns if c != blk]
-    d = df if blk in df.columns else df.withColumn(
-        blk, F.floor(F.col(order) / F.lit(block_size)).cast("long"))
-    for name, (_, expr) in aggs.items():
-        d = d.withColumn(inputs[name], expr)
-
-    # (2) block totals: map-side partial aggregation, tiny shuffle.
-    totals = d.groupBy(*keys, blk).agg(
+    d = d.select("*", *[expr.alias(inputs[name]) for name, (_, expr) in aggs.items()])
+
+    # (1) the in-block running value: one shuffle of the rows by (key, block).
+    wl = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = d.select("*", *[_AGG[kind](inputs[name]).over(wl).alias(f"_scan_loc_{name}")
+                            for name, (kind, _) in aggs.items()])
+
+    # (2) block totals from the same partitioning (no further shuffle).
+    totals = local.groupBy(*part).agg(
         *[_AGG[kind](inputs[name]).alias(f"_scan_tot_{name}") for name, (kind, _) in aggs.items()])
 
-    # (3) exclusive prefix over blocks, per key, on the small table.
-    wb = Window.partitionBy(*keys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    rkeys = [f"_scan_k{i}" for i in range(len(keys))]
+    # (3) exclusive prefix over blocks, per key, on the small totals table.
+    wb = Window.partitionBy(*skeys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *[F.col(k).alias(rk) for k, rk in zip(keys, rkeys)],
-        F.col(blk).alias("_scan_rblk"),
-        *[_AGG[kind](f"_scan_tot_{name}").over(wb).alias(f"_scan_off_{name}")
-          for name, (kind, _) in aggs.items()])
-
-    # (4) join back on (key, block), then the in-block window.
-    cond = F.col(blk) == F.col("_scan_rblk")
-    for k, rk in zip(keys, rkeys):
-        cond = cond & F.col(k).eqNullSafe(F.col(rk))
-    j = d.join(offsets, cond, "inner")
-    wl = Window.partitionBy(*keys, blk).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = j.select(
-        *[F.col(c) for c in base_cols + ([blk] if keep_block else [])],
-        *[_combine(kind, F.col(f"_scan_off_{name}"), _AGG[kind](inputs[name]).over(wl)).alias(name)
+        *part, *[_AGG[kind](f"_scan_tot_{name}").over(wb).alias(f"_scan_off_{name}")
+                 for name, (kind, _) in aggs.items()])
+
+    # (4) join the offsets on (key, block) -- the rows are already partitioned
+    # and sorted that way -- and combine.
+    j = local.join(offsets, part, "inner")
+    keep = base_cols + (part if keep_block else [])
+    return j.select(
+        *[F.col(c) for c in keep],
+        *[_combine(kind, F.col(f"_scan_off_{name}"), F.col(f"_scan_loc_{name}")).alias(name)
           for name, (kind, _) in aggs.items()])
-    return out
 
 
 def running_count(df: DataFrame, keys: list[str], order: str, name: str = "rank",
-                  block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                  block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
     """1-based position of each row within its key in ``order`` (a skew-safe
     ``row_number``)."""
     return prefix_scan(df, keys, order, {name: ("sum", F.lit(1).cast("long"))}, block_size)

@@ -21,8 +21,23 @@ MAX_OFFSET_BEHIND = 1000
 RUNNING_TOPOLOGY = "A"
 
 
+# Fact tables worth spreading over all cores when the file gives few splits.
+FACT_TABLES = {"events", "orders", "part", "lineitem"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in FACT_TABLES else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the default parallelism when the files yield
+    fewer splits than that (one parquet row group is one task).  On a cluster
+    reading many files the scan already has more splits, and this is a no-op."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
 
 
 def _eid() -> F.Column:
