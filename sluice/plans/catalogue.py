@@ -648,6 +648,72 @@ def q_pending_prune(spark, sf):
     return acks.pending_prune(fx.ack_log(spark, sf), fx.emitted(spark, sf), MAX_BEHIND)
 
 
+
+
+# ---------------------------------------------------------------- streaming twins
+# Each runs a Structured Streaming query to completion (AvailableNow, with a
+# checkpoint in the session's shared checkpoint folder) over the table files,
+# then reads its sink back.  The oracle is the batch twin's SQL.
+
+def _stream_route_sql() -> str:
+    base = with_fixtures(["messages", "paths", "destinations"], "SELECT 1")
+    return (base[:-len("SELECT 1")].rstrip() + ",\n" + _ROUTE_SQL_BODY.strip() + ",\n"
+            + _DECODE_SQL.strip() + """
+SELECT r.message_id, r.path, r.destination, r.route_reason, d.dead_reason, d.k,
+       CASE WHEN d.dead_reason IS NOT NULL THEN 'dead' WHEN r.route_reason IS NOT NULL THEN 'unroutable'
+            ELSE 'good' END AS output
+FROM r JOIN d ON r.message_id = d.message_id""")
+
+
+@query("stream_route", "S2 S7 S12 T5 P7 J1 J3", _stream_route_sql())
+def q_stream_route(spark, sf):
+    from sluice.streaming import pipelines as sp
+    base = sp.fresh_dir(spark, "stream-route")
+    ev = sp.table_stream(spark, sf, "events", sp.admission(max_files=1))
+    sp.route_stream(spark, ev, fx.paths(spark), fx.destinations(spark, sf), f"{base}/out", f"{base}/ckpt")
+    out = spark.read.parquet(f"{base}/out/routes")
+    return out.select("message_id", "path", "destination", "route_reason", "dead_reason", "k", "output")
+
+
+@query("stream_latency", "A1 P10 T5", CATALOGUE["running_latency"].sql)
+def q_stream_latency(spark, sf):
+    from sluice.streaming import pipelines as sp
+    base = sp.fresh_dir(spark, "stream-latency")
+    sp.latency_stream(spark, sp.table_stream(spark, sf, "events"), f"{base}/out", f"{base}/ckpt")
+    r = spark.read.schema(sp.LATENCY_OUT).parquet(f"{base}/out")
+    return r.withColumn("mean_latency", F.round("mean_latency", 6))
+
+
+@query("stream_bridge", "S11 D4 D5", with_fixtures(["queue_state"], f"""
+SELECT 'recv:' || queue AS queue, seq, value, CAST(30000 AS BIGINT) AS expiration_ms
+FROM queue_state WHERE state = 'waiting' AND {_LIVE_SQL}"""))
+def q_stream_bridge(spark, sf):
+    from sluice.streaming import pipelines as sp
+    base = sp.fresh_dir(spark, "stream-bridge")
+    sp.bridge_stream(spark, sp.table_stream(spark, sf, "orders"), f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out").select("queue", "seq", "value", "expiration_ms")
+
+
+@query("stream_pending_prune", "T3 T5", None)
+def q_stream_pending_prune(spark, sf):
+    from sluice.streaming import pipelines as sp
+    base = sp.fresh_dir(spark, "stream-prune")
+    ev = sp.table_stream(spark, sf, "events")
+    eid = F.col("event_id")
+    rev8 = eid - eid % 8 + 7 - eid % 8
+    acked = (eid % 4 == 3) | (eid < F.lit(500) + F.lit(100) * (eid % 4)) | (eid % 3 != 0)
+    real = ev.where(acked).select(eid.alias("ack_id"), rev8.alias("ack_seq"))
+    unknown = ev.where(eid % 100 == 0).select((eid + 1_000_000).alias("ack_id"), rev8.alias("ack_seq"))
+    acks_s = real.unionByName(unknown).select((F.col("ack_id") % 4).cast("int").alias("partition"),
+                                             F.expr("ack_id div 4").alias("offset"), "ack_seq")
+    bounds = fx.emitted(spark, sf).groupBy("partition").agg(F.min("offset").alias("first_offset"),
+                                                            (F.max("offset") + 1).alias("next_offset"))
+    upd = sp.prune_updates(acks_s.join(bounds, "partition"), MAX_BEHIND)
+    w = upd.writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
+    sp.run_available_now(w)
+    return spark.read.schema(sp.PRUNE_OUT).parquet(f"{base}/out")
+
+
 def queries() -> dict[str, QueryFn]:
     return {name: q.fn for name, q in CATALOGUE.items()}
 

@@ -47,7 +47,11 @@ def _eid() -> F.Column:
 def messages(spark: SparkSession, sf_dir: str, extra: list[F.Column] | None = None) -> DataFrame:
     """``events`` as broker messages in the common envelope; ``extra`` columns
     (expressions over ``events``) are carried along after ``event_id``."""
-    e = table(spark, sf_dir, "events")
+    return messages_from(table(spark, sf_dir, "events"), extra)
+
+
+def messages_from(e: DataFrame, extra: list[F.Column] | None = None) -> DataFrame:
+    """The messages fixture over an ``events`` frame (batch or streaming)."""
     eid = _eid()
     value_text = (F.when(eid % 13 == 0, F.lit("not json"))
                   .when(eid % 17 == 0, F.lit(""))
@@ -190,7 +194,11 @@ def fail_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return latencies_from(table(spark, sf_dir, "events"))
+
+
+def latencies_from(e: DataFrame) -> DataFrame:
+    """Latency tuples (task, seq, arrival_ms, val) over an ``events`` frame."""
     eid = _eid()
     return e.select(
         (F.col("user_id") % 2).cast("int").alias("task"),
@@ -201,7 +209,10 @@ def latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All queue items ever put (orders), with their state at observed_at."""
-    o = table(spark, sf_dir, "orders")
+    return queue_items_from(table(spark, sf_dir, "orders"))
+
+
+def queue_items_from(o: DataFrame) -> DataFrame:
     ck = F.col("o_custkey")
     st = F.col("o_orderstatus")
     return o.select(

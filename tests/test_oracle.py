@@ -19,7 +19,7 @@ def con():
 def test_every_query_has_sql_or_is_declared_rows_only():
     q, s = entry.queries(), entry.oracle_sql()
     assert set(s) <= set(q)
-    assert set(q) - set(s) == {"pending_prune"}
+    assert set(q) - set(s) == {"pending_prune", "stream_pending_prune"}
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
