@@ -53,7 +53,7 @@ def decode(df: DataFrame, schema: T.StructType, value_col: str = "value",
     body = F.decode(F.col(value_col), "UTF-8")
     dec = decoder or _json_decoder(schema)
     parsed = "_parsed"
-    d = df.withColumn(parsed, dec(body))
+    d = df.select("*", dec(body).alias(parsed))
     p = F.col(parsed)
     all_null = F.lit(True)
     for f in schema.fields:
@@ -63,7 +63,7 @@ def decode(df: DataFrame, schema: T.StructType, value_col: str = "value",
               .when(p.isNull() | has_corrupt, F.lit("undecodable"))
               .when(all_null, F.lit("empty_tuple")))
     decoded = F.struct(*[p.getField(f.name).alias(f.name) for f in schema.fields])
-    return d.withColumn(output, decoded).withColumn("dead_reason", reason).drop(parsed)
+    return d.select(*[F.col(c) for c in df.columns], decoded.alias(output), reason.alias("dead_reason"))
 
 
 def good(decoded: DataFrame, output: str = "decoded", flatten: bool = True) -> DataFrame:

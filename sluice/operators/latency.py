@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.scan import DEFAULT_BLOCK, prefix_scan
+from sluice.operators.scan import DEFAULT_BLOCK, materialize, prefix_scan
 
 DEFAULT_WARMUP_MS = 5000
 
@@ -35,14 +35,18 @@ def after_warmup(rows: DataFrame, task: str = "task", seq: str = "seq", arrival:
 
 def running_latency(rows: DataFrame, task: str = "task", seq: str = "seq", arrival: str = "arrival_ms",
                     val: str = "val", warmup_ms: int = DEFAULT_WARMUP_MS,
-                    block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
-    """A1: one output row per emitted mean: (task, seq, val, mean_latency)."""
+                    block_size: int | None = DEFAULT_BLOCK, materialize_passes: bool = True) -> DataFrame:
+    """A1: one output row per emitted mean: (task, seq, val, mean_latency).
+    The first pass is checkpointed (``materialize``) because the second one
+    reads it twice."""
     w = after_warmup(rows.select(task, seq, arrival, val), task, seq, arrival, warmup_ms)
     neg = F.col(val) < 0
     p1 = prefix_scan(w, [task], seq, {
         "_l_s": ("sum", F.when(neg, F.lit(0)).otherwise(F.col(val)).cast("long")),
         "_l_c": ("sum", F.when(neg, F.lit(0)).otherwise(F.lit(1)).cast("long")),
     }, block_size, keep_block=True)
+    if materialize_passes:
+        p1 = materialize(p1)
     p2 = prefix_scan(p1, [task], seq, {
         "_l_se": ("max", F.when(neg, F.col("_l_s"))),
         "_l_ce": ("max", F.when(neg, F.col("_l_c"))),

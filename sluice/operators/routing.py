@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.joins import dim_join
 from sluice.operators.registry import DEST_OPS, PATH_OPS, as_of
-from sluice.operators.scan import DEFAULT_BLOCK
+from sluice.operators.scan import DEFAULT_BLOCK, materialize
 
 NO_SELECTION = "no selection"
 PATH_UNKNOWN = "path unknown"
@@ -79,7 +79,7 @@ def direct_exchange(published: DataFrame, bindings: DataFrame) -> DataFrame:
 
 def route_as_of(msgs: DataFrame, selection: Column, seq_col: str, changes: DataFrame,
                 path_col: str = "path", dest_col: str = "destination",
-                block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
+                block_size: int | None = DEFAULT_BLOCK, materialize_hops: bool = True) -> DataFrame:
     """Two-hop routing against the registry state at the message's
     sequence number.  ``changes``: (seq, op, name, path) change log."""
     m = msgs.withColumn(path_col, selection)
@@ -88,6 +88,8 @@ def route_as_of(msgs: DataFrame, selection: Column, seq_col: str, changes: DataF
                  F.struct((F.col("op") == "add_path").alias("bound"), F.col("name").alias("name")),
                  "_r_path_state", block_size)
     hop1 = hop1.withColumn(dest_col, F.when(F.col("_r_path_state.bound"), F.col("_r_path_state.name")))
+    if materialize_hops:
+        hop1 = materialize(hop1)
     dest_changes = changes.where(F.col("op").isin(*DEST_OPS))
     hop2 = as_of(hop1, dest_col, seq_col, dest_changes, "name", "seq",
                  F.col("op") == "add_destination", "_r_live", block_size)

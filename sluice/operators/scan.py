@@ -13,17 +13,18 @@ The blocked scan splits each key into blocks of the sequence column:
 1. ``block = floor(seq / block_size)``; a block holds at most ``block_size``
    rows of one key when ``seq`` is an integer unique within the key
    (``auto_block_size`` picks it from the plan's size estimate).
-2. The in-block running value by a window over (key, block) -- the one
-   shuffle of the rows.
-3. Per (key, block) totals from that same partitioning, then their exclusive
-   prefix per key by a window over the small totals table (a hot key has
-   ``rows / block_size`` entries there).
-4. Join the offsets back on (key, block) -- the rows are already partitioned
-   and sorted on it -- and combine(offset, in-block running value).
-
-The big input is shuffled once (by key and block); the totals branch reads
-the same reused exchange.  The offsets table is broadcast by AQE when it
-turns out small, or shuffle-joined on the keys the rows already have.  Supported aggregates are
+2. Per (key, block) totals by ``groupBy`` -- partial aggregation runs map
+   side, so only one small row per (key, block, map task) is shuffled.
+3. Exclusive prefix of the totals per key by a window over the small totals
+   table (a hot key has ``rows / block_size`` entries there).
+4. Join the offsets on (key, block) and run the window over (key, block)
+   only; result = combine(offset, in-block running value).
+
+The big input is shuffled once (by key and block); the offsets table is
+broadcast by AQE when it turns out small, or shuffle-joined on the same keys
+so that the window reuses that partitioning.  The input is read twice (the
+totals branch is a narrow, pre-aggregated read); when the input is itself an
+expensive chain, ``materialize`` it first.  Supported aggregates are
 the associative ones: ``sum``, ``max`` and ``min``.  ``max`` of a
 ``struct(seq, value)`` gives "last value so far" (carry forward).
 """
@@ -105,9 +106,8 @@ def prefix_scan(df: DataFrame, keys: list[str], order: str,
     internal = set(part)
     base_cols = [c for c in df.columns if c not in internal]
 
-    # Non-nullable key and block columns: plain equi-join keys (no null-safe
-    # rewrite that would re-partition) and no inferred not-null filters, so the
-    # two uses of the shuffled input below are one reused exchange.
+    # Non-nullable key and block columns: plain equi-join keys (a null-safe
+    # join would hash on rewritten keys and force the window to re-shuffle).
     d = df
     if not internal <= set(df.columns):
         d = df.select(
@@ -119,31 +119,41 @@ def prefix_scan(df: DataFrame, keys: list[str], order: str,
     inputs = {name: f"_scan_in_{name}" for name in aggs}
     d = d.select("*", *[expr.alias(inputs[name]) for name, (_, expr) in aggs.items()])
 
-    # (1) the in-block running value: one shuffle of the rows by (key, block).
-    wl = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = d.select("*", *[_AGG[kind](inputs[name]).over(wl).alias(f"_scan_loc_{name}")
-                            for name, (kind, _) in aggs.items()])
-
-    # (2) block totals from the same partitioning (no further shuffle).
-    totals = local.groupBy(*part).agg(
+    # (1) block totals straight from the input: partial aggregation runs map
+    # side, so only one small row per (key, block, map task) is shuffled.
+    totals = d.groupBy(*part).agg(
         *[_AGG[kind](inputs[name]).alias(f"_scan_tot_{name}") for name, (kind, _) in aggs.items()])
 
-    # (3) exclusive prefix over blocks, per key, on the small totals table.
+    # (2) exclusive prefix over blocks, per key, on the small totals table.
     wb = Window.partitionBy(*skeys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *part, *[_AGG[kind](f"_scan_tot_{name}").over(wb).alias(f"_scan_off_{name}")
                  for name, (kind, _) in aggs.items()])
 
-    # (4) join the offsets on (key, block) -- the rows are already partitioned
-    # and sorted that way -- and combine.
-    j = local.join(offsets, part, "inner")
+    # (3) offsets joined on (key, block): broadcast when AQE sees them small,
+    # else a shuffle join on exactly the keys the window below needs, so the
+    # rows are shuffled once either way.
+    j = d.join(offsets, part, "inner")
+
+    # (4) the in-block running value, combined with the block's offset.
+    wl = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     keep = base_cols + (part if keep_block else [])
     return j.select(
         *[F.col(c) for c in keep],
-        *[_combine(kind, F.col(f"_scan_off_{name}"), F.col(f"_scan_loc_{name}")).alias(name)
+        *[_combine(kind, F.col(f"_scan_off_{name}"), _AGG[kind](inputs[name]).over(wl)).alias(name)
           for name, (kind, _) in aggs.items()])
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of an intermediate that a later step reads twice
+    (a chained scan): a reliable checkpoint into the cluster's shared
+    ``spark.checkpoint.dir`` -- it survives executor loss, unlike a local
+    checkpoint, and the upstream is computed once instead of per branch."""
+    from sluice.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def running_count(df: DataFrame, keys: list[str], order: str, name: str = "rank",
                   block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
     """1-based position of each row within its key in ``order`` (a skew-safe
