@@ -76,9 +76,9 @@ def auto_abort(items: DataFrame, observed_at: Column) -> DataFrame:
 def confirm(items: DataFrame, ids: DataFrame) -> DataFrame:
     """D7 confirm: open items whose id is in ``ids`` (queue, seq) leave the
     table (anti-join); returns the remaining items."""
-    sel = ids.select("queue", "seq").distinct()
-    hit = items.where(F.col("state") == "open").join(sel, ["queue", "seq"], "left_semi")
-    return items.join(hit.select("queue", "seq"), ["queue", "seq"], "left_anti")
+    sel = ids.select("queue", "seq").distinct().withColumn("_hit", F.lit(True))
+    j = items.join(sel, ["queue", "seq"], "left")
+    return j.where(~((F.col("state") == "open") & F.col("_hit").isNotNull())).drop("_hit")
 
 
 def abort(items: DataFrame, ids: DataFrame) -> DataFrame:

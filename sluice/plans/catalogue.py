@@ -650,6 +650,22 @@ def q_pending_prune(spark, sf):
 
 
 
+@query("flagship_route_counts", "P1 P7 J1 J3 (flagship)", _route_sql(""",
+  named AS (SELECT name,
+      CASE WHEN grouped THEN site || '.' || sensor || '.' || p_topic
+           WHEN sensor_id IS NOT NULL THEN site || '.' || sensor || '.' || sensor_id || '.' || p_topic END AS kafka_topic
+      FROM destinations)
+SELECT r.destination, count(*) AS messages, CAST(sum(d.k) AS BIGINT) AS sum_k, max(d."offset") AS max_offset,
+       n.kafka_topic
+FROM r JOIN (""" + _DECODE_SQL.strip()[len("d AS ("):-1] + """) d ON r.message_id = d.message_id
+LEFT JOIN named n ON r.destination = n.name
+WHERE d.dead_reason IS NULL AND r.route_reason IS NULL
+GROUP BY r.destination, n.kafka_topic"""))
+def q_flagship(spark, sf):
+    from sluice.plans.flagship import flagship
+    return flagship(spark, sf)
+
+
 # ---------------------------------------------------------------- streaming twins
 # Each runs a Structured Streaming query to completion (AvailableNow, with a
 # checkpoint in the session's shared checkpoint folder) over the table files,
