@@ -44,6 +44,20 @@ def current_paths(changes: DataFrame) -> DataFrame:
             .select("path", F.col("last.name").alias("destination"), "since_seq"))
 
 
+def last_ops(changes: DataFrame) -> DataFrame:
+    """The registry snapshot: the last change per destination name and per
+    path (adds and removes), as change-log rows.  Replaying a snapshot and
+    then newer changes gives the same state as replaying the whole log, so a
+    stream can carry the registry between micro-batches as this table."""
+    dest = (changes.where(F.col("op").isin(*DEST_OPS)).groupBy("name")
+            .agg(F.max_by(F.struct("seq", "op", "path"), F.col("seq")).alias("l"))
+            .select(F.col("l.seq").alias("seq"), F.col("l.op").alias("op"), "name", F.col("l.path").alias("path")))
+    paths = (changes.where(F.col("op").isin(*PATH_OPS)).groupBy("path")
+             .agg(F.max_by(F.struct("seq", "op", "name"), F.col("seq")).alias("l"))
+             .select(F.col("l.seq").alias("seq"), F.col("l.op").alias("op"), F.col("l.name").alias("name"), "path"))
+    return dest.unionByName(paths)
+
+
 def as_of(facts: DataFrame, fact_key: str, fact_seq: str,
           changes: DataFrame, change_key: str, change_seq: str, change_value: F.Column,
           out: str, block_size: int | None = DEFAULT_BLOCK) -> DataFrame:

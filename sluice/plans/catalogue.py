@@ -691,6 +691,14 @@ def q_stream_route(spark, sf):
     return out.select("message_id", "path", "destination", "route_reason", "dead_reason", "k", "output")
 
 
+@query("stream_route_asof", "J6 J7 T5", CATALOGUE["route_asof"].sql)
+def q_stream_route_asof(spark, sf):
+    from sluice.streaming import pipelines as sp
+    base = sp.fresh_dir(spark, "stream-asof")
+    sp.route_asof_stream(spark, sp.table_stream(spark, sf, "events"), f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out/routes").select("message_id", "path", "destination", "route_reason")
+
+
 @query("stream_latency", "A1 P10 T5", CATALOGUE["running_latency"].sql)
 def q_stream_latency(spark, sf):
     from sluice.streaming import pipelines as sp

@@ -131,7 +131,10 @@ def selector_path(user_id_text: F.Column, origin: F.Column) -> F.Column:
 
 def registry_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registry change log, one change per event."""
-    e = table(spark, sf_dir, "events")
+    return registry_changes_from(table(spark, sf_dir, "events"))
+
+
+def registry_changes_from(e: DataFrame) -> DataFrame:
     t = F.col("event_type")
     op = (F.when(t.isin("signup", "purchase"), F.lit("add_destination"))
           .when(t == "error", F.lit("remove_destination"))

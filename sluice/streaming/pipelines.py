@@ -8,6 +8,8 @@
   (``applyInPandasWithState``); state = first arrival, exact running sum and
   count, so batch and stream agree exactly.  Rows of a micro-batch are folded
   in seq order; rows arriving in a later batch count at arrival.
+* ``route_asof_stream``: J7 in a stream, the registry snapshot carried from
+  one micro-batch to the next as a table.
 * ``bridge_stream``: S11 queue-to-queue bridge with expiry.
 * ``prune_stream``: T3 pending prune as a stateful fold per Kafka partition.
 * Progress (T5) is the query checkpoint; admission (S12) is
@@ -96,6 +98,35 @@ def route_stream(spark: SparkSession, events: DataFrame, paths: DataFrame, desti
     return run_available_now(w)
 
 
+# ------------------------------------------------------------------ routing under a changing registry
+
+def route_asof_stream(spark: SparkSession, events: DataFrame, base: str, checkpoint: str) -> StreamingQuery:
+    """J7 in a stream: every event is both a message and a registry change.
+
+    Per micro-batch: the registry snapshot left by the previous batch (last op
+    per name and per path) plus this batch's changes are replayed against
+    this batch's messages with the batch as-of route; the new snapshot is
+    written under ``registry/batch=<id>``.  A retried batch reads the same
+    previous snapshot and overwrites its own outputs, so it is idempotent.
+    Messages must arrive in sequence order across batches (a file or Kafka
+    log read in order)."""
+    from sluice.operators.registry import last_ops
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        msgs = fx.messages_from(batch)
+        changes = fx.registry_changes_from(batch)
+        if batch_id > 0:
+            prior = spark.read.parquet(f"{base}/registry/batch={batch_id - 1}")
+            changes = prior.unionByName(changes)
+        sel = fx.selector_path(bytes_text("key"), F.col("origin"))
+        r = routing.route_as_of(msgs, sel, "event_id", changes, materialize_hops=False)
+        write_batch({"routes": r.select("message_id", "path", "destination", "route_reason"),
+                     "registry": last_ops(changes)}, base, batch_id)
+
+    w = events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    return run_available_now(w)
+
+
 # ------------------------------------------------------------------ latency (A1)
 
 LATENCY_OUT = T.StructType([T.StructField("task", T.IntegerType()), T.StructField("seq", T.LongType()),

@@ -100,3 +100,18 @@ def test_landed_sources_and_sinks(spark):
     opts = landed.kafka_options("b:9092", "top", '{"top":{"0":5}}', 1000)
     assert opts["startingOffsets"] == '{"top":{"0":5}}' and opts["maxOffsetsPerTrigger"] == "1000"
     assert sp.admission(max_files=2) == {"maxFilesPerTrigger": "2"}
+
+
+def test_route_asof_stream_over_several_batches_equals_batch(spark):
+    from sluice.operators import routing
+    from sluice.functions.columns import bytes_text
+    base = sp.fresh_dir(spark, "test-asof")
+    _split_events(spark, f"{base}/land", 3)
+    sp.route_asof_stream(spark, _stream_events(spark, f"{base}/land"), f"{base}/out", f"{base}/ckpt")
+    got = spark.read.parquet(f"{base}/out/routes")
+    assert spark.read.parquet(f"{base}/out/registry").select("batch").distinct().count() == 3
+    m = fx.messages(spark, SF_SMALL)
+    sel = fx.selector_path(bytes_text("key"), F.col("origin"))
+    want = routing.route_as_of(m, sel, "event_id", fx.registry_changes(spark, SF_SMALL))
+    key = lambda df: sorted(tuple(r) for r in df.select("message_id", "path", "destination", "route_reason").collect())
+    assert key(got) == key(want)
