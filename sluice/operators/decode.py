@@ -52,18 +52,26 @@ def decode(df: DataFrame, schema: T.StructType, value_col: str = "value",
     """Add ``output`` (struct of ``schema``) and ``dead_reason``."""
     body = F.decode(F.col(value_col), "UTF-8")
     dec = decoder or _json_decoder(schema)
-    parsed = "_parsed"
-    d = df.select("*", dec(body).alias(parsed))
-    p = F.col(parsed)
-    all_null = F.lit(True)
-    for f in schema.fields:
-        all_null = all_null & p.getField(f.name).isNull()
-    has_corrupt = p.getField(CORRUPT).isNotNull() if decoder is None else F.lit(False)
-    reason = (F.when(F.col(value_col).isNull() | (F.length(F.col(value_col)) == 0), F.lit("empty"))
-              .when(p.isNull() | has_corrupt, F.lit("undecodable"))
-              .when(all_null, F.lit("empty_tuple")))
-    decoded = F.struct(*[p.getField(f.name).alias(f.name) for f in schema.fields])
-    return d.select(*[F.col(c) for c in df.columns], decoded.alias(output), reason.alias("dead_reason"))
+    raw = F.col(value_col)
+
+    def label(p: Column) -> Column:
+        all_null = F.lit(True)
+        for f in schema.fields:
+            all_null = all_null & p.getField(f.name).isNull()
+        has_corrupt = p.getField(CORRUPT).isNotNull() if decoder is None else F.lit(False)
+        reason = (F.when(raw.isNull() | (F.length(raw) == 0), F.lit("empty"))
+                  .when(p.isNull() | has_corrupt, F.lit("undecodable"))
+                  .when(all_null, F.lit("empty_tuple")))
+        decoded = F.struct(*[p.getField(f.name).alias(f.name) for f in schema.fields])
+        return F.struct(decoded.alias("v"), reason.alias("r"))
+
+    # The parse is bound once per row (a one-element ``transform`` is a let):
+    # a later filter on dead_reason is pushed below this projection, and
+    # without the binding every field reference there would re-parse.
+    pair = F.element_at(F.transform(F.array(dec(body)), label), 1)
+    d = df.select("*", pair.alias("_decode_pair"))
+    return d.select(*[F.col(c) for c in df.columns],
+                    F.col("_decode_pair.v").alias(output), F.col("_decode_pair.r").alias("dead_reason"))
 
 
 def good(decoded: DataFrame, output: str = "decoded", flatten: bool = True) -> DataFrame:
