@@ -115,3 +115,19 @@ def test_route_asof_stream_over_several_batches_equals_batch(spark):
     want = routing.route_as_of(m, sel, "event_id", fx.registry_changes(spark, SF_SMALL))
     key = lambda df: sorted(tuple(r) for r in df.select("message_id", "path", "destination", "route_reason").collect())
     assert key(got) == key(want)
+
+
+def test_read_landed_files_batch_and_stream(spark):
+    import datetime as dt
+    base = sp.fresh_dir(spark, "test-landed")
+    t = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [("q1", i, f'{{"k": {i}}}'.encode(), t) for i in range(20)]
+    spark.createDataFrame(rows, landed.KESTREL_RECORD).write.parquet(f"{base}/kestrel")
+    batch = landed.read_landed(spark, f"{base}/kestrel", "kestrel")
+    assert batch.count() == 20 and batch.columns[:2] == ["message_id", "origin"]
+    stream = landed.read_landed(spark, f"{base}/kestrel", "kestrel", streaming=True,
+                                options=sp.admission(max_files=1))
+    q = stream.writeStream.format("parquet").option("checkpointLocation", f"{base}/ck") \
+        .option("path", f"{base}/out").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.read.parquet(f"{base}/out").select("message_id").distinct().count() == 20
