@@ -55,3 +55,55 @@ def running_latency(rows: DataFrame, task: str = "task", seq: str = "seq", arriv
     c = F.col("_l_c") - F.coalesce(F.col("_l_ce"), F.lit(0))
     return (p2.where(~neg)
             .select(task, seq, val, (s.cast("double") / c.cast("double")).alias("mean_latency")))
+
+
+LATENCY_STATE_COLUMNS = ["task", "first_ms", "total", "count"]
+
+
+def running_latency_from(rows: DataFrame, prior: DataFrame | None, task: str = "task", seq: str = "seq",
+                         arrival: str = "arrival_ms", val: str = "val", warmup_ms: int = DEFAULT_WARMUP_MS,
+                         block_size: int | None = DEFAULT_BLOCK) -> tuple[DataFrame, DataFrame]:
+    """A1 continued from a state table -- one micro-batch of a stream.
+
+    ``prior``: (task, first_ms, total, count) left by the previous batch
+    (total/count since the last reset), or None.  Returns (emitted means,
+    new state).  Same blocked scan as the batch form, so a hot task in a big
+    micro-batch is still spread over many tasks."""
+    spark = rows.sparkSession
+    if prior is None:
+        prior = spark.createDataFrame([], "task int, first_ms long, total long, count long")
+    prior = prior.select(F.col("task").alias("_p_task"), F.col("first_ms").alias("_p_first"),
+                         F.col("total").alias("_p_total"), F.col("count").alias("_p_count"))
+    r = rows.select(task, seq, arrival, val)
+    first_here = r.groupBy(task).agg(F.min_by(F.col(arrival), F.col(seq)).alias("_b_first"))
+    firsts = (first_here.join(prior, F.col(task).eqNullSafe(F.col("_p_task")), "full")
+              .select(F.coalesce(F.col("_p_task"), F.col(task)).alias("_l_task"),
+                      F.coalesce(F.col("_p_first"), F.col("_b_first")).alias("_l_first"),
+                      F.coalesce(F.col("_p_total"), F.lit(0)).cast("long").alias("_l_pt"),
+                      F.coalesce(F.col("_p_count"), F.lit(0)).cast("long").alias("_l_pc")))
+    w = (r.join(firsts, F.col(task).eqNullSafe(F.col("_l_task")), "inner")
+         .where(F.col(arrival) - F.col("_l_first") > F.lit(warmup_ms)).drop("_l_task", "_l_first"))
+    neg = F.col(val) < 0
+    p1 = prefix_scan(w, [task], seq, {
+        "_l_s": ("sum", F.when(neg, F.lit(0)).otherwise(F.col(val)).cast("long")),
+        "_l_c": ("sum", F.when(neg, F.lit(0)).otherwise(F.lit(1)).cast("long")),
+    }, block_size, keep_block=True)
+    p1 = materialize(p1)
+    p2 = prefix_scan(p1, [task], seq, {
+        "_l_se": ("max", F.when(neg, F.col("_l_s"))),
+        "_l_ce": ("max", F.when(neg, F.col("_l_c"))),
+    }, block_size)
+    # since the last reset: the prior run carries on until the first negative here
+    since_s = F.when(F.col("_l_se").isNull(), F.col("_l_pt") + F.col("_l_s")).otherwise(F.col("_l_s") - F.col("_l_se"))
+    since_c = F.when(F.col("_l_ce").isNull(), F.col("_l_pc") + F.col("_l_c")).otherwise(F.col("_l_c") - F.col("_l_ce"))
+    scored = p2.select(task, seq, val, since_s.alias("_l_ss"), since_c.alias("_l_cc"))
+    means = (scored.where(F.col(val) >= 0)
+             .select(task, seq, val, (F.col("_l_ss").cast("double") / F.col("_l_cc").cast("double"))
+                     .alias("mean_latency")))
+    last = (scored.groupBy(task).agg(F.max_by(F.struct("_l_ss", "_l_cc"), F.col(seq)).alias("_l_last"))
+            .withColumnRenamed(task, "_n_task"))
+    state = (firsts.join(last, F.col("_l_task").eqNullSafe(F.col("_n_task")), "left")
+             .select(F.col("_l_task").alias("task"), F.col("_l_first").alias("first_ms"),
+                     F.coalesce(F.col("_l_last._l_ss"), F.col("_l_pt")).alias("total"),
+                     F.coalesce(F.col("_l_last._l_cc"), F.col("_l_pc")).alias("count")))
+    return means, state

@@ -4,10 +4,12 @@
   written once, partitioned by ``output`` (good / dead / unroutable) under
   ``batch=<id>`` (idempotent on retry).  Registry tables are static
   dimensions joined with a checked broadcast (stream-static join).
-* ``latency_stream``: A1 as a stateful fold per task
-  (``applyInPandasWithState``); state = first arrival, exact running sum and
-  count, so batch and stream agree exactly.  Rows of a micro-batch are folded
-  in seq order; rows arriving in a later batch count at arrival.
+* ``latency_stream``: A1 per micro-batch with the blocked scan and the
+  per-task state (first arrival, exact total and count since the last reset)
+  carried as a table; ``latency_stream_stateful`` is the same fold with
+  ``applyInPandasWithState``.  Batch and stream agree exactly.  Rows of a
+  micro-batch are taken in seq order; rows arriving in a later batch count at
+  arrival.
 * ``route_asof_stream``: J7 in a stream, the registry snapshot carried from
   one micro-batch to the next as a table.
 * ``bridge_stream``: S11 queue-to-queue bridge with expiry.
@@ -165,12 +167,30 @@ def latency_updates(rows: DataFrame, warmup_ms: int = DEFAULT_WARMUP_MS) -> Data
         _latency_fold(warmup_ms), LATENCY_OUT, LATENCY_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def latency_stream(spark: SparkSession, events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def latency_stream_stateful(spark: SparkSession, events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """A1 with ``applyInPandasWithState``: simple, but one task's rows of a
+    micro-batch meet in one Python worker -- bound the batch (admission)."""
     w = (latency_updates(fx.latencies_from(events)).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).option("path", out).outputMode("append"))
     return run_available_now(w)
 
 
+def latency_stream(spark: SparkSession, events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """A1 per micro-batch with the blocked scan, the per-task state (first
+    arrival, total and count since the last reset) carried as a table under
+    ``<out>/state/batch=<id>``; means land under ``<out>/means/batch=<id>``.
+    A retried batch reads the same prior state and overwrites its outputs."""
+    from sluice.operators.latency import running_latency_from
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        prior = spark.read.parquet(f"{out}/state/batch={batch_id - 1}") if batch_id > 0 else None
+        means, state = running_latency_from(fx.latencies_from(batch), prior)
+        write_batch({"means": means, "state": state}, out, batch_id)
+
+    w = events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    return run_available_now(w)
+
+
 # ------------------------------------------------------------------ bridge
 
 BRIDGE_EXPIRATION_MS = 30_000

@@ -37,14 +37,19 @@ def test_latency_stream_restart_equals_batch(spark):
     for i in range(2):
         spark.read.parquet(f"{base}/all/part{i}").write.parquet(f"{land}/part{i}")
     sp.latency_stream(spark, _stream_events(spark, land), f"{base}/out", f"{base}/ckpt")
-    first = spark.read.schema(sp.LATENCY_OUT).parquet(f"{base}/out").count()
+    first = spark.read.parquet(f"{base}/out/means").count()
     spark.read.parquet(f"{base}/all/part2").write.parquet(f"{land}/part2")
     sp.latency_stream(spark, _stream_events(spark, land), f"{base}/out", f"{base}/ckpt")
-    got = spark.read.schema(sp.LATENCY_OUT).parquet(f"{base}/out")
+    got = spark.read.parquet(f"{base}/out/means")
+    assert spark.read.parquet(f"{base}/out/state").select("batch").distinct().count() == 3
+    # the stateful form gives the same means
+    sp.latency_stream_stateful(spark, _stream_events(spark, land), f"{base}/out2", f"{base}/ckpt2")
+    got2 = spark.read.schema(sp.LATENCY_OUT).parquet(f"{base}/out2")
     want = running_latency(fx.latencies_from(e))
     r = lambda df: sorted((x.task, x.seq, round(x.mean_latency, 6)) for x in df.collect())
     assert 0 < first < got.count()
     assert r(got) == r(want)
+    assert r(got2) == r(want)
     assert step > 0
 
 
