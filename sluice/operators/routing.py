@@ -81,7 +81,11 @@ def route_as_of(msgs: DataFrame, selection: Column, seq_col: str, changes: DataF
                 path_col: str = "path", dest_col: str = "destination",
                 block_size: int | None = DEFAULT_BLOCK, materialize_hops: bool = True) -> DataFrame:
     """Two-hop routing against the registry state at the message's
-    sequence number.  ``changes``: (seq, op, name, path) change log."""
+    sequence number.  ``changes``: (seq, op, name, path) change log.
+
+    The first hop is checkpointed (``materialize_hops``) because the second
+    hop's scan reads it twice; project ``msgs`` to the columns you need first
+    so that only those are written."""
     m = msgs.withColumn(path_col, selection)
     path_changes = changes.where(F.col("op").isin(*PATH_OPS))
     hop1 = as_of(m, path_col, seq_col, path_changes, "path", "seq",
