@@ -17,6 +17,7 @@ KAFKA_ERRORS = [
     "MESSAGE_SIZE_TOO_LARGE", "STALE_CONTROLLER_EPOCH", "OFFSET_METADATA_TOO_LARGE",
 ]
 UNKNOWN_ERROR = "UNKNOWN"
+# Fixed value: the broker port when a host spec has none.
 DEFAULT_KAFKA_PORT = 9092
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.scan import DEFAULT_BLOCK, materialize, prefix_scan
 
+# Fixed value: rows within 5000 ms of the first one are not counted.
 DEFAULT_WARMUP_MS = 5000
 
 

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from sluice.operators.joins import dim_join
 from sluice.operators.scan import DEFAULT_BLOCK, prefix_scan
 
-NO_OFFSET = -5                  # "no offset known" marker of the offset request
-DEFAULT_FETCH_BYTES = 1 << 20   # 1 MiB fetch size
+# Fixed values: "no offset known" marker, 1 MiB fetch size, 2000 ms commit interval.
+NO_OFFSET = -5
+DEFAULT_FETCH_BYTES = 1 << 20
 DEFAULT_COMMIT_INTERVAL_MS = 2000
 
 

@@ -103,7 +103,7 @@ def route_as_of(msgs: DataFrame, selection: Column, seq_col: str, changes: DataF
     return hop2.withColumn("route_reason", reason).drop("_r_path_state", "_r_live")
 
 
-# Kestrel server status (J9): which operations each status allows.
+# The queue server statuses (J9) and the operations each allows.
 STATUS_ALLOWS = {
     "NOT_CONFIGURED": ("read", "write"),
     "UP": ("read", "write"),

@@ -1,4 +1,4 @@
-"""A1 running latency: edge rows and a brute-force fold of the bolt's loop."""
+"""A1 running latency: edge rows and a brute-force fold of the reference loop."""
 
 import random
 
