@@ -57,7 +57,7 @@ def get(items: DataFrame, observed_at: Column, max_items: int = DEFAULT_MAX_ITEM
     """Per queue, the first ``max_items`` unexpired waiting items by seq."""
     w = Window.partitionBy(queue_col).orderBy("seq")
     return (expire(items, observed_at)
-            .withColumn("position", F.row_number().over(w))
+            .withColumn("position", F.row_number().over(w).cast("long"))
             .where(F.col("position") <= max_items))
 
 
