@@ -33,7 +33,8 @@ def parse_host(spec: str | Column, default_port: int = DEFAULT_KAFKA_PORT) -> Co
 
     One part: default port.  Two parts: the port must be an integer.  More
     than two parts (or a bad port): host and port null, error set."""
-    parts = F.split(col(spec), ":")
+    # Trailing empty parts are dropped ("host:" is one part), as a Java split does.
+    parts = F.split(F.regexp_replace(col(spec), ":+$", ""), ":")
     n = F.size(parts)
     port_txt = F.element_at(parts, 2)
     port = F.when(n == 1, F.lit(default_port)).when(n == 2, port_txt.try_cast("int"))

@@ -75,3 +75,11 @@ def test_status_gate(spark):
     got = {(r.queue, r.op): r.allowed for r in routing.status_gate(ops, st).collect()}
     assert got == {("q1", "read"): True, ("q1", "write"): False, ("q2", "write"): False,
                    ("q3", "read"): True, ("q4", "write"): True}
+
+
+def test_parse_host(spark):
+    from sluice.functions.scalars import parse_host
+    df = spark.createDataFrame([("h",), ("h:9093",), ("h:",), ("h:x",), ("a:1:2",), (":7",)], "s string")
+    got = [tuple(r.p) for r in df.select(parse_host("s").alias("p")).collect()]
+    assert got == [("h", 9092, None), ("h", 9093, None), ("h", 9092, None), (None, None, "invalid port"),
+                   (None, None, "invalid host specification"), ("", 7, None)]
