@@ -2,7 +2,7 @@
 
 A side is broadcast only when the optimizer's size estimate -- an upper bound
 for scans, filters, projections and aggregates without CBO -- is below
-``max_bytes``.  Otherwise the join is left to the planner: a shuffle join,
+``max_bytes`` (32 MiB, or ``spark.sluice.broadcast.maxBytes``).  Otherwise the join is left to the planner: a shuffle join,
 which AQE still turns into a broadcast at run time when the materialised side
 is small.  So nothing is broadcast whose size grows with the data unchecked.
 """
@@ -12,8 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# 64 MiB: well inside executor memory, the same order as AQE's own default.
-DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+# 32 MiB unless the session sets ``spark.sluice.broadcast.maxBytes``: a
+# broadcast is sent to every executor, so on a 1000-executor cluster the
+# bound is paid a thousand times.
+DEFAULT_MAX_BROADCAST_BYTES = 32 << 20
+MAX_BROADCAST_CONF = "spark.sluice.broadcast.maxBytes"
+
+
+def max_broadcast_bytes(df: DataFrame) -> int:
+    try:
+        return int(df.sparkSession.conf.get(MAX_BROADCAST_CONF, str(DEFAULT_MAX_BROADCAST_BYTES)))
+    except (TypeError, ValueError):
+        return DEFAULT_MAX_BROADCAST_BYTES
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -25,9 +35,10 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """``broadcast(df)`` when its estimated size is proven below ``max_bytes``,
     else ``df`` unchanged (shuffle join / AQE decides)."""
+    max_bytes = max_broadcast_bytes(df) if max_bytes is None else max_bytes
     size = estimated_bytes(df)
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
@@ -35,7 +46,7 @@ def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTE
 
 
 def dim_join(fact: DataFrame, dim: DataFrame, on: Column | list[str] | str, how: str = "left",
-             max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+             max_bytes: int | None = None) -> DataFrame:
     """Join a fact frame with a dimension frame, broadcasting the dimension
     behind the size check."""
     return fact.join(checked_broadcast(dim, max_bytes), on, how)
