@@ -96,3 +96,35 @@ def dead_letters(decoded: DataFrame, output: str = "decoded") -> DataFrame:
 def encode_json(fields: list[str | Column]) -> Column:
     """Tuple -> message body (JSON bytes)."""
     return F.encode(F.to_json(F.struct(*fields)), "UTF-8")
+
+
+def observe_counts(decoded: DataFrame, name: str = "decode"):
+    """U4 / A5 reporting: attach good / dead counters to the frame with
+    ``DataFrame.observe`` (collected as a side effect of whatever action or
+    micro-batch runs it; no extra job).  Returns (frame, Observation)."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    dead = F.col("dead_reason").isNotNull()
+    out = decoded.observe(obs, F.count(F.lit(1)).alias("messages"),
+                          F.sum(F.when(dead, 1).otherwise(0)).alias("dead"),
+                          F.sum(F.when(dead, 0).otherwise(1)).alias("good"))
+    return out, obs
+
+
+# Fixed value: the line separator of the text payloads of the queue example.
+PAYLOAD_SEPARATOR = "\r\n"
+
+
+def timestamp_payload_decoder() -> Callable[[Column], Column]:
+    """U1 example for a non-JSON body: ``<epoch ms>CRLF<filler>`` -> struct(sent_ms,
+    filler_len).  JVM-side string functions, no Python UDF."""
+    def dec(body: Column) -> Column:
+        head = F.substring_index(body, PAYLOAD_SEPARATOR, 1)
+        ms = head.try_cast("long")
+        rest_len = F.length(body) - F.length(head) - F.lit(len(PAYLOAD_SEPARATOR))
+        return F.when(body.contains(PAYLOAD_SEPARATOR) & ms.isNotNull(),
+                      F.struct(ms.alias("sent_ms"), rest_len.cast("long").alias("filler_len")))
+    return dec
+
+
+TIMESTAMP_PAYLOAD = T.StructType([T.StructField("sent_ms", T.LongType()), T.StructField("filler_len", T.LongType())])

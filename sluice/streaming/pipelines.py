@@ -262,3 +262,8 @@ def prune_updates(acks_with_bounds: DataFrame, max_offset_behind: int) -> DataFr
     next_offset); state is compact (bounded by the out-of-order window)."""
     return acks_with_bounds.groupBy("partition").applyInPandasWithState(
         _prune_state_fold(max_offset_behind), PRUNE_OUT, PRUNE_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def commit_trigger() -> dict[str, str]:
+    """A4: commit at most every 2000 ms -> ``writeStream.trigger(**commit_trigger())``."""
+    return {"processingTime": COMMIT_INTERVAL}

@@ -67,3 +67,21 @@ def test_decode_split_partitions_input(spark):
     assert dead == {1: ("undecodable", "reject_no_requeue"), 2: ("empty", "report_and_drop"),
                     3: ("empty", "drop"), 4: ("empty_tuple", "drop"), 5: ("undecodable", "report_and_drop")}
     assert len(good) + len(dead) == raw.count()
+
+
+def test_observe_counts_and_payload_decoder(spark):
+    raw = spark.createDataFrame(
+        [("q", 0, i, v) for i, v in enumerate([b"1704067200000\r\n" + b"0" * 1000, b"12\r\n", b"nope", b"", None])],
+        "origin string, partition int, offset long, value binary")
+    d = decode.decode(make_envelope(raw), decode.TIMESTAMP_PAYLOAD, decoder=decode.timestamp_payload_decoder())
+    d, obs = decode.observe_counts(d)
+    rows = {r.offset: (r.decoded.sent_ms if r.decoded else None, r.dead_reason) for r in d.collect()}
+    assert rows[0] == (1704067200000, None) and rows[1] == (12, None)
+    assert rows[2][1] == "undecodable" and rows[3][1] == "empty" and rows[4][1] == "empty"
+    assert obs.get == {"messages": 5, "dead": 3, "good": 2}
+    assert decode.good(d).where("offset = 0").first().filler_len == 1000
+
+
+def test_commit_trigger():
+    from sluice.streaming.pipelines import commit_trigger
+    assert commit_trigger() == {"processingTime": "2 seconds"}
