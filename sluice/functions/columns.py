@@ -26,15 +26,6 @@ def ms_to_ts(c: str | Column) -> Column:
     return F.timestamp_millis(col(c).cast("long"))
 
 
-def null_safe_on(left_keys: list[str], right_keys: list[str], left, right) -> Column:
-    """Null-safe equality over key lists (a null key matches a null key)."""
-    cond = None
-    for lk, rk in zip(left_keys, right_keys):
-        c = left[lk].eqNullSafe(right[rk])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def text_bytes(c: str | Column) -> Column:
     """UTF-8 bytes of a string column."""
     return F.encode(col(c), "UTF-8")

@@ -22,7 +22,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.envelope import PROTOCOLS  # noqa: F401  (protocol names)
 
 
 def ack_pending(emitted: DataFrame, acks: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.columns import epoch_ms
-from sluice.operators.joins import dim_join
 from sluice.operators.scan import DEFAULT_BLOCK, running_count
 
 # At most 1024 items per get, 30000 ms put expiry.

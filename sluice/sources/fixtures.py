@@ -32,11 +32,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the default parallelism when the files yield
-    fewer splits than that (one parquet row group is one task).  On a cluster
-    reading many files the scan already has more splits, and this is a no-op."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
+    """Round-robin a scan over the default parallelism when it is a few small
+    files (a single parquet row group is read by one task).  Decided from the
+    file index and the size estimate, without running anything; on a cluster
+    reading many or large files this is a no-op."""
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    try:
+        split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    except Exception:  # pragma: no cover - non-classic sessions
+        split = 128 << 20
+    size = estimated_bytes(df)
+    if size is not None and size < split and len(df.inputFiles()) < par:
         return df.repartition(par)
     return df
 

@@ -1,6 +1,5 @@
 """D1 start offsets, D2 fetch slice, D3 reset, A3-A5 commit accounting, T4."""
 
-from pyspark.sql import functions as F
 
 from sluice.operators import offsets
 
