@@ -53,7 +53,11 @@ def auto_block_size(df: DataFrame, blocks_per_core: int = 8) -> int:
     if size is None:
         return MAX_BLOCK
     est_rows = max(size // 16, 1)
-    target = max(df.sparkSession.sparkContext.defaultParallelism * blocks_per_core, 1)
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # pragma: no cover - Spark Connect
+        cores = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    target = max(cores * blocks_per_core, 1)
     want = est_rows // target
     block = MIN_BLOCK
     while block < want and block < MAX_BLOCK:

@@ -54,12 +54,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` from the session; only when it is unset
     (local tests) a scratch folder is made and registered.
     """
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # pragma: no cover - Spark Connect: the server owns the folder
+        sc = None
+    if not path and sc is not None:
+        path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        # Only reached when nothing names a shared folder (local tests).
         path = tempfile.mkdtemp(prefix="sluice-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 

@@ -37,11 +37,11 @@ def spread(df: DataFrame) -> DataFrame:
     file index and the size estimate, without running anything; on a cluster
     reading many or large files this is a no-op."""
     spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
     try:
+        par = spark.sparkContext.defaultParallelism
         split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    except Exception:  # pragma: no cover - non-classic sessions
-        split = 128 << 20
+    except Exception:  # pragma: no cover - Spark Connect: leave the scan as it is
+        return df
     size = estimated_bytes(df)
     if size is not None and size < split and len(df.inputFiles()) < par:
         return df.repartition(par)
