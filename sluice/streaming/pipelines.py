@@ -88,13 +88,52 @@ def labelled_routes(msgs: DataFrame, paths: DataFrame, destinations: DataFrame)
                     "route_reason", "dead_reason", F.col("decoded.k").alias("k"), out.alias("output"))
 
 
+def publishable(destinations: DataFrame, protocol: str | None) -> DataFrame:
+    """The destinations a protocol's producer accepts (P4): the others never
+    get a producer, so their messages route as *producer unknown*."""
+    if protocol not in ("kafka", "amqp", "jms"):
+        return destinations
+    from sluice.operators.naming import destination_names
+    cols = destinations.columns
+    return destination_names(destinations).where(F.col(f"reject_{protocol}").isNull()).select(*cols)
+
+
+def sink_records(protocol: str, good: DataFrame, destinations: DataFrame) -> DataFrame:
+    """Publish records of routed good rows for ``protocol``."""
+    from sluice.sources.landed import to_kafka_records
+    from sluice.operators.naming import destination_names
+    from sluice.streaming import sinks
+    if protocol == "kafka":
+        topics = destination_names(destinations).select(F.col("name").alias("_k_name"), "kafka_topic")
+        from sluice.operators.joins import dim_join
+        return to_kafka_records(dim_join(good, topics, F.col("destination") == F.col("_k_name"), "inner"))
+    if protocol == "amqp":
+        return sinks.amqp_records(good, destinations)
+    if protocol == "jms":
+        return sinks.jms_records(good, destinations)
+    if protocol == "mqtt":
+        return sinks.mqtt_records(good)
+    if protocol == "kestrel":
+        return sinks.kestrel_records(good)
+    raise ValueError(f"unknown protocol {protocol!r}")
+
+
 def route_stream(spark: SparkSession, events: DataFrame, paths: DataFrame, destinations: DataFrame,
-                 base: str, checkpoint: str) -> StreamingQuery:
+                 base: str, checkpoint: str, protocol: str | None = None) -> StreamingQuery:
+    """Route a message stream; with ``protocol`` also land that broker's
+    publish records of the good rows (``<base>/<protocol>/batch=<id>``)."""
     msgs = fx.messages_from(events)
+    live = publishable(destinations, protocol)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        write_batch({"routes": labelled_routes(batch, paths, destinations)}, base, batch_id,
-                    {"routes": ["output"]})
+        routes = labelled_routes(batch, paths, live)
+        outputs = {"routes": routes}
+        parts = {"routes": ["output"]}
+        if protocol:
+            good = batch.join(routes.where(F.col("output") == "good").select("message_id", "destination"),
+                              "message_id")
+            outputs[protocol] = sink_records(protocol, good, destinations)
+        write_batch(outputs, base, batch_id, parts)
 
     w = msgs.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return run_available_now(w)

@@ -136,3 +136,23 @@ def test_read_landed_files_batch_and_stream(spark):
         .option("path", f"{base}/out").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.read.parquet(f"{base}/out").select("message_id").distinct().count() == 20
+
+
+def test_route_stream_with_amqp_sink(spark):
+    base = sp.fresh_dir(spark, "test-amqp")
+    ev = sp.table_stream(spark, SF_SMALL, "events")
+    dests = fx.destinations(spark, SF_SMALL)
+    sp.route_stream(spark, ev, fx.paths(spark), dests, f"{base}/out", f"{base}/ckpt", protocol="amqp")
+    routes = spark.read.parquet(f"{base}/out/routes")
+    recs = spark.read.parquet(f"{base}/out/amqp")
+    good = routes.where("output = 'good'")
+    assert recs.count() == good.count() > 0
+    assert recs.where("exchange is null or routing_key is null").count() == 0
+    # destinations AMQP refuses (no queueName, or a null name part) route as producer unknown
+    refused = {r.name for r in sp.publishable(dests, None).join(
+        sp.publishable(dests, "amqp").select("name"), "name", "left_anti").collect()}
+    assert refused
+    assert good.where(F.col("destination").isin(*refused)).count() == 0
+    full = good.join(fx.messages(spark, SF_SMALL).select("message_id", "key", "headers", "ts"), "message_id")
+    for proto in ("kafka", "jms", "mqtt", "kestrel"):
+        assert sp.sink_records(proto, full, dests).count() == good.count(), proto
