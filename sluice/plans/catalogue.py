@@ -692,6 +692,33 @@ def q_stream_route(spark, sf):
     return out.select("message_id", "path", "destination", "route_reason", "dead_reason", "k", "output")
 
 
+def _stream_amqp_sql() -> str:
+    base = with_fixtures(["messages", "paths", "destinations"], "SELECT 1")
+    return (base[:-len("SELECT 1")].rstrip() + """,
+  pub AS (SELECT name, p_exchange AS exchange,
+                 CASE WHEN grouped THEN site || '.' || sensor || '.' || p_routing_key
+                      ELSE site || '.' || sensor || '.' || sensor_id || '.' || p_routing_key END AS routing_key
+          FROM destinations WHERE p_queue_name IS NOT NULL AND (grouped OR sensor_id IS NOT NULL)),
+  sel AS (SELECT message_id, value_text, CASE WHEN origin = 'error' THEN NULL
+                                  ELSE 'p' || CAST(user_id % 30 AS VARCHAR) END AS path FROM messages),
+  """ + _DECODE_SQL.strip() + """
+SELECT sel.message_id, pub.exchange, pub.routing_key, CAST(strlen(sel.value_text) AS BIGINT) AS body_len
+FROM sel JOIN paths p ON sel.path = p.path JOIN pub ON p.destination = pub.name
+JOIN d ON sel.message_id = d.message_id
+WHERE d.dead_reason IS NULL""")
+
+
+@query("stream_route_amqp", "S2 S7 P2 P4 J1 T5", _stream_amqp_sql())
+def q_stream_route_amqp(spark, sf):
+    from sluice.streaming import pipelines as sp
+    base = sp.fresh_dir(spark, "stream-amqp")
+    ev = sp.table_stream(spark, sf, "events")
+    sp.route_stream(spark, ev, fx.paths(spark), fx.destinations(spark, sf), f"{base}/out", f"{base}/ckpt",
+                    protocol="amqp")
+    r = spark.read.parquet(f"{base}/out/amqp")
+    return r.select("message_id", "exchange", "routing_key", F.length("body").cast("long").alias("body_len"))
+
+
 @query("stream_route_asof", "J6 J7 T5", CATALOGUE["route_asof"].sql)
 def q_stream_route_asof(spark, sf):
     from sluice.streaming import pipelines as sp
