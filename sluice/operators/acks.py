@@ -22,6 +22,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.registry import as_of
+from sluice.operators.scan import materialize, prefix_scan, running_count
+
 
 
 def ack_pending(emitted: DataFrame, acks: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -88,12 +91,53 @@ def _prune_fold(max_offset_behind: int):
     return fold
 
 
-def pending_prune(acks: DataFrame, emitted: DataFrame, max_offset_behind: int,
+def pending_prune_unbounded(acks: DataFrame, emitted: DataFrame) -> DataFrame:
+    """T3 without a bound (the reference's default ``maxOffsetBehind`` is
+    Long.MAX_VALUE, so nothing is ever cleared): every ack just removes its
+    offset, and the smallest pending offset after ack t has a parallel form.
+
+    With acks ranked t = 1..n per partition by (ack_seq, offset), tau(p) the
+    first rank acknowledging offset p (never: +inf) and A(p) the largest tau
+    among lower offsets (0 for the lowest), offset p is the smallest pending
+    one exactly while A(p) <= t < tau(p).  These intervals are disjoint and
+    ordered, so each ack finds its offset with the blocked as-of lookup; the
+    ranks and A(p) are blocked scans.  No step puts a partition in one task.
+    Same output as ``pending_prune``."""
+    # Each stage feeds scans that read it twice, so each is checkpointed.
+    ranked = materialize(running_count(acks.select("partition", "offset", "ack_seq"), ["partition"],
+                                       ["ack_seq", "offset"], "t"))
+    tau = ranked.groupBy("partition", "offset").agg(F.min("t").alias("tau"))
+    never = F.lit(1 << 62).cast("long")
+    e = (emitted.select("partition", "offset").distinct()
+         .join(tau, ["partition", "offset"], "left")
+         .select("partition", "offset", F.coalesce(F.col("tau"), never).alias("tau")))
+    a = prefix_scan(e, ["partition"], "offset", {"a": ("max", F.col("tau"))}, exclusive=True)
+    intervals = materialize(
+        a.select("partition", "offset", "tau", F.coalesce(F.col("a"), F.lit(0)).cast("long").alias("a"))
+        .where(F.col("a") < F.col("tau")))
+    value = F.struct(F.col("offset").alias("p"), F.col("tau").alias("tau"))
+    facts = ranked.select("partition", "offset", "ack_seq", "t", (F.col("t") - 1).alias("t_before"))
+    after = materialize(as_of(facts, "partition", "t", intervals, "partition", "a", value, "_after"))
+    both = as_of(after, "partition", "t_before", intervals, "partition", "a", value, "_before")
+
+    def pending_at(col: str, t: F.Column) -> F.Column:
+        return F.when(F.col(f"{col}.tau") > t, F.col(f"{col}.p"))
+
+    return both.select(
+        "partition", "ack_seq", "offset", F.lit("remove").alias("action"),
+        pending_at("_before", F.col("t_before")).cast("long").alias("min_pending_before"),
+        pending_at("_after", F.col("t")).cast("long").alias("min_pending_after"))
+
+
+def pending_prune(acks: DataFrame, emitted: DataFrame, max_offset_behind: int | None,
                   num_partitions: int | None = None) -> DataFrame:
     """T3 batch twin: the decision taken for every ack, in ack order, with the
     smallest pending offset before and after it.  ``acks``: (partition,
     offset, ack_seq); ``emitted``: (partition, offset), contiguous per
-    partition."""
+    partition.  ``max_offset_behind=None`` (no bound) takes the parallel
+    ``pending_prune_unbounded``; a bound needs the ordered fold."""
+    if max_offset_behind is None:
+        return pending_prune_unbounded(acks, emitted)
     bounds = emitted.groupBy("partition").agg(F.min("offset").alias("first_offset"),
                                               (F.max("offset") + 1).alias("next_offset"))
     a = acks.join(bounds, "partition", "inner")

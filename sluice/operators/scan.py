@@ -84,14 +84,17 @@ def _key_default(dtype: T.DataType) -> Column:
     return F.lit(0).cast(dtype)
 
 
-def prefix_scan(df: DataFrame, keys: list[str], order: str,
+def prefix_scan(df: DataFrame, keys: list[str], order: str | list[str],
                 aggs: dict[str, tuple[str, Column]],
-                block_size: int | None = DEFAULT_BLOCK, keep_block: bool = False) -> DataFrame:
-    """Add one column per ``aggs`` entry: the inclusive running aggregate of
-    the given expression over rows with the same ``keys`` ordered by ``order``.
-
-    ``order`` must be an integer column, unique within a key (ties would make
-    any running value ambiguous).  Keys may be null (a null key is its own
+                block_size: int | None = DEFAULT_BLOCK, keep_block: bool = False,
+                exclusive: bool = False) -> DataFrame:
+    """Add one column per ``aggs`` entry: the inclusive (or with ``exclusive``,
+    strictly-before) running aggregate of the given expression over rows with
+    the same ``keys`` ordered by ``order``.
+
+    ``order`` is an integer column (blocks are cut on it), optionally followed
+    by tie-breaking columns; the whole order must be unique within a key
+    (ties would make any running value ambiguous).  Keys may be null (a null key is its own
     group).  With ``keep_block`` the internal key/block columns stay in the
     output; a second scan over the same keys then reuses them -- and the
     partitioning the first scan left behind -- instead of shuffling again.
@@ -104,6 +107,7 @@ def prefix_scan(df: DataFrame, keys: list[str], order: str,
         if kind not in _AGG:
             raise ValueError(f"unsupported prefix aggregate {kind!r}")
 
+    order_cols = [order] if isinstance(order, str) else list(order)
     blk = BLOCK_COL
     skeys = [f"_scan_k{i}" for i in range(len(keys))] + [f"_scan_n{i}" for i in range(len(keys))]
     part = skeys + [blk]
@@ -119,7 +123,8 @@ def prefix_scan(df: DataFrame, keys: list[str], order: str,
             *[F.coalesce(F.col(k), _key_default(df.schema[k].dataType)).alias(f"_scan_k{i}")
               for i, k in enumerate(keys)],
             *[F.isnull(F.col(k)).alias(f"_scan_n{i}") for i, k in enumerate(keys)],
-            F.coalesce(F.floor(F.col(order) / F.lit(block_size)).cast("long"), F.lit(-1).cast("long")).alias(blk))
+            F.coalesce(F.floor(F.col(order_cols[0]) / F.lit(block_size)).cast("long"),
+                       F.lit(-1).cast("long")).alias(blk))
     inputs = {name: f"_scan_in_{name}" for name in aggs}
     d = d.select("*", *[expr.alias(inputs[name]) for name, (_, expr) in aggs.items()])
 
@@ -140,11 +145,17 @@ def prefix_scan(df: DataFrame, keys: list[str], order: str,
     j = d.join(offsets, part, "inner")
 
     # (4) the in-block running value, combined with the block's offset.
-    wl = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = -1 if exclusive else Window.currentRow
+    wl = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, end)
+
+    def local(kind: str, name: str) -> Column:
+        v = _AGG[kind](inputs[name]).over(wl)
+        return F.coalesce(v, F.lit(0)) if kind == "sum" and exclusive else v
+
     keep = base_cols + (part if keep_block else [])
     return j.select(
         *[F.col(c) for c in keep],
-        *[_combine(kind, F.col(f"_scan_off_{name}"), _AGG[kind](inputs[name]).over(wl)).alias(name)
+        *[_combine(kind, F.col(f"_scan_off_{name}"), local(kind, name)).alias(name)
           for name, (kind, _) in aggs.items()])
 
 
@@ -158,7 +169,7 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def running_count(df: DataFrame, keys: list[str], order: str, name: str = "rank",
+def running_count(df: DataFrame, keys: list[str], order: str | list[str], name: str = "rank",
                   block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
     """1-based position of each row within its key in ``order`` (a skew-safe
     ``row_number``)."""

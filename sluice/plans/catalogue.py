@@ -644,6 +644,22 @@ def q_fail_disposition(spark, sf):
     return f.withColumn("disposition", acks.fail_disposition(F.col("protocol"), F.col("requeue")))
 
 
+@query("pending_prune_unbounded", "T3", with_fixtures(["emitted", "ack_log"], """
+, ranked AS (SELECT "partition", "offset", ack_seq,
+                    row_number() OVER (PARTITION BY "partition" ORDER BY ack_seq, "offset") AS t FROM ack_log),
+  tau AS (SELECT "partition", "offset", min(t) AS tau FROM ranked GROUP BY 1, 2),
+  e AS (SELECT e."partition", e."offset", coalesce(tau.tau, 4611686018427387904) AS tau
+        FROM (SELECT DISTINCT "partition", "offset" FROM emitted) e
+        LEFT JOIN tau ON e."partition" = tau."partition" AND e."offset" = tau."offset")
+SELECT r."partition", r.ack_seq, r."offset", 'remove' AS action,
+       (SELECT min(e."offset") FROM e WHERE e."partition" = r."partition" AND e.tau > r.t - 1) AS min_pending_before,
+       (SELECT min(e."offset") FROM e WHERE e."partition" = r."partition" AND e.tau > r.t) AS min_pending_after
+FROM ranked r"""))
+def q_pending_prune_unbounded(spark, sf):
+    """T3 with the reference's default bound (none): parallel form."""
+    return acks.pending_prune(fx.ack_log(spark, sf), fx.emitted(spark, sf), None)
+
+
 @query("pending_prune", "T3", None)
 def q_pending_prune(spark, sf):
     return acks.pending_prune(fx.ack_log(spark, sf), fx.emitted(spark, sf), MAX_BEHIND)

@@ -85,3 +85,22 @@ def test_observe_counts_and_payload_decoder(spark):
 def test_commit_trigger():
     from sluice.streaming.pipelines import commit_trigger
     assert commit_trigger() == {"processingTime": "2 seconds"}
+
+
+def test_pending_prune_unbounded_equals_fold(spark):
+    rnd = random.Random(7)
+    n = 300
+    rows = []
+    for part in range(3):
+        offs = list(range(n))
+        rnd.shuffle(offs)
+        log = offs[:200] + [rnd.randint(0, n - 1) for _ in range(30)] + [n + 3]
+        seqs = [rnd.randint(0, 150) for _ in log]           # ties in ack_seq on purpose
+        rows += [(part, o, s) for o, s in zip(log, seqs)]
+    emitted = spark.createDataFrame([(p, o) for p in range(3) for o in range(n)], "partition int, offset long")
+    ack_df = spark.createDataFrame(rows, "partition int, offset long, ack_seq long")
+    key = lambda df: sorted(tuple(r) for r in df.select("partition", "ack_seq", "offset", "action",
+                                                        "min_pending_before", "min_pending_after").collect())
+    fold = acks.pending_prune(ack_df, emitted, 10 ** 15)
+    par = acks.pending_prune(ack_df, emitted, None)
+    assert key(par) == key(fold)
