@@ -306,3 +306,40 @@ def prune_updates(acks_with_bounds: DataFrame, max_offset_behind: int) -> DataFr
 def commit_trigger() -> dict[str, str]:
     """A4: commit at most every 2000 ms -> ``writeStream.trigger(**commit_trigger())``."""
     return {"processingTime": COMMIT_INTERVAL}
+
+
+# ------------------------------------------------------------------ auto-abort
+
+OPEN_ITEM_COLUMNS = ["queue", "seq", "value", "opened_at", "auto_abort_ms"]
+
+
+def auto_abort_stream(spark: SparkSession, opened: DataFrame, confirms: DataFrame | None,
+                      out: str, checkpoint: str, time_col: str = "opened_at") -> StreamingQuery:
+    """D6 in a stream.  ``opened``: a stream of fetched items (queue, seq,
+    value, opened_at, auto_abort_ms); ``confirms``: a static table of confirmed
+    (queue, seq) ids, or None.  The open items are carried between
+    micro-batches as a table (``<out>/open/batch=<id>``); each batch evaluates
+    the deadlines at its event-time high-water mark (the largest ``time_col``
+    seen so far, never the wall clock) and lands the decided items under
+    ``<out>/decided/batch=<id>`` ('confirmed' or back to 'waiting')."""
+    from sluice.operators.queues import auto_abort, confirm
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        prior_path = f"{out}/open/batch={batch_id - 1}"
+        items = batch.select(*OPEN_ITEM_COLUMNS).withColumn("state", F.lit("open"))
+        if batch_id > 0:
+            items = spark.read.parquet(prior_path).select(*OPEN_ITEM_COLUMNS, "state").unionByName(items)
+        if confirms is not None:
+            items = confirm(items, confirms)
+        # One scalar per micro-batch: the event-time high-water mark.
+        hw = items.agg(F.max(time_col).alias("hw")).first()["hw"]
+        if hw is None:
+            write_batch({"open": items, "decided": items.limit(0)}, out, batch_id)
+            return
+        decided = auto_abort(items, F.lit(hw).cast("timestamp"))
+        write_batch({"open": decided.where(F.col("new_state") == "open").select(*OPEN_ITEM_COLUMNS, "state"),
+                     "decided": decided.where(F.col("new_state") != "open")
+                     .select("queue", "seq", "new_state", "txn_id")}, out, batch_id)
+
+    w = opened.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    return run_available_now(w)

@@ -156,3 +156,25 @@ def test_route_stream_with_amqp_sink(spark):
     full = good.join(fx.messages(spark, SF_SMALL).select("message_id", "key", "headers", "ts"), "message_id")
     for proto in ("kafka", "jms", "mqtt", "kestrel"):
         assert sp.sink_records(proto, full, dests).count() == good.count(), proto
+
+
+def test_auto_abort_stream_decides_against_event_time(spark):
+    import datetime as dt
+    base = sp.fresh_dir(spark, "test-abort")
+    t0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    day = dt.timedelta(days=1)
+    schema = "queue string, seq long, value string, opened_at timestamp, auto_abort_ms long"
+    first = [("q", 1, "a", t0, 0), ("q", 2, "b", t0, 86_400_000), ("q", 3, "c", t0, 86_400_000 * 10)]
+    second = [("q", 4, "d", t0 + 2 * day, 86_400_000 * 10)]
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{base}/land/p0")
+    spark.createDataFrame(second, schema).coalesce(1).write.parquet(f"{base}/land/p1")
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(f"{base}/land"))
+    confirms = spark.createDataFrame([("q", 3)], "queue string, seq long")
+    sp.auto_abort_stream(spark, stream, confirms, f"{base}/out", f"{base}/ckpt")
+    decided = {(r.seq, r.new_state) for r in spark.read.parquet(f"{base}/out/decided").collect()}
+    # batch 0 (high-water t0): seq 1 has no deadline -> confirmed at once; seq 3 confirmed by id
+    # batch 1 (high-water t0 + 2 days): seq 2's one-day deadline passed -> back to waiting
+    assert decided == {(1, "confirmed"), (2, "waiting")}
+    still_open = {r.seq for r in spark.read.parquet(f"{base}/out/open").where("batch = 1").collect()}
+    assert still_open == {4}
