@@ -19,7 +19,7 @@ from sluice.functions import scalars
 from sluice.functions.columns import bytes_text, epoch_ms, ms_to_ts
 from sluice.operators import (acks, decode, envelope, latency, naming, offsets, queues, registry,
                               routing)
-from sluice.plans.oracle import OBSERVED_MS, with_fixtures
+from sluice.plans.oracle import OBSERVED_MS, fixtures_prefix, with_fixtures
 from sluice.sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -73,8 +73,8 @@ _ROUTE_SQL_BODY = """
 
 
 def _route_sql(select: str) -> str:
-    base = with_fixtures(["messages", "paths", "destinations"], "SELECT 1")
-    return base[:-len("SELECT 1")].rstrip() + ",\n" + _ROUTE_SQL_BODY.strip() + "\n" + select
+    base = fixtures_prefix(["messages", "paths", "destinations"])
+    return base + ",\n" + _ROUTE_SQL_BODY.strip() + "\n" + select
 
 
 def _observed() -> F.Column:
@@ -114,8 +114,8 @@ _DECODE_SQL = """
 
 
 def _decode_sql(select: str) -> str:
-    base = with_fixtures(["messages"], "SELECT 1")
-    return base[:-len("SELECT 1")].rstrip() + ",\n" + _DECODE_SQL.strip() + "\n" + select
+    base = fixtures_prefix(["messages"])
+    return base + ",\n" + _DECODE_SQL.strip() + "\n" + select
 
 
 def _decoded(spark, sf):
@@ -387,8 +387,8 @@ _COMMIT_SQL = """
 
 
 def _commit_sql(select: str, extra: list[str] | None = None) -> str:
-    base = with_fixtures(["emitted", "ack_log"] + (extra or []), "SELECT 1")
-    return base[:-len("SELECT 1")].rstrip() + _COMMIT_SQL.rstrip() + "\n" + select
+    base = fixtures_prefix(["emitted", "ack_log"] + (extra or []))
+    return base + _COMMIT_SQL.rstrip() + "\n" + select
 
 
 @query("commit_point", "A3", _commit_sql(
@@ -416,14 +416,14 @@ _ADMIT_SQL = f"""
 """
 
 
-@query("fail_admission", "T4", with_fixtures(["emitted", "fail_log"], "SELECT 1")[:-len("SELECT 1")].rstrip()
+@query("fail_admission", "T4", fixtures_prefix(["emitted", "fail_log"])
        + _ADMIT_SQL.rstrip() + "\nSELECT \"partition\", \"offset\", next_offset, admitted FROM fa")
 def q_fail_admission(spark, sf):
     r = offsets.fail_admission(fx.fail_log(spark, sf), fx.emitted(spark, sf), MAX_BEHIND)
     return r.select("partition", "offset", "next_offset", "admitted")
 
 
-@query("ack_counters", "A5", with_fixtures(["emitted", "ack_log", "fail_log"], "SELECT 1")[:-len("SELECT 1")].rstrip()
+@query("ack_counters", "A5", fixtures_prefix(["emitted", "ack_log", "fail_log"])
        + _COMMIT_SQL.rstrip() + _ADMIT_SQL.rstrip() + f"""
 SELECT a."partition", a.acked, coalesce(f.failed, 0) AS failed,
        a.acked = 0 AND coalesce(f.failed, 0) > {MAX_BEHIND} AS error
@@ -460,7 +460,7 @@ def q_start_offset_plan_forced(spark, sf):
     return offsets.start_offset_plan(fx.positions(spark, sf), fx.RUNNING_TOPOLOGY, True, MAX_BEHIND)
 
 
-@query("fetch_slice", "D2", with_fixtures(["messages", "emitted", "ack_log"], "SELECT 1")[:-len("SELECT 1")].rstrip()
+@query("fetch_slice", "D2", fixtures_prefix(["messages", "emitted", "ack_log"])
        + _COMMIT_SQL.rstrip() + f"""
 , s AS (SELECT m.message_id, m."partition", m."offset", CAST(strlen(m.value_text) AS BIGINT) AS size,
                row_number() OVER (PARTITION BY m."partition" ORDER BY m."offset") AS n,
@@ -554,8 +554,8 @@ _PUT_SQL = f"""
 
 
 def _put_sql(select: str) -> str:
-    base = with_fixtures(["queue_state", "next_put", "queue_limits"], "SELECT 1")
-    return base[:-len("SELECT 1")].rstrip() + _PUT_SQL.rstrip() + "\n" + select
+    base = fixtures_prefix(["queue_state", "next_put", "queue_limits"])
+    return base + _PUT_SQL.rstrip() + "\n" + select
 
 
 def _put(spark, sf) -> DataFrame:
@@ -689,8 +689,8 @@ def q_flagship(spark, sf):
 # then reads its sink back.  The oracle is the batch twin's SQL.
 
 def _stream_route_sql() -> str:
-    base = with_fixtures(["messages", "paths", "destinations"], "SELECT 1")
-    return (base[:-len("SELECT 1")].rstrip() + ",\n" + _ROUTE_SQL_BODY.strip() + ",\n"
+    base = fixtures_prefix(["messages", "paths", "destinations"])
+    return (base + ",\n" + _ROUTE_SQL_BODY.strip() + ",\n"
             + _DECODE_SQL.strip() + """
 SELECT r.message_id, r.path, r.destination, r.route_reason, d.dead_reason, d.k,
        CASE WHEN d.dead_reason IS NOT NULL THEN 'dead' WHEN r.route_reason IS NOT NULL THEN 'unroutable'
@@ -709,8 +709,8 @@ def q_stream_route(spark, sf):
 
 
 def _stream_amqp_sql() -> str:
-    base = with_fixtures(["messages", "paths", "destinations"], "SELECT 1")
-    return (base[:-len("SELECT 1")].rstrip() + """,
+    base = fixtures_prefix(["messages", "paths", "destinations"])
+    return (base + """,
   pub AS (SELECT name, p_exchange AS exchange,
                  CASE WHEN grouped THEN site || '.' || sensor || '.' || p_routing_key
                       ELSE site || '.' || sensor || '.' || sensor_id || '.' || p_routing_key END AS routing_key

@@ -108,8 +108,9 @@ _DEPENDS = {
 OBSERVED_MS = "epoch_ms(TIMESTAMP '1998-01-01 00:00:00')"
 
 
-def with_fixtures(names: list[str], body: str) -> str:
-    """``WITH`` the named fixtures (and what they depend on), then ``body``."""
+def fixtures_prefix(names: list[str]) -> str:
+    """``WITH`` and the named fixtures (and what they depend on) as CTEs;
+    further CTEs can follow after a comma, then the final SELECT."""
     order: list[str] = []
 
     def add(n: str) -> None:
@@ -121,4 +122,10 @@ def with_fixtures(names: list[str], body: str) -> str:
     for n in names:
         add(n)
     ctes = ",\n".join(f"{n} AS ({FIXTURE_SQL[n]}\n)" for n in order)
-    return f"WITH {ctes}\n{body.strip()}"
+    return f"WITH {ctes}"
+
+
+def with_fixtures(names: list[str], body: str) -> str:
+    """``WITH`` the named fixtures, then ``body`` (a SELECT, or more CTEs
+    starting with a comma and then a SELECT)."""
+    return f"{fixtures_prefix(names)}\n{body.strip()}"
