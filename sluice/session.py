@@ -22,6 +22,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of chained scans go when their DataFrames are collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
