@@ -22,6 +22,9 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # no Python call-site capture on every DataFrame/Column call (several py4j
+    # round trips each); it only enriches error messages
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # checkpoint files of chained scans go when their DataFrames are collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

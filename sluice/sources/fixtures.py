@@ -26,9 +26,20 @@ RUNNING_TOPOLOGY = "A"
 FACT_TABLES = {"events", "orders", "part", "lineitem"}
 
 
+# The driver tables are read-only: one DataFrame per (session, table) saves
+# the file listing and footer reads of every rebuild of a query.
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in FACT_TABLES else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        df = spread(df) if name in FACT_TABLES else df
+        _TABLES[key] = df
+    return df
 
 
 def spread(df: DataFrame) -> DataFrame:
