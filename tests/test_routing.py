@@ -83,3 +83,11 @@ def test_parse_host(spark):
     got = [tuple(r.p) for r in df.select(parse_host("s").alias("p")).collect()]
     assert got == [("h", 9092, None), ("h", 9093, None), ("h", 9092, None), (None, None, "invalid port"),
                    (None, None, "invalid host specification"), ("", 7, None)]
+
+
+def test_duplicate_path_rows_do_not_multiply_messages(spark):
+    msgs = spark.createDataFrame([("m1", "p1"), ("m2", "p2")], "id string, sel string")
+    paths = spark.createDataFrame([("p1", "d1"), ("p1", "d1"), ("p2", "d2")], "path string, destination string")
+    dests = spark.createDataFrame([("d1",), ("d1",), ("d2",)], "name string")
+    r = routing.route_two_hop(msgs, F.col("sel"), paths, dests)
+    assert r.count() == 2 and routing.routed(r).count() == 2
