@@ -13,7 +13,11 @@
 * ``route_asof_stream``: J7 in a stream, the registry snapshot carried from
   one micro-batch to the next as a table.
 * ``bridge_stream``: S11 queue-to-queue bridge with expiry.
-* ``prune_stream``: T3 pending prune as a stateful fold per Kafka partition.
+* ``prune_updates``: T3 pending prune as a stateful fold per Kafka partition.
+* ``auto_abort_stream``: D6 with the open items carried as a table and the
+  deadlines evaluated at each micro-batch's event-time high-water mark.
+* ``route_stream(protocol=...)``: also lands that broker's publish records
+  (S6-S10); destinations the protocol refuses route as producer unknown.
 * Progress (T5) is the query checkpoint; admission (S12) is
   ``maxFilesPerTrigger`` / ``maxBytesPerTrigger`` / ``maxOffsetsPerTrigger``;
   the commit cadence (A4) is ``processingTime='2 seconds'``.
