@@ -735,6 +735,23 @@ def q_stream_route_amqp(spark, sf):
     return r.select("message_id", "exchange", "routing_key", F.length("body").cast("long").alias("body_len"))
 
 
+@query("stream_auto_abort", "D6 D7 T5", with_fixtures(["queue_state"], f"""
+, o AS (SELECT * FROM queue_state WHERE state = 'open' AND NOT (price > {CONFIRM_PRICE})),
+  hw AS (SELECT max(opened_at) AS hw FROM o)
+SELECT o.queue, o.seq,
+       CASE WHEN auto_abort_ms = 0 THEN 'confirmed' ELSE 'waiting' END AS new_state,
+       CASE WHEN auto_abort_ms = 0 THEN 0 ELSE o.seq END AS txn_id
+FROM o, hw
+WHERE auto_abort_ms = 0 OR epoch_ms(hw.hw) - epoch_ms(o.opened_at) > auto_abort_ms"""))
+def q_stream_auto_abort(spark, sf):
+    from sluice.streaming import pipelines as sp
+    base = sp.fresh_dir(spark, "stream-abort")
+    orders = sp.table_stream(spark, sf, "orders")
+    opened = fx.queue_items_from(orders).where((F.col("state") == "open") & (F.col("put_at") <= fx.observed_at()))
+    sp.auto_abort_stream(spark, opened, _ids(spark, sf, True), f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out/decided").select("queue", "seq", "new_state", "txn_id")
+
+
 @query("stream_route_asof", "J6 J7 T5", CATALOGUE["route_asof"].sql)
 def q_stream_route_asof(spark, sf):
     from sluice.streaming import pipelines as sp
