@@ -61,7 +61,7 @@ def admission(max_files: int | None = None, max_bytes: str | None = None,
 
 def table_stream(spark: SparkSession, folder: str, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """A file stream over ``<folder>/<name>.parquet`` (the schema of the table)."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").schema
+    schema = fx.table(spark, folder, name).schema
     r = spark.readStream.format("parquet").schema(schema).option("pathGlobFilter", f"{name}.parquet")
     for k, v in (options or {}).items():
         r = r.option(k, v)
