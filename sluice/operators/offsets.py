@@ -77,9 +77,12 @@ def fetch_slice(msgs: DataFrame, starts: DataFrame, fetch_bytes: int = DEFAULT_F
     s = starts.select(F.col("partition").alias("_f_part"), F.col("start_offset").alias("_f_start"))
     m = dim_join(msgs, s, F.col("partition") == F.col("_f_part"), "inner")
     m = m.where(F.col("offset") >= F.col("_f_start")).drop("_f_part", "_f_start").withColumn("_f_size", size)
+    # Sizes are non-negative, so a block whose preceding bytes already exceed
+    # the limit holds no admitted row: it is dropped before the row window.
     scanned = prefix_scan(m, ["partition"], "offset",
                           {"slice_bytes": ("sum", F.col("_f_size")), "_f_n": ("sum", F.lit(1).cast("long"))},
-                          block_size)
+                          block_size,
+                          keep_blocks=lambda off: F.coalesce(off["slice_bytes"], F.lit(0)) <= F.lit(fetch_bytes))
     return (scanned.where((F.col("_f_n") == 1) | (F.col("slice_bytes") <= F.lit(fetch_bytes)))
             .drop("_f_size", "_f_n"))
 

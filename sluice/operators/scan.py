@@ -31,6 +31,8 @@ the associative ones: ``sum``, ``max`` and ``min``.  ``max`` of a
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,7 +89,8 @@ def _key_default(dtype: T.DataType) -> Column:
 def prefix_scan(df: DataFrame, keys: list[str], order: str | list[str],
                 aggs: dict[str, tuple[str, Column]],
                 block_size: int | None = DEFAULT_BLOCK, keep_block: bool = False,
-                exclusive: bool = False) -> DataFrame:
+                exclusive: bool = False,
+                keep_blocks: "Callable[[dict[str, Column]], Column] | None" = None) -> DataFrame:
     """Add one column per ``aggs`` entry: the inclusive (or with ``exclusive``,
     strictly-before) running aggregate of the given expression over rows with
     the same ``keys`` ordered by ``order``.
@@ -98,6 +101,11 @@ def prefix_scan(df: DataFrame, keys: list[str], order: str | list[str],
     group).  With ``keep_block`` the internal key/block columns stay in the
     output; a second scan over the same keys then reuses them -- and the
     partitioning the first scan left behind -- instead of shuffling again.
+    ``keep_blocks`` gets the block offset columns (the aggregate of all
+    earlier blocks, by name; null for a key's first block) and returns a
+    predicate: blocks failing it are dropped before the per-row window -- for
+    a monotone running value this bounds the work by the rows that can still
+    qualify (e.g. a fetch slice of 1 MiB from a huge partition).
     """
     if block_size is None:
         block_size = MAX_BLOCK if BLOCK_COL in df.columns else auto_block_size(df)
@@ -142,6 +150,8 @@ def prefix_scan(df: DataFrame, keys: list[str], order: str | list[str],
     # (3) offsets joined on (key, block): broadcast when AQE sees them small,
     # else a shuffle join on exactly the keys the window below needs, so the
     # rows are shuffled once either way.
+    if keep_blocks is not None:
+        offsets = offsets.where(keep_blocks({name: F.col(f"_scan_off_{name}") for name in aggs}))
     j = d.join(offsets, part, "inner")
 
     # (4) the in-block running value, combined with the block's offset.
