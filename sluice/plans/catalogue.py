@@ -269,7 +269,7 @@ SELECT r.message_id, r.destination, n.exchange, n.routing_key, b.amqp_queue AS b
 FROM r JOIN named n ON r.destination = n.name
 LEFT JOIN (SELECT * FROM named WHERE amqp_queue IS NOT NULL) b
   ON n.exchange = b.exchange AND n.routing_key = b.routing_key
-WHERE r.route_reason IS NULL""").replace("\n,\n, named", "\n, named").replace(",\n  sel AS", ",\n  sel AS"))
+WHERE r.route_reason IS NULL"""))
 def q_direct_exchange(spark, sf):
     dest = naming.destination_names(fx.destinations(spark, sf))
     pub_names = dest.select(F.col("name").alias("_x_name"), F.col("amqp_exchange").alias("exchange"),
@@ -313,7 +313,7 @@ def q_path_state(spark, sf):
 SELECT message_id, path, destination,
        CASE WHEN path IS NULL THEN 'no selection' WHEN destination IS NULL THEN 'path unknown'
             WHEN NOT coalesce(live, false) THEN 'producer unknown' END AS route_reason
-FROM h2""").replace("\n\n, sel AS", ",\n  sel AS").replace("\n, sel AS", ",\n  sel AS"))
+FROM h2"""))
 def q_route_asof(spark, sf):
     # Only the columns the route needs go through the checkpointed first hop.
     m = fx.messages(spark, sf).select("message_id", "event_id", "origin", "key")
@@ -355,7 +355,7 @@ def q_status_gate(spark, sf):
 SELECT task, seq, val,
        round(avg(val) OVER (PARTITION BY task, epoch ORDER BY seq ROWS UNBOUNDED PRECEDING), 6) AS mean_latency
 FROM e WHERE val >= 0
-QUALIFY true""").replace("\n, w AS", ",\n  w AS").replace("QUALIFY true", ""))
+"""))
 def q_running_latency(spark, sf):
     r = latency.running_latency(fx.latencies(spark, sf))
     return r.withColumn("mean_latency", F.round("mean_latency", 6))
@@ -447,7 +447,7 @@ def _start_sql(force: bool) -> str:
 SELECT partition_id, branch, committed,
        (start - committed > {MAX_BEHIND} OR committed <= 0) AS reset,
        CASE WHEN start - committed > {MAX_BEHIND} OR committed <= 0 THEN start ELSE committed END AS start_offset
-FROM b""").replace("\n, b AS", ",\n  b AS")
+FROM b""")
 
 
 @query("start_offset_plan", "D1", _start_sql(False))
@@ -580,7 +580,7 @@ def _info_sql(where: str, known: str) -> str:
        FROM s GROUP BY queue)
 SELECT k.queue, coalesce(i.items, 0) AS items, coalesce(i.bytes, 0) AS bytes, i.age_ms,
        coalesce(i.open_transactions, 0) AS open_transactions, i.head_item
-FROM ({known}) k LEFT JOIN i ON k.queue = i.queue""").replace("\n, s AS", ",\n  s AS")
+FROM ({known}) k LEFT JOIN i ON k.queue = i.queue""")
 
 
 _FLUSH_LIST = ", ".join(f"'{q}'" for q in FLUSHED)
