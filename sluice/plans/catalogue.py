@@ -752,6 +752,23 @@ def q_stream_auto_abort(spark, sf):
     return spark.read.parquet(f"{base}/out/decided").select("queue", "seq", "new_state", "txn_id")
 
 
+@query("stream_route_kestrel", "S5 S10 J2 T5", _decode_sql("""
+, sel AS (SELECT message_id, value_text, CASE WHEN origin = 'error' THEN NULL
+                                  ELSE 'd' || CAST(user_id % 30 AS VARCHAR) END AS dest FROM messages)
+SELECT sel.message_id, sel.dest AS queue, CAST(strlen(sel.value_text) AS BIGINT) AS data_len,
+       CAST(30000 AS BIGINT) AS expiration_ms
+FROM sel JOIN d ON sel.message_id = d.message_id
+WHERE d.dead_reason IS NULL AND sel.dest IN (SELECT 'd' || CAST(n_nationkey AS VARCHAR) FROM nation)"""))
+def q_stream_route_kestrel(spark, sf):
+    from sluice.streaming import pipelines as sp
+    base = sp.fresh_dir(spark, "stream-kestrel")
+    ev = sp.table_stream(spark, sf, "events")
+    sp.route_stream(spark, ev, fx.paths(spark), fx.destinations(spark, sf), f"{base}/out", f"{base}/ckpt",
+                    protocol="kestrel")
+    r = spark.read.parquet(f"{base}/out/kestrel")
+    return r.select("message_id", "queue", F.length("data").cast("long").alias("data_len"), "expiration_ms")
+
+
 @query("stream_route_asof", "J6 J7 T5", CATALOGUE["route_asof"].sql)
 def q_stream_route_asof(spark, sf):
     from sluice.streaming import pipelines as sp

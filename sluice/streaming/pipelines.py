@@ -80,11 +80,26 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 # ------------------------------------------------------------------ routing
 
-def labelled_routes(msgs: DataFrame, paths: DataFrame, destinations: DataFrame) -> DataFrame:
-    """Decode + two-hop route of ENVELOPE rows, with an ``output`` label."""
+ONE_HOP = ("jms", "mqtt", "kestrel")      # sinks whose selector names the destination (J2)
+
+
+def one_hop_selector(user_id_text: F.Column, origin: F.Column) -> F.Column:
+    """The fixture's one-hop selector: destination d<user_id % 30>, none for errors."""
+    return F.when(origin == "error", F.lit(None).cast("string")).otherwise(
+        F.concat(F.lit("d"), (user_id_text.cast("long") % 30).cast("string")))
+
+
+def labelled_routes(msgs: DataFrame, paths: DataFrame, destinations: DataFrame,
+                    one_hop: bool = False) -> DataFrame:
+    """Decode + route (two hops, or one with ``one_hop``) of ENVELOPE rows,
+    with an ``output`` label."""
     d = decode.decode(msgs, BODY)
-    sel = fx.selector_path(bytes_text("key"), F.col("origin"))
-    r = routing.route_two_hop(d, sel, paths, destinations)
+    if one_hop:
+        r = routing.route_one_hop(d, one_hop_selector(bytes_text("key"), F.col("origin")), destinations)
+        r = r.withColumn("path", F.lit(None).cast("string"))
+    else:
+        sel = fx.selector_path(bytes_text("key"), F.col("origin"))
+        r = routing.route_two_hop(d, sel, paths, destinations)
     out = (F.when(F.col("dead_reason").isNotNull(), F.lit("dead"))
            .when(F.col("route_reason").isNotNull(), F.lit("unroutable"))
            .otherwise(F.lit("good")))
@@ -125,12 +140,13 @@ def sink_records(protocol: str, good: DataFrame, destinations: DataFrame) -> Dat
 def route_stream(spark: SparkSession, events: DataFrame, paths: DataFrame, destinations: DataFrame,
                  base: str, checkpoint: str, protocol: str | None = None) -> StreamingQuery:
     """Route a message stream; with ``protocol`` also land that broker's
-    publish records of the good rows (``<base>/<protocol>/batch=<id>``)."""
+    publish records of the good rows (``<base>/<protocol>/batch=<id>``).
+    JMS, MQTT and Kestrel route in one hop (J2), Kafka and AMQP in two (J1)."""
     msgs = fx.messages_from(events)
     live = publishable(destinations, protocol)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        routes = labelled_routes(batch, paths, live)
+        routes = labelled_routes(batch, paths, live, one_hop=protocol in ONE_HOP)
         outputs = {"routes": routes}
         parts = {"routes": ["output"]}
         if protocol:
