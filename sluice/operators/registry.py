@@ -85,11 +85,10 @@ def as_of(facts: DataFrame, fact_key: str, fact_seq: str,
         (F.col(fact_seq) * 2 + 1).alias(order),
         F.lit(True).alias(tag),
         F.lit(None).cast(value_type).alias(val))
-    both = f.where(F.col("_asof_key").isNotNull()).unionByName(c.where(F.col("_asof_key").isNotNull()))
+    # Facts with a null key form their own group, which holds no change (null
+    # change keys are dropped), so they come out with a null value -- in the
+    # same pass, without reading the facts again.
+    both = f.unionByName(c.where(F.col("_asof_key").isNotNull()))
     scanned = prefix_scan(both, ["_asof_key"], order, {"_asof_last": ("max", F.col(val))}, block_size)
-    matched = (scanned.where(F.col(tag))
-               .select(*[F.col(x) for x in fact_cols], F.col("_asof_last.v").alias(out)))
-    unkeyed = (facts.where(F.col(fact_key).isNull())
-               .select(*[F.col(x) for x in fact_cols],
-                       F.lit(None).cast(value_type["v"].dataType).alias(out)))
-    return matched.unionByName(unkeyed)
+    return (scanned.where(F.col(tag))
+            .select(*[F.col(x) for x in fact_cols], F.col("_asof_last.v").alias(out)))
