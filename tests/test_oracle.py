@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from sluice.plans import catalogue
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, rows_of
 
@@ -17,16 +18,16 @@ def con():
 
 
 def test_every_query_has_sql_or_is_declared_rows_only():
-    q, s = entry.queries(), entry.oracle_sql()
-    assert set(s) <= set(q)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    q, s = catalogue.queries(), catalogue.oracle_sql()
     assert set(q) - set(s) == {"pending_prune", "stream_pending_prune"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
 def test_matches_duckdb(spark, con, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = catalogue.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    res = con.execute(entry.oracle_sql()[name])
+    res = con.execute(catalogue.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
