@@ -1,17 +1,81 @@
-"""Corpus pipeline: stages of (spark, docs, sf_dir) -> docs, each written and read again by ``run``."""
+"""Corpus pipeline: toxicity filter, near-duplicate removal, benchmark decontamination, mixing, token files.
+
+A stage is (spark, docs, sf_dir) -> DataFrame; ``run`` writes what each returns as Parquet in the shared folder
+and reads it again as the next one's docs.  All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sluice.llm import bitplane, curriculum, pigeonhole_join, queries, string_tiling, toxicity_grammar
+from sluice.llm.common import scratch, table, written
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+TOXIC = 0.3
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text scores ``TOXIC`` or more go; the model is learned from the labelled rows."""
+    docs = docs.select(*COLUMNS)
+    model = toxicity_grammar.learn(docs, queries.training_labels(spark, sf_dir))
+    return toxicity_grammar.score(docs, model).where(F.col("score") < TOXIC).drop("score")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of the documents that five-word shingles and a Jaccard similarity of 0.8 link, the one with the smallest id
+    stays.  Texts without words are nobody's copies and stay; so do documents without an id, if no document with an
+    id is in their group: then the one row the join lists first by hash."""
+    docs = docs.select(*COLUMNS)
+    groups = pigeonhole_join.jaccard_join(docs, n=5, p=80)
+    kept = groups.where((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    kept = written(kept.select(F.col("doc_id").alias("__id")), "kept")
+    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]), "left_semi")
+    return out.dropDuplicates(["doc_id", "text"])  # repeated rows are copies
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose tiles cover half of a benchmark item's words go."""
+    docs = docs.select(*COLUMNS)
+    leaks = string_tiling.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__id")).distinct()
+    leaks = written(leaks, "leaks")
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["__id"]), "left_anti")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them (none to three times); those it leaves out go."""
+    docs = docs.select(*COLUMNS)
+    mixed = curriculum.curriculum(docs)
+    times = written(mixed.where(F.size("times") > 0).groupBy("doc_id", "size").agg(F.max(F.size("times")).alias("copies")), "times")
+    sized = docs.withColumn("__size", curriculum.n_words(F.col("text")))
+    taken = sized.join(times.select(F.col("doc_id").alias("__id"), "size", "copies"), sized["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("size")))
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the texts, read back: (doc_id, start, n_tokens, ids_crc32) of every document."""
+    path = scratch(spark, "pipeline-tokens")
+    bitplane.write_tokens(docs, path, queries.tokenizer_path())
+    return bitplane.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
 
-from sluice.llm.common import table, written
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("token_files", token_files),
+]
 
-STAGES: list = []
+#: The learned scores, the greedy tiling and the tokenizer are beyond SQL; the tests use a brute-force version.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = written(stage(spark, docs, sf_dir), os.path.join("pipeline", name))
     return docs

@@ -8,8 +8,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import curriculum, hyper_shuffle, nra_topk, pii_spans, site_lines
-from sluice.llm.common import table
+from sluice.llm import (
+    automaton_dedup,
+    bitplane,
+    curriculum,
+    hyper_shuffle,
+    nra_topk,
+    pigeonhole_join,
+    pii_spans,
+    site_lines,
+    string_tiling,
+    toxicity_grammar,
+)
+from sluice.llm.common import scratch, table
+
+
+def held_out():
+    """Rows from which no label is learned."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+
+
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").where(~held_out())
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_grammar.learn(docs, training_labels(spark, sf_dir))
+    scored = toxicity_grammar.score(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op2_nra_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +55,17 @@ def op3_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("times")).cast("long").alias("taken"))
 
 
+def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = string_tiling.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item_words", "n_covered", "coverage", F.size("tiles").alias("n_tiles"))
+
+
+def op5_bitplane(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    bitplane.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return bitplane.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_hyper_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     dealt = hyper_shuffle.hyper_shuffle(table(spark, sf_dir, "documents"), (F.octet_length(text) + 1).cast("long"), F.crc32(text.cast("binary")))
@@ -29,6 +73,11 @@ def op6_hyper_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_pigeonhole_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = pigeonhole_join.jaccard_join(table(spark, sf_dir, "documents"), n=3, p=90)
+    return joined.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_spans.pii_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("pii", lambda s: s["rank"] < len(pii_spans.BASE))
@@ -42,6 +91,11 @@ def _count(kind: str):
     return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long")
 
 
+def op9_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = automaton_dedup.substring_dedup(table(spark, sf_dir, "documents"), length=35, digest=True)
+    return kept.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
 def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", site_lines.host_of(F.col("url")).alias("host"), site_lines.html_lines(F.col("html")).alias("lines"))
     out = site_lines.drop_site_boilerplate(pages, "host", "lines")
@@ -49,7 +103,8 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
-    op2_nra_topk, op3_curriculum, op6_hyper_shuffle, op8_pii_spans, op10_site_lines,
+    op1_toxicity_grammar, op2_nra_topk, op3_curriculum, op4_string_tiling, op5_bitplane,
+    op6_hyper_shuffle, op7_pigeonhole_join, op8_pii_spans, op9_automaton_dedup, op10_site_lines,
 ]
 
 
