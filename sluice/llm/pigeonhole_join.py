@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import mix64, text_slices, words_of, written
 from sluice.llm.components import components
 
-#: Growth of size bands; a band's bound H is that of its largest size.
+#: Least growth of size bands; a band's bound H is that of its largest size.
 BAND = 1.3
 #: Cost of a weak signature in signatures written.
 WEAK = 4.0
@@ -42,14 +42,18 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
 @lru_cache(maxsize=None)
-def band_top(band: int) -> int:
-    return 8 if band < 0 else max(band_top(band - 1) + 1, int(band_top(band - 1) * BAND))
+def band_top(band: int, p: int) -> int:
+    """Largest size of a band; a set similar to one of a band is in that band or the next."""
+    if band < 0:
+        return 8
+    below = band_top(band - 1, p)
+    return max(below + 1, below * 100 // p, int(below * BAND))
 
 
 @lru_cache(maxsize=1 << 16)
-def band_of(size: int) -> int:
+def band_of(size: int, p: int) -> int:
     b = 0
-    while band_top(b) < size:
+    while band_top(b, p) < size:
         b += 1
     return b
 
@@ -66,14 +70,14 @@ def _poisson(lam: float, k: int) -> float:
 @lru_cache(maxsize=None)
 def scheme(band: int, p: int) -> tuple[int, int, int]:
     """(segments, how many of them, the first ones, tolerate a difference, slack) of a size band."""
-    size, need, best = band_top(band), most_differences(band_top(band), p) + 1, None
+    size, need, best = band_top(band, p), most_differences(band_top(band, p), p) + 1, None
     for tenth in range(0, 11, 2):
         for m in range(1, need + need // 2 + 8):
             ones = round(m * tenth / 10)
             slack = m + ones - need
             if slack < 0:
                 continue
-            lam = size / BAND**0.5 / m
+            lam = (size * max(band_top(band - 1, p), 1)) ** 0.5 / m
             few = [_poisson(lam, k) for k in range(3)]
             poor = (m - ones) * (few[0] + few[1]) + 2 * ones * sum(few)
             if slack < poor + 3 * math.sqrt(poor):
@@ -111,11 +115,11 @@ def signatures(s: np.ndarray, p: int) -> np.ndarray:
     """Signatures of a set under the scheme of its band and, if it can be similar to a set of the band below,
     under that band's."""
     n = len(s)
-    if (n - 1) * 100 < p * n:  # similar to itself only
+    if n * 100 < p * (n + 1):  # similar to itself only
         return np.zeros(0, np.int64)
-    own = band_of(n)
+    own = band_of(n, p)
     out = [_signed(s, own, p)]
-    if own and band_top(own - 1) * 100 >= p * n:
+    if own and band_top(own - 1, p) * 100 >= p * n:
         out.append(_signed(s, own - 1, p))
     return np.unique(np.concatenate(out))
 
@@ -251,7 +255,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     large = F.greatest(F.ceil(F.col("g") / block), F.ceil(F.col("w") / block_elements)) > 1
     totals = per.agg(F.sum("w").alias("w"), F.sum("g").alias("g")).first()
     bins = max(1, int((totals["g"] or 0) // block), int((totals["w"] or 0) // block_elements))
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / p)).cast("long")  # similar sizes are at most one apart
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / p) + 1e-9).cast("long")  # similar sizes are at most one apart
     held = written(held.join(per.select("root", large.alias("large")), "root").withColumn("band", band), "dealt")
     units = held.where("large").groupBy("root", "band").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / block_elements)).cast("int").alias("blocks"))
     units = written(units, "units")
