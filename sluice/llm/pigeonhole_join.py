@@ -230,7 +230,8 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     # candidates: a set is its first key here; that two sets could share it only adds candidates
     posts = full.select("k1", F.explode("sig").alias("sig"))
     buckets = written(posts.groupBy("sig").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo < hi"), "buckets")
-    ties = posts.join(buckets, "sig").where("k1 > lo").select("k1", "lo").distinct()
+    # by sorting at any size: the share of signatures in buckets grows with the corpus, a broadcast would not last
+    ties = posts.join(buckets.hint("merge"), "sig").where("k1 > lo").select("k1", "lo").distinct()
     roots = components(ties, "k1", "lo")
 
     members = sets.join(roots, sets["k1"] == roots["node"]).select("v", "k1", "k2", "copies", "n", "rep", "root")
