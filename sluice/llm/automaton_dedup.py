@@ -23,6 +23,7 @@ Texts are shuffled once, to a table bucketed by their hash (compressed); all lat
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -157,10 +158,17 @@ def spans_of(gone: np.ndarray) -> list[dict]:
     return [{"start": int(s), "end": int(e)} for s, e in edge.reshape(-1, 2)]
 
 
-def _words(raw: pa.Array) -> Iterator[Words]:
-    press = zstandard.ZstdDecompressor()
-    for z in raw.to_pylist():
-        yield words_of(pa.array([press.decompress(z)], pa.binary()))
+def _texts(raw: pa.Array, most: int = 4 << 20) -> Iterator[tuple[list[bytes], Words]]:
+    """The texts, unpacked some megabytes at a time, and their words."""
+    press, held, size = zstandard.ZstdDecompressor(), [], 0
+    for z in raw:
+        held.append(press.decompress(z.as_buffer()))
+        size += len(held[-1])
+        if size >= most:
+            yield held, words_of(pa.array(held, pa.large_binary()))
+            held, size = [], 0
+    if held:
+        yield held, words_of(pa.array(held, pa.large_binary()))
 
 
 def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 35, k: int = 8, most_pieces: int = 256,
@@ -195,7 +203,7 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [pieces_of(w.hashes, length, k)[0].view(np.int64) for w in _words(batch.column("z"))]
+            made = [pieces_of(w.hashes[lo:hi], length, k)[0].view(np.int64) for _, w in _texts(batch.column("z")) for lo, hi in zip(w.ptr[:-1], w.ptr[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("h1"), pa.array(made, pa.list_(pa.int64()))], names=["h1", "ms"])
 
     seen = written(texts.select("h1", "z").mapInArrow(minimizers, "h1 long, ms array<long>"), "minimizers").select("h1", F.explode("ms").alias("m"))
@@ -204,28 +212,27 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: dict[str, list] = {c: [] for c in ("h1", "h2", "m", "start", "n", "piece")}
-            for h1, h2, ms, w in zip(batch.column("h1").to_pylist(), batch.column("h2").to_pylist(), batch.column("ms"), _words(batch.column("z")), strict=True):
-                m, start, count = pieces_of(w.hashes, length, k)
-                m = m.view(np.int64)
-                for i in np.flatnonzero(np.isin(m, ms.values.to_numpy())).tolist():
-                    s, c = int(start[i]), int(count[i])
-                    for col, x in zip(rows.values(), (h1, h2, int(m[i]), s, c, w.joined(np.arange(s, s + c + length - 1))), strict=True):
-                        col.append(x)
-                if len(rows["piece"]) >= 4096:
-                    yield pa.RecordBatch.from_pydict(rows, schema=_PIECE)
-                    rows = {c: [] for c in rows}
-            yield pa.RecordBatch.from_pydict(rows, schema=_PIECE)
-
-    # copies of a text are removed whole; here one of them stands for all
-    cuts = texts.join(routed, "h1").select("h1", "h2", "ms", "z").mapInArrow(cut, "h1 long, h2 long, m long, start long, n int, piece binary")
+            keys = zip(batch.column("h1").to_pylist(), batch.column("h2").to_pylist(), batch.column("copies").to_pylist(), batch.column("ms"), strict=True)
+            for texts, w in _texts(batch.column("z")):
+                rows: dict[str, list] = {c: [] for c in _PIECE.names}
+                for text, lo, hi, (h1, h2, copies, ms) in zip(texts, w.ptr[:-1], w.ptr[1:], keys):
+                    m, start, count = pieces_of(w.hashes[lo:hi], length, k)
+                    m, words = m.view(np.int64), text.split()  # bytes split at the same characters
+                    for i in np.flatnonzero(np.isin(m, ms.values.to_numpy())).tolist():
+                        s, c = int(start[i]), int(count[i])
+                        for col, x in zip(rows.values(), (h1, h2, copies, int(m[i]), s, c, b" ".join(words[s:s + c + length - 1])), strict=True):
+                            col.append(x)
+                yield pa.RecordBatch.from_pydict(rows, schema=_PIECE)
+
+    # a text that has copies is removed whole; here one of them stands for all
+    cuts = texts.join(routed, "h1").select("h1", "h2", "copies", "ms", "z").mapInArrow(cut, "h1 long, h2 long, copies long, m long, start long, n int, piece binary")
     cuts = written(cuts.withColumn("ph", F.xxhash64("piece")), "pieces")
-    pieces = cuts.join(texts.select("h1", "h2", "copies").where("copies > 1"), ["h1", "h2"], "left")
-    pieces = pieces.groupBy("m", "ph", "piece").agg(F.sum(F.coalesce("copies", F.lit(1))).alias("times"))
-    pieces = written(pieces, "references")
+    pieces = written(cuts.groupBy("m", "ph").agg(F.sum("copies").alias("times")), "references")
     groups = pieces.groupBy("m").agg(F.count("*").alias("pieces"), F.count_if(F.col("times") == 1).alias("single"))
     groups = written(groups.where("pieces > 1 and single > 0"), "groups")
-    open_ = pieces.join(groups.select("m", (F.col("pieces") > most_pieces).alias("hot")), "m")
+    wanted = written(pieces.join(groups.select("m", (F.col("pieces") > most_pieces).alias("hot")), "m"), "wanted")
+    open_ = cuts.select("m", "ph", "piece").join(wanted, ["m", "ph"]).groupBy("m", "ph", "times", "hot").agg(F.first("piece").alias("piece"))
+    open_ = written(open_, "open")
 
     # reference shards
     total = groups.where(F.col("pieces") <= most_pieces).agg(F.sum("pieces")).first()[0] or 0
@@ -263,22 +270,23 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     often = pieces.where("times > 1").select("m", "ph", F.lit(-1).cast("long").alias("mask"))
     masks = matched.unionByName(hot).unionByName(often).where("mask <> 0").groupBy("m", "ph").agg(F.bit_or("mask").alias("mask"))
     masks = written(masks, "masks")
-    marks = cuts.select("h1", "h2", "m", "ph", "start", "n").join(masks, ["m", "ph"]).groupBy("h1", "h2").agg(F.collect_list(F.struct("start", "n", "mask")).alias("marks"))
-    judged = texts.join(marks, ["h1", "h2"], "left").select("h1", "h2", "z", "copies", "marks")
+    marks = cuts.select("h1", "h2", "m", "ph", "start", "n").join(masks, ["m", "ph"]).groupBy("h1").agg(F.collect_list(F.struct("h2", "start", "n", "mask")).alias("marks"))
+    judged = texts.join(marks, "h1", "left")  # in place: the table is bucketed by h1.select("h1", "h2", "z", "copies", "marks")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("n_words", "spans", "n_removed", "kept")}
-            for copies, marks, w in zip(batch.column("copies").to_pylist(), batch.column("marks").to_pylist(), _words(batch.column("z")), strict=True):
-                size = len(w.hashes)
+            for h2, copies, marks, z in zip(batch.column("h2").to_pylist(), batch.column("copies").to_pylist(), batch.column("marks").to_pylist(), batch.column("z"), strict=True):
+                words = zstandard.decompress(z.as_buffer()).split()
+                size = len(words)
                 if size < length:
                     gone = np.zeros(size, bool)
                 elif copies > 1:
                     gone = np.ones(size, bool)
                 else:
-                    starts = [x["start"] + i for x in marks or () for i in range(x["n"]) if x["mask"] >> i & 1]
+                    starts = [x["start"] + i for x in marks or () if x["h2"] == h2 for i in range(x["n"]) if x["mask"] >> i & 1]
                     gone = covered(size, np.array(starts, np.int64), length)
-                kept = w.joined(np.flatnonzero(~gone))
+                kept = b" ".join(itertools.compress(words, (~gone).tolist()))
                 for col, x in zip(out.values(), (size, spans_of(gone), int(gone.sum()), hashlib.sha256(kept).hexdigest() if digest else kept.decode()), strict=True):
                     col.append(x)
             yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), *(pa.array(v, t) for v, t in zip(out.values(), _RESULT, strict=True))],
@@ -289,5 +297,5 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return hashed.select("doc_id", "h1", "h2").join(result, ["h1", "h2"]).select("doc_id", "n_words", "spans", "n_removed", "kept")
 
 
-_PIECE = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("m", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("piece", pa.binary())])
+_PIECE = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("copies", pa.int64()), ("m", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("piece", pa.binary())])
 _RESULT = (pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.int64(), pa.string())

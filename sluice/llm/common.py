@@ -69,11 +69,6 @@ class Words(NamedTuple):
     end: np.ndarray
     data: np.ndarray
 
-    def joined(self, keep: np.ndarray) -> bytes:
-        """The words with these indexes, one space between them."""
-        raw = self.data
-        return b" ".join([raw[s:e].tobytes() for s, e in zip(self.start[keep], self.end[keep], strict=True)])
-
 
 def words_of(texts: pa.Array, lower: bool = False) -> Words:
     """Words and their 64-bit hashes; nulls count as empty.  ``lower`` lowers A-Z."""
