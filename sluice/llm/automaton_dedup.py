@@ -192,23 +192,23 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             made = [press.compress(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), pa.array(made, pa.binary())], names=["h1", "h2", "z"])
 
-    # one row a different text, bucketed by hash
+    # one row a different text, bucketed by hash; copies meet in the map tasks first
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    unique = hashed.select("h1", "h2", "text").mapInArrow(packed, "h1 long, h2 long, z binary").repartition(n, "h1")
+    unique = hashed.select("h1", "h2", "text").mapInArrow(packed, "h1 long, h2 long, z binary")
     unique = unique.groupBy("h1", "h2").agg(F.first("z").alias("z"), F.count("*").alias("copies"))
     path = scratch(spark, "texts")
     name = "texts_" + path.rpartition("-")[2]
-    unique.write.bucketBy(n, "h1").option("path", path).option("compression", "uncompressed").saveAsTable(name)
+    unique.write.bucketBy(n, "h1", "h2").option("path", path).option("compression", "uncompressed").saveAsTable(name)
     texts = spark.table(name)
 
     def minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [pieces_of(w.hashes[lo:hi], length, k)[0].view(np.int64) for _, w in _texts(batch.column("z")) for lo, hi in zip(w.ptr[:-1], w.ptr[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("h1"), pa.array(made, pa.list_(pa.int64()))], names=["h1", "ms"])
+            yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), pa.array(made, pa.list_(pa.int64()))], names=["h1", "h2", "ms"])
 
-    seen = written(texts.select("h1", "z").mapInArrow(minimizers, "h1 long, ms array<long>"), "minimizers").select("h1", F.explode("ms").alias("m"))
+    seen = written(texts.select("h1", "h2", "z").mapInArrow(minimizers, "h1 long, h2 long, ms array<long>"), "minimizers").select("h1", "h2", F.explode("ms").alias("m"))
     twice = written(seen.groupBy("m").count().where("count > 1").select("m"), "repeated")
-    routed = seen.join(twice, "m").groupBy("h1").agg(F.collect_set("m").alias("ms"))
+    routed = seen.join(twice, "m").groupBy("h1", "h2").agg(F.collect_set("m").alias("ms"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,7 +225,7 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 yield pa.RecordBatch.from_pydict(rows, schema=_PIECE)
 
     # a text that has copies is removed whole; here one of them stands for all
-    cuts = texts.join(routed, "h1").select("h1", "h2", "copies", "ms", "z").mapInArrow(cut, "h1 long, h2 long, copies long, m long, start long, n int, piece binary")
+    cuts = texts.join(routed, ["h1", "h2"]).select("h1", "h2", "copies", "ms", "z").mapInArrow(cut, "h1 long, h2 long, copies long, m long, start long, n int, piece binary")
     cuts = written(cuts.withColumn("ph", F.xxhash64("piece")), "pieces")
     pieces = written(cuts.groupBy("m", "ph").agg(F.sum("copies").alias("times")), "references")
     groups = pieces.groupBy("m").agg(F.count("*").alias("pieces"), F.count_if(F.col("times") == 1).alias("single"))
@@ -270,13 +270,13 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     often = pieces.where("times > 1").select("m", "ph", F.lit(-1).cast("long").alias("mask"))
     masks = matched.unionByName(hot).unionByName(often).where("mask <> 0").groupBy("m", "ph").agg(F.bit_or("mask").alias("mask"))
     masks = written(masks, "masks")
-    marks = cuts.select("h1", "h2", "m", "ph", "start", "n").join(masks, ["m", "ph"]).groupBy("h1").agg(F.collect_list(F.struct("h2", "start", "n", "mask")).alias("marks"))
-    judged = texts.join(marks, "h1", "left")  # in place: the table is bucketed by h1.select("h1", "h2", "z", "copies", "marks")
+    marks = cuts.select("h1", "h2", "m", "ph", "start", "n").join(masks, ["m", "ph"]).groupBy("h1", "h2").agg(F.collect_list(F.struct("start", "n", "mask")).alias("marks"))
+    judged = texts.join(marks, ["h1", "h2"], "left").select("h1", "h2", "z", "copies", "marks")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("n_words", "spans", "n_removed", "kept")}
-            for h2, copies, marks, z in zip(batch.column("h2").to_pylist(), batch.column("copies").to_pylist(), batch.column("marks").to_pylist(), batch.column("z"), strict=True):
+            for copies, marks, z in zip(batch.column("copies").to_pylist(), batch.column("marks").to_pylist(), batch.column("z"), strict=True):
                 words = zstandard.decompress(z.as_buffer()).split()
                 size = len(words)
                 if size < length:
@@ -284,7 +284,7 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 elif copies > 1:
                     gone = np.ones(size, bool)
                 else:
-                    starts = [x["start"] + i for x in marks or () if x["h2"] == h2 for i in range(x["n"]) if x["mask"] >> i & 1]
+                    starts = [x["start"] + i for x in marks or () for i in range(x["n"]) if x["mask"] >> i & 1]
                     gone = covered(size, np.array(starts, np.int64), length)
                 kept = b" ".join(itertools.compress(words, (~gone).tolist()))
                 for col, x in zip(out.values(), (size, spans_of(gone), int(gone.sum()), hashlib.sha256(kept).hexdigest() if digest else kept.decode()), strict=True):
