@@ -15,6 +15,8 @@ number of ids of earlier parts (a table of one row a part) plus its place in its
 
 from __future__ import annotations
 
+import struct
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +32,8 @@ BLOCK = 1 << 16
 SEGMENT = 1 << 18
 SCHEMA = ("part int, segment long, start_in_part long, n_ids long, planes string, doc_ids array<long>, "
           "doc_sizes array<long>, block_sizes array<int>, plane_bytes array<array<int>>, data binary")
-#: The words of a batch that a worker remembers.
-_MEMORY = 400_000
+#: Words of one generation that a worker remembers.
+_MEMORY = 500_000
 
 
 def to_planes(ids: np.ndarray, planes: str = "byte") -> list[bytes]:
@@ -75,27 +77,87 @@ def unpack(sizes: list[int], widths: list[list[int]], data: bytes, planes: str)
     return np.concatenate(out) if out else np.zeros(0, dtype="<u4")
 
 
+class _Known(dict):
+    """Words to their ids as bytes; a missing word is encoded.  Two generations bound the memory: when one is full,
+    words that are used again move from it to the next."""
+
+    def __init__(self, encode, most: int):
+        self.encode, self.most, self.old = encode, most, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
+        return ids
+
+    def age(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+
 class WordEncoder:
-    """Ids of whole texts by a tokenizer whose tokens never cross ASCII white space and that drops it: each
-    different word is encoded once and remembered, which gives the ids of the whole text."""
+    """Ids of whole texts by a tokenizer that lowers its input, drops white space and lets no token cross it or the
+    border of a letter and a mark: a text is cut there, and each different piece is encoded once and remembered.
+    A piece of lower-case letters alone goes to the tokenizer's model directly, as its steps before the model only
+    spell its bytes as characters."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.known = _Known(self.one, _MEMORY)
+
+    def one(self, word: bytes) -> bytes:
+        text = word.decode()
+        if text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text):
+            ids = [t.id for t in self.model.tokenize(text if text.isascii() else word.decode("latin-1").translate(_SPELLED))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, given and returned as bytes."""
-        if len(self.known) > _MEMORY:
-            self.known.clear()
-        split = [(t or b"").split() for t in texts]  # bytes split at ASCII white space only
-        new = list(set().union(*split) - self.known.keys())
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            made = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            self.known.update(zip(part, [np.array(e.ids, dtype="<u4").tobytes() for e in made], strict=True))
-        look = self.known.__getitem__
-        return [b"".join(map(look, words)) for words in split]
+        if not texts:
+            return []
+        self.known.age()
+        data = _LOWERED[np.frombuffer(b"\n".join([t or b"" for t in texts]) + b"\n", np.uint8)]
+        # a mark between a letter and white space stands alone
+        alone = np.flatnonzero(_MARK[data[1:-1]] & _LETTER[data[:-2]] & _SPACE[data[2:]]) + 1
+        ends = np.cumsum([len(t or b"") + 1 for t in texts])
+        ends += np.searchsorted(alone, ends)
+        data = np.insert(data, alone, 32)
+        inside = ~_SPACE[data]
+        first = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+        count = np.searchsorted(first, ends) + int(inside[0])
+        words = data.tobytes().split()  # bytes split at ASCII white space
+        look, at, out = self.known.__getitem__, 0, []
+        for n in count.tolist():
+            out.append(b"".join(map(look, words[at:n])))
+            at = n
+        return out
+
+
+def _table(members: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(members)] = True
+    return out
+
+
+_SPACE, _MARK, _LETTER = _table(b" \t\n\v\f\r"), _table(b".,;:!?"), _table(bytes(range(97, 123)))
+_LOWERED = np.arange(256, dtype=np.uint8)
+_LOWERED[65:91] += 32
+
+
+def _spelled() -> dict[int, int]:
+    """The characters by which byte-level tokenizers spell bytes: printable ones themselves, the others from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(others)}
+
+
+_SPELLED = _spelled()
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2,

@@ -414,3 +414,15 @@ def test_site_lines(spark):
     assert site_lines.drop_site_boilerplate(df.where("false"), "host", "lines").count() == 0
     html = spark.createDataFrame([("<p>a <b>b</b></p><script>x</script><br/>c<!-- d --> <DIV>e</DIV>",), (None,), ("",)], "html string")
     assert [r[0] for r in html.select(site_lines.html_lines(F.col("html"))).collect()] == [["a b", "c", "e"], [], []]
+
+
+# -- 5, once more: the encoder is the tokenizer
+
+@given(st.lists(st.text(alphabet="aAbBzéÉñß'’.,;:!?-—12①ΣςİḰ \x1c\x85\t\n<|>_sSlL中👍", max_size=40), max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_encoder_gives_the_ids_of_whole_texts(texts):
+    made = _ENCODER.encode([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in made] == [_ENCODER.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+_ENCODER = bitplane.WordEncoder(tokenizer_path())
