@@ -108,7 +108,8 @@ def curriculum(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
         t = _times(knots)
         times = F.when(F.col("weight") == weight, t) if times is None else times.when(F.col("weight") == weight, t)
     out = line.withColumn("middles", middles).withColumn("times", times)
-    out = out.select("doc_id", "n", "source", "size", "source_size", "target", "times")
+    # placed once: range-sorting reads its input twice, for the bounds and for the rows
+    out = written(out.select("doc_id", "n", "source", "size", "source_size", "target", "times"), "placed")
     return out.repartitionByRange(F.get("times", F.lit(0)).asc_nulls_last(), "doc_id", "n").sortWithinPartitions(F.get("times", F.lit(0)).asc_nulls_last(), "doc_id", "n")
 
 
