@@ -5,12 +5,14 @@
 ``dead_reason``: null for good rows, else
 
 * ``empty``        -- null or zero-length body,
-* ``undecodable``  -- not parseable (null struct or corrupt record set),
+* ``undecodable``  -- not UTF-8, not parseable (null struct or corrupt record
+  set), or more than one JSON document,
 * ``empty_tuple``  -- parsed, but every declared field is null.
 
 ``good`` and ``dead_letters`` are filters of the same labelled frame, so
 ``good + dead = input`` holds by construction.  In a stream both are written
-from one ``foreachBatch`` (``sluice.streaming.route``).
+from one ``foreachBatch`` (``sluice.streaming.pipelines.route_stream``).  A
+body of any bytes gets a label; none fails the job.
 
 A custom body format plugs in as any Column expression producing a struct
 (``decoder=``), e.g. a ``pandas_udf`` for a binary codec; the labelling is the
@@ -50,7 +52,7 @@ def decode(df: DataFrame, schema: T.StructType, value_col: str = "value",
            decoder: Callable[[Column], Column] | None = None,
            output: str = "decoded") -> DataFrame:
     """Add ``output`` (struct of ``schema``) and ``dead_reason``."""
-    body = F.decode(F.col(value_col), "UTF-8")
+    body = F.try_validate_utf8(F.col(value_col).cast("string"))
     dec = decoder or _json_decoder(schema)
     raw = F.col(value_col)
 
@@ -58,11 +60,15 @@ def decode(df: DataFrame, schema: T.StructType, value_col: str = "value",
         all_null = F.lit(True)
         for f in schema.fields:
             all_null = all_null & p.getField(f.name).isNull()
-        has_corrupt = p.getField(CORRUPT).isNotNull() if decoder is None else F.lit(False)
+        # the parser stops at the end of the first document: as the one element of
+        # an array, anything after it shows
+        single = F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1
+        has_corrupt = (p.getField(CORRUPT).isNotNull() | ~F.coalesce(single, F.lit(False))) if decoder is None else F.lit(False)
         reason = (F.when(raw.isNull() | (F.length(raw) == 0), F.lit("empty"))
                   .when(p.isNull() | has_corrupt, F.lit("undecodable"))
                   .when(all_null, F.lit("empty_tuple")))
-        decoded = F.struct(*[p.getField(f.name).alias(f.name) for f in schema.fields])
+        decoded = F.struct(*[F.when(reason.isNull() | (reason != "undecodable"), p.getField(f.name)).alias(f.name)
+                             for f in schema.fields])
         return F.struct(decoded.alias("v"), reason.alias("r"))
 
     # The parse is bound once per row (a one-element ``transform`` is a let):

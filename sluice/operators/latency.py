@@ -11,7 +11,9 @@ S_e, C_e at the latest negative row so far -- the emitted mean is
 (S - S_e) / (C - C_e).  S and C only grow, so "at the latest negative" is a
 running ``max`` over the negative rows.  Both passes are the blocked prefix
 scan, so a task holding a third of all rows is still spread over many tasks.
-Values are BIGINT milliseconds and the sums are exact integers.
+Values are BIGINT milliseconds and the sums are exact integers.  A null value
+(P10 of a message without a time header) is no measurement: it neither counts nor
+emits, though its arrival can open the warm-up.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ def running_latency(rows: DataFrame, task: str = "task", seq: str = "seq", arriv
     The first pass is checkpointed (``materialize``) because the second one
     reads it twice."""
     w = after_warmup(rows.select(task, seq, arrival, val), task, seq, arrival, warmup_ms)
+    w = w.where(F.col(val).isNotNull())
     neg = F.col(val) < 0
     p1 = prefix_scan(w, [task], seq, {
         "_l_s": ("sum", F.when(neg, F.lit(0)).otherwise(F.col(val)).cast("long")),
@@ -83,7 +86,8 @@ def running_latency_from(rows: DataFrame, prior: DataFrame | None, task: str = "
                       F.coalesce(F.col("_p_total"), F.lit(0)).cast("long").alias("_l_pt"),
                       F.coalesce(F.col("_p_count"), F.lit(0)).cast("long").alias("_l_pc")))
     w = (r.join(firsts, F.col(task).eqNullSafe(F.col("_l_task")), "inner")
-         .where(F.col(arrival) - F.col("_l_first") > F.lit(warmup_ms)).drop("_l_task", "_l_first"))
+         .where(F.col(arrival) - F.col("_l_first") > F.lit(warmup_ms))
+         .where(F.col(val).isNotNull()).drop("_l_task", "_l_first"))
     neg = F.col(val) < 0
     p1 = prefix_scan(w, [task], seq, {
         "_l_s": ("sum", F.when(neg, F.lit(0)).otherwise(F.col(val)).cast("long")),

@@ -51,15 +51,20 @@ def start_offset_plan(positions: DataFrame, running_topology: str, force_from_st
         F.when(reset, start).otherwise(committed).cast("long").alias("start_offset"))
 
 
-def starting_offsets_option(plan: DataFrame, topic: str, max_partitions: int = 100_000) -> str:
+def from_start_offsets(msgs: DataFrame, plan: DataFrame) -> DataFrame:
+    """D1 as a table, for a plan of any size: messages read from the earliest
+    offset, from their partition's planned start on.  Partitions the plan does
+    not name are read whole.  Nothing comes to the driver."""
+    s = plan.select(F.col("partition_id").alias("_p_part"), F.col("start_offset").alias("_p_start"))
+    j = dim_join(msgs, s, F.col("partition") == F.col("_p_part"), "left")
+    return j.where(F.col("_p_start").isNull() | (F.col("offset") >= F.col("_p_start"))).drop("_p_part", "_p_start")
+
+
+def starting_offsets_option(plan: DataFrame, topic: str) -> str:
     """The Kafka source ``startingOffsets`` JSON for a start-offset plan.
 
-    The option is a driver-side string by the Kafka source's API; the plan has
-    one row per topic partition, so the size is bounded by the partition count
-    and checked before anything reaches the driver."""
-    n = plan.count()
-    if n > max_partitions:
-        raise ValueError(f"{n} partitions exceed the bound of {max_partitions}")
+    The option is a driver-side string by the Kafka source's API, with one entry
+    per topic partition; ``from_start_offsets`` needs none."""
     row = (plan.agg(F.to_json(F.create_map(
         F.lit(topic),
         F.map_from_entries(F.collect_list(F.struct(F.col("partition_id").cast("string"),

@@ -5,9 +5,9 @@ expiration_ms, state ('waiting' | 'open' | 'confirmed'), opened_at,
 auto_abort_ms.  Every operator is evaluated at an explicit ``observed_at``
 column/literal -- never the wall clock -- so batch reruns agree.
 
-* D4 get: FIFO of unexpired waiting items, at most ``max_items`` per queue
-  (``row_number() <= n`` -- Spark plans a WindowGroupLimit that keeps n rows
-  per queue on every map task before the shuffle, so a hot queue is cut early).
+* D4 get: FIFO of unexpired waiting items, at most ``max_items`` per queue:
+  positions by the blocked scan, which drops the blocks of a hot queue that start
+  beyond the limit before it sorts any.  ``get_state`` is the queue after it.
 * D5 expiry: an unfetched item older than its expiration vanishes; 0 = never.
 * D6 auto-abort: an open item not confirmed within auto_abort_ms returns to
   the queue; 0 means confirmed at once.
@@ -21,11 +21,11 @@ column/literal -- never the wall clock -- so batch reruns agree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.columns import epoch_ms
-from sluice.operators.scan import DEFAULT_BLOCK, running_count
+from sluice.operators.scan import DEFAULT_BLOCK, prefix_scan, running_count
 
 # At most 1024 items per get, 30000 ms put expiry.
 DEFAULT_MAX_ITEMS = 1024
@@ -53,11 +53,30 @@ def expired(items: DataFrame, observed_at: Column) -> DataFrame:
 
 def get(items: DataFrame, observed_at: Column, max_items: int = DEFAULT_MAX_ITEMS,
         queue_col: str = "queue") -> DataFrame:
-    """Per queue, the first ``max_items`` unexpired waiting items by seq."""
-    w = Window.partitionBy(queue_col).orderBy("seq")
-    return (expire(items, observed_at)
-            .withColumn("position", F.row_number().over(w).cast("long"))
-            .where(F.col("position") <= max_items))
+    """Per queue, the first ``max_items`` unexpired waiting items by seq, at
+    any limit without a sort of the whole queue."""
+    counted = prefix_scan(expire(items, observed_at), [queue_col], "seq", {"position": ("sum", F.lit(1).cast("long"))},
+                          keep_blocks=lambda off: F.coalesce(off["position"], F.lit(0)) < F.lit(max_items))
+    return counted.where(F.col("position") <= max_items)
+
+
+def get_state(items: DataFrame, observed_at: Column, max_items: int = DEFAULT_MAX_ITEMS,
+              queue_col: str = "queue") -> DataFrame:
+    """The queue table after a get (D4): items got are 'open' since
+    ``observed_at``, or 'confirmed' at once where auto_abort_ms is 0; expired ones
+    are gone; all others are as they were.  ``txn_id`` is the id the getter
+    confirms by: the item's seq, 0 for confirmed ones, null for items not got.
+    Feeds ``auto_abort``, ``confirm`` and ``abort``."""
+    got = get(items, observed_at, max_items, queue_col)
+    now = F.when(F.col("auto_abort_ms") == 0, F.lit("confirmed")).otherwise(F.lit("open"))
+    opened = got.select(*[F.col(c) for c in items.columns if c not in ("state", "opened_at")], now.alias("state"),
+                        observed_at.cast(items.schema["opened_at"].dataType).alias("opened_at"),
+                        F.when(F.col("auto_abort_ms") == 0, F.lit(0)).otherwise(F.col("seq")).cast("long").alias("txn_id"))
+    left = items.where((F.col("state") != "waiting") | not_expired(observed_at))
+    rest = left.join(got.select(F.col(queue_col).alias("_g_q"), F.col("seq").alias("_g_s")),
+                     F.col(queue_col).eqNullSafe(F.col("_g_q")) & (F.col("seq") == F.col("_g_s")) & (F.col("state") == "waiting"),
+                     "left_anti")
+    return rest.withColumn("txn_id", F.lit(None).cast("long")).select(*opened.columns).unionByName(opened)
 
 
 def auto_abort(items: DataFrame, observed_at: Column) -> DataFrame:

@@ -32,14 +32,17 @@ PRODUCER_UNKNOWN = "producer unknown"
 
 def route_two_hop(msgs: DataFrame, selection: Column, paths: DataFrame, destinations: DataFrame,
                   path_col: str = "path", dest_col: str = "destination") -> DataFrame:
-    """J1 + J3.  ``paths``: (path, destination) -- should hold one row per
-    path (J6 ``current_paths`` does); duplicates resolve to one destination
-    rather than duplicating messages.  ``destinations``: live destinations
-    with a ``name`` column.  Adds path, destination, route_reason."""
+    """J1 + J3.  ``paths``: (path, destination), one row per path (J6
+    ``current_paths``), or with a column ``seq`` a log of puts, of which the last
+    one of a path counts; without ``seq``, rows of one path resolve to the
+    largest destination, so messages are never multiplied.  ``destinations``:
+    live destinations with a ``name`` column.  Adds path, destination,
+    route_reason."""
     m = msgs.withColumn(path_col, selection)
     # One binding per path (a path maps to one destination), so a message is
     # never multiplied by the join: routed + unroutable = input.
-    binding = (paths.groupBy("path").agg(F.max("destination").alias("_r_dest"))
+    one = F.max_by("destination", "seq") if "seq" in paths.columns else F.max("destination")
+    binding = (paths.groupBy("path").agg(one.alias("_r_dest"))
                .select(F.col("path").alias("_r_path"), F.col("_r_dest").alias(dest_col)))
     live = destinations.select(F.col("name").alias("_r_name")).distinct()
     j = dim_join(m, binding, F.col(path_col) == F.col("_r_path"), "left")

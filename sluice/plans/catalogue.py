@@ -503,6 +503,18 @@ def q_queue_get(spark, sf):
     return g.select("queue", "seq", "value", "position")
 
 
+@query("queue_get_state", "D4 D6", with_fixtures(["queue_state"], f"""
+SELECT queue, seq, CASE WHEN got AND auto_abort_ms = 0 THEN 'confirmed' WHEN got THEN 'open' ELSE state END AS state,
+       CASE WHEN got AND auto_abort_ms = 0 THEN 0 WHEN got THEN seq END AS txn_id,
+       CASE WHEN got THEN {OBSERVED_MS} ELSE epoch_ms(opened_at) END AS opened_ms
+FROM (SELECT *, state = 'waiting' AND row_number() OVER (PARTITION BY queue, state ORDER BY seq) <= 1024 AS got
+      FROM queue_state WHERE state <> 'waiting' OR {_LIVE_SQL})"""))
+def q_queue_get_state(spark, sf):
+    """All waiting items up to the default limit of 1024, and the table after it."""
+    g = queues.get_state(fx.queue_state(spark, sf), _observed())
+    return g.select("queue", "seq", "state", "txn_id", epoch_ms("opened_at").alias("opened_ms"))
+
+
 @query("queue_expired", "D5", with_fixtures(["queue_state"], f"""
 SELECT queue, seq, {OBSERVED_MS} - epoch_ms(put_at) AS age_ms, expiration_ms
 FROM queue_state WHERE state = 'waiting' AND NOT {_LIVE_SQL}"""))
@@ -737,7 +749,7 @@ def q_stream_route_amqp(spark, sf):
 
 @query("stream_auto_abort", "D6 D7 T5", with_fixtures(["queue_state"], f"""
 , o AS (SELECT * FROM queue_state WHERE state = 'open' AND NOT (price > {CONFIRM_PRICE})),
-  hw AS (SELECT max(opened_at) AS hw FROM o)
+  hw AS (SELECT max(opened_at) AS hw FROM queue_state WHERE state = 'open')
 SELECT o.queue, o.seq,
        CASE WHEN auto_abort_ms = 0 THEN 'confirmed' ELSE 'waiting' END AS new_state,
        CASE WHEN auto_abort_ms = 0 THEN 0 ELSE o.seq END AS txn_id
@@ -816,6 +828,136 @@ def q_stream_pending_prune(spark, sf):
     return spark.read.schema(sp.PRUNE_OUT).parquet(f"{base}/out")
 
 
+# ---------------------------------------------------------------- landed deliveries (S1-S5) and publish records
+
+# Deliveries as a broker sends them: some bodies are not UTF-8 or hold two
+# documents, some messages carry a header of the name the source adds, Kafka
+# headers repeat, and some messages are delivered twice.
+_LANDED_SQL = """
+  landed AS (
+    SELECT *, CASE WHEN event_id % 19 = 0 THEN 'undecodable'
+                   WHEN event_id % 23 = 0 AND NOT (event_id % 13 = 0 OR event_id % 17 = 0) THEN 'undecodable'
+                   WHEN value_text = '' THEN 'empty'
+                   WHEN NOT json_valid(value_text) THEN 'undecodable' END AS dead_reason
+    FROM (SELECT * FROM messages UNION ALL SELECT * FROM messages WHERE event_id % 29 = 0))
+"""
+_LANDED_COLUMNS = {
+    "kafka": ("message_id", "key_text", "CASE WHEN event_id % 3 = 0 THEN sent_ms - 5 ELSE sent_ms END", "'2'", '"partition"', '"offset"'),
+    "amqp": ("origin || ':0:' || CAST(event_id AS VARCHAR)", "key_text", "CASE WHEN event_id % 3 = 0 THEN sent_ms - 5 ELSE sent_ms END",
+             "'x'", "0", "event_id"),
+    "jms": ("'ID:' || CAST(event_id AS VARCHAR)", "NULL", "sent_ms",
+            "CASE WHEN event_id % 3 = 0 THEN '9' ELSE CAST(event_id % 2 + 1 AS VARCHAR) END", "0", "event_id"),
+    "mqtt": ("origin || ':0:' || CAST(event_id AS VARCHAR)", "NULL", "sent_ms", "CAST(event_id % 3 AS VARCHAR)", "0", "event_id"),
+    "kestrel": ("origin || ':0:' || CAST(event_id AS VARCHAR)", "NULL", "sent_ms", "NULL", "0", "event_id"),
+}
+
+
+def _landed_sql(protocol: str) -> str:
+    mid, key, sent, extra, part, off = _LANDED_COLUMNS[protocol]
+    return fixtures_prefix(["messages"]) + ",\n" + _LANDED_SQL.strip() + f"""
+SELECT {mid} AS message_id, origin, '{protocol}' AS protocol, CAST({key} AS VARCHAR) AS key_text, CAST({sent} AS BIGINT) AS sent_ms,
+       CAST({extra} AS VARCHAR) AS extra, CAST({part} AS INTEGER) AS "partition", CAST({off} AS BIGINT) AS "offset",
+       CASE WHEN dead_reason IS NULL THEN TRY_CAST(json_extract_string(value_text, '$.k') AS BIGINT) END AS k, dead_reason
+FROM landed"""
+
+
+def landed_records(spark: SparkSession, sf: str, protocol: str) -> DataFrame:
+    """``events`` as the delivery records of a broker (``landed.RECORDS``, or the Kafka source's rows)."""
+    from sluice.sources import landed
+    eid = F.col("event_id")
+    m = fx.messages(spark, sf, [F.col("user_id")])
+    m = m.unionByName(m.where(eid % 29 == 0))
+    body = (F.when(eid % 19 == 0, F.unhex(F.lit("FFFE7B"))).when((eid % 23 == 0) & (eid % 13 != 0) & (eid % 17 != 0), F.concat("value", "value"))
+            .otherwise(F.col("value")))
+    sent = epoch_ms("ts")
+    user = F.col("user_id").cast("string")
+    headers = F.when(eid % 3 == 0, F.create_map(F.lit("time"), (sent - 5).cast("string")))
+    if protocol == "kafka":
+        def one(k: str, v: F.Column) -> F.Column:
+            return F.struct(F.lit(k).alias("key"), v.cast("binary").alias("value"))
+        many = F.concat(F.array(one("a", F.lit("1")), one("bin", F.unhex(F.lit("FF"))), one("a", F.lit("2"))),
+                        F.when(eid % 3 == 0, F.array(one("time", (sent - 5).cast("string"))))
+                        .otherwise(F.expr("cast(array() as array<struct<key:string,value:binary>>)")))
+        return m.select(F.col("key"), body.alias("value"), F.col("origin").alias("topic"), "partition", "offset",
+                        F.col("ts").alias("timestamp"), F.lit(0).alias("timestampType"), many.alias("headers"))
+    made = {
+        "amqp": [F.col("origin").alias("queue"), F.lit("c").alias("consumer_tag"), eid.alias("delivery_tag"), F.lit("ex").alias("exchange"),
+                 user.alias("routing_key"), F.create_map(F.lit("p"), F.lit("x")).alias("properties"), headers.alias("headers"),
+                 body.alias("body"), F.col("ts").alias("timestamp")],
+        "jms": [F.col("origin").alias("destination"), F.concat(F.lit("ID:"), eid.cast("string")).alias("jms_message_id"), eid.alias("seq"),
+                sent.alias("jms_timestamp"), (eid % 2 + 1).cast("int").alias("delivery_mode"),
+                F.when(eid % 3 == 0, F.create_map(F.lit("delivery_mode"), F.lit("9"))).alias("properties"), body.alias("body")],
+        "mqtt": [F.col("origin").alias("topic"), eid.alias("seq"), (eid % 3).cast("int").alias("qos"), body.alias("body"), F.col("ts").alias("timestamp")],
+        "kestrel": [F.col("origin").alias("queue"), eid.alias("id"), body.alias("data"), F.col("ts").alias("put_at")],
+    }
+    return envelope.declare_fields(m.select(*made[protocol]), landed.RECORDS[protocol])
+
+
+def _source_query(protocol: str) -> QueryFn:
+    def fn(spark: SparkSession, sf: str) -> DataFrame:
+        from sluice.sources import landed
+        records = landed_records(spark, sf, protocol)
+        env = landed.kafka_to_envelope(records) if protocol == "kafka" else landed.TO_ENVELOPE[protocol](records)
+        d = decode.decode(env, BODY_SCHEMA)
+        extra = {"kafka": F.col("headers")["a"], "amqp": F.col("context")["p"], "jms": F.col("context")["delivery_mode"],
+                 "mqtt": F.col("context")["qos"], "kestrel": F.lit(None)}[protocol]
+        return d.select("message_id", "origin", "protocol", bytes_text("key").alias("key_text"),
+                        F.col("headers")["time"].cast("long").alias("sent_ms"), extra.cast("string").alias("extra"),
+                        "partition", "offset", F.col("decoded.k").alias("k"), "dead_reason")
+    fn.__name__ = f"q_source_{protocol}"
+    return fn
+
+
+for _protocol, _operators in (("kafka", "S1 P7 P8"), ("amqp", "S2 P7 P8"), ("jms", "S3 P7 P8"), ("mqtt", "S4 P7 P8"), ("kestrel", "S5 P7 P8")):
+    query(f"source_{_protocol}", _operators, _landed_sql(_protocol))(_source_query(_protocol))
+
+
+def _redelivered(spark: SparkSession, sf: str) -> DataFrame:
+    m = fx.messages(spark, sf)
+    return m.unionByName(m.where(F.col("event_id") % 29 == 0))
+
+
+_SINK_TWO_HOP = """
+  twice AS (SELECT * FROM messages UNION ALL SELECT * FROM messages WHERE event_id % 29 = 0),
+  good AS (SELECT t.*, d.name, d.grouped, d.site, d.sensor, d.sensor_id
+           FROM twice t JOIN destinations d ON d.name = 'd' || CAST(user_id % 30 AS VARCHAR) AND user_id % 30 < 28
+           WHERE origin <> 'error' AND json_valid(value_text) AND value_text <> ''
+             AND TRY_CAST(json_extract_string(value_text, '$.k') AS BIGINT) IS NOT NULL)
+"""
+
+
+def _sink_sql(select: str) -> str:
+    return fixtures_prefix(["messages", "destinations"]) + ",\n" + _SINK_TWO_HOP.strip() + "\n" + select
+
+
+def _sink(spark: SparkSession, sf: str, protocol: str) -> DataFrame:
+    from sluice.streaming import pipelines as sp
+    dest = fx.destinations(spark, sf)
+    r = sp.labelled_routes(_redelivered(spark, sf), fx.paths(spark), sp.publishable(dest, protocol), one_hop=protocol in sp.ONE_HOP)
+    return sp.sink_records(protocol, r.where(F.col("output") == "good"), dest)
+
+
+@query("sink_mqtt", "S9 J2", _sink_sql("""
+SELECT message_id, name AS topic, CAST(strlen(value_text) AS BIGINT) AS body_len, false AS retain, CAST(NULL AS INTEGER) AS qos FROM good"""))
+def q_sink_mqtt(spark, sf):
+    return _sink(spark, sf, "mqtt").select("message_id", "topic", F.length("body").cast("long").alias("body_len"), "retain", "qos")
+
+
+@query("sink_jms", "S8 J2 P3 P4", _sink_sql("""
+SELECT message_id, 'jq' AS queue, CAST(strlen(value_text) AS BIGINT) AS body_len, sent_ms AS jms_timestamp FROM good"""))
+def q_sink_jms(spark, sf):
+    return _sink(spark, sf, "jms").select("message_id", "queue", F.length("body").cast("long").alias("body_len"), "jms_timestamp")
+
+
+@query("sink_kafka", "S6 J1 P1 P4", _sink_sql("""
+SELECT key_text, CAST(strlen(value_text) AS BIGINT) AS value_len, CAST(sent_ms AS VARCHAR) AS time_header FROM good
+WHERE NOT (NOT grouped AND sensor_id IS NULL)"""))
+def q_sink_kafka(spark, sf):
+    r = _sink(spark, sf, "kafka")
+    return r.select(bytes_text("key").alias("key_text"), F.length("value").cast("long").alias("value_len"),
+                    F.decode(F.element_at("headers", 1)["value"], "UTF-8").alias("time_header"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {name: q.fn for name, q in CATALOGUE.items()}
 

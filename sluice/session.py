@@ -56,8 +56,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local tests) a scratch folder is made and registered.
+    ``spark.checkpoint.dir`` of the session, else the folder set with
+    ``setCheckpointDir``.  Where neither names one, a scratch folder is made for
+    a local master (tests); on a cluster that would be a folder of the driver
+    alone, so it is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -66,8 +68,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     if not path and sc is not None:
         path = sc.getConf().get("spark.checkpoint.dir", None)
+    if not path and sc is not None and sc.getCheckpointDir() is not None:
+        path = sc.getCheckpointDir()
     if not path:
-        # Only reached when nothing names a shared folder (local tests).
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="sluice-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and sc.getCheckpointDir() is None:

@@ -46,17 +46,34 @@ KESTREL_RECORD = T.StructType([
 RECORDS = {"amqp": AMQP_RECORD, "jms": JMS_RECORD, "mqtt": MQTT_RECORD, "kestrel": KESTREL_RECORD}
 
 
+def _with_entry(m: F.Column, key: str, value: F.Column) -> F.Column:
+    """``m`` with ``key`` added; an entry the sender set stays."""
+    m = F.coalesce(m, F.create_map().cast("map<string,string>"))
+    return F.when(F.map_contains_key(m, key), m).otherwise(
+        F.map_concat(m, F.create_map(F.lit(key), value.cast("string"))))
+
+
 def _time_header(ts_ms: F.Column) -> F.Column:
     return F.create_map(F.lit("time"), ts_ms.cast("string"))
 
 
+def _last_values(headers: F.Column) -> F.Column:
+    """Kafka headers as a map: of a repeated key the last value counts, a value
+    that is not UTF-8 is null, a null key is left out."""
+    keys = F.transform(headers, lambda h: h["key"])
+    again = lambda h, i: F.coalesce(F.array_contains(F.slice(keys, i + 2, F.size(keys)), h["key"]), F.lit(False))
+    kept = F.filter(headers, lambda h, i: h["key"].isNotNull() & ~again(h, i))
+    return F.map_from_entries(F.transform(kept, lambda h: F.struct(
+        h["key"], F.try_validate_utf8(h["value"].cast("string")))))
+
+
 def amqp_to_envelope(df: DataFrame) -> DataFrame:
-    """id = (queue, delivery tag) -- the tag alone repeats across channels."""
+    """id = (queue, delivery tag) -- the tag alone repeats across channels.
+    A ``time`` header the sender set (its send time) is kept."""
     return make_envelope(df.select(
         F.col("queue").alias("origin"), F.lit("amqp").alias("protocol"),
         F.col("routing_key").cast("binary").alias("key"), F.col("body").alias("value"),
-        F.map_concat(F.coalesce(F.col("headers"), F.create_map().cast("map<string,string>")),
-                     _time_header(epoch_ms("timestamp"))).alias("headers"),
+        _with_entry(F.col("headers"), "time", epoch_ms("timestamp")).alias("headers"),
         F.coalesce(F.col("properties"), F.create_map().cast("map<string,string>")).alias("context"),
         F.lit(0).alias("partition"), F.col("delivery_tag").alias("offset"), F.col("timestamp").alias("ts")))
 
@@ -67,8 +84,7 @@ def jms_to_envelope(df: DataFrame) -> DataFrame:
         F.col("jms_message_id").alias("message_id"), F.col("destination").alias("origin"),
         F.lit("jms").alias("protocol"), F.col("body").alias("value"),
         _time_header(F.col("jms_timestamp")).alias("headers"),
-        F.map_concat(F.coalesce(F.col("properties"), F.create_map().cast("map<string,string>")),
-                     F.create_map(F.lit("delivery_mode"), F.col("delivery_mode").cast("string"))).alias("context"),
+        _with_entry(F.col("properties"), "delivery_mode", F.col("delivery_mode")).alias("context"),
         F.lit(0).alias("partition"), F.col("seq").alias("offset"),
         F.timestamp_millis("jms_timestamp").alias("ts")))
 
@@ -142,12 +158,10 @@ def kafka_options(bootstrap: str, topic: str, starting_offsets: str | None = Non
 
 def kafka_to_envelope(df: DataFrame) -> DataFrame:
     """The Kafka source schema as ENVELOPE (the key is kept)."""
-    hdrs = F.map_from_entries(F.transform(
-        F.coalesce(F.col("headers"), F.array().cast(KAFKA_SOURCE["headers"].dataType)),
-        lambda h: F.struct(h["key"], F.decode(h["value"], "UTF-8"))))
+    hdrs = _last_values(F.coalesce(F.col("headers"), F.array().cast(KAFKA_SOURCE["headers"].dataType)))
     return make_envelope(df.select(
         F.col("topic").alias("origin"), F.lit("kafka").alias("protocol"), "key", "value",
-        F.map_concat(hdrs, _time_header(epoch_ms("timestamp"))).alias("headers"),
+        _with_entry(hdrs, "time", epoch_ms("timestamp")).alias("headers"),
         "partition", "offset", F.col("timestamp").alias("ts")))
 
 

@@ -103,10 +103,14 @@ def labelled_routes(msgs: DataFrame, paths: DataFrame, destinations: DataFrame,
     out = (F.when(F.col("dead_reason").isNotNull(), F.lit("dead"))
            .when(F.col("route_reason").isNotNull(), F.lit("unroutable"))
            .otherwise(F.lit("good")))
-    return r.select("message_id", "origin", "protocol", "partition", "offset", "value", "path", "destination",
+    return r.select(*msgs.columns, "path", "destination",
                     "route_reason", "dead_reason", F.col("decoded.k").alias("k"), out.alias("output"))
 
 
+ROUTE_COLUMNS = ["message_id", "origin", "protocol", "partition", "offset", "value", "path", "destination",
+                 "route_reason", "dead_reason", "k", "output"]
+
+
 def publishable(destinations: DataFrame, protocol: str | None) -> DataFrame:
     """The destinations a protocol's producer accepts (P4): the others never
     get a producer, so their messages route as *producer unknown*."""
@@ -146,14 +150,19 @@ def route_stream(spark: SparkSession, events: DataFrame, paths: DataFrame, desti
     live = publishable(destinations, protocol)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        # one row a delivery: the good rows keep their envelope, so nothing is
+        # joined back and a message delivered twice is published twice
         routes = labelled_routes(batch, paths, live, one_hop=protocol in ONE_HOP)
-        outputs = {"routes": routes}
-        parts = {"routes": ["output"]}
-        if protocol:
-            good = batch.join(routes.where(F.col("output") == "good").select("message_id", "destination"),
-                              "message_id")
-            outputs[protocol] = sink_records(protocol, good, destinations)
-        write_batch(outputs, base, batch_id, parts)
+        if protocol is None:
+            write_batch({"routes": routes.select(*ROUTE_COLUMNS)}, base, batch_id, {"routes": ["output"]})
+            return
+        routes = routes.persist()
+        try:
+            good = routes.where(F.col("output") == "good")
+            write_batch({"routes": routes.select(*ROUTE_COLUMNS), protocol: sink_records(protocol, good, destinations)},
+                        base, batch_id, {"routes": ["output"]})
+        finally:
+            routes.unpersist()
 
     w = msgs.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return run_available_now(w)
@@ -204,7 +213,7 @@ def _latency_fold(warmup_ms: int):
         for seq, arrival, val in zip(batch["seq"], batch["arrival_ms"], batch["val"]):
             if first is None:
                 first = int(arrival)
-            if int(arrival) - first <= warmup_ms:
+            if int(arrival) - first <= warmup_ms or pd.isna(val):
                 continue
             if val < 0:
                 total, count = 0, 0
@@ -351,15 +360,20 @@ def auto_abort_stream(spark: SparkSession, opened: DataFrame, confirms: DataFram
             items = spark.read.parquet(prior_path).select(*OPEN_ITEM_COLUMNS, "state").unionByName(items)
         if confirms is not None:
             items = confirm(items, confirms)
-        # One scalar per micro-batch: the event-time high-water mark.
-        hw = items.agg(F.max(time_col).alias("hw")).first()["hw"]
-        if hw is None:
-            write_batch({"open": items, "decided": items.limit(0)}, out, batch_id)
-            return
-        decided = auto_abort(items, F.lit(hw).cast("timestamp"))
-        write_batch({"open": decided.where(F.col("new_state") == "open").select(*OPEN_ITEM_COLUMNS, "state"),
+        # One scalar per micro-batch: the event-time high-water mark.  It is kept
+        # with the state, or it would fall when the item that set it leaves.
+        marks = batch.select(F.col(time_col).cast("timestamp").alias("hw"))
+        if batch_id > 0:
+            marks = marks.unionByName(spark.read.parquet(f"{out}/mark/batch={batch_id - 1}"))
+        mark = marks.agg(F.max("hw").alias("hw")).persist()
+        hw = mark.first()["hw"]
+        at = F.lit(hw).cast("timestamp")
+        decided = auto_abort(items, at)
+        write_batch({"mark": mark,
+                     "open": decided.where(F.col("new_state") == "open").select(*OPEN_ITEM_COLUMNS, "state"),
                      "decided": decided.where(F.col("new_state") != "open")
                      .select("queue", "seq", "new_state", "txn_id")}, out, batch_id)
+        mark.unpersist()
 
     w = opened.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return run_available_now(w)

@@ -31,16 +31,21 @@ def write_batch(outputs: dict[str, DataFrame], base: str, batch_id: int,
 
 def _named(destinations: DataFrame) -> DataFrame:
     n = destination_names(destinations)
-    return n.select(F.col("name").alias("_s_name"), "kafka_topic", "amqp_exchange", "amqp_routing_key",
-                    "jms_queue", "properties")
+    return n.select(F.col("name").alias("_s_name"), "amqp_exchange", "amqp_routing_key", "jms_queue")
+
+
+def _context(routed: DataFrame) -> F.Column:
+    """The message's protocol properties; none for rows cut down to fewer columns."""
+    return F.col("context") if "context" in routed.columns else F.lit(None).cast("map<string,string>")
 
 
 def amqp_records(routed: DataFrame, destinations: DataFrame) -> DataFrame:
     """Publish to (exchange, routing key) of the destination, with the
-    message headers as AMQP properties."""
+    message's properties (its context) and headers."""
     j = dim_join(routed, _named(destinations), F.col("destination") == F.col("_s_name"), "inner")
     return j.select("message_id", F.col("amqp_exchange").alias("exchange"),
-                    F.col("amqp_routing_key").alias("routing_key"), "headers", F.col("value").alias("body"))
+                    F.col("amqp_routing_key").alias("routing_key"), _context(routed).alias("properties"), "headers",
+                    F.col("value").alias("body"))
 
 
 def jms_records(routed: DataFrame, destinations: DataFrame) -> DataFrame:
@@ -51,9 +56,10 @@ def jms_records(routed: DataFrame, destinations: DataFrame) -> DataFrame:
 
 
 def mqtt_records(routed: DataFrame) -> DataFrame:
-    """One hop, published to the destination name, retain = false."""
+    """One hop, published to the destination name with the QoS the message
+    came with (null: the producer's own), retain = false."""
     return routed.select("message_id", F.col("destination").alias("topic"), F.col("value").alias("body"),
-                         F.lit(False).alias("retain"))
+                         F.lit(False).alias("retain"), _context(routed)["qos"].try_cast("int").alias("qos"))
 
 
 def kestrel_records(routed: DataFrame, expiration_ms: int = DEFAULT_KESTREL_EXPIRATION_MS) -> DataFrame:
