@@ -4,8 +4,9 @@ Pages are grouped by host; a line's ratio is the number of the host's pages that
 host's pages.  Lines above the ratio are boilerplate and go from every page of that host.
 
 Counts are summed by map tasks first, so a hot host or line is no hot group.  A host has at most
-(lines per page) / ratio boilerplate lines, so its list is short whatever its number of pages; pages meet
-it in one join by host, which AQE broadcasts when small and splits where a host is hot.
+(lines per page) / ratio boilerplate lines, so its list is short whatever its number of pages.  The lists
+are measured: up to ``broadcast_bytes`` of text go to the tasks and pages stay where they are; beyond that
+pages and lists are joined by host, and AQE splits hot hosts.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.common import written
+
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 #: What is not text, and the tags that end a line (fixed values).
 HIDDEN = r"<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
@@ -33,7 +36,7 @@ def html_lines(html: Column) -> Column:
 
 
 def drop_site_boilerplate(pages: DataFrame, host: str, lines: str, ratio: float = 0.2, min_pages: int = 5,
-                          kept: str = "kept", dropped: str = "n_dropped") -> DataFrame:
+                          kept: str = "kept", dropped: str = "n_dropped", broadcast_bytes: int = 16 << 20) -> DataFrame:
     """``pages`` with ``kept`` (array of lines) and ``dropped`` (their number), for an array column ``lines``.
 
     A line goes when more than ``ratio`` of its host's pages hold it.  Hosts with fewer than ``min_pages``
@@ -49,7 +52,10 @@ def drop_site_boilerplate(pages: DataFrame, host: str, lines: str, ratio: float
     counts = base.select("h", F.explode(F.array_distinct("ls")).alias("line")).groupBy("h", "line").agg(F.count("*").alias("c"))
     counts = counts.where((F.col("c") > ratio * min_pages) & F.col("line").isNotNull())
     common = counts.join(totals, "h").where(F.col("c") > ratio * F.col("n")).groupBy("h").agg(F.collect_list("line").alias("common"))
-    common = common.select(F.col("h").alias("__h"), F.col("common").alias("__common"))
+    common = written(common.select(F.col("h").alias("__h"), F.col("common").alias("__common")), "boilerplate")
+    held_bytes = F.octet_length("__h") + F.aggregate("__common", F.lit(64), lambda n, x: n + F.octet_length(x) + 16)
+    if (common.agg(F.sum(held_bytes)).first()[0] or 0) <= broadcast_bytes:
+        common = F.broadcast(common)
     out = pages.join(common, F.col(host) == F.col("__h"), "left")
     rest = F.when(F.col("__common").isNull(), held).otherwise(F.filter(held, lambda x: x.isNull() | ~F.array_contains(F.col("__common"), x)))
     out = out.withColumn(kept, rest)
