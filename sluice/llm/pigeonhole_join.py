@@ -9,12 +9,14 @@ candidates.
 
 Cost-based allocation: for each size band, ``scheme`` picks m and the number of segments with T = 1 by the
 signatures written and the expected number of weak ones (subsets so small that unrelated sets share them).
-It leaves slack, so that a set need not index its poorest segments: one with less than two elements says
+It leaves slack, so that a set need not index its poorest segments: one with no element, or just one, says
 little and would gather unrelated sets in one bucket.  A set whose poor segments exceed the slack indexes all.
 
-Copies (equal sets) are one set from the start.  Buckets are never expanded into pairs: their least and largest
-members are found by a map-side aggregate and every member is tied to the least one, which gives the components
-of the candidate graph.  All similar pairs lie inside such a component.  Each component is verified exactly:
+Copies (equal sets) are one set from the start.  Buckets are never expanded into pairs.  A map task ties the
+members of a bucket that it sees to the least of them and sends that one on, packed with the other signatures
+of the same part of the hash space; the part's task ties the least members of all map tasks in the same way.
+So a bucket has one entry a map task at most, however hot it is, and the ties give the components of the
+candidate graph.  All similar pairs lie inside such a component.  Each component is verified exactly:
 small ones packed together, large ones dealt into blocks by size, every pair of blocks whose sizes allow a link
 in a task of its own.  A task returns a spanning forest of its links and the number of links of each set.
 """
@@ -28,6 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +39,8 @@ from sluice.llm.components import components
 
 #: Least growth of size bands; a band's bound H is that of its largest size.
 BAND = 1.3
-#: Cost of a weak signature in signatures written.
-WEAK = 4.0
+#: Cost of a signature of one and of two elements, in signatures written.
+WEAK = (2.0, 1.0)
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,25 +71,28 @@ def _poisson(lam: float, k: int) -> float:
 
 
 @lru_cache(maxsize=None)
-def scheme(band: int, p: int) -> tuple[int, int, int]:
-    """(segments, how many of them, the first ones, tolerate a difference, slack) of a size band."""
+def scheme(band: int, p: int) -> tuple[int, int, int, int]:
+    """(segments, how many of them, the first ones, tolerate a difference, slack, least) of a size band; a set
+    leaves out subsets of fewer than ``least`` elements if the slack allows it."""
     size, need, best = band_top(band, p), most_differences(band_top(band, p), p) + 1, None
-    for tenth in range(0, 11, 2):
-        for m in range(1, need + need // 2 + 8):
-            ones = round(m * tenth / 10)
-            slack = m + ones - need
-            if slack < 0:
-                continue
-            lam = (size * max(band_top(band - 1, p), 1)) ** 0.5 / m
-            few = [_poisson(lam, k) for k in range(3)]
-            poor = (m - ones) * (few[0] + few[1]) + 2 * ones * sum(few)
-            if slack < poor + 3 * math.sqrt(poor):
-                continue
-            cost = (m - ones) + ones * (lam + 1) + WEAK * (m * few[2])
-            if best is None or cost < best[0]:
-                best = (cost, m, ones, slack)
-            break
-    return best[1:] if best else (need, 0, 0)
+    middle = (size * max(band_top(band - 1, p), 1)) ** 0.5
+    for least in (1, 2):
+        for tenth in range(0, 11, 2):
+            for m in range(1, need + need // 2 + 8):
+                ones = round(m * tenth / 10)
+                slack = m + ones - need
+                if slack < 0:
+                    continue
+                lam = middle / m
+                few = [_poisson(lam, k) for k in range(3)]
+                poor = (m - ones) * sum(few[:least]) + 2 * ones * sum(few[:least + 1])
+                if slack < poor + 3 * math.sqrt(poor):
+                    continue
+                cost = (m - ones) + ones * (lam + 1) + m * sum(w * f for w, f in zip(WEAK[least - 1:], few[least:], strict=True))
+                if best is None or cost < best[0]:
+                    best = (cost, m, ones, slack, least)
+                break
+    return best[1:] if best else (need, 0, 0, 1)
 
 
 def ngram_sets(hashes: np.ndarray, ptr: np.ndarray, n: int) -> list[np.ndarray]:
@@ -125,7 +131,7 @@ def signatures(s: np.ndarray, p: int) -> np.ndarray:
 
 
 def _signed(s: np.ndarray, band: int, p: int) -> np.ndarray:
-    m, ones, slack = scheme(band, p)
+    m, ones, slack, least = scheme(band, p)
     seg = ((mix64(s + np.uint64(band)) >> np.uint64(33)) % np.uint64(m)).astype(np.int64)
     part = mix64(s ^ np.uint64(0xC0FFEE))
     size = np.bincount(seg, minlength=m)
@@ -135,17 +141,93 @@ def _signed(s: np.ndarray, band: int, p: int) -> np.ndarray:
     if len(filled):
         total[filled] = np.add.reduceat(part[order], (np.cumsum(size) - size)[filled])
     loose = np.arange(m) < ones
-    weak = np.where(loose, size <= 2, size <= 1)
-    drop = int((weak * np.where(loose, 2, 1)).sum()) <= slack
+    # a loose segment counts on if it and all subsets one element away are indexed
+    weak = size < least + loose
+    drop = int((weak * (1 + loose)).sum()) <= slack
     at = mix64(np.arange(m, dtype=np.uint64) + np.uint64(band << 32))
-    exact = np.arange(m)[size >= 2] if drop else np.arange(m)
+    exact = np.arange(m)[size >= least] if drop else np.arange(m)
     out = [mix64(total[exact] + at[exact])]
     if ones:  # one deletion each
-        keep = loose[seg] & ((size[seg] >= 3) if drop else True)
+        keep = loose[seg] & ((size[seg] > least) if drop else True)
         out.append(mix64(total[seg[keep]] - part[keep] + at[seg[keep]]))
     return np.concatenate(out).view(np.int64)
 
 
+def _least_members(sig: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of signatures and their members: (the different signatures, the least member of each, ties as rows of a
+    member and the least member of a signature they share, other than itself)."""
+    order = np.lexsort((member, sig))
+    sig, member = sig[order], member[order]
+    first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))) if len(sig) else np.zeros(0, np.int64)
+    least = np.repeat(member[first], np.diff(np.append(first, len(sig))))
+    apart = member != least
+    return sig[first], member[first], np.unique(np.stack([member[apart], least[apart]], axis=1), axis=0)
+
+
+#: Signatures that a map task gathers before it sends them on.
+_GATHER = 4_000_000
+
+
+def _packed(kind: int, a: np.ndarray, b: np.ndarray) -> bytes:
+    """A kind (0 signatures and members, 1 ties) and two equally long columns; members repeat, so they go as places
+    among the different ones."""
+    who, place = np.unique(b, return_inverse=True)
+    place = zstandard.compress(np.diff(place, prepend=0).astype(np.int32).tobytes(), 1)
+    return np.array([kind, len(a), len(who)], np.int64).tobytes() + a.astype(np.int64).tobytes() + who.astype(np.int64).tobytes() + place
+
+
+def _unpacked(raw: bytes) -> tuple[int, np.ndarray, np.ndarray]:
+    kind, n, m = np.frombuffer(raw, np.int64, 3).tolist()
+    a, who = np.frombuffer(raw, np.int64, n, 24), np.frombuffer(raw, np.int64, m, 24 + 8 * n)
+    place = np.cumsum(np.frombuffer(zstandard.decompress(raw[24 + 8 * (n + m):]), np.int32), dtype=np.int64)
+    return kind, a, who[place]
+
+
+def _entries(n: int, p: int, parts: int):
+    """Texts to packed index entries by part of the hash space, and the ties seen on the way."""
+    def send(sigs: list[np.ndarray], keys: list[int]) -> pa.RecordBatch:
+        sig = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
+        member = np.repeat(np.array(keys, np.int64), [len(s) for s in sigs])
+        sig, member, ties = _least_members(sig, member)
+        order = np.lexsort((sig, member))  # by member: the places pack well
+        sig, member = sig[order], member[order]
+        part = (mix64(sig.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        sig, member, part = sig[order], member[order], part[order]
+        edge = np.append(np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))), len(part)) if len(part) else [0]
+        rows = [(int(part[i]), _packed(0, sig[i:j], member[i:j])) for i, j in zip(edge[:-1], edge[1:], strict=True)]
+        if len(ties):
+            rows.append((int(ties[0, 0] % parts), _packed(1, ties[:, 0], ties[:, 1])))
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "entries"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sigs, keys, held = [], [], 0
+        for batch in text_slices(batches, "text"):
+            w = words_of(batch.column("text"), lower=True)
+            for own in ngram_sets(w.hashes, w.ptr, n):
+                made = signatures(own, p)
+                if len(made):
+                    sigs.append(made)
+                    keys.append(set_key(own)[0])
+                    held += len(made)
+                if held >= _GATHER:
+                    yield send(sigs, keys)
+                    sigs, keys, held = [], [], 0
+        yield send(sigs, keys)
+    return run
+
+
+def _tied(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The ties of one part of the hash space."""
+    held = [_unpacked(r) for r in pdf["entries"]]
+    known = [np.stack([a, b], axis=1) for kind, a, b in held if kind == 1]
+    sig = [(a, b) for kind, a, b in held if kind == 0]
+    if sig:
+        known.append(_least_members(np.concatenate([a for a, _ in sig]), np.concatenate([b for _, b in sig]))[2])
+    ties = np.unique(np.concatenate(known), axis=0) if known else np.zeros((0, 2), np.int64)
+    return pd.DataFrame({"a": ties[:, 0], "b": ties[:, 1]})
+
+
 def similar_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions (i, j) of the pairs of a left and a right set, different ones, that are similar; exact."""
     size = np.array([len(s) for s in sets], dtype=np.int64)
@@ -217,22 +299,20 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
             keys = [set_key(s) for s in sets]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "th": batch.column("th"), "n": pa.array([len(s) for s in sets], pa.int64()),
-                "k1": pa.array([k for k, _ in keys], pa.int64()), "k2": pa.array([k for _, k in keys], pa.int64()),
-                "sig": pa.array([signatures(s, p) for s in sets], pa.list_(pa.int64()))})
+                "k1": pa.array([k for k, _ in keys], pa.int64()), "k2": pa.array([k for _, k in keys], pa.int64())})
 
     keyed = base.withColumn("th", F.xxhash64("text"))
-    rows = written(keyed.mapInArrow(made, "doc_id long, th long, n long, k1 long, k2 long, sig array<long>"), "sets")
+    rows = written(keyed.mapInArrow(made, "doc_id long, th long, n long, k1 long, k2 long"), "sets")
     full = rows.where("n > 0")
     sets = full.groupBy("k1", "k2").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"),
                                         F.min(F.struct("doc_id", "th")).alias("rep"))
     sets = written(sets.withColumn("v", F.monotonically_increasing_id()), "classes")
 
     # candidates: a set is its first key here; that two sets could share it only adds candidates
-    posts = full.select("k1", F.explode("sig").alias("sig"))
-    buckets = written(posts.groupBy("sig").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo < hi"), "buckets")
-    # by sorting at any size: the share of signatures in buckets grows with the corpus, a broadcast would not last
-    ties = posts.join(buckets.hint("merge"), "sig").where("k1 > lo").select("k1", "lo").distinct()
-    roots = components(ties, "k1", "lo")
+    elements = full.agg(F.sum("n")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), elements // 2_000_000)
+    ties = base.select("text").mapInArrow(_entries(n, p, parts), "part int, entries binary").groupBy("part").applyInPandas(_tied, "a long, b long")
+    roots = components(ties, "a", "b")
 
     members = sets.join(roots, sets["k1"] == roots["node"]).select("v", "k1", "k2", "copies", "n", "rep", "root")
     members = written(members, "members")
