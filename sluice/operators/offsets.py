@@ -92,14 +92,16 @@ def fetch_slice(msgs: DataFrame, starts: DataFrame, fetch_bytes: int = DEFAULT_F
             .drop("_f_size", "_f_n"))
 
 
-def range_reset(requests: DataFrame, use_start_offset_if_out_of_range: bool = True) -> DataFrame:
+def range_reset(requests: DataFrame, use_start_offset_if_out_of_range: bool = True, start_offset_time: str = "earliest") -> DataFrame:
     """D3: a requested offset outside [earliest, latest] is retried once at the
-    start offset (the earliest) when enabled, else it is an error.
-    ``requests``: partition_id, requested, earliest, latest."""
+    start offset (``start_offset_time``: earliest or latest) when enabled, else it
+    is an error.  ``requests``: partition_id, requested, earliest, latest; a null
+    request has no status."""
+    if start_offset_time not in ("earliest", "latest"):
+        raise ValueError(f"unknown start offset time {start_offset_time!r}")
     out = (F.col("requested") < F.col("earliest")) | (F.col("requested") > F.col("latest"))
-    status = F.when(~out, F.lit("ok")).when(F.lit(use_start_offset_if_out_of_range), F.lit("reset")) \
-        .otherwise(F.lit("error"))
-    offset = F.when(~out, F.col("requested")).when(F.lit(use_start_offset_if_out_of_range), F.col("earliest"))
+    status = F.when(~out, F.lit("ok")).when(out, F.lit("reset" if use_start_offset_if_out_of_range else "error"))
+    offset = F.when(~out, F.col("requested")).when(out & F.lit(use_start_offset_if_out_of_range), F.col(start_offset_time))
     return requests.select("*", status.alias("fetch_status"), offset.cast("long").alias("fetch_offset"))
 
 
@@ -143,13 +145,23 @@ def fail_admission(fails: DataFrame, emitted: DataFrame, max_offset_behind: int)
 
 def ack_counters(emitted: DataFrame, acks: DataFrame, fails: DataFrame, max_offset_behind: int) -> DataFrame:
     """A5: per partition, acknowledged and (admitted) failed counts; ``error``
-    when nothing was acked and failures exceed max_offset_behind."""
+    when failures exceed max_offset_behind while nothing is acked yet: those before
+    the partition's first acknowledgement, by ``ack_seq`` and ``fail_seq``.  Logs
+    without these columns have no order; then nothing may be acked at all."""
     acked = (ack_status(emitted, acks).groupBy("partition")
              .agg(F.sum(F.col("acked").cast("long")).alias("acked")))
-    failed = (fail_admission(fails, emitted, max_offset_behind).where("admitted")
-              .groupBy("partition").agg(F.count(F.lit(1)).alias("failed")))
+    admitted = fail_admission(fails, emitted, max_offset_behind).where("admitted")
+    if "ack_seq" in acks.columns and "fail_seq" in fails.columns:
+        first = (acks.join(emitted, ["partition", "offset"], "left_semi").groupBy("partition")
+                 .agg(F.min("ack_seq").alias("_a_first")))
+        admitted = dim_join(admitted, first.withColumnRenamed("partition", "_a_part"), F.col("partition") == F.col("_a_part"), "left")
+        early = F.col("_a_first").isNull() | (F.col("fail_seq") < F.col("_a_first"))
+    else:
+        early = F.lit(True)
+    failed = admitted.groupBy("partition").agg(F.count(F.lit(1)).alias("failed"), F.count_if(early).alias("_a_early"))
     j = acked.join(failed, "partition", "left").withColumn("failed", F.coalesce(F.col("failed"), F.lit(0)).cast("long"))
-    return j.withColumn("error", (F.col("acked") == 0) & (F.col("failed") > F.lit(max_offset_behind)))
+    none_acked = F.lit(True) if "ack_seq" in acks.columns and "fail_seq" in fails.columns else F.col("acked") == 0
+    return j.withColumn("error", none_acked & (F.coalesce(F.col("_a_early"), F.lit(0)) > F.lit(max_offset_behind))).drop("_a_early")
 
 
 def replay_failed(msgs: DataFrame, fails: DataFrame) -> DataFrame:

@@ -187,19 +187,22 @@ def _host_spec() -> F.Column:
 
 
 @query("saved_offset_json", "P13 P14", with_fixtures(["positions"], f"""
-SELECT partition_id, saved_topology AS topology_id, 'sensor' || CAST(partition_id % 10 AS VARCHAR) AS topology_name,
-       saved AS "offset", partition_id AS "partition",
-       CASE WHEN partition_id % 4 IN (0, 1) THEN 'broker' || CAST(partition_id % 3 AS VARCHAR) END AS host,
-       CASE partition_id % 4 WHEN 0 THEN 9092 WHEN 1 THEN 9093 END AS port,
+SELECT partition_id, CASE WHEN saved IS NOT NULL THEN saved_topology END AS topology_id,
+       CASE WHEN saved IS NOT NULL THEN 'sensor' || CAST(partition_id % 10 AS VARCHAR) END AS topology_name,
+       saved AS "offset", CASE WHEN saved IS NOT NULL THEN partition_id END AS "partition",
+       CASE WHEN saved IS NOT NULL AND partition_id % 4 IN (0, 1) THEN 'broker' || CAST(partition_id % 3 AS VARCHAR) END AS host,
+       CASE WHEN saved IS NOT NULL THEN CASE partition_id % 4 WHEN 0 THEN 9092 WHEN 1 THEN 9093 END END AS port,
        CASE partition_id % 4 WHEN 2 THEN 'invalid port' WHEN 3 THEN 'invalid host specification' END AS host_error,
-       'readings' AS topic
-FROM positions WHERE saved IS NOT NULL"""))
+       CASE WHEN saved IS NOT NULL THEN 'readings' END AS topic
+FROM positions"""))
 def q_saved_offset_json(spark, sf):
-    p = fx.positions(spark, sf).where(F.col("saved").isNotNull())
+    """Partitions without a saved offset have no document."""
+    p = fx.positions(spark, sf)
     h = p.withColumn("_h", scalars.parse_host(_host_spec()))
     doc = scalars.saved_offset_json(
         F.col("saved_topology"), F.concat(F.lit("sensor"), (F.col("partition_id") % 10).cast("string")),
         F.col("saved"), F.col("partition_id"), F.col("_h.host"), F.col("_h.port"), F.lit("readings"))
+    doc = F.when(F.col("saved").isNotNull(), doc)
     back = h.select("partition_id", F.col("_h.error").alias("host_error"),
                     scalars.read_saved_offset(doc).alias("d"))
     return back.select("partition_id", F.col("d.topology.id").alias("topology_id"),
@@ -479,13 +482,26 @@ def q_fetch_slice(spark, sf):
 
 @query("range_reset", "D3", with_fixtures(["positions"], """
 SELECT partition_id, saved AS requested,
-       CASE WHEN saved < earliest OR saved > "current" THEN 'reset' ELSE 'ok' END AS fetch_status,
+       CASE WHEN saved IS NULL THEN NULL WHEN saved < earliest OR saved > "current" THEN 'reset' ELSE 'ok' END AS fetch_status,
        CASE WHEN saved < earliest OR saved > "current" THEN earliest ELSE saved END AS fetch_offset
-FROM positions WHERE saved IS NOT NULL"""))
+FROM positions"""))
 def q_range_reset(spark, sf):
-    p = fx.positions(spark, sf).where(F.col("saved").isNotNull())
-    req = p.select("partition_id", F.col("saved").alias("requested"), "earliest", F.col("current").alias("latest"))
-    return offsets.range_reset(req).select("partition_id", "requested", "fetch_status", "fetch_offset")
+    return offsets.range_reset(_requests(spark, sf)).select("partition_id", "requested", "fetch_status", "fetch_offset")
+
+
+def _requests(spark, sf) -> DataFrame:
+    return fx.positions(spark, sf).select("partition_id", F.col("saved").alias("requested"), "earliest", F.col("current").alias("latest"))
+
+
+@query("range_reset_latest", "D3", with_fixtures(["positions"], """
+SELECT partition_id, CASE WHEN saved < earliest OR saved > "current" THEN "current" ELSE saved END AS latest_offset,
+       CASE WHEN saved IS NULL THEN NULL WHEN saved < earliest OR saved > "current" THEN 'error' ELSE 'ok' END AS strict_status
+FROM positions"""))
+def q_range_reset_latest(spark, sf):
+    """Start offset time latest, and the strict form in which a request out of range is an error."""
+    late = offsets.range_reset(_requests(spark, sf), start_offset_time="latest").select("partition_id", F.col("fetch_offset").alias("latest_offset"))
+    strict = offsets.range_reset(_requests(spark, sf), False).select("partition_id", F.col("fetch_status").alias("strict_status"))
+    return late.join(strict, "partition_id")
 
 
 # ---------------------------------------------------------------- queues
@@ -525,12 +541,12 @@ def q_queue_expired(spark, sf):
 
 @query("auto_abort", "D6", with_fixtures(["queue_state"], f"""
 SELECT queue, seq,
-       CASE WHEN auto_abort_ms = 0 THEN 'confirmed'
+       CASE WHEN state <> 'open' THEN state WHEN auto_abort_ms = 0 THEN 'confirmed'
             WHEN {OBSERVED_MS} - epoch_ms(opened_at) > auto_abort_ms THEN 'waiting' ELSE 'open' END AS new_state,
-       CASE WHEN auto_abort_ms = 0 THEN 0 ELSE seq END AS txn_id
-FROM queue_state WHERE state = 'open'"""))
+       CASE WHEN state = 'open' AND auto_abort_ms = 0 THEN 0 ELSE seq END AS txn_id
+FROM queue_state"""))
 def q_auto_abort(spark, sf):
-    a = queues.auto_abort(fx.queue_state(spark, sf).where(F.col("state") == "open"), _observed())
+    a = queues.auto_abort(fx.queue_state(spark, sf), _observed())
     return a.select("queue", "seq", "new_state", "txn_id")
 
 

@@ -88,8 +88,7 @@ FIXTURE_SQL: dict[str, str] = {
   SELECT * FROM queue_items WHERE put_at <= TIMESTAMP '1998-01-01 00:00:00'""",
     "next_put": """
   SELECT queue, seq, value, expiration_ms FROM queue_items
-  WHERE put_at > TIMESTAMP '1998-01-01 00:00:00'
-    AND put_at <= TIMESTAMP '1998-01-01 00:00:00' + INTERVAL 30 DAY""",
+  WHERE put_at > TIMESTAMP '1998-01-01 00:00:00'""",
     "queue_limits": """
   SELECT queue,
          CAST(250 + 15 * CAST(substr(queue, 1, 1) AS INTEGER) AS BIGINT) AS capacity,

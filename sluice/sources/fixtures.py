@@ -260,10 +260,9 @@ def queue_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def next_put(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The next put: items of the 30 days after observed_at."""
-    end = observed_at() + F.expr(f"INTERVAL {QUEUE_NEXT_PUT_DAYS} DAYS")
+    """The next put: all items after observed_at."""
     return (queue_items(spark, sf_dir)
-            .where((F.col("put_at") > observed_at()) & (F.col("put_at") <= end))
+            .where(F.col("put_at") > observed_at())
             .select("queue", "seq", "value", "expiration_ms"))
 
 

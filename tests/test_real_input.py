@@ -103,3 +103,12 @@ def test_abort_clock_never_falls(spark, tmp_path):
 
 def test_checkpoint_folder(spark):
     assert checkpoint_dir(spark)
+
+
+def test_failures_count_against_the_acks_so_far(spark):
+    emitted = spark.createDataFrame([(p, o) for p in (0, 1, 2) for o in range(40)], "partition int, offset long")
+    fails = spark.createDataFrame([(p, o, o) for p in (0, 1, 2) for o in range(30, 40)], "partition int, offset long, fail_seq long")
+    acks = spark.createDataFrame([(0, 1, 100), (1, 1, 33)], "partition int, offset long, ack_seq long")
+    got = {r["partition"]: (r["acked"], r["failed"], r["error"]) for r in offsets.ack_counters(emitted, acks, fails, 6).collect()}
+    assert got[0][0] == got[1][0] == 1 and got[0][1] == got[1][1] == got[2][1]
+    assert (got[0][2], got[1][2], got[2][2]) == (got[0][1] > 6, False, got[2][1] > 6)
