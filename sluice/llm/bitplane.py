@@ -18,6 +18,7 @@ from __future__ import annotations
 import struct
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -139,6 +140,12 @@ class WordEncoder:
         return out
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> WordEncoder:
+    """The encoder of this process: a worker that runs many tasks goes on with the words it knows."""
+    return WordEncoder(path)
+
+
 def _table(members: bytes) -> np.ndarray:
     out = np.zeros(256, bool)
     out[list(members)] = True
@@ -175,7 +182,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        coder, end = WordEncoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+        coder, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         ids, sizes, held, segment, start = [], [], [], 0, 0
 
         def flush():
@@ -208,19 +215,23 @@ _ARROW = pa.schema([("part", pa.int32()), ("segment", pa.int64()), ("start_in_pa
                     ("plane_bytes", pa.list_(pa.list_(pa.int32()))), ("data", pa.binary())])
 
 
+def _before(segments: DataFrame) -> DataFrame:
+    """Ids of all earlier parts: a row for each part, two numbers, so as many rows as the writing job had tasks; that
+    bound lets it go to the tasks, and segments stay where they are."""
+    parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    return F.broadcast(parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before")))
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """The chunk index: a row for each segment, with its place among all ids."""
     index = spark.read.schema(SCHEMA).parquet(path).drop("data")
-    parts = index.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    return index.join(before, "part").withColumn("start", F.col("before") + F.col("start_in_part")).drop("before", "start_in_part")
+    return index.join(_before(index), "part").withColumn("start", F.col("before") + F.col("start_in_part")).drop("before", "start_in_part")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids as little-endian 32-bit integers) of every document, from the files."""
     rows = spark.read.schema(SCHEMA).parquet(path)
-    parts = rows.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    rows = rows.join(_before(rows), "part").withColumn("start_in_part", F.col("start_in_part") + F.col("before")).drop("before")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,8 +241,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 ends = np.cumsum(sizes)
                 pieces = [raw[4 * (e - n):4 * e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
                 yield pa.RecordBatch.from_pydict({
-                    "part": pa.array([r["part"]] * len(sizes), pa.int32()), "doc_id": pa.array(r["doc_ids"], pa.int64()),
+                    "doc_id": pa.array(r["doc_ids"], pa.int64()),
                     "start": pa.array(r["start_in_part"] + ends - sizes), "n_tokens": pa.array(sizes), "ids": pa.array(pieces, pa.binary())})
 
-    docs = rows.mapInArrow(decode, "part int, doc_id long, start long, n_tokens long, ids binary")
-    return docs.join(before, "part").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids")
+    return rows.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
