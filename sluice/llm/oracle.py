@@ -73,5 +73,41 @@ FROM k
 """
 
 
+OP7 = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(ws[i:i + 2], ' ') AS g FROM d, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) t(i) WHERE len(ws) > 0
+), n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+e AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.r <> y.r GROUP BY 1, 2) p
+  JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE 100 * c >= 90 * (na.n + nb.n - c)
+), reach AS (
+  SELECT DISTINCT a AS r, a AS q FROM e UNION SELECT reach.r, e.b FROM reach JOIN e ON reach.q = e.a
+), least AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON reach.q = d.r GROUP BY 1),
+deg AS (SELECT a AS r, count(*) AS n_links FROM e GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least.component_id, d.doc_id) AS component_id, coalesce(deg.n_links, 0) AS n_links
+FROM d LEFT JOIN n USING (r) LEFT JOIN least USING (r) LEFT JOIN deg USING (r)
+"""
+
+OP9 = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), w AS MATERIALIZED (
+  SELECT r, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h FROM d, unnest(range(1, len(ws) - 33)) t(i)
+), twice AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, i + o AS j FROM w JOIN twice USING (h), range(35) x(o)),
+kept AS (
+  SELECT p.r, string_agg(word, ' ' ORDER BY p.j) AS text, count(*) AS n
+  FROM (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM d) p LEFT JOIN gone ON gone.r = p.r AND gone.j = p.j
+  WHERE gone.r IS NULL GROUP BY p.r
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_nra_topk": OP2, "op3_curriculum": OP3, "op10_site_lines": OP10}
+    return {"op2_nra_topk": OP2, "op3_curriculum": OP3, "op7_pigeonhole_join": OP7, "op9_automaton_dedup": OP9, "op10_site_lines": OP10}
