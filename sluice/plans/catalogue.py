@@ -730,7 +730,7 @@ FROM r JOIN d ON r.message_id = d.message_id""")
 def q_stream_route(spark, sf):
     from sluice.streaming import pipelines as sp
     base = sp.fresh_dir(spark, "stream-route")
-    ev = sp.table_stream(spark, sf, "events", sp.admission(max_files=1))
+    ev = sp.table_stream(spark, sf, "events", order="event_id", batches=3)
     sp.route_stream(spark, ev, fx.paths(spark), fx.destinations(spark, sf), f"{base}/out", f"{base}/ckpt")
     out = spark.read.parquet(f"{base}/out/routes")
     return out.select("message_id", "path", "destination", "route_reason", "dead_reason", "k", "output")
@@ -756,7 +756,7 @@ WHERE d.dead_reason IS NULL""")
 def q_stream_route_amqp(spark, sf):
     from sluice.streaming import pipelines as sp
     base = sp.fresh_dir(spark, "stream-amqp")
-    ev = sp.table_stream(spark, sf, "events")
+    ev = sp.table_stream(spark, sf, "events", order="event_id", batches=3)
     sp.route_stream(spark, ev, fx.paths(spark), fx.destinations(spark, sf), f"{base}/out", f"{base}/ckpt",
                     protocol="amqp")
     r = spark.read.parquet(f"{base}/out/amqp")
@@ -774,7 +774,7 @@ WHERE auto_abort_ms = 0 OR epoch_ms(hw.hw) - epoch_ms(o.opened_at) > auto_abort_
 def q_stream_auto_abort(spark, sf):
     from sluice.streaming import pipelines as sp
     base = sp.fresh_dir(spark, "stream-abort")
-    orders = sp.table_stream(spark, sf, "orders")
+    orders = sp.table_stream(spark, sf, "orders", order="o_orderkey", batches=3)
     opened = fx.queue_items_from(orders).where((F.col("state") == "open") & (F.col("put_at") <= fx.observed_at()))
     sp.auto_abort_stream(spark, opened, _ids(spark, sf, True), f"{base}/out", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/out/decided").select("queue", "seq", "new_state", "txn_id")
@@ -790,7 +790,7 @@ WHERE d.dead_reason IS NULL AND sel.dest IN (SELECT 'd' || CAST(n_nationkey AS V
 def q_stream_route_kestrel(spark, sf):
     from sluice.streaming import pipelines as sp
     base = sp.fresh_dir(spark, "stream-kestrel")
-    ev = sp.table_stream(spark, sf, "events")
+    ev = sp.table_stream(spark, sf, "events", order="event_id", batches=3)
     sp.route_stream(spark, ev, fx.paths(spark), fx.destinations(spark, sf), f"{base}/out", f"{base}/ckpt",
                     protocol="kestrel")
     r = spark.read.parquet(f"{base}/out/kestrel")
@@ -801,7 +801,7 @@ def q_stream_route_kestrel(spark, sf):
 def q_stream_route_asof(spark, sf):
     from sluice.streaming import pipelines as sp
     base = sp.fresh_dir(spark, "stream-asof")
-    sp.route_asof_stream(spark, sp.table_stream(spark, sf, "events"), f"{base}/out", f"{base}/ckpt")
+    sp.route_asof_stream(spark, sp.table_stream(spark, sf, "events", order="event_id", batches=3), f"{base}/out", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/out/routes").select("message_id", "path", "destination", "route_reason")
 
 
@@ -809,7 +809,7 @@ def q_stream_route_asof(spark, sf):
 def q_stream_latency(spark, sf):
     from sluice.streaming import pipelines as sp
     base = sp.fresh_dir(spark, "stream-latency")
-    sp.latency_stream(spark, sp.table_stream(spark, sf, "events"), f"{base}/out", f"{base}/ckpt")
+    sp.latency_stream(spark, sp.table_stream(spark, sf, "events", order="event_id", batches=3), f"{base}/out", f"{base}/ckpt")
     r = spark.read.parquet(f"{base}/out/means").select("task", "seq", "val", "mean_latency")
     return r.withColumn("mean_latency", F.round("mean_latency", 6))
 
@@ -820,7 +820,7 @@ FROM queue_state WHERE state = 'waiting' AND {_LIVE_SQL}"""))
 def q_stream_bridge(spark, sf):
     from sluice.streaming import pipelines as sp
     base = sp.fresh_dir(spark, "stream-bridge")
-    sp.bridge_stream(spark, sp.table_stream(spark, sf, "orders"), f"{base}/out", f"{base}/ckpt")
+    sp.bridge_stream(spark, sp.table_stream(spark, sf, "orders", order="o_orderkey", batches=3), f"{base}/out", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/out").select("queue", "seq", "value", "expiration_ms")
 
 

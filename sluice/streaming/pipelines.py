@@ -59,9 +59,31 @@ def admission(max_files: int | None = None, max_bytes: str | None = None,
     return o
 
 
-def table_stream(spark: SparkSession, folder: str, name: str, options: dict[str, str] | None = None) -> DataFrame:
-    """A file stream over ``<folder>/<name>.parquet`` (the schema of the table)."""
+FILES_PER_BATCH = 4
+
+
+def landed_in_order(spark: SparkSession, folder: str, name: str, order: str, batches: int) -> str:
+    """The table as a log that lands over time: ``batches`` ranges of ``order``
+    written one after the other (file sources read by time), each as
+    ``FILES_PER_BATCH`` files."""
+    t = fx.table(spark, folder, name)
+    cuts = t.stat.approxQuantile(order, [i / batches for i in range(1, batches)], 0.01)
+    path = fresh_dir(spark, f"landed-{name}")
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = t.where((F.lit(True) if low is None else F.col(order) > low) & (F.lit(True) if high is None else F.col(order) <= high))
+        part.repartition(FILES_PER_BATCH).write.mode("append").parquet(path)
+    return path
+
+
+def table_stream(spark: SparkSession, folder: str, name: str, options: dict[str, str] | None = None,
+                 order: str | None = None, batches: int = 1) -> DataFrame:
+    """A file stream over ``<folder>/<name>.parquet`` (the schema of the table);
+    with ``order``, in that many micro-batches by that column, admitted one at a
+    time (S12)."""
     schema = fx.table(spark, folder, name).schema
+    if order is not None and batches > 1:
+        opts = admission(max_files=FILES_PER_BATCH) | (options or {})
+        return spark.readStream.format("parquet").schema(schema).options(**opts).load(landed_in_order(spark, folder, name, order, batches))
     r = spark.readStream.format("parquet").schema(schema).option("pathGlobFilter", f"{name}.parquet")
     for k, v in (options or {}).items():
         r = r.option(k, v)
