@@ -1,12 +1,12 @@
 """Plan shapes that matter at scale: no per-key window without the block
-column, routing joins broadcast, top-n per queue limited before the shuffle,
+column, routing joins broadcast, top-n per queue by blocks,
 no cartesian products, scans pruned to the columns used."""
 
 import re
 
 import pytest
 
-import __spark_entry__ as entry
+from sluice.plans import catalogue as entry
 from tests.conftest import SF_SMALL
 
 
@@ -30,8 +30,8 @@ def test_ordered_state_windows_are_blocked(spark, name):
     windows = [w for w in re.findall(r"Window \[.*?\], \[(.*?)\], \[", p)]
     assert windows
     for keys in windows:
-        # either the in-block window (key, block) or the small per-key offsets window
-        assert "_scan_blk" in keys or "_scan_k0" in keys, keys
+        # either the in-block window (key, block) or the small per-key totals window
+        assert "_scan_blk" in keys or "_scan_k0" in keys or "_l_b" in keys or "_l_k" in keys, keys
 
 
 def test_routing_is_broadcast(spark):
@@ -40,9 +40,15 @@ def test_routing_is_broadcast(spark):
     assert "SortMergeJoin" not in p
 
 
-def test_queue_get_limits_before_shuffle(spark):
-    p = plan(entry.queries()["queue_get"](spark, SF_SMALL))
-    assert "WindowGroupLimit" in p
+@pytest.mark.parametrize("name", ["queue_get", "queue_get_state"])
+def test_queue_get_sorts_no_whole_queue(spark, name):
+    p = plan(entry.queries()[name](spark, SF_SMALL))
+    keys = re.findall(r"Window \[.*?\], \[(.*?)\], \[", p)
+    assert keys and all("_scan_blk" in k or "_scan_k0" in k for k in keys)
+
+
+def test_running_latency_takes_no_checkpoint(spark):
+    assert "ExistingRDD" not in plan(entry.queries()["running_latency"](spark, SF_SMALL))
 
 
 def test_scan_prunes_columns(spark):
