@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import mix64, text_slices, words_of, written
@@ -281,7 +281,7 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 3, p: int = 90,
-                 block: int = 128, block_elements: int = 1 << 20) -> DataFrame:
+                 block: int = 128, block_elements: int = 1 << 20, broadcast_bytes: int = 32 << 20) -> DataFrame:
     """Every row of ``docs`` as (doc_id, n_shingles, n_links, component_id) under Jaccard similarity of at least
     p % of the sets of word n-grams; words are lowered (A-Z).
 
@@ -314,48 +314,58 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     ties = base.select("text").mapInArrow(_entries(n, p, parts), "part int, entries binary").groupBy("part").applyInPandas(_tied, "a long, b long")
     roots = components(ties, "a", "b")
 
-    members = sets.join(roots, sets["k1"] == roots["node"]).select("v", "k1", "k2", "copies", "n", "rep", "root")
+    # tasks: small components whole, several to a task; of large ones the blocks of equal or neighbouring size bands
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / p) + 1e-9).cast("long")  # similar sizes are at most one apart
+    members = sets.join(roots, sets["k1"] == roots["node"]).select("v", "k1", "k2", "copies", "n", "rep", "root").withColumn("band", band)
     members = written(members, "members")
-    text_of = members.select("v", "copies", "root", "k1", "k2", F.col("rep.doc_id").alias("id"), F.col("rep.th").alias("h"))
-    fetched = keyed.join(text_of, keyed["th"].eqNullSafe(text_of["h"]) & keyed["doc_id"].eqNullSafe(text_of["id"]))
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
-            w = words_of(batch.column("text"), lower=True)
-            own = ngram_sets(w.hashes, w.ptr, n)
-            same = [set_key(s) == k for s, k in zip(own, zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True), strict=True)]
-            made = pa.RecordBatch.from_pydict({**{c: batch.column(c) for c in ("v", "copies", "root")}, "n": pa.array([len(s) for s in own], pa.int64()),
-                                               "elements": pa.array([s.tobytes() for s in own], pa.binary())})
-            yield made.filter(pa.array(same, pa.bool_()))  # another text may have the representative's id and hash
-
-    held = fetched.select("v", "copies", "root", "k1", "k2", "text").mapInArrow(shingled, "v long, copies long, root long, n long, elements binary")
-    held = written(held.dropDuplicates(["v"]), "elements")
-
-    # blocks: small components whole, several to a task; of large ones the blocks of equal or neighbouring bands
-    per = held.groupBy("root").agg(F.count("*").alias("g"), F.sum("n").alias("w"))
-    large = F.greatest(F.ceil(F.col("g") / block), F.ceil(F.col("w") / block_elements)) > 1
+    per = members.groupBy("root").agg(F.count("*").alias("g"), F.sum("n").alias("w"))
+    per = per.withColumn("large", F.greatest(F.ceil(F.col("g") / block), F.ceil(F.col("w") / block_elements)) > 1)
     totals = per.agg(F.sum("w").alias("w"), F.sum("g").alias("g")).first()
     bins = max(1, int((totals["g"] or 0) // block), int((totals["w"] or 0) // block_elements))
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / p) + 1e-9).cast("long")  # similar sizes are at most one apart
-    held = written(held.join(per.select("root", large.alias("large")), "root").withColumn("band", band), "dealt")
-    units = held.where("large").groupBy("root", "band").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / block_elements)).cast("int").alias("blocks"))
+    units = members.join(per.where("large").select("root"), "root").groupBy("root", "band").agg(
+        F.ceil(F.greatest(F.count("*") / block, F.sum("n") / block_elements)).cast("int").alias("blocks"))
     units = written(units, "units")
-    near = units.select("root", "band", "blocks", F.explode(F.expr("sequence(-1L, 1L)")).alias("d"))
-    near = near.select("root", (F.col("band") + F.col("d")).alias("band"), F.struct((F.col("band")).alias("band"), "blocks").alias("other"))
+    near = units.select("root", "blocks", F.struct("band", "blocks").alias("other"), F.explode(F.expr("sequence(band - 1, band + 1)")).alias("band"))
     near = near.groupBy("root", "band").agg(F.collect_list("other").alias("others"))  # three at most
-    placed = held.where("large").join(units, ["root", "band"]).join(near, ["root", "band"])
-    placed = placed.withColumn("mine", F.struct("band", F.pmod(F.xxhash64("v"), "blocks").cast("int").alias("i")))
+    near = written(units.join(near, ["root", "band"]), "near")
+    mine = F.struct("band", F.pmod(F.xxhash64("v"), "blocks").cast("int").alias("i"))
     others = F.flatten(F.transform("others", lambda o: F.transform(F.sequence(F.lit(0), o["blocks"] - 1), lambda i: F.struct(o["band"].alias("band"), i.alias("i")))))
-    placed = placed.withColumn("theirs", F.explode(others))
-    first, second = F.least("mine", "theirs"), F.greatest("mine", "theirs")
-    placed = placed.select("root", F.concat_ws(":", F.lit("b"), "root", first["band"], first["i"], second["band"], second["i"]).alias("task"),
-                           F.when(first == second, 2).when(F.col("mine") == first, 0).otherwise(1).alias("side"), "v", "copies", "elements")
-    packed = held.where("not large").select("root", F.concat_ws(":", F.lit("s"), F.pmod(F.xxhash64("root"), F.lit(bins))).alias("task"),
-                                            F.lit(2).alias("side"), "v", "copies", "elements")
+
+    def task(other: Column) -> Column:
+        first, second = F.least(F.col("mine"), other), F.greatest(F.col("mine"), other)
+        name = F.concat_ws(":", F.lit("b"), "root", first["band"], first["i"], second["band"], second["i"])
+        return F.struct(name.alias("task"), F.when(first == second, 2).when(F.col("mine") == first, 0).otherwise(1).alias("side"))
+
+    whole = F.array(F.struct(F.concat_ws(":", F.lit("s"), F.pmod(F.xxhash64("root"), F.lit(bins))).alias("task"), F.lit(2).alias("side")))
+    placed = members.join(near, ["root", "band"], "left").withColumn("mine", mine).withColumn("others", others)
+    placed = placed.select("v", "copies", "root", "k1", "k2", F.col("rep.doc_id").alias("id"), F.col("rep.th").alias("h"),
+                           F.when(F.col("blocks").isNull(), whole).otherwise(F.transform("others", task)).alias("tasks"))
+    placed = written(placed, "placed")
+    row_bytes = 96 + 48 * F.size("tasks")
+    if (placed.agg(F.sum(row_bytes)).first()[0] or 0) <= broadcast_bytes:
+        placed = F.broadcast(placed)  # measured; otherwise texts and members meet by hash
+    fetched = keyed.join(placed, keyed["th"].eqNullSafe(F.col("h")) & keyed["doc_id"].eqNullSafe(F.col("id")))
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # repeated rows of a representative
+        for batch in text_slices(batches, "text"):
+            w = words_of(batch.column("text"), lower=True)
+            own = ngram_sets(w.hashes, w.ptr, n)
+            keep = []
+            for s, k1, k2, v in zip(own, *(batch.column(c).to_pylist() for c in ("k1", "k2", "v")), strict=True):
+                keep.append(v not in seen and set_key(s) == (k1, k2))  # another text may have its id and hash
+                if keep[-1]:
+                    seen.add(v)
+            made = pa.RecordBatch.from_pydict({**{c: batch.column(c) for c in ("v", "copies", "root", "tasks")}, "elements": pa.array([s.tobytes() for s in own], pa.binary())})
+            yield made.filter(pa.array(keep, pa.bool_()))
+
+    held = fetched.select("v", "copies", "root", "k1", "k2", "tasks", "text").mapInArrow(
+        shingled, "v long, copies long, root long, tasks array<struct<task:string,side:int>>, elements binary")
+    held = held.select("v", "copies", "root", "elements", F.inline("tasks"))
 
     def verified(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, part in pdf.groupby("root", sort=False):
+        for _, part in pdf.drop_duplicates("v").groupby("root", sort=False):
             own = [np.frombuffer(e, np.uint64) for e in part["elements"]]
             side, v, copies = (part[c].to_numpy() for c in ("side", "v", "copies"))
             left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
@@ -367,7 +377,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
                 out.append(pd.DataFrame({"v": v[some], "up": v[root[some]], "links": links[some].astype(np.int64)}))
         return pd.concat(out) if out else pd.DataFrame({"v": [], "up": [], "links": []}).astype("int64")
 
-    links = placed.unionByName(packed).groupBy("task").applyInPandas(verified, "v long, up long, links long")
+    links = held.groupBy("task").applyInPandas(verified, "v long, up long, links long")
     links = written(links, "links")
     up = components(links, "v", "up")
     degree = links.groupBy("v").agg(F.sum("links").alias("links"))
