@@ -311,9 +311,9 @@ def test_shuffle(spark, docs, none):
 
 # -- 7
 
-@pytest.mark.parametrize(("n", "p", "block"), [(3, 90, 128), (5, 80, 128), (2, 60, 4)])
-def test_jaccard_join(spark, docs, rows, none, n, p, block):
-    got = pigeonhole_join.jaccard_join(docs, n=n, p=p, block=block, block_elements=1 << 20)
+@pytest.mark.parametrize(("n", "p", "block", "most"), [(3, 90, 128, 1 << 25), (5, 80, 128, 1 << 25), (2, 60, 4, 0)])
+def test_jaccard_join(spark, docs, rows, none, n, p, block, most):
+    got = pigeonhole_join.jaccard_join(docs, n=n, p=p, block=block, block_elements=1 << 20, broadcast_bytes=most)
     assert Counter(map(tuple, got.select("doc_id", "n_shingles", "n_links", "component_id").collect())) == cases.jaccard(rows, n, p)
     assert pigeonhole_join.jaccard_join(none).count() == 0
 
