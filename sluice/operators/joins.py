@@ -1,7 +1,7 @@
 """Joins against dimension tables with a checked broadcast.
 
-A side is broadcast only when the optimizer's size estimate -- an upper bound
-for scans, filters, projections and aggregates without CBO -- is below
+A side is broadcast only when the optimizer's size estimate times an expansion
+factor (a Parquet scan's estimate is its compressed size) is below
 ``max_bytes`` (32 MiB, or ``spark.sluice.broadcast.maxBytes``).  Otherwise the join is left to the planner: a shuffle join,
 which AQE still turns into a broadcast at run time when the materialised side
 is small.  So nothing is broadcast whose size grows with the data unchecked.
@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 # broadcast is sent to every executor, so on a 1000-executor cluster the
 # bound is paid a thousand times.
 DEFAULT_MAX_BROADCAST_BYTES = 32 << 20
+# What a compressed file may grow to in memory, at worst for the dimension tables
+# meant here (short strings, dictionary-encoded); beyond it AQE decides at run time.
+EXPANSION = 8
 MAX_BROADCAST_CONF = "spark.sluice.broadcast.maxBytes"
 
 
@@ -40,7 +43,7 @@ def checked_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     else ``df`` unchanged (shuffle join / AQE decides)."""
     max_bytes = max_broadcast_bytes(df) if max_bytes is None else max_bytes
     size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
+    if size is not None and size * EXPANSION <= max_bytes:
         return F.broadcast(df)
     return df
 

@@ -89,27 +89,33 @@ def _key_default(dtype: T.DataType) -> Column:
 def prefix_scan(df: DataFrame, keys: list[str], order: str | list[str],
                 aggs: dict[str, tuple[str, Column]],
                 block_size: int | None = DEFAULT_BLOCK, keep_block: bool = False,
-                exclusive: bool = False,
+                exclusive: bool = False, by_position: bool = False,
                 keep_blocks: "Callable[[dict[str, Column]], Column] | None" = None) -> DataFrame:
     """Add one column per ``aggs`` entry: the inclusive (or with ``exclusive``,
     strictly-before) running aggregate of the given expression over rows with
     the same ``keys`` ordered by ``order``.
 
-    ``order`` is an integer column (blocks are cut on it), optionally followed
+    ``order`` is an integer column (blocks are cut on it: it should be dense, a
+    counter or an offset), optionally followed
     by tie-breaking columns; the whole order must be unique within a key
     (ties would make any running value ambiguous).  Keys may be null (a null key is its own
     group).  With ``keep_block`` the internal key/block columns stay in the
     output; a second scan over the same keys then reuses them -- and the
     partitioning the first scan left behind -- instead of shuffling again.
+    With ``by_position`` the order may be of any sortable type and any density
+    (a timestamp, say) and have many ties before its last column: rows are
+    range-partitioned by (key, order) once and checkpointed, and a block is one of
+    these partitions, so blocks have about equally many rows and a key has as many
+    totals as it has partitions.
     ``keep_blocks`` gets the block offset columns (the aggregate of all
     earlier blocks, by name; null for a key's first block) and returns a
     predicate: blocks failing it are dropped before the per-row window -- for
     a monotone running value this bounds the work by the rows that can still
     qualify (e.g. a fetch slice of 1 MiB from a huge partition).
     """
-    if block_size is None:
+    if block_size is None and not by_position:
         block_size = MAX_BLOCK if BLOCK_COL in df.columns else auto_block_size(df)
-    if block_size < 1:
+    if block_size is not None and block_size < 1:
         raise ValueError("block_size must be positive")
     for kind, _ in aggs.values():
         if kind not in _AGG:
@@ -125,12 +131,17 @@ def prefix_scan(df: DataFrame, keys: list[str], order: str | list[str],
     # Non-nullable key and block columns: plain equi-join keys (a null-safe
     # join would hash on rewritten keys and force the window to re-shuffle).
     d = df
-    if not internal <= set(df.columns):
+    keyed = [*[F.coalesce(F.col(k), _key_default(df.schema[k].dataType)).alias(f"_scan_k{i}")
+               for i, k in enumerate(keys)],
+             *[F.isnull(F.col(k)).alias(f"_scan_n{i}") for i, k in enumerate(keys)]]
+    if by_position and not internal <= set(df.columns):
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        d = df.select(*[F.col(c) for c in base_cols], *keyed).repartitionByRange(parts, *skeys, *order_cols)
+        d = materialize(d.withColumn(blk, F.spark_partition_id().cast("long")))
+    elif not internal <= set(df.columns):
         d = df.select(
             *[F.col(c) for c in base_cols],
-            *[F.coalesce(F.col(k), _key_default(df.schema[k].dataType)).alias(f"_scan_k{i}")
-              for i, k in enumerate(keys)],
-            *[F.isnull(F.col(k)).alias(f"_scan_n{i}") for i, k in enumerate(keys)],
+            *keyed,
             F.coalesce(F.floor(F.col(order_cols[0]) / F.lit(block_size)).cast("long"),
                        F.lit(-1).cast("long")).alias(blk))
     inputs = {name: f"_scan_in_{name}" for name in aggs}
@@ -180,7 +191,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def running_count(df: DataFrame, keys: list[str], order: str | list[str], name: str = "rank",
-                  block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
+                  block_size: int | None = DEFAULT_BLOCK, by_position: bool = False) -> DataFrame:
     """1-based position of each row within its key in ``order`` (a skew-safe
     ``row_number``)."""
-    return prefix_scan(df, keys, order, {name: ("sum", F.lit(1).cast("long"))}, block_size)
+    return prefix_scan(df, keys, order, {name: ("sum", F.lit(1).cast("long"))}, block_size, by_position=by_position)

@@ -44,3 +44,17 @@ def test_scan_keeps_block_and_reuses_it(spark):
     assert "_scan_blk" not in p2.columns
     for r in p2.collect():
         assert r.m >= r.s or r.s < 0
+
+
+def test_blocks_by_position_take_any_order(spark):
+    """A microsecond time with ties as the order, a key with a third of all rows, null keys."""
+    n = 5000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"),
+        (F.timestamp_seconds((F.col("id") * 7919 % 100) * 3601 + 0.000001)).alias("at"), "id", (F.col("id") % 11).alias("v"))
+    got = prefix_scan(df, ["k"], ["at", "id"], {"s": ("sum", F.col("v"))}, by_position=True)
+    w = Window.partitionBy("k").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = df.withColumn("s", F.sum("v").over(w))
+    assert sorted(map(str, got.select("id", "s").collect())) == sorted(map(str, want.select("id", "s").collect()))
+    placed = running_count(df, ["k"], ["at", "id"], by_position=True)
+    assert placed.where("k = 'hot'").agg(F.max("rank")).first()[0] == df.where("k = 'hot'").count()
