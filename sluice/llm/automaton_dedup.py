@@ -211,6 +211,7 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     routed = seen.join(twice, "m").groupBy("h1", "h2").agg(F.collect_set("m").alias("ms"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # a task sends the words of a piece once
         for batch in batches:
             keys = zip(batch.column("h1").to_pylist(), batch.column("h2").to_pylist(), batch.column("copies").to_pylist(), batch.column("ms"), strict=True)
             for texts, w in _texts(batch.column("z")):
@@ -220,18 +221,21 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     m, words = m.view(np.int64), text.split()  # bytes split at the same characters
                     for i in np.flatnonzero(np.isin(m, ms.values.to_numpy())).tolist():
                         s, c = int(start[i]), int(count[i])
-                        for col, x in zip(rows.values(), (h1, h2, copies, int(m[i]), s, c, b" ".join(words[s:s + c + length - 1])), strict=True):
+                        piece = b" ".join(words[s:s + c + length - 1])
+                        ph = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little", signed=True)
+                        for col, x in zip(rows.values(), (h1, h2, copies, int(m[i]), s, c, ph, None if ph in seen else piece), strict=True):
                             col.append(x)
+                        seen.add(ph)
                 yield pa.RecordBatch.from_pydict(rows, schema=_PIECE)
 
     # a text that has copies is removed whole; here one of them stands for all
-    cuts = texts.join(routed, ["h1", "h2"]).select("h1", "h2", "copies", "ms", "z").mapInArrow(cut, "h1 long, h2 long, copies long, m long, start long, n int, piece binary")
-    cuts = written(cuts.withColumn("ph", F.xxhash64("piece")), "pieces")
+    cuts = texts.join(routed, ["h1", "h2"]).select("h1", "h2", "copies", "ms", "z").mapInArrow(cut, "h1 long, h2 long, copies long, m long, start long, n int, ph long, piece binary")
+    cuts = written(cuts, "pieces")
     pieces = written(cuts.groupBy("m", "ph").agg(F.sum("copies").alias("times")), "references")
     groups = pieces.groupBy("m").agg(F.count("*").alias("pieces"), F.count_if(F.col("times") == 1).alias("single"))
     groups = written(groups.where("pieces > 1 and single > 0"), "groups")
     wanted = written(pieces.join(groups.select("m", (F.col("pieces") > most_pieces).alias("hot")), "m"), "wanted")
-    open_ = cuts.select("m", "ph", "piece").join(wanted, ["m", "ph"]).groupBy("m", "ph", "times", "hot").agg(F.first("piece").alias("piece"))
+    open_ = cuts.where("piece is not null").select("m", "ph", "piece").join(wanted, ["m", "ph"]).groupBy("m", "ph", "times", "hot").agg(F.first("piece").alias("piece"))
     open_ = written(open_, "open")
 
     # reference shards
@@ -297,5 +301,5 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return hashed.select("doc_id", "h1", "h2").join(result, ["h1", "h2"]).select("doc_id", "n_words", "spans", "n_removed", "kept")
 
 
-_PIECE = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("copies", pa.int64()), ("m", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("piece", pa.binary())])
+_PIECE = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("copies", pa.int64()), ("m", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("ph", pa.int64()), ("piece", pa.binary())])
 _RESULT = (pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.int64(), pa.string())
