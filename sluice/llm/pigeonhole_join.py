@@ -16,7 +16,9 @@ Copies (equal sets) are one set from the start.  Buckets are never expanded into
 members of a bucket that it sees to the least of them and sends that one on, packed with the other signatures
 of the same part of the hash space; the part's task ties the least members of all map tasks in the same way.
 So a bucket has one entry a map task at most, however hot it is, and the ties give the components of the
-candidate graph.  All similar pairs lie inside such a component.  Each component is verified exactly:
+candidate graph.  All similar pairs lie inside such a component.  Before that the same entries are counted: the
+slack makes similar pairs agree in several segments, so a set that shares fewer signatures is similar to none and
+is left out of the ties, which keeps chance ties from joining groups.  Each component is verified exactly:
 small ones packed together, large ones dealt into blocks by size, every pair of blocks whose sizes allow a link
 in a task of its own.  A task returns a spanning forest of its links and the number of links of each set.
 """
@@ -120,17 +122,22 @@ def set_key(s: np.ndarray) -> tuple[int, int]:
 def signatures(s: np.ndarray, p: int) -> np.ndarray:
     """Signatures of a set under the scheme of its band and, if it can be similar to a set of the band below,
     under that band's."""
+    return indexed(s, p)[0]
+
+
+def indexed(s: np.ndarray, p: int) -> tuple[np.ndarray, int]:
+    """The signatures, and how many of them a set must share with others to be similar to any."""
     n = len(s)
     if n * 100 < p * (n + 1):  # similar to itself only
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), 1
     own = band_of(n, p)
     out = [_signed(s, own, p)]
     if own and band_top(own - 1, p) * 100 >= p * n:
         out.append(_signed(s, own - 1, p))
-    return np.unique(np.concatenate(out))
+    return np.unique(np.concatenate([x for x, _ in out])), min(x for _, x in out)
 
 
-def _signed(s: np.ndarray, band: int, p: int) -> np.ndarray:
+def _signed(s: np.ndarray, band: int, p: int) -> tuple[np.ndarray, int]:
     m, ones, slack, least = scheme(band, p)
     seg = ((mix64(s + np.uint64(band)) >> np.uint64(33)) % np.uint64(m)).astype(np.int64)
     part = mix64(s ^ np.uint64(0xC0FFEE))
@@ -143,14 +150,18 @@ def _signed(s: np.ndarray, band: int, p: int) -> np.ndarray:
     loose = np.arange(m) < ones
     # a loose segment counts on if it and all subsets one element away are indexed
     weak = size < least + loose
-    drop = int((weak * (1 + loose)).sum()) <= slack
+    lost = int((weak * (1 + loose)).sum())
+    drop = lost <= slack
+    # segments in which a similar pair differs too much use up T + 1 of its differences each: those in which it
+    # agrees make up slack + 1 at least, less what is left out
+    need = -(-(slack + 1 - lost) // (2 if ones else 1)) if drop else 1
     at = mix64(np.arange(m, dtype=np.uint64) + np.uint64(band << 32))
     exact = np.arange(m)[size >= least] if drop else np.arange(m)
     out = [mix64(total[exact] + at[exact])]
     if ones:  # one deletion each
         keep = loose[seg] & ((size[seg] > least) if drop else True)
         out.append(mix64(total[seg[keep]] - part[keep] + at[seg[keep]]))
-    return np.concatenate(out).view(np.int64)
+    return np.concatenate(out).view(np.int64), max(1, need)
 
 
 def _least_members(sig: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -183,40 +194,87 @@ def _unpacked(raw: bytes) -> tuple[int, np.ndarray, np.ndarray]:
     return kind, a, who[place]
 
 
-def _entries(n: int, p: int, parts: int):
-    """Texts to packed index entries by part of the hash space, and the ties seen on the way."""
-    def send(sigs: list[np.ndarray], keys: list[int]) -> pa.RecordBatch:
+def _entries(n: int, p: int, parts: int, count: bool):
+    """Texts to packed index entries by part of the hash space, and the ties seen on the way; with ``count`` the
+    numbers of signatures shared and needed instead of the ties.  Kinds: 0 entries, 1 ties or numbers shared, 2 entries
+    already shared, 3 numbers needed."""
+    def send(sigs: list[np.ndarray], keys: list[int], needs: list[int]) -> pa.RecordBatch:
         sig = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
         member = np.repeat(np.array(keys, np.int64), [len(s) for s in sigs])
-        sig, member, ties = _least_members(sig, member)
-        order = np.lexsort((sig, member))  # by member: the places pack well
-        sig, member = sig[order], member[order]
-        part = (mix64(sig.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        sig, member, part = sig[order], member[order], part[order]
-        edge = np.append(np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))), len(part)) if len(part) else [0]
-        rows = [(int(part[i]), _packed(0, sig[i:j], member[i:j])) for i, j in zip(edge[:-1], edge[1:], strict=True)]
-        if len(ties):
-            rows.append((int(ties[0, 0] % parts), _packed(1, ties[:, 0], ties[:, 1])))
+        rows: list[tuple[int, bytes]] = []
+        if count:
+            sig, member = _different(sig, member)
+            first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))) if len(sig) else np.zeros(0, np.int64)
+            several = np.diff(np.append(first, len(sig))) > 1
+            who, times = np.unique(member[np.repeat(several, np.diff(np.append(first, len(sig))))], return_counts=True)
+            if len(who):
+                rows.append((int(who[0] % parts), _packed(1, times, who)))
+            if keys:
+                rows.append((int(keys[0] % parts), _packed(3, np.array(needs, np.int64), np.array(keys, np.int64))))
+            for kind, at in ((0, first[~several]), (2, first[several])):
+                rows += _by_part(kind, sig[at], member[at], parts)
+        else:
+            sig, member, ties = _least_members(sig, member)
+            rows += _by_part(0, sig, member, parts)
+            if len(ties):
+                rows.append((int(ties[0, 0] % parts), _packed(1, ties[:, 0], ties[:, 1])))
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "entries"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, keys, held = [], [], 0
+        sigs, keys, needs, held = [], [], [], 0
         for batch in text_slices(batches, "text"):
             w = words_of(batch.column("text"), lower=True)
             for own in ngram_sets(w.hashes, w.ptr, n):
-                made = signatures(own, p)
+                made, need = indexed(own, p)
                 if len(made):
                     sigs.append(made)
                     keys.append(set_key(own)[0])
+                    needs.append(need)
                     held += len(made)
                 if held >= _GATHER:
-                    yield send(sigs, keys)
-                    sigs, keys, held = [], [], 0
-        yield send(sigs, keys)
+                    yield send(sigs, keys, needs)
+                    sigs, keys, needs, held = [], [], [], 0
+        yield send(sigs, keys, needs)
     return run
 
 
+def _different(sig: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs, sorted."""
+    order = np.lexsort((member, sig))
+    sig, member = sig[order], member[order]
+    new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (member[1:] != member[:-1]))) if len(sig) else np.zeros(0, bool)
+    return sig[new], member[new]
+
+
+def _by_part(kind: int, sig: np.ndarray, member: np.ndarray, parts: int) -> list[tuple[int, bytes]]:
+    order = np.lexsort((sig, member))  # by member: the places pack well
+    sig, member = sig[order], member[order]
+    part = (mix64(sig.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    sig, member, part = sig[order], member[order], part[order]
+    edge = np.append(np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))), len(part)) if len(part) else [0]
+    return [(int(part[i]), _packed(kind, sig[i:j], member[i:j])) for i, j in zip(edge[:-1], edge[1:], strict=True)]
+
+
+def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one part of the hash space: (member, signatures it shares, signatures it needs to share).  A member that a
+    map task has counted for a signature is not counted for it again; copies seen by several tasks may be."""
+    held = [_unpacked(r) for r in pdf["entries"]]
+    out = [pd.DataFrame({"k1": b, "shared": a if kind == 1 else 0, "need": a if kind == 3 else 0}) for kind, a, b in held if kind in (1, 3)]
+    entries = [(a, b, np.full(len(a), kind == 2)) for kind, a, b in held if kind in (0, 2)]
+    if entries:
+        sig, member, counted = (np.concatenate(x) for x in zip(*entries, strict=True))
+        order = np.lexsort((~counted, member, sig))  # a counted entry before others of its member
+        sig, member, counted = sig[order], member[order], counted[order]
+        new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (member[1:] != member[:-1])))
+        sig, member, counted = sig[new], member[new], counted[new]
+        first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+        size = np.diff(np.append(first, len(sig)))
+        who, times = np.unique(member[np.repeat(size > 1, size) & ~counted], return_counts=True)
+        out.append(pd.DataFrame({"k1": who, "shared": times, "need": 0}))
+    return pd.concat(out).astype("int64") if out else pd.DataFrame({"k1": [], "shared": [], "need": []}).astype("int64")
+
+
 def _tied(pdf: pd.DataFrame) -> pd.DataFrame:
     """The ties of one part of the hash space."""
     held = [_unpacked(r) for r in pdf["entries"]]
@@ -311,7 +369,17 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     # candidates: a set is its first key here; that two sets could share it only adds candidates
     elements = full.agg(F.sum("n")).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), elements // 2_000_000)
-    ties = base.select("text").mapInArrow(_entries(n, p, parts), "part int, entries binary").groupBy("part").applyInPandas(_tied, "a long, b long")
+    packed = "part int, entries binary"
+    shares = base.select("text").mapInArrow(_entries(n, p, parts, True), packed).groupBy("part").applyInPandas(_shared, "k1 long, shared long, need long")
+    shares = shares.groupBy("k1").agg(F.sum("shared").alias("shared"), F.max("need").alias("need"))
+    # a set that shares fewer signatures than any similar pair does is similar to none
+    likely = written(shares.where("shared >= need").select("k1"), "likely")
+    likely = sets.join(likely, "k1").select(F.col("rep.doc_id").alias("id"), F.col("rep.th").alias("h"))
+    likely = written(likely, "likely-texts")
+    if likely.count() * 64 <= broadcast_bytes:
+        likely = F.broadcast(likely)  # two numbers a row
+    again = keyed.join(likely, keyed["th"].eqNullSafe(F.col("h")) & keyed["doc_id"].eqNullSafe(F.col("id"))).select("text")
+    ties = again.mapInArrow(_entries(n, p, parts, False), packed).groupBy("part").applyInPandas(_tied, "a long, b long")
     roots = components(ties, "a", "b")
 
     # tasks: small components whole, several to a task; of large ones the blocks of equal or neighbouring size bands
