@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm import bitplane, curriculum, pigeonhole_join, queries, string_tiling, toxicity_grammar
@@ -27,32 +27,49 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the documents that five-word shingles and a Jaccard similarity of 0.8 link, the one with the smallest id
-    stays.  Texts without words are nobody's copies and stay; so do documents without an id, if no document with an
-    id is in their group: then the one row the join lists first by hash."""
+    stays; documents without an id come after those with one, and of several with that id, or without one, the one
+    whose text has the least hash stays.  Texts without words are nobody's copies and all stay."""
     docs = docs.select(*COLUMNS)
     groups = pigeonhole_join.jaccard_join(docs, n=5, p=80)
-    kept = groups.where((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = written(kept.select(F.col("doc_id").alias("__id")), "kept")
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]), "left_semi")
-    return out.dropDuplicates(["doc_id", "text"])  # repeated rows are copies
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("component_hash"))
+    kept = groups.where((F.col("n_shingles") == 0) | first)
+    kept = kept.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h"), (F.col("n_shingles") == 0).alias("__empty")).distinct()
+    kept = written(kept, "kept")
+    out = docs.withColumn("__hash", F.xxhash64("text")).join(kept, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")))
+    out = out.withColumn("__own", F.when(F.col("__empty"), F.monotonically_increasing_id()))
+    return out.dropDuplicates(["doc_id", "text", "__own"]).select(*COLUMNS)  # repeated rows with words are copies
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose tiles cover half of a benchmark item's words go."""
-    docs = docs.select(*COLUMNS)
-    leaks = string_tiling.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__id")).distinct()
+    docs = docs.select(*COLUMNS).withColumn("__hash", F.xxhash64("text"))  # the verdict is the text's, whatever its id
+    leaks = string_tiling.decontaminate(docs, table(spark, sf_dir, "benchmark"), doc_id="__hash").select(F.col("doc_id").alias("__hash")).distinct()
     leaks = written(leaks, "leaks")
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["__id"]), "left_anti")
+    return docs.join(leaks, "__hash", "left_anti").select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them (none to three times); those it leaves out go."""
+    """Documents as often as the mix takes them (none to three times); those it leaves out go.
+
+    The mix numbers the rows of one id, source and size; here the number goes to them in the order of their hashes.
+    Equal rows take their copies together."""
     docs = docs.select(*COLUMNS)
-    mixed = curriculum.curriculum(docs)
-    times = written(mixed.where(F.size("times") > 0).groupBy("doc_id", "size").agg(F.max(F.size("times")).alias("copies")), "times")
-    sized = docs.withColumn("__size", curriculum.n_words(F.col("text")))
-    taken = sized.join(times.select(F.col("doc_id").alias("__id"), "size", "copies"), sized["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("size")))
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+    whole = F.xxhash64(*(x for c in COLUMNS for x in (F.isnull(c), F.col(c))))  # a null alone leaves no trace in a hash
+    docs = docs.withColumns({"__size": curriculum.n_words(F.col("text")), "__hash": whole})
+    equal = docs.groupBy("doc_id", "source", "__size", "__hash").agg(F.count("*").alias("rows"))
+    upto = Window.partitionBy("doc_id", "source", "__size").orderBy("__hash").rowsBetween(Window.unboundedPreceding, 0)
+    own = equal.withColumn("upto", F.sum("rows").over(upto))
+    own = own.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "__size", "__hash", "rows",
+                     F.explode(F.sequence(F.col("upto") - F.col("rows") + 1, F.col("upto"))).alias("__n"))
+    mixed = curriculum.curriculum(docs).where(F.size("times") > 0)
+    taken = mixed.join(own, mixed["doc_id"].eqNullSafe(own["__id"]) & mixed["source"].eqNullSafe(own["__source"])
+                       & (mixed["size"] == own["__size"]) & (mixed["n"] == own["__n"]))
+    taken = written(taken.select("__id", F.col("__hash").alias("__h"), "rows", F.explode("times").alias("time")), "taken")
+    this = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h"))
+    # a row of which there are equal ones is there once, for the copies of all of them
+    several = docs.join(taken.where("rows > 1"), this, "left_semi").dropDuplicates(["doc_id", "__hash"])
+    out = docs.join(taken.where("rows = 1"), this).unionByName(several.join(taken.where("rows > 1"), this))
+    return out.select(*COLUMNS)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

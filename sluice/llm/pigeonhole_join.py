@@ -340,13 +340,15 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 3, p: int = 90,
                  block: int = 128, block_elements: int = 1 << 20, broadcast_bytes: int = 32 << 20) -> DataFrame:
-    """Every row of ``docs`` as (doc_id, n_shingles, n_links, component_id) under Jaccard similarity of at least
-    p % of the sets of word n-grams; words are lowered (A-Z).
+    """Every row of ``docs`` as (doc_id, n_shingles, n_links, component_id, text_hash, component_hash) under Jaccard
+    similarity of at least p % of the sets of word n-grams; words are lowered (A-Z).
 
     n_links counts the other rows that the row's set is similar or equal to; component_id is the smallest doc_id
     of the rows that links reach, the row itself included.  A text with fewer than n words is one n-gram; empty and
     null texts have no n-grams and no links.  Repeated rows are copies, linked with each other.  A null doc_id is
-    never a component_id unless no other id is there.  Other columns are ignored; an empty table gives no rows.
+    never a component_id unless no other id is there.  text_hash is the xxhash64 of the row's text, component_hash the
+    least one among the rows of the component that have its component_id: with the ids they tell rows of one id, or
+    without one, apart.  Other columns are ignored; an empty table gives no rows.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
@@ -362,7 +364,8 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     keyed = base.withColumn("th", F.xxhash64("text"))
     rows = written(keyed.mapInArrow(made, "doc_id long, th long, n long, k1 long, k2 long"), "sets")
     full = rows.where("n > 0")
-    sets = full.groupBy("k1", "k2").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"),
+    first = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "th")  # null ids last
+    sets = full.groupBy("k1", "k2").agg(F.min(first).alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"),
                                         F.min(F.struct("doc_id", "th")).alias("rep"))
     sets = written(sets.withColumn("v", F.monotonically_increasing_id()), "classes")
 
@@ -449,11 +452,14 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     links = written(links, "links")
     up = components(links, "v", "up")
     degree = links.groupBy("v").agg(F.sum("links").alias("links"))
-    ids = sets.join(up, sets["v"] == up["node"]).groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = up.join(ids, "root").select(F.col("node").alias("v"), "component_id").join(degree, "v")
+    ids = sets.join(up, sets["v"] == up["node"]).groupBy("root").agg(F.min("first").alias("least"))
+    linked = up.join(ids, "root").select(F.col("node").alias("v"), "least").join(degree, "v")
     result = sets.join(linked, "v", "left").select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                                                   F.coalesce("component_id", "first_id").alias("component_id"))
+                                                   F.coalesce("least", "first").alias("least"))
+    result = result.select("k1", "k2", "n_links", F.col("least.doc_id").alias("component_id"), F.col("least.th").alias("component_hash"))
     result = written(result, "result")
-    own = rows.select("doc_id", "n", "k1", "k2")
-    out = own.where("n > 0").join(result, ["k1", "k2"]).select("doc_id", F.col("n").alias("n_shingles"), "n_links", "component_id")
-    return out.unionByName(own.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id")))
+    own = rows.select("doc_id", F.col("n").alias("n_shingles"), "k1", "k2", F.col("th").alias("text_hash"))
+    columns = ("doc_id", "n_shingles", "n_links", "component_id", "text_hash", "component_hash")
+    out = own.where("n_shingles > 0").join(result, ["k1", "k2"]).select(*columns)
+    alone = own.where("n_shingles = 0").withColumns({"n_links": F.lit(0).cast("long"), "component_id": F.col("doc_id"), "component_hash": F.col("text_hash")})
+    return out.unionByName(alone.select(*columns))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sluice.llm import oracle, queries, string_tiling
+from sluice.llm import curriculum, oracle, queries, string_tiling
 from sluice.llm.common import words_of
 from tests.conftest import SF_SMALL
 from tests.llm import cases
@@ -93,3 +93,51 @@ def test_pipeline_keeps_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_SMALL).cache()
     assert docs.count() > 0
+
+
+def _odd_ids(spark, rows):
+    """Documents of (doc_id, text, source)."""
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    return df.select("doc_id", "text", F.lit("en").alias("lang"), "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def _texts(n, words, start=0):
+    return [" ".join(f"w{start + i}x{k}" for k in range(words)) for i in range(n)]
+
+
+def test_near_duplicates_tell_rows_of_one_id_apart(spark):
+    a, b, c, d = _texts(4, 60)
+    near = lambda t: t + " more"
+    rows = [(None, ""), (None, ""), (None, a), (None, near(a)), (None, b), (1, near(b)), (5, c), (5, near(c)), (5, d), (3, near(d)), (None, near(d)), (5, "single"), (5, "single")]
+    got = corpus_pipeline.near_duplicates(spark, _odd_ids(spark, [(*r, "s") for r in rows]), SF_SMALL)
+    got = Counter((r["doc_id"], r["text"]) for r in got.collect())
+    for group in ([(None, a), (None, near(a))], [(5, c), (5, near(c))]):
+        assert sum(got.pop(r, 0) for r in group) == 1
+    assert got == Counter({(None, ""): 2, (1, near(b)): 1, (3, near(d)): 1, (5, "single"): 1})
+
+
+def test_decontamination_tells_rows_of_one_id_apart(spark):
+    item = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").first()["text"]
+    a, b = _texts(2, 60)
+    rows = [(None, item), (None, a), (None, None), (None, a), (7, b), (7, item), (7, a), (8, item)]
+    got = corpus_pipeline.decontamination(spark, _odd_ids(spark, [(*r, "s") for r in rows]), SF_SMALL)
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([(None, a), (None, None), (None, a), (7, b), (7, a)])
+
+
+def test_mixing_tells_rows_of_one_id_apart(spark):
+    # equal sizes; heavy sources repeat, light ones lose rows
+    rows = [(None, t, "abc"[i % 3]) for i, t in enumerate(_texts(90, 10))] + [(4, t, "abc"[i % 3]) for i, t in enumerate(_texts(90, 10, 100))]
+    rows += [(None, "the same words " * 3, "c")] * 30
+    docs = _odd_ids(spark, rows).cache()
+    mix = curriculum.curriculum(docs).collect()
+    want = Counter()
+    for r in mix:
+        want[r["doc_id"], r["source"], r["size"]] += len(r["times"])
+    assert len({len(r["times"]) for r in mix}) > 1
+    out = corpus_pipeline.mixing(spark, docs, SF_SMALL)
+    assert out.columns == docs.columns
+    out = out.collect()
+    got = Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in out)
+    assert got == Counter({k: n for k, n in want.items() if n})
+    each, there = Counter((r["doc_id"], r["source"], r["text"]) for r in out), Counter(rows_ := [(i, s, t) for i, t, s in rows])
+    assert set(each) <= set(rows_) and all(n <= 3 * there[k] for k, n in each.items())
