@@ -1,7 +1,8 @@
 """Corpus pipeline: toxicity filter, near-duplicate removal, benchmark decontamination, mixing, token files.
 
 A stage is (spark, docs, sf_dir) -> DataFrame; ``run`` writes what each returns as Parquet in the shared folder
-and reads it again as the next one's docs.  All but the last return the columns of ``documents``.
+and reads it again as the next one's docs.  All but the last return the columns of ``documents``; the mixing stage
+adds the training time of each copy, by which the token files are ordered.
 """
 
 from __future__ import annotations
@@ -48,8 +49,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(leaks, "__hash", "left_anti").select(*COLUMNS)
 
 
-def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them (none to three times); those it leaves out go.
+def scheduled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them (none to three times), each copy with its training time; those the mix
+    leaves out go.
 
     The mix numbers the rows of one id, source and size; here the number goes to them in the order of their hashes.
     Equal rows take their copies together."""
@@ -69,13 +71,20 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # a row of which there are equal ones is there once, for the copies of all of them
     several = docs.join(taken.where("rows > 1"), this, "left_semi").dropDuplicates(["doc_id", "__hash"])
     out = docs.join(taken.where("rows = 1"), this).unionByName(several.join(taken.where("rows > 1"), this))
-    return out.select(*COLUMNS)
+    return out.select(*COLUMNS, "time")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copies of ``scheduled`` without their times."""
+    return scheduled(spark, docs, sf_dir).select(*COLUMNS)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the texts, read back: (doc_id, start, n_tokens, ids_crc32) of every document."""
+    """Token files of the texts, read back: (doc_id, start, n_tokens, ids_crc32) of every document.
+
+    Documents with a ``time`` lie in the order of their times, others in that of their ids."""
     path = scratch(spark, "pipeline-tokens")
-    bitplane.write_tokens(docs, path, queries.tokenizer_path())
+    bitplane.write_tokens(docs, path, queries.tokenizer_path(), order="time" if "time" in docs.columns else None)
     return bitplane.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
@@ -83,7 +92,7 @@ STAGES = [
     ("toxicity", toxicity),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
-    ("mixing", mixing),
+    ("mixing", scheduled),
     ("token_files", token_files),
 ]
 

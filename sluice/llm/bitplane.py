@@ -8,7 +8,7 @@ The container is a Parquet table that Spark writes, one row a segment, so any st
 it and a lost task is written again.  A row carries its chunk index: the places of its documents and, for
 each block, the number of ids and the sizes of the planes.  ``read_index`` reads that index alone.
 
-Documents are range-partitioned by id and sorted, so files are in ascending order of ids.  No document crosses
+Documents are range-partitioned by id, or by an order column, and sorted, so files are in that order.  No document crosses
 a segment: files are read back in any split, without a shuffle.  The place of a segment among all ids is the
 number of ids of earlier parts (a table of one row a part) plus its place in its part.
 """
@@ -168,17 +168,20 @@ _SPELLED = _spelled()
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2,
-                 planes: str = "byte", level: int = 3) -> None:
-    """Writes the ids of every text, each followed by ``end_id``, in ascending order of ids to token files.
+                 planes: str = "byte", level: int = 3, order: str | None = None) -> None:
+    """Writes the ids of every text, each followed by ``end_id``, to token files in ascending order of document ids,
+    or of the column ``order`` (a training time, say) and then of document ids.
 
-    Null ids come first.  A null or empty text is its end id alone.  Rows that share an id follow each other in
+    Nulls come first.  A null or empty text is its end id alone.  Rows that share an id follow each other in
     the order of their texts; repeated rows are written as often as they occur.  Other columns are ignored.  An
     empty table makes a table without segments.
     """
     if planes not in ("byte", "bit"):
         raise ValueError(f"unknown planes {planes!r}")
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    first = [] if order is None else [F.col(order).alias("place")]
+    by = ["place", "id"] if first else ["id"]
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *first)
+    rows = rows.repartitionByRange(*by).sortWithinPartitions(*by, "text").select("id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()

@@ -141,3 +141,20 @@ def test_mixing_tells_rows_of_one_id_apart(spark):
     assert got == Counter({k: n for k, n in want.items() if n})
     each, there = Counter((r["doc_id"], r["source"], r["text"]) for r in out), Counter(rows_ := [(i, s, t) for i, t, s in rows])
     assert set(each) <= set(rows_) and all(n <= 3 * there[k] for k, n in each.items())
+
+
+def test_pipeline_trains_in_the_order_of_the_schedule(spark, monkeypatch):
+    stages = dict(corpus_pipeline.STAGES)
+    docs = _odd_ids(spark, [(i, t, "abc"[i % 3]) for i, t in enumerate(_texts(60, 10))]).cache()
+
+    def trained():
+        mixed = stages["mixing"](spark, docs, SF_SMALL).cache()
+        want = [r["doc_id"] for r in mixed.orderBy("time", "doc_id").collect()]
+        got = [r["doc_id"] for r in stages["token_files"](spark, mixed, SF_SMALL).orderBy("start").collect()]
+        assert got == want and len(set(got)) < len(got)
+        assert Counter(got) == Counter(r["doc_id"] for r in curriculum.training_order(curriculum.curriculum(docs)).collect())
+        return got
+    one = trained()
+    assert one != sorted(one)
+    monkeypatch.setattr(curriculum, "SCHEDULES", {w: ((0.0, 2.0 if w == 3 else 0.1), (1.0, 0.1 if w == 3 else 2.0)) for w in (1, 2, 3)})
+    assert trained() != one
