@@ -207,6 +207,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         seen |= own
     total = Counter(r["label"] for r in rows)
 
+    texts = sample.dropDuplicates(["label", "key"])  # exact copies of a kept text count once, as in n_pos and n_neg
+
     def counted(units: frozenset | None, which: int) -> Counter:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             got: Counter = Counter()
@@ -216,7 +218,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                         own = _units(t)
                         got.update(own if units is None else own & units)
             yield pa.RecordBatch.from_pydict({"unit": pa.array(list(got), pa.string()), "n": pa.array(list(got.values()), pa.int64())})
-        out = sample.mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+        out = texts.mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
         return Counter({r["unit"]: r["n"] for r in out.where(F.col("n") >= (4 if units is None else 1)).orderBy(F.desc("n"), "unit").limit(200_000).collect()})
 
     labelled = [r for r in rows if r["key"] in keep]

@@ -426,3 +426,25 @@ def test_encoder_gives_the_ids_of_whole_texts(texts):
 
 
 _ENCODER = bitplane.WordEncoder(tokenizer_path())
+
+
+def _copied(spark, copies, toxic):
+    """Labelled texts of both kinds; a third of the rows is one text with rare words, of the given label."""
+    rng = np.random.default_rng(3)
+    vocabulary = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(300)]
+    data = []
+    for i in range(600):
+        words = rng.choice(vocabulary, 30).tolist()
+        if i % 4 == 0:
+            words[int(rng.integers(30))] = "zorglisch"
+        data.append((i, " ".join(words), int(i % 4 == 0)))
+    hot = " ".join(rng.choice(vocabulary, 28)) + (" qqrare" if toxic else " zorglisch qqrare")
+    data += [(1000 + i, hot, toxic) for i in range(copies)]
+    labelled = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    return toxicity_grammar.learn(labelled.drop("toxic"), labelled.select("doc_id", "toxic"))
+
+
+@pytest.mark.parametrize("toxic", [0, 1])
+def test_toxicity_counts_copies_once(spark, toxic):
+    learned, plain = _copied(spark, 300, toxic).entries, _copied(spark, 1, toxic).entries
+    assert learned == plain and "zorglisch" in learned and "qqrare" not in learned
