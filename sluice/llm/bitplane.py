@@ -101,6 +101,7 @@ class _Known(dict):
 class WordEncoder:
     """Ids of whole texts by a tokenizer that lowers its input, drops white space and lets no token cross it or the
     border of a letter and a mark: a text is cut there, and each different piece is encoded once and remembered.
+    Pieces that hold ``<|`` are not lowered first: the tokenizer looks for its added tokens in the text as it is.
     A piece of lower-case letters alone goes to the tokenizer's model directly, as its steps before the model only
     spell its bytes as characters."""
 
@@ -123,7 +124,9 @@ class WordEncoder:
         if not texts:
             return []
         self.known.age()
-        data = _LOWERED[np.frombuffer(b"\n".join([t or b"" for t in texts]) + b"\n", np.uint8)]
+        raw = np.frombuffer(b"\n".join([t or b"" for t in texts]) + b"\n", np.uint8)
+        data = _LOWERED[raw]
+        _unlower(data, raw)
         # a mark between a letter and white space stands alone
         alone = np.flatnonzero(_MARK[data[1:-1]] & _LETTER[data[:-2]] & _SPACE[data[2:]]) + 1
         ends = np.cumsum([len(t or b"") + 1 for t in texts])
@@ -157,6 +160,16 @@ _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[65:91] += 32
 
 
+def _unlower(data: np.ndarray, raw: np.ndarray) -> None:
+    """Gives the words that hold ``<|`` their letters of ``raw`` back."""
+    at = np.flatnonzero((raw[:-1] == 60) & (raw[1:] == 124))
+    if len(at):
+        space = np.flatnonzero(_SPACE[raw])  # the last byte is one
+        for k in np.unique(np.searchsorted(space, at)).tolist():
+            start, end = int(space[k - 1]) + 1 if k else 0, int(space[k])
+            data[start:end] = raw[start:end]
+
+
 def _spelled() -> dict[int, int]:
     """The characters by which byte-level tokenizers spell bytes: printable ones themselves, the others from 256 on."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -428,6 +428,16 @@ def test_encoder_gives_the_ids_of_whole_texts(texts):
 _ENCODER = bitplane.WordEncoder(tokenizer_path())
 
 
+def test_special_tokens_in_any_case():
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    texts = ["a <|ENDOFTEXT|> b", "<|EndOfText|>", "<|endoftext|>", "X<|endoftext|>Y. Z<|STARTOFTEXT|>, <|StartOfText|>", "A <| B |> <|<|ENDOFTEXT|>|> END.", "", None,
+             "<|", "É<|Endoftext|>É <|startoftext|>", "plain Words <|x"]
+    got = [np.frombuffer(b, "<u4").tolist() for b in bitplane.WordEncoder(tokenizer_path()).encode([None if t is None else t.encode() for t in texts])]
+    assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert got[0] != got[2] and 49407 not in got[1] and got[2] == [49407]
+
+
 def _copied(spark, copies, toxic):
     """Labelled texts of both kinds; a third of the rows is one text with rare words, of the given label."""
     rng = np.random.default_rng(3)
