@@ -65,12 +65,14 @@ FILES_PER_BATCH = 4
 def landed_in_order(spark: SparkSession, folder: str, name: str, order: str, batches: int) -> str:
     """The table as a log that lands over time: ``batches`` ranges of ``order``
     written one after the other (file sources read by time), each as
-    ``FILES_PER_BATCH`` files."""
+    ``FILES_PER_BATCH`` files.  Rows without an ``order`` land with the first."""
     t = fx.table(spark, folder, name)
     cuts = t.stat.approxQuantile(order, [i / batches for i in range(1, batches)], 0.01)
     path = fresh_dir(spark, f"landed-{name}")
     for low, high in zip([None, *cuts], [*cuts, None]):
-        part = t.where((F.lit(True) if low is None else F.col(order) > low) & (F.lit(True) if high is None else F.col(order) <= high))
+        above = F.lit(True) if low is None else F.col(order) > low
+        upto = F.lit(True) if high is None else F.col(order) <= high
+        part = t.where((above & upto) | F.isnull(order) if low is None else above & upto)
         part.repartition(FILES_PER_BATCH).write.mode("append").parquet(path)
     return path
 

@@ -178,3 +178,11 @@ def test_auto_abort_stream_decides_against_event_time(spark):
     assert decided == {(1, "confirmed"), (2, "waiting")}
     still_open = {r.seq for r in spark.read.parquet(f"{base}/out/open").where("batch = 1").collect()}
     assert still_open == {4}
+
+
+def test_rows_without_an_order_land(spark):
+    folder = sp.fresh_dir(spark, "test-null-order")
+    rows = [(None, "a"), (None, "b"), *((i, "c") for i in range(20))]
+    spark.createDataFrame(rows, "k long, v string").write.parquet(f"{folder}/t.parquet")
+    landed_rows = spark.read.parquet(sp.landed_in_order(spark, folder, "t", "k", 3)).collect()
+    assert sorted(map(tuple, landed_rows), key=str) == sorted(rows, key=str)
