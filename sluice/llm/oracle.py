@@ -108,6 +108,56 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.
 FROM d LEFT JOIN kept USING (r)
 """
 
+OP12 = """
+WITH t AS MATERIALIZED (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS no
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  -- CRC-32 of the decimal id, bit by bit: -1 stands for a shift, other values for a byte
+  SELECT conv_id, conv_id - conv_id % 100 AS base, n, xor(4294967295, list_reduce(
+           list_prepend(4294967295, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+             lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda a, v: CASE WHEN v >= 0 THEN xor(a, v) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)) % 6 AS h
+  FROM (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id)
+), r AS (
+  SELECT c.conv_id, t.no AS d, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.no <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.no - c.h + least(c.h, coalesce(b.n, 0)), t.role, t.text
+  FROM c JOIN t USING (conv_id) LEFT JOIN c b ON b.conv_id = c.base WHERE t.no > c.h
+), s AS MATERIALIZED (
+  SELECT c.conv_id, coalesce(list({'role': r.role, 'text': r.text} ORDER BY d) FILTER (WHERE d IS NOT NULL), []) AS seq
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id
+), p AS (
+  SELECT conv_id, d AS depth, seq[1:d] AS node, len(seq) = d AS ends FROM s, unnest(range(0, len(seq) + 1)) x(d)
+), g AS MATERIALIZED (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM p GROUP BY node, depth
+), k AS (SELECT node[1:depth - 1] AS node, depth - 1 AS depth, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY 1, 2),
+below AS (
+  SELECT a.node, a.depth, sum(CASE WHEN b.depth > 0 THEN (b.n_convs - 1) * length(b.node[b.depth].text) ELSE 0 END) AS saved,
+         count_if(k.node IS NULL) AS n_leaves
+  FROM g b LEFT JOIN k ON k.node = b.node AND k.depth = b.depth, unnest(range(0, b.depth + 1)) x(d)
+  JOIN g a ON a.depth = d AND a.node = b.node[1:d] GROUP BY 1, 2
+)
+SELECT g.conv_id, g.depth, up.conv_id AS parent_conv_id, g.n_convs, coalesce(k.n_children, 0) AS n_children,
+       CAST(below.n_leaves AS BIGINT) AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, g.ends_sha256
+FROM g JOIN below USING (node, depth) LEFT JOIN k USING (node, depth)
+LEFT JOIN g up ON g.depth > 0 AND up.depth = g.depth - 1 AND up.node = g.node[1:g.depth - 1]
+"""
+
+OP13 = """
+WITH p AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
+), f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NOT NULL AND (page_id IS NULL OR page_id > first) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS NOT NULL AND (page_id IS NULL OR page_id > first) THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_nra_topk": OP2, "op3_curriculum": OP3, "op7_pigeonhole_join": OP7, "op9_automaton_dedup": OP9, "op10_site_lines": OP10}
+    return {"op2_nra_topk": OP2, "op3_curriculum": OP3, "op7_pigeonhole_join": OP7, "op9_automaton_dedup": OP9, "op10_site_lines": OP10,
+            "op12_conversation_trie": OP12, "op13_warc": OP13}

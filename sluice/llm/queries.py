@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sluice.llm import (
     automaton_dedup,
     bitplane,
+    conversation_trie,
     curriculum,
     hyper_shuffle,
     nra_topk,
@@ -19,6 +20,7 @@ from sluice.llm import (
     site_lines,
     string_tiling,
     toxicity_grammar,
+    warc,
 )
 from sluice.llm.common import scratch, table
 
@@ -102,9 +104,23 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", F.size("lines").cast("long").alias("n_lines"), "n_dropped", F.array_join("kept", "\n").alias("text"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    shared = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(6))
+    nodes = conversation_trie.prefix_trie(*conversation_trie.rebuilt(turns, shared, F.col("conv_id") - F.col("conv_id") % 100, 5))
+    return nodes.drop("h1", "h2")
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    index = warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(index, path, payload=False).drop("url")
+
+
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_toxicity_grammar, op2_nra_topk, op3_curriculum, op4_string_tiling, op5_bitplane,
     op6_hyper_shuffle, op7_pigeonhole_join, op8_pii_spans, op9_automaton_dedup, op10_site_lines,
+    op12_conversation_trie, op13_warc,
 ]
 
 
