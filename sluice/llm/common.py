@@ -70,14 +70,14 @@ class Words(NamedTuple):
     data: np.ndarray
 
 
-def words_of(texts: pa.Array, lower: bool = False) -> Words:
-    """Words and their 64-bit hashes; nulls count as empty.  ``lower`` lowers A-Z."""
+def words_of(texts: pa.Array, lower: bool = False, apart: np.ndarray = _SPACE) -> Words:
+    """Words and their 64-bit hashes; nulls count as empty.  ``lower`` lowers A-Z; ``apart`` flags the bytes between words."""
     texts = texts.cast(pa.large_binary()).fill_null(b"")
     at = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8)[at[0]:at[-1]] if raw is not None and len(texts) else np.zeros(0, np.uint8)
     at = at - at[0] if len(at) else np.zeros(1, np.int64)
-    inside = ~_SPACE[data]
+    inside = ~apart[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     edge = at[(at > 0) & (at < len(data))]

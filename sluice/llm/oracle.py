@@ -108,6 +108,31 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.
 FROM d LEFT JOIN kept USING (r)
 """
 
+OP11 = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents WHERE text IS NOT NULL
+), s AS (SELECT count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS total FROM d WHERE len(ts) > 0),
+q AS MATERIALIZED (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+  FROM benchmark WHERE text IS NOT NULL
+), p AS MATERIALIZED (
+  SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY r, t
+), w AS (
+  SELECT t, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY t
+), i AS MATERIALIZED (
+  SELECT p.r, p.t, w.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(d.ts) * n_docs) // total))) AS impact
+  FROM p JOIN w USING (t) JOIN d USING (r), s
+), x AS (
+  SELECT q.item_id, i.r, CAST(sum(impact) AS BIGINT) AS score FROM q JOIN i USING (t) GROUP BY 1, 2
+)
+SELECT x.item_id, CAST(row_number() OVER o AS INTEGER) AS rank, d.doc_id, x.score
+FROM x JOIN d USING (r) WHERE score > 0 WINDOW o AS (PARTITION BY x.item_id ORDER BY score DESC, d.doc_id NULLS LAST)
+QUALIFY row_number() OVER o <= 50
+"""
+
 OP12 = """
 WITH t AS MATERIALIZED (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
@@ -160,4 +185,4 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_nra_topk": OP2, "op3_curriculum": OP3, "op7_pigeonhole_join": OP7, "op9_automaton_dedup": OP9, "op10_site_lines": OP10,
-            "op12_conversation_trie": OP12, "op13_warc": OP13}
+            "op11_best_position": OP11, "op12_conversation_trie": OP12, "op13_warc": OP13}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import (
     automaton_dedup,
+    best_position,
     bitplane,
     conversation_trie,
     curriculum,
@@ -104,6 +105,11 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", F.size("lines").cast("long").alias("n_lines"), "n_dropped", F.array_join("kept", "\n").alias("text"))
 
 
+def op11_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = best_position.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = conversation_trie.numbered_turns(table(spark, sf_dir, "conversations"))
     shared = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(6))
@@ -120,7 +126,7 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_toxicity_grammar, op2_nra_topk, op3_curriculum, op4_string_tiling, op5_bitplane,
     op6_hyper_shuffle, op7_pigeonhole_join, op8_pii_spans, op9_automaton_dedup, op10_site_lines,
-    op12_conversation_trie, op13_warc,
+    op11_best_position, op12_conversation_trie, op13_warc,
 ]
 
 
