@@ -10,7 +10,9 @@ digits, or a dot that does not join two labels, becomes a character no pattern h
 one run of a character class, at the same place as in the text.
 
 ``split`` by a pattern gives the texts between its matches, so running sums of the lengths of gaps and
-matches give the places of all matches (code points).
+matches give the places of all matches (code points).  The sums are made in groups of groups, and the words near
+a span are taken from pieces of the text of a fixed length, so neither copies or counts from the start for every
+match: a text with many matches takes time in proportion to its length.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ KINDS = ("email", "ip", "card", "phone", "iban")
 BASE = KINDS[:4]
 
 _LOCAL, _LABEL = r"A-Za-z0-9._%+-", r"A-Za-z0-9-"
+_GROUP, _PIECE = 64, 64  # matches summed one by one; code points of a piece of text
 _OFF, _DOT = "\u0001", "\u0002"  # marks: not part of anything; a dot between two labels
 #: Proposals, on the marked text.
 EMAIL = rf"(?:(?<![{_DOT}{_LOCAL}])|\G)[{_DOT}{_LOCAL}]++@[{_LABEL}]++{_DOT}[{_DOT}{_LABEL}]++"
@@ -63,21 +66,53 @@ def mod97(iban: Column) -> Column:
     return F.aggregate(F.split(F.concat(F.substring(s, 5, 64), F.substring(s, 1, 4)), ""), F.lit(0), step) == 1
 
 
-def _places(marked: Column, text: Column, pattern: str) -> Column:
-    """array<struct<start, end, found>> of all matches of ``pattern`` in the marked text; ``found`` is cut
-    from the text itself."""
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _grouped(items: Column) -> Column:
+    """An array as an array of arrays of up to ``_GROUP`` items."""
+    n = F.ceil(F.size(items) / _GROUP).cast("int")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.slice(items, k * _GROUP + 1, _GROUP))).otherwise(F.slice(F.array(items), 1, 0))
+
+
+def _starts(sizes: Column) -> Column:
+    """The sum of the sizes before each, one after the other; for few items, as each step copies what is there."""
+    step = lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out"))
+    return F.aggregate(sizes, F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out")), step, lambda acc: acc["out"])
+
+
+def _starts_of_many(sizes: Column) -> Column:
+    """The sum of the sizes before each, by groups."""
+    total = lambda g: F.aggregate(g, F.lit(0), lambda a, x: a + x)
+    shifted = lambda g, at: _let(_starts(g), lambda own: F.transform(own, lambda x: x + at))
+    return _let(_grouped(sizes), lambda g: F.flatten(F.zip_with(g, _starts(F.transform(g, total)), shifted)))
+
+
+def _places(marked: Column, pattern: str) -> Column:
+    """array<struct<start, end, found>> of all matches of ``pattern`` in the marked text; ``found`` is as in the text itself."""
     gaps = F.transform(F.split(marked, pattern, -1), lambda x: F.char_length(x))
-    sizes = F.transform(F.regexp_extract_all(marked, F.lit(pattern), F.lit(0)), lambda x: F.char_length(x))
-    none = F.expr("cast(array() as array<struct<start:int,end:int,found:string>>)")
+    found = F.transform(F.regexp_extract_all(marked, F.lit(pattern), F.lit(0)), lambda x: F.translate(x, _DOT, "."))
+
+    def placed(pair: Column) -> Column:
+        size = lambda x: x["gaps"] + F.char_length(x["found"])
+
+        def group(members: Column, at: Column) -> Column:
+            one = lambda x, before: F.struct((at + before + x["gaps"]).alias("start"), (at + before + size(x)).alias("end"), x["found"].alias("found"))
+            return F.zip_with(members, _starts(F.transform(members, size)), one)
+
+        total = lambda g: F.aggregate(g, F.lit(0), lambda a, x: a + size(x))
+        return _let(_grouped(pair), lambda g: F.flatten(F.zip_with(g, _starts_of_many(F.transform(g, total)), group)))
+
+    return _let(found, lambda f: _let(F.arrays_zip(F.slice(gaps, F.lit(1), F.size(f)).alias("gaps"), f.alias("found")), placed))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gaps"]
-        end = start + x["sizes"]
-        one = F.struct(start.alias("start"), end.alias("end"), F.substring(text, start + 1, x["sizes"]).alias("found"))
-        return F.struct(end.alias("at"), F.array_append(acc["out"], one).alias("out"))
 
-    pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(sizes)).alias("gaps"), sizes.alias("sizes"))
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to ``end``, at most ``_PIECE`` apart, of a text cut into ``pieces``."""
+    first = F.floor(start / _PIECE).cast("int")
+    two = F.concat(F.coalesce(F.get(pieces, first), F.lit("")), F.coalesce(F.get(pieces, first + 1), F.lit("")))
+    return F.substring(two, start - first * _PIECE + 1, end - start)
 
 
 def pii_spans(docs: DataFrame, text: str = "text", into: str = "pii", context: int = 40) -> DataFrame:
@@ -108,20 +143,23 @@ def pii_spans(docs: DataFrame, text: str = "text", into: str = "pii", context: i
     none = F.expr("cast(array() as array<struct<start:int,end:int,found:string>>)")
     proposed = {}
     for kind, (col, pattern) in of.items():
-        places = _places(F.col(col), t, pattern)
+        places = _places(F.col(col), pattern)
         proposed[tmp[kind]] = F.when(quick[kind], places).otherwise(none) if kind in quick else F.when(F.col(col) != "", places).otherwise(none)
     out = out.withColumns(proposed)
 
-    def scored(kind: str) -> Column:
+    def scored(kind: str, pieces: Column) -> Column:
         def one(m: Column) -> Column:
-            near = F.lower(F.concat(F.substring(t, F.greatest(F.lit(1), m["start"] + 1 - context), F.least(m["start"], F.lit(context))),
-                                    F.lit(" "), F.substring(t, m["end"] + 1, F.lit(context))))
+            before = _between(pieces, F.greatest(F.lit(0), m["start"] - context), m["start"])
+            near = F.lower(F.concat(before, F.lit(" "), _between(pieces, m["end"], m["end"] + context)))
             score = F.lit(PRIOR[kind]) + F.when(near.rlike(RAISE[kind]), 0.1).otherwise(0.0) - F.when(near.rlike(LOWER), 0.3).otherwise(0.0)
             return F.struct(m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), m["end"].alias("end"),
                             F.lit(kind).alias("kind"), F.least(F.lit(1.0), score).alias("score"))
         return F.transform(F.filter(F.col(tmp[kind]), lambda m: valid[kind](m["found"])), one)
 
-    spans = F.array_sort(F.concat(*[scored(k) for k in KINDS]))
+    if context > _PIECE:
+        raise ValueError(f"context is at most {_PIECE}")
+    cut = F.when(sum((F.size(tmp[k]) for k in KINDS), F.lit(0)) > 0, F.regexp_extract_all(t, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))).otherwise(F.expr("cast(array() as array<string>)"))
+    spans = _let(cut, lambda pieces: F.array_sort(F.concat(*[scored(k, pieces) for k in KINDS])))
     return out.withColumn(into, spans).drop(*tmp.values())
 
 
