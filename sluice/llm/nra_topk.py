@@ -1,17 +1,20 @@
 """Exact top-k search by no-random-access aggregation (operator 2).
 
-Every dimension is a list of the candidates sorted by that component.  A query reads each list
-from the end its own component favours, all lists to the same depth, and keeps for every candidate
+Every dimension is a list of the candidates sorted by that component.  A query reads lists from the end its own component
+favours; a component of 0 needs no list.  In each round it reads on in the quarter of its lists where most is still open
+(its component times the way from the frontier, the next value, to the list's other end), and keeps for every candidate
 
-* a lower bound: the contributions read so far, the worst value of the list for the rest;
-* an upper bound: the contributions read so far, the value last read (the frontier) for the rest.
+* what has been read of it;
+* an upper bound: that and, for the unread part, the smaller of the sum of the frontiers and the product of the unread
+  parts' norms (Cauchy-Schwarz; a candidate's norm is a number kept with its id);
+* a lower bound: that and the larger of the lists' other ends and the negative product of the norms.
 
-A candidate whose upper bound is below the k-th best lower bound cannot qualify and is dropped; an
-unread candidate is bounded by the sum of the frontiers, which is the same test.  Reading stops when
-no outsider can qualify; the lists are then read to the end for the survivors only, which gives their
-exact scores.  Lists are read block-wise, for a block of queries at once: "read to depth t" makes the
-upper bounds ``Q+ max(C, top_t) + Q- min(C, bottom_t)`` for the positive and negative parts of the
-queries, two matrix products, and the lower bounds likewise.
+A candidate whose upper bound is below the k-th best lower bound cannot qualify and is dropped, whether it has been read
+anywhere or not.  Reading stops when no outsider can qualify, that is when few candidates are left; the lists are then
+read to the end for these only, which gives their exact scores.
+
+How deep that is depends on the vectors: where few components carry most of a product, lists end early; for directions
+spread evenly over many dimensions no bound excludes much before nearly everything is read.
 
 Distribution: candidates are dealt to blocks of at most about ``candidate_block`` rows and queries to
 blocks of ``query_block``; every query block meets every candidate block in a task of its own, and the
@@ -21,7 +24,6 @@ collected.  Work grows with queries times candidates, which the exact search of
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,42 +33,78 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import written
 
-#: Depths to which the lists are read, as shares of a list; bounds are made after each.
-DEPTHS = (0.125, 0.3, 0.55)
+#: Candidates, as a multiple of k, that are few enough to resolve; the longest step down a list, as its part.
+FEW, STEPS = 4, 8
+
+
+class Lists:
+    """The sorted lists of some candidates, whose rows are in the order of their ids."""
+
+    def __init__(self, values: np.ndarray):
+        self.values = values
+        self.order = np.argsort(values, axis=0, kind="stable")
+        self.norms = (values * values).sum(axis=1)
+
+    def top(self, query: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+        """Rows and scores of the k best candidates, the positions read and the candidates resolved; rows flagged in
+        ``own`` take no part.  All values are integers that doubles hold exactly."""
+        n = len(self.values)
+        use = np.flatnonzero(query)
+        q, up = query[use], query[use] > 0
+        worst = q * np.where(up, self.values.min(axis=0, initial=0)[use], self.values.max(axis=0, initial=0)[use])
+        alive = ~own
+        done, open_q, open_c = np.zeros(n), np.full(n, (q * q).sum()), self.norms.copy()
+        read = np.zeros((n, len(use)), order="F")
+        at, step = np.zeros(len(use), np.int64), 2 * k
+
+        def frontier() -> np.ndarray:
+            place = np.minimum(at, n - 1)
+            return q * self.values[self.order[np.where(up, n - 1 - place, place), use], use]
+
+        ahead = frontier() if n else q
+        while alive.sum() > FEW * k and (at < n).any():
+            gain = np.where(at < n, ahead - worst, -np.inf)
+            for j in np.argsort(-gain, kind="stable")[:max(1, len(use) // 4)]:
+                to = min(at[j] + step, n)
+                rows = self.order[n - to:n - at[j], use[j]] if up[j] else self.order[at[j]:to, use[j]]
+                v = self.values[rows, use[j]]
+                done[rows] += q[j] * v
+                open_q[rows] -= q[j] * q[j]
+                open_c[rows] -= v * v
+                read[rows, j] = 1
+                at[j] = to
+            step = min(2 * step, max(2 * k, n // STEPS))
+            ahead = frontier()
+            norms = np.sqrt(np.maximum(open_q, 0) * np.maximum(open_c, 0)) * (1 + 1e-9) + 1e-3
+            upper = done + np.minimum(ahead.sum() - read @ ahead, norms)
+            lower = done + np.maximum(worst.sum() - read @ worst, -norms)
+            left = np.flatnonzero(alive)
+            if len(left) > k:
+                least = np.partition(lower[left], len(left) - k)[len(left) - k]
+                alive[left[upper[left] < least - 1e-3]] = False
+        left = np.flatnonzero(alive)
+        scores = self.values[left] @ query  # what is left of the lists, for these only
+        best = np.lexsort((left, -scores))[:k]
+        return left[best], scores[best], int(at.sum()), len(left)
 
 
 def top_k_block(queries: np.ndarray, query_ids: np.ndarray, cands: np.ndarray, ids: np.ndarray,
-                k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query position, candidate position, score) of the k best candidates of each query, equal
-    scores by smaller id; a candidate with the query's own id takes no part."""
+                k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(query position, candidate position, score, positions read, candidates resolved) of the k best candidates of each
+    query, equal scores by smaller id; a candidate with the query's own id takes no part."""
     n, dim = cands.shape
     most = float(np.abs(queries).max(initial=0)) * float(np.abs(cands).max(initial=0)) * max(dim, 1)
-    if most >= 2.0**53:
-        return _by_integers(queries, query_ids, cands, ids, k)
-    kind = np.float32 if most < 2.0**24 else np.float64  # sums of integers stay exact
-    q, c = queries.astype(kind), cands.astype(kind)
-    plus, minus = np.maximum(q, 0), np.minimum(q, 0)
-    lists = np.sort(c, axis=0)  # each column is a sorted list, read from its last or its first entry
-    low, high = lists[0], lists[-1]
-    own = query_ids[:, None] == ids[None, :]
-    alive = np.ones(n, dtype=bool)  # candidates that some query of the block can still need
-    for share in DEPTHS:
-        depth = int(n * share)
-        if depth < 1 or depth >= n or alive.sum() <= 4 * k:
-            continue
-        rest = c[alive]
-        top, bottom = lists[n - depth], lists[depth - 1]  # frontiers
-        upper = plus @ np.maximum(rest, top).T + minus @ np.minimum(rest, bottom).T
-        lower = plus @ np.where(rest >= top, rest, low).T + minus @ np.where(rest <= bottom, rest, high).T
-        lower[own[:, alive]] = -np.inf
-        if lower.shape[1] > k:
-            floor = np.partition(lower, -k, axis=1)[:, -k]
-            alive[np.flatnonzero(alive)[~(upper >= floor[:, None]).any(axis=0)]] = False
-    rest = np.flatnonzero(alive)
-    rest = rest[np.argsort(ids[rest], kind="stable")]
-    score = q @ c[rest].T  # the survivors' lists to the end
-    score[own[:, rest]] = -np.inf
-    return _best(score, rest, k)
+    square = max(float(np.abs(x).max(initial=0)) ** 2 * max(dim, 1) for x in (queries, cands))
+    if max(most, square) >= 2.0**50:
+        i, j, score = _by_integers(queries, query_ids, cands, ids, k)
+        return i, j, score, np.full(len(i), n * dim), np.full(len(i), n)
+    rank = np.argsort(ids, kind="stable")
+    lists = Lists(cands[rank].astype(np.float64))
+    out = []
+    for i, query in enumerate(queries.astype(np.float64)):
+        rows, scores, read, resolved = lists.top(query, ids[rank] == query_ids[i], k)
+        out.append((np.full(len(rows), i), rank[rows], scores.astype(np.int64), np.full(len(rows), read), np.full(len(rows), resolved)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 5
 
 
 def _by_integers(queries, query_ids, cands, ids, k):
@@ -81,20 +119,6 @@ def _by_integers(queries, query_ids, cands, ids, k):
     return np.array(where, dtype=np.int64), np.array(which, dtype=np.int64), np.array(out, dtype=object)
 
 
-def _best(score: np.ndarray, rest: np.ndarray, k: int):
-    if score.shape[1] > k:  # all that reach the k-th score, ties included
-        floor = np.partition(score, -k, axis=1)[:, -k]
-        i, j = np.nonzero((score >= floor[:, None]) & np.isfinite(score))
-    else:
-        i, j = np.nonzero(np.isfinite(score))
-    order = np.lexsort((j, -score[i, j], i))  # columns are in the order of ids
-    i, j = i[order], j[order]
-    first = np.searchsorted(i, i, side="left")
-    keep = np.arange(len(i)) - first < k
-    i, j = i[keep], j[keep]
-    return i, rest[j], score[i, j].astype(np.int64)
-
-
 def floor_256(vec: Column) -> Column:
     """Components as floor(256 x) with x as double; null for vectors that are null or hold null or
     non-finite components."""
@@ -105,7 +129,8 @@ def floor_256(vec: Column) -> Column:
 def nra_top_k(vectors: DataFrame, vec_id: str, components: Column, is_query: Column, k: int = 5,
               candidate_block: int = 8192, query_block: int = 1024) -> DataFrame:
     """The k rows of ``vectors`` with the largest integer inner product for every query row:
-    (query_id, rank from 1, vec_id, score), ties to the smaller id.
+    (query_id, rank from 1, vec_id, score, n_read, n_resolved), ties to the smaller id.  ``n_read`` counts the list
+    positions the query read in the result's block of candidates, ``n_resolved`` the candidates it resolved there.
 
     ``components``: array of integers.  Rows where it is null, or whose id is null, take no part.
     Repeated rows (equal id and vector) count once; rows with the query's id are never its results.
@@ -123,18 +148,19 @@ def nra_top_k(vectors: DataFrame, vec_id: str, components: Column, is_query: Col
     cands = cands.select(*[F.col(c).alias(c) for c in cands.columns])  # columns apart from those of the queries
     asks = rows.where("q").select("dim", "id", "v", F.explode(F.sequence(F.lit(0), F.col("nc").cast("int") - 1)).alias("cb"), F.pmod(F.xxhash64("id", F.lit(1)), "nb").cast("int").alias("qb"))
 
+    columns = ["query_id", "vec_id", "score", "n_read", "n_resolved"]
+
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+            return pd.DataFrame({c: [] for c in columns}).astype("int64")
         ask, ids = left["id"].to_numpy(), right["id"].to_numpy()
         made = lambda s: np.stack(s.to_list()).reshape(len(s), -1).astype(np.int64)
-        q, c = made(left["v"]), made(right["v"])
-        parts = [top_k_block(q[i:i + 256], ask[i:i + 256], c, ids, k) for i in range(0, len(q), 256)]
-        where = np.concatenate([p[0] + i * 256 for i, p in enumerate(parts)])
-        return pd.DataFrame({"query_id": ask[where], "vec_id": ids[np.concatenate([p[1] for p in parts])],
-                             "score": np.concatenate([p[2] for p in parts]).astype(np.int64)})
+        i, j, score, read, resolved = top_k_block(made(left["v"]), ask, made(right["v"]), ids, k)
+        return pd.DataFrame(dict(zip(columns, (ask[i], ids[j], score.astype(np.int64), read, resolved), strict=True)))
 
-    found = asks.groupBy("dim", "qb", "cb").cogroup(cands.groupBy("dim", "qb", "cb")).applyInPandas(meet, "query_id long, vec_id long, score long")
+    schema = ", ".join(f"{c} long" for c in columns)
+    found = asks.groupBy("dim", "qb", "cb").cogroup(cands.groupBy("dim", "qb", "cb")).applyInPandas(meet, schema)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    found = found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return found.select("query_id", "rank", "vec_id", "score")
+    found = found.groupBy("query_id", "vec_id", "score").agg(F.max("n_read").alias("n_read"), F.max("n_resolved").alias("n_resolved"))
+    found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return found.select("query_id", "rank", "vec_id", "score", "n_read", "n_resolved")

@@ -50,7 +50,8 @@ def op1_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_nra_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
-    return nra_topk.nra_top_k(vectors, "vec_id", nra_topk.floor_256(F.col("embedding")), F.col("vec_id") % 50 == 0, k=5)
+    found = nra_topk.nra_top_k(vectors, "vec_id", nra_topk.floor_256(F.col("embedding")), F.col("vec_id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def op3_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -129,7 +129,7 @@ def test_top_k(spark, block):
     data = [*vectors.items(), (0, vectors[0]), (500, None), (None, [1] * 6)]
     df = spark.createDataFrame(data, "vec_id long, v array<long>").withColumn("id", F.lit(1))
     got = nra_topk.nra_top_k(df, "vec_id", F.col("v"), F.col("vec_id") % 3 == 0, 5, candidate_block=block, query_block=block)
-    assert sorted(tuple(r) for r in got.collect()) == _best(vectors, 5)
+    assert sorted(tuple(r) for r in got.drop("n_read", "n_resolved").collect()) == _best(vectors, 5)
     assert nra_topk.nra_top_k(df.where("false"), "vec_id", F.col("v"), F.col("vec_id") % 3 == 0).count() == 0
 
 
@@ -139,13 +139,33 @@ def test_top_k_drops_only_outsiders():
     c[:40] = c[0] + rng.integers(-3, 4, (40, 16))
     q = c[:8]
     ids = np.arange(3000)
-    i, j, s = nra_topk.top_k_block(q, ids[:8], c, ids, 5)
+    i, j, s, read, resolved = nra_topk.top_k_block(q, ids[:8], c, ids, 5)
+    assert (read < c.size).all() and (resolved < 100).all()  # outsiders were dropped before the lists ended
     for x in range(8):
         score = c @ q[x]
         want = sorted((-int(score[y]), y) for y in range(3000) if y != x)[:5]
         assert [(-int(b), int(a)) for a, b in zip(j[i == x], s[i == x], strict=True)] == want
 
 
+@given(st.integers(1, 60), st.integers(0, 6), st.integers(1, 4), st.integers(0, 2**31), st.sampled_from([1, 3, 300]))
+@settings(max_examples=60, deadline=None)
+def test_top_k_of_random_vectors(n, dim, k, seed, most):
+    rng = np.random.default_rng(seed)
+    c, ids = rng.integers(-most, most + 1, (n, dim)), rng.permutation(3 * n)[:n]
+    i, j, s, _, _ = nra_topk.top_k_block(c[:5], ids[:5], c, ids, k)
+    for x in range(min(5, n)):
+        score = c @ c[x]
+        want = sorted((-int(score[y]), int(ids[y])) for y in range(n) if y != x)[:k]
+        assert [(-int(b), int(ids[a])) for a, b in zip(j[i == x], s[i == x], strict=True)] == want
+
+
+def test_reading_stops_early_where_few_components_carry_the_product():
+    rng = np.random.default_rng(5)
+    c = (rng.normal(0, 240, (6000, 64)) * np.exp(-np.arange(64) / 3)).astype(np.int64)
+    _, _, _, read, resolved = nra_topk.top_k_block(c[:20], np.arange(20), c, np.arange(6000), 5)
+    assert read.max() < 0.15 * c.size and resolved.max() <= 20
+
+
 def test_components_of_vectors(spark):
     df = spark.createDataFrame([(1, [0.5, -0.5]), (2, [float("nan"), 1.0]), (3, [float("inf"), 1.0]), (4, [None, 1.0]), (5, None), (6, [])], "i long, e array<float>")
     assert [r[0] for r in df.select(nra_topk.floor_256(F.col("e"))).collect()] == [[128, -128], None, None, None, None, []]
@@ -356,6 +376,14 @@ def test_spans_of_random_texts(spark, texts):
         assert [(s["start"], s["rank"], s["end"], s["kind"]) for s in r["pii"] if s["rank"] < 4] == cases.base_spans(texts[r["doc_id"]])
 
 
+@pytest.mark.parametrize("unit,kind", [("a@b.com ", "email"), ("10.0.0.1 ", "ip"), ("4111111111111111 ;", "card")])
+def test_spans_of_a_text_of_many(spark, unit, kind):
+    """Time in proportion to the matches: with work for each pair of them these sizes would take minutes."""
+    for n in (20_000, 80_000):
+        got = pii_spans.pii_spans(spark.createDataFrame([(unit * n,)], "text string")).first()["pii"]
+        assert [(s["start"], s["kind"]) for s in got] == [(i * len(unit), kind) for i in range(n)]
+
+
 def test_checks_and_context(spark):
     texts = ["my iban is GB82 WEST 1234 5698 7654 32 ok", "GB83 WEST 1234 5698 7654 32", "credit card 4111111111111111", "order 4111111111111111", "4111111111111112"]
     got = [r["pii"] for r in pii_spans.pii_spans(spark.createDataFrame([(t,) for t in texts], "text string")).collect()]
@@ -458,3 +486,22 @@ def _copied(spark, copies, toxic):
 def test_toxicity_counts_copies_once(spark, toxic):
     learned, plain = _copied(spark, 300, toxic).entries, _copied(spark, 1, toxic).entries
     assert learned == plain and "zorglisch" in learned and "qqrare" not in learned
+
+
+@pytest.mark.parametrize("unit", ["<!-- ", "<script>", "<script ", "<style>x", "<", "<div "])
+def test_lines_of_a_page_of_open_tags(spark, unit):
+    """Time in proportion to the page: with a search from every start these sizes would take minutes."""
+    pages = spark.createDataFrame([(unit * n + end,) for n in (20_000, 160_000) for end in ("", "</script>", "-->", "\u0001\u0002")], "html string")
+    assert pages.select(F.size(site_lines.html_lines(F.col("html"))).alias("n")).where("n <= 1").count() == 8
+
+
+@given(st.lists(st.lists(st.sampled_from(["<!-- ", "-->", "<script>", "<script ", "</script>", "<style>", "</STYLE>", ">", "<", "a b", "\n", "\x01", "\x02", "\x01!--", "<p>", "<!-->", "é", "<br/>"]), max_size=20), min_size=1, max_size=40))
+@settings(max_examples=10, deadline=None)
+def test_lines_are_those_of_the_plain_patterns(spark, pages):
+    import re
+    texts = ["".join(p) for p in pages]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, html string")
+    for r in df.select("i", site_lines.html_lines(F.col("html")).alias("lines")).collect():
+        shown = re.sub(f"(?is){site_lines.HIDDEN}", " ", texts[r["i"]])
+        bare = re.sub("<[^>]*>", "", re.sub(f"(?i){site_lines.BREAKS}", "\n", shown))
+        assert r["lines"] == [x.strip(" ") for x in bare.split("\n") if x.strip(" ")]
