@@ -9,9 +9,9 @@ are measured: up to ``broadcast_bytes`` of text go to the tasks and pages stay w
 pages and lists are joined by host, and AQE splits hot hosts.
 
 The patterns for hidden text and tags look for an end from every start.  A start that has no end would read the page to
-its last character, and a page full of them would take time with the square of its length.  So starts without an end are
-marked first, in one pass a kind: what has no ``>`` after it is no tag, and an opener has an end if it is complete before
-the last closer.
+its last character, and a page full of them would take time with the square of its length.  So what follows the last
+``>`` is kept as it is, and in pages of many openers those without an end are marked first, in one pass a kind: an opener
+has an end if it is complete before the last closer.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ def host_of(url: Column) -> Column:
     return F.nullif(F.regexp_extract(F.lower(url), HOST, 1), F.lit(""))
 
 
+#: So many openers may each read a page to its end; with more, those without an end are marked first.
+FEW_OPENERS = 64
 #: By kind: the part of a page before its last closer in which an opener is complete, and the openers.
 _CLOSED = {"script": (r"(?is)^(.*>)[^>]*</script>", "(?i)<(?=script)"), "style": (r"(?is)^(.*>)[^>]*</style>", "(?i)<(?=style)"), "comment": (r"(?s)^(.*)-->", "<(?=!--)")}
 _MARK, _ESCAPE = "\u0001", "\u0001\u0002"  # put after an opener's bracket; what stands for that character itself
@@ -46,22 +48,31 @@ def _rest(text: Column, start: Column) -> Column:
     return F.substring(text, F.char_length(start) + 1, F.char_length(text))
 
 
-def html_lines(html: Column) -> Column:
-    """The non-empty lines of a page's visible text, spaces around them cut; null gives none."""
+def _bare(head: Column) -> Column:
+    """A part of a page that ends with ``>``, or is empty, without hidden text and tags."""
+    shown = F.regexp_replace(head, f"(?is){HIDDEN}", " ")
+    return F.regexp_replace(F.regexp_replace(shown, f"(?i){BREAKS}", "\n"), "<[^>]*>", "")
+
+
+def _marked_bare(head: Column) -> Column:
+    """The same for a part with many openers."""
     def marked(closed: str, opener: str):
         return lambda text: _let(F.regexp_extract(text, closed, 1), lambda safe: F.concat(safe, F.regexp_replace(_rest(text, safe), opener, f"<{_MARK}")))
 
-    def bare(head: Column) -> Column:
-        for closed, opener in _CLOSED.values():
-            head = _let(head, marked(closed, opener))
-        shown = F.regexp_replace(head, f"(?is){HIDDEN}", " ")
-        broken = F.regexp_replace(shown, f"(?i){BREAKS}", "\n")
-        return F.regexp_replace(broken, "<[^>]*>", "")
-
-    text = F.replace(F.coalesce(html, F.lit("")), F.lit(_MARK), F.lit(_ESCAPE))
-    whole = _let(text, lambda t: _let(F.substring_index(t, ">", -1), lambda tail: F.concat(bare(F.left(t, F.char_length(t) - F.char_length(tail))), tail)))
-    unmarked = F.replace(F.regexp_replace(whole, f"{_MARK}(?!\u0002)", ""), F.lit(_ESCAPE), F.lit(_MARK))
-    return F.filter(F.transform(F.split(unmarked, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    head = F.replace(head, F.lit(_MARK), F.lit(_ESCAPE))
+    for closed, opener in _CLOSED.values():
+        head = _let(head, marked(closed, opener))
+    return F.replace(F.regexp_replace(_bare(head), f"{_MARK}(?!\u0002)", ""), F.lit(_ESCAPE), F.lit(_MARK))
+
+
+def html_lines(html: Column) -> Column:
+    """The non-empty lines of a page's visible text, spaces around them cut; null gives none."""
+    text = F.coalesce(html, F.lit(""))
+    tail = F.substring_index(text, ">", -1)  # what follows the last >
+    head = F.left(text, F.char_length(text) - F.char_length(tail))
+    many = F.regexp_count(text, F.lit("(?i)<(?:!--|script|style)")) > FEW_OPENERS
+    whole = F.concat(F.when(many, _marked_bare(head)).otherwise(_bare(head)), tail)
+    return F.filter(F.transform(F.split(whole, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def drop_site_boilerplate(pages: DataFrame, host: str, lines: str, ratio: float = 0.2, min_pages: int = 5,

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, on rows of the tables and on awkward rows; empty tables."""
 
 import itertools
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -84,6 +85,38 @@ def test_grammar_composes():
     assert all((s, k) in machine.step for s in machine.states() for k in toxicity_grammar.KINDS)
 
 
+def _clauses(model, text):
+    """Clause weights by the rules, without a machine."""
+    g, out = toxicity_grammar, []
+    for clause in re.split(r"[.!?;:\n]", text):
+        words = g.WORDS.findall(clause)
+        sums = {"insult": 0.0, "threat": 0.0}
+        for i, word in enumerate(words):
+            if w := model.weigh(word):
+                marks = [x for x in words[:i] if not model.weigh(x)]
+                near = [x for x in words[max(0, i - 3):i] if not model.weigh(x)]
+                w *= 0.3 if set(near) & set(g.NEGATIONS) else 1.0
+                w *= 0.5 if set(marks) & set(g.REPORTS) else 1.0
+                sums["threat" if word in g.THREATS else "insult"] += w
+        person = any(not model.weigh(x) and x in g.TARGETS for x in words)
+        total = sums["insult"] * (1.25 if person else 1.0) + sums["threat"] * (1.25 if person else 0.0)
+        out += [total] if total else []
+    return out
+
+
+@given(st.lists(st.sampled_from("you he not never says kill stab idiot idiots lowest lowering a the cat . ! kind , him".split()), max_size=30).map(" ".join))
+@settings(max_examples=300, deadline=None)
+def test_clauses_are_those_of_the_rules(text):
+    model = toxicity_grammar.Model({"idiot": 4.0, "lowe*": 2.0, "kill": 1.0, "stab": 1.0})
+    assert model.clauses(text) == pytest.approx(_clauses(model, text))
+
+
+def test_a_threat_needs_a_target():
+    model = toxicity_grammar.Model(dict.fromkeys(toxicity_grammar.THREATS, 1.0))
+    assert model.clauses("the disease can kill bacteria") == [] and model.clauses("kill the process") == []
+    assert model.clauses("they will kill you") and model.clauses("kill him")
+
+
 def test_toxicity_learns_and_generalises(spark):
     rng = np.random.default_rng(0)
     vocabulary = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(400)]
@@ -501,7 +534,13 @@ def test_lines_are_those_of_the_plain_patterns(spark, pages):
     import re
     texts = ["".join(p) for p in pages]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, html string")
-    for r in df.select("i", site_lines.html_lines(F.col("html")).alias("lines")).collect():
+    few, site_lines.FEW_OPENERS = site_lines.FEW_OPENERS, -1  # all by the way for many openers
+    try:
+        marked = site_lines.html_lines(F.col("html"))
+    finally:
+        site_lines.FEW_OPENERS = few
+    for r in df.select("i", site_lines.html_lines(F.col("html")).alias("lines"), marked.alias("marked")).collect():
+        assert r["marked"] == r["lines"]
         shown = re.sub(f"(?is){site_lines.HIDDEN}", " ", texts[r["i"]])
         bare = re.sub("<[^>]*>", "", re.sub(f"(?i){site_lines.BREAKS}", "\n", shown))
         assert r["lines"] == [x.strip(" ") for x in bare.split("\n") if x.strip(" ")]
