@@ -6,17 +6,20 @@ Small transducers read a clause word by word and are composed into one machine:
   insult is a word or a stem ("stem*": every word that begins so), the longest entry counts;
 * negation: an insult or threat within a few words after a negation keeps a part of its weight;
 * reported speech: after a reporting verb the rest of the clause keeps a part of its weight;
-* target: a clause that names a person weighs more.
+* insult: insults weigh more in a clause that names a person;
+* threat: a threat counts only in a clause that names a person ("a disease can kill" threatens nobody).
 
-A clause is scored as a whole by the path through the composed machine; a document's score is a logistic
+A clause is scored as a whole by the path through the composed machine: the weights of its insults and of its threats,
+as the steps pass them on, times what the final state makes of either; a document's score is a logistic
 function of the sum and the largest of its matched clauses' weights.
 
 The word lists of targets, negations, reporting verbs and threats are fixed; the insults and all weights
 are learned from labelled rows: log-odds of the share of toxic and of clean documents that hold a word or
-stem, where the likelihood ratio says the difference is no chance.  Learning reads at most
+stem, where the likelihood ratio says the difference is no chance; every word or stem that passes is an entry.  Learning reads at most
 ``most_labelled`` rows of each label (the smallest hashes of their ids), one of each family of near copies
 (a family would make every word of its text a mark of toxicity).  Scoring reads every whole text, in one
-pass without a shuffle; the model, at most ``most_entries`` entries, goes to the tasks with the function.
+pass without a shuffle; the model goes to the tasks with the function.  Its size is bounded by the labelled sample: an
+entry needs at least ``least_texts`` of its toxic texts.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,8 +56,9 @@ _SEEDS = np.random.default_rng(5).integers(1, 2**63, 16, dtype=np.uint64)
 
 @dataclass(frozen=True)
 class Transducer:
-    """A weighted transducer over word classes: ``step`` maps (state, class) to (next state, factor on the
-    word's weight), ``final`` maps a state to a factor on the clause; what is missing stays, with factor 1."""
+    """A weighted transducer over word classes: ``step`` maps (state, class) to (next state, factor on the word's
+    weight), ``final`` maps (state, class) to a factor on the clause's weight of that class; what is missing stays, with
+    factor 1."""
 
     start: object
     step: dict = field(default_factory=dict)
@@ -67,6 +71,7 @@ class Transducer:
         return self.step.get((state, kind), (state, 1.0))
 
 
+WEIGHED = (INSULT, THREAT)
 KINDS = (INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER)
 
 
@@ -75,7 +80,8 @@ def compose(a: Transducer, b: Transducer) -> Transducer:
     step, final = {}, {}
     for s in a.states():
         for t in b.states():
-            final[s, t] = a.final.get(s, 1.0) * b.final.get(t, 1.0)
+            for kind in WEIGHED:
+                final[(s, t), kind] = a.final.get((s, kind), 1.0) * b.final.get((t, kind), 1.0)
             for kind in KINDS:
                 (s2, x), (t2, y) = a.move(s, kind), b.move(t, kind)
                 step[(s, t), kind] = ((s2, t2), x * y)
@@ -98,11 +104,17 @@ def reported(factor: float = 0.5) -> Transducer:
     return Transducer("own", step)
 
 
-def targeted(factor: float = 1.25) -> Transducer:
-    return Transducer("nobody", {("nobody", TARGET): ("somebody", 1.0)}, {"somebody": factor})
+def insult(factor: float = 1.25) -> Transducer:
+    """Target and insult: the insults of a clause that names a person weigh more."""
+    return Transducer("nobody", {("nobody", TARGET): ("somebody", 1.0)}, {("somebody", INSULT): factor})
 
 
-GRAMMAR = compose(compose(negation(), reported()), targeted())
+def threat(factor: float = 1.25) -> Transducer:
+    """Threat verb and target: without a target, before or after it in the clause, a threat is none."""
+    return Transducer("nobody", {("nobody", TARGET): ("somebody", 1.0)}, {("nobody", THREAT): 0.0, ("somebody", THREAT): factor})
+
+
+GRAMMAR = compose(compose(negation(), reported()), compose(insult(), threat()))
 CLOSED = {**dict.fromkeys(TARGETS, TARGET), **dict.fromkeys(NEGATIONS, NEGATION), **dict.fromkeys(REPORTS, REPORT)}
 
 
@@ -127,17 +139,19 @@ class Model:
 
     def clauses(self, text: str) -> list[float]:
         """Weights of the clauses in which an insult or a threat is matched."""
-        out, state, weight = [], GRAMMAR.start, 0.0
+        out, state, weight = [], GRAMMAR.start, dict.fromkeys(WEIGHED, 0.0)
         for piece in [*PIECES.findall(text), "."]:
             if not piece.isalpha():
-                if weight:
-                    out.append(weight * GRAMMAR.final[state])
-                state, weight = GRAMMAR.start, 0.0
+                total = sum(w * GRAMMAR.final[state, kind] for kind, w in weight.items())
+                if total:
+                    out.append(total)
+                state, weight = GRAMMAR.start, dict.fromkeys(WEIGHED, 0.0)
                 continue
             w = self.weigh(piece)
             kind = (THREAT if piece in self.threats else INSULT) if w else CLOSED.get(piece, OTHER)
             state, factor = GRAMMAR.step[state, kind]
-            weight += w * factor
+            if w:
+                weight[kind] += w * factor
         return out
 
     def features(self, texts: Iterable[str | None]) -> np.ndarray:
@@ -173,16 +187,16 @@ def _families(texts: pa.Array, sketches: int = 4) -> list[list[int]]:
     return out
 
 
-def _likelihood_ratio(p: int, np_: int, n: int, nn: int) -> float:
+def _likelihood_ratio(p: Column, np_: int, n: Column, nn: int) -> Column:
     """G statistic of p of np_ against n of nn."""
-    def part(k, m, q):
-        return (k * math.log(k / m / q) if k else 0.0) + ((m - k) * math.log((m - k) / m / (1 - q)) if k < m else 0.0)
-    q = (p + n) / (np_ + nn)
-    return 2 * (part(p, np_, q) + part(n, nn, q)) if 0 < q < 1 else 0.0
+    q = (p + n) / float(np_ + nn)
+    term = lambda k, m, share: F.when(k > 0, k * F.log(k / float(m) / share)).otherwise(0.0)
+    part = lambda k, m: term(k, m, q) + term(m - k, m, 1 - q)
+    return F.when((q > 0) & (q < 1), 2 * (part(p, np_) + part(n, nn))).otherwise(0.0)
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-          most_labelled: int = 8000, most_entries: int = 5000, least_ratio: float = 30.0, least_odds: float = 2.0) -> Model:
+          most_labelled: int = 8000, least_texts: int = 4, least_ratio: float = 30.0, least_odds: float = 2.0) -> Model:
     """A model from the rows of ``docs`` that have a label.
 
     Of ids with several labels the largest counts; labels that are null, or without a document, are left out.
@@ -209,17 +223,14 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     texts = sample.dropDuplicates(["label", "key"])  # exact copies of a kept text count once, as in n_pos and n_neg
 
-    def counted(units: frozenset | None, which: int) -> Counter:
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            got: Counter = Counter()
-            for batch in batches:
-                for t, y, k in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "key")), strict=True):
-                    if y == which and k in keep:
-                        own = _units(t)
-                        got.update(own if units is None else own & units)
-            yield pa.RecordBatch.from_pydict({"unit": pa.array(list(got), pa.string()), "n": pa.array(list(got.values()), pa.int64())})
-        out = texts.mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
-        return Counter({r["unit"]: r["n"] for r in out.where(F.col("n") >= (4 if units is None else 1)).orderBy(F.desc("n"), "unit").limit(200_000).collect()})
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: tuple[Counter, Counter] = (Counter(), Counter())  # of clean and of toxic texts
+        for batch in batches:
+            for t, y, k in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "key")), strict=True):
+                if k in keep:
+                    got[y].update(_units(t))
+        units = sorted(got[0].keys() | got[1].keys())
+        yield pa.RecordBatch.from_pydict({"unit": pa.array(units, pa.string()), "neg": pa.array([got[0][u] for u in units], pa.int64()), "pos": pa.array([got[1][u] for u in units], pa.int64())})
 
     labelled = [r for r in rows if r["key"] in keep]
     n_pos = len({r["key"] for r in labelled if r["label"] == 1})
@@ -227,14 +238,10 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     entries = dict.fromkeys(THREATS, 1.0)
     if not n_pos or not n_neg:
         return Model(entries)
-    pos = counted(None, 1)
-    neg = counted(frozenset(pos), 0)
-    learned = {}
-    for unit, p in pos.items():
-        odds = math.log((p + 0.5) / (n_pos + 1)) - math.log((neg[unit] + 0.5) / (n_neg + 1))
-        if odds >= least_odds and _likelihood_ratio(min(p, n_pos), n_pos, min(neg[unit], n_neg), n_neg) >= least_ratio:
-            learned[unit] = odds
-    learned = dict(sorted(learned.items(), key=lambda x: (-x[1] * pos[x[0]], x[0]))[:most_entries])
+    units = texts.mapInArrow(count, "unit string, neg long, pos long").groupBy("unit").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
+    odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
+    units = units.where(F.col("pos") >= least_texts).withColumns({"odds": odds, "ratio": _likelihood_ratio(F.col("pos"), n_pos, F.col("neg"), n_neg)})
+    learned = {r["unit"]: r["odds"] for r in units.where((F.col("odds") >= least_odds) & (F.col("ratio") >= least_ratio)).collect()}
     model = Model(entries | learned)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
