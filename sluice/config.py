@@ -71,7 +71,9 @@ class PipelineConfig:
                             F.lit(self.qos), F.lit(self.kestrel_ack_mode))
 
     def admission(self) -> dict[str, str]:
-        """The in-process queue bound as a micro-batch bound."""
+        """S12 as source options: the prefetch count (AMQP) or else the size of the in-process queue bounds what a
+        micro-batch takes -- of a Kafka topic, or of each queue of a landed log (``sources.broker_log``)."""
         if self.protocol == "kafka":
             return {"maxOffsetsPerTrigger": str(self.queue_size)}
-        return {}
+        bound = self.prefetch if self.protocol == "amqp" and self.prefetch else self.queue_size
+        return {"prefetch": str(bound)}

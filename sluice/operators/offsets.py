@@ -8,20 +8,54 @@ shuffle); the running byte total of a fetch slice uses the blocked scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.operators.joins import dim_join
-from sluice.operators.scan import DEFAULT_BLOCK, prefix_scan
+from sluice.operators.registry import as_of
+from sluice.operators.scan import DEFAULT_BLOCK, materialize, prefix_scan
 
 # Fixed values: "no offset known" marker, 1 MiB fetch size, 2000 ms commit interval.
 NO_OFFSET = -5
 DEFAULT_FETCH_BYTES = 1 << 20
 DEFAULT_COMMIT_INTERVAL_MS = 2000
+# Fixed values of a Kafka offset request: the latest and the earliest offset as times.
+LATEST_TIME, EARLIEST_TIME = -1, -2
+
+
+def time_index(msgs: DataFrame, bucket_ms: int = 3_600_000) -> DataFrame:
+    """(partition, bucket, first_offset): the smallest offset of each partition and time bucket.  One row a bucket,
+    summed by map tasks; messages without a time are in none."""
+    bucket = F.floor(F.unix_millis("ts") / bucket_ms).cast("long")
+    return msgs.where(F.col("ts").isNotNull()).groupBy("partition", bucket.alias("bucket")).agg(F.min("offset").alias("first_offset"))
+
+
+def offsets_for_times(msgs: DataFrame, requests: DataFrame, bucket_ms: int = 3_600_000) -> DataFrame:
+    """D1's startOffsetTime: ``requests`` (partition, time_ms, ...) with ``offset_at``, the smallest offset of the
+    partition whose message is not older than ``time_ms``; the next offset to come if all are older.  The times -1 and -2
+    ask for the latest (next) and the earliest offset.  A partition without messages has no offset: -5.
+
+    Later buckets answer from the index (smallest offset from a bucket on, found as of the request), and only the
+    messages of a request's own bucket are looked at.  Offsets need not rise with time."""
+    own = requests.columns
+    asked = requests.withColumn("_bucket", F.when(F.col("time_ms") >= 0, F.floor(F.col("time_ms") / bucket_ms).cast("long")))
+    asked = materialize(asked.withColumns({"_request": F.monotonically_increasing_id(), "_after": -F.col("_bucket") - 1}))
+    ends = msgs.groupBy("partition").agg(F.min("offset").alias("_first"), (F.max("offset") + 1).alias("_next"))
+    later = Window.partitionBy("partition").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0)
+    index = time_index(msgs, bucket_ms).withColumns({"_from": F.min("first_offset").over(later), "_order": -F.col("bucket")})
+    timed = as_of(asked.where("_bucket is not null"), "partition", "_after", materialize(index), "partition", "_order", F.col("_from"), "_later")
+    here = msgs.where(F.col("ts").isNotNull()).select("partition", F.floor(F.unix_millis("ts") / bucket_ms).cast("long").alias("_bucket"), F.unix_millis("ts").alias("_ms"), "offset")
+    here = dim_join(here, asked.select("partition", "_bucket", "time_ms", "_request").where("_bucket is not null"), ["partition", "_bucket"], "inner")
+    here = here.where("_ms >= time_ms").groupBy("_request").agg(F.min("offset").alias("_here"))
+    timed = timed.join(here, "_request", "left").select("_request", F.least("_here", "_later").alias("_at"))
+    out = asked.join(timed, "_request", "left").join(ends, "partition", "left")
+    at = F.when(F.col("time_ms") == EARLIEST_TIME, F.col("_first")).when(F.col("time_ms") == LATEST_TIME, F.col("_next")).otherwise(F.coalesce("_at", "_next"))
+    return out.select(*own, F.coalesce(at, F.lit(NO_OFFSET)).cast("long").alias("offset_at"))
 
 
 def start_offset_plan(positions: DataFrame, running_topology: str, force_from_start: bool = False,
-                      max_offset_behind: int | None = None, zero_is_valid: bool = False) -> DataFrame:
+                      max_offset_behind: int | None = None, zero_is_valid: bool = False,
+                      start_column: str = "earliest") -> DataFrame:
     """Where each partition starts reading.
 
     ``positions``: partition_id, earliest, current (latest), saved (nullable),
@@ -29,16 +63,18 @@ def start_offset_plan(positions: DataFrame, running_topology: str, force_from_st
     topology and force_from_start -> earliest; (c) else the saved offset; then
     (d) when start - committed > max_offset_behind, or committed <= 0 (< 0 with
     ``zero_is_valid``), the start offset wins.  ``start`` is the latest offset,
-    or the earliest one when force_from_start; a missing offset is -5.
+    or when force_from_start the one at startOffsetTime; a missing offset is -5.
+    ``start_column`` holds the offset at startOffsetTime, by default the earliest;
+    ``offsets_for_times`` gives it for any time.
     """
-    start = F.coalesce(F.col("earliest") if force_from_start else F.col("current"), F.lit(NO_OFFSET))
+    start = F.coalesce(F.col(start_column) if force_from_start else F.col("current"), F.lit(NO_OFFSET))
     none_saved = F.col("saved").isNull() | F.col("saved_topology").isNull()
     other_topology = (F.col("saved_topology") != F.lit(running_topology)) & F.lit(force_from_start)
     branch = (F.when(none_saved, F.lit("none_saved"))
               .when(other_topology, F.lit("topology_changed"))
               .otherwise(F.lit("saved")))
     committed = (F.when(none_saved, start)
-                 .when(other_topology, F.coalesce(F.col("earliest"), F.lit(NO_OFFSET)))
+                 .when(other_topology, F.coalesce(F.col(start_column), F.lit(NO_OFFSET)))
                  .otherwise(F.col("saved")))
     behind = (start - committed > F.lit(max_offset_behind)) if max_offset_behind is not None else F.lit(False)
     low = (committed < 0) if zero_is_valid else (committed <= 0)
@@ -94,10 +130,11 @@ def fetch_slice(msgs: DataFrame, starts: DataFrame, fetch_bytes: int = DEFAULT_F
 
 def range_reset(requests: DataFrame, use_start_offset_if_out_of_range: bool = True, start_offset_time: str = "earliest") -> DataFrame:
     """D3: a requested offset outside [earliest, latest] is retried once at the
-    start offset (``start_offset_time``: earliest or latest) when enabled, else it
+    start offset (``start_offset_time``: earliest, latest, or a column of
+    ``requests`` that holds the offset at startOffsetTime) when enabled, else it
     is an error.  ``requests``: partition_id, requested, earliest, latest; a null
     request has no status."""
-    if start_offset_time not in ("earliest", "latest"):
+    if start_offset_time not in ("earliest", "latest", *requests.columns):
         raise ValueError(f"unknown start offset time {start_offset_time!r}")
     out = (F.col("requested") < F.col("earliest")) | (F.col("requested") > F.col("latest"))
     status = F.when(~out, F.lit("ok")).when(out, F.lit("reset" if use_start_offset_if_out_of_range else "error"))

@@ -145,6 +145,17 @@ def q_decode_dead(spark, sf):
 
 # ---------------------------------------------------------------- scalar functions
 
+@query("decode_binary", "U1 P8", with_fixtures(["messages"], """
+, b AS (SELECT m.message_id, m.event_id, m.sent_ms, hex(e.props) AS props FROM messages m JOIN events e USING (event_id))
+SELECT message_id, CASE WHEN dead_reason IS NULL THEN sent_ms END AS sent_ms,
+       CASE WHEN dead_reason IS NULL THEN CASE WHEN event_id % 23 = 0 THEN 'FF000D0AFE' ELSE props END END AS body, dead_reason
+FROM (SELECT *, CASE WHEN event_id % 17 = 0 THEN 'empty' WHEN event_id % 19 = 0 OR event_id % 13 = 0 THEN 'undecodable' END AS dead_reason FROM b)"""))
+def q_decode_binary(spark, sf):
+    """Bodies of a binary format through a decoder over Arrow arrays; what it cannot read is a dead letter."""
+    d = decode.decode_arrow(fx.binary_payloads(spark, sf), decode.BINARY_PAYLOAD, decode.timestamp_body_decoder)
+    return d.select("message_id", F.col("decoded.sent_ms").alias("sent_ms"), F.hex("decoded.body").alias("body"), "dead_reason")
+
+
 @query("latency_millis", "P10", with_fixtures(["messages"], """
 SELECT message_id, sent_ms, sent_ms + CAST(floor(num_value) AS BIGINT) AS observed_ms,
        CAST(floor(num_value) AS BIGINT) AS latency_ms
@@ -463,6 +474,67 @@ def q_start_offset_plan_forced(spark, sf):
     return offsets.start_offset_plan(fx.positions(spark, sf), fx.RUNNING_TOPOLOGY, True, MAX_BEHIND)
 
 
+START_TIME_MS = 1_704_890_096_789        # 2024-01-10 12:34:56.789 UTC
+_TIMES_SQL = """
+, times AS (SELECT CAST(1704067200000 + i * 133200000 AS BIGINT) AS time_ms FROM range(26) t(i) UNION ALL SELECT CAST(v AS BIGINT) FROM (VALUES (-1), (-2)) x(v))"""
+
+
+@query("offset_for_time", "D1", with_fixtures(["messages"], _TIMES_SQL + """
+SELECT p."partition", t.time_ms,
+       CASE t.time_ms WHEN -2 THEN (SELECT min("offset") FROM messages m WHERE m."partition" = p."partition")
+            WHEN -1 THEN (SELECT max("offset") + 1 FROM messages m WHERE m."partition" = p."partition")
+            ELSE coalesce((SELECT min("offset") FROM messages m WHERE m."partition" = p."partition" AND m.sent_ms >= t.time_ms),
+                          (SELECT max("offset") + 1 FROM messages m WHERE m."partition" = p."partition")) END AS offset_at
+FROM (SELECT DISTINCT "partition" FROM messages) p, times t"""))
+def q_offset_for_time(spark, sf):
+    m = fx.messages(spark, sf)
+    times = spark.range(26).select((F.lit(1_704_067_200_000) + F.col("id") * 133_200_000).alias("time_ms"))
+    times = times.unionByName(spark.createDataFrame([(offsets.LATEST_TIME,), (offsets.EARLIEST_TIME,)], "time_ms long"))
+    requests = m.select("partition").distinct().withColumn("_all", F.lit(1)).join(times.withColumn("_all", F.lit(1)), "_all").drop("_all")
+    return offsets.offsets_for_times(m.select("partition", "offset", "ts"), requests)
+
+
+def _positions_at(spark: SparkSession, sf: str, time_ms: int) -> DataFrame:
+    """Positions of the message partitions, with the offset at ``time_ms``."""
+    m = fx.messages(spark, sf).select("partition", "offset", "ts")
+    at = offsets.offsets_for_times(m, m.select("partition").distinct().withColumn("time_ms", F.lit(time_ms).cast("long")))
+    ends = m.groupBy("partition").agg(F.min("offset").alias("earliest"), (F.max("offset") + 1).alias("current"))
+    p = F.col("partition")
+    saved = F.when(p == 0, F.lit(None).cast("long")).when(p == 1, F.lit(0)).when(p == 2, F.lit(10)).otherwise(F.col("offset_at") + 5)
+    return at.join(ends, "partition").select(p.alias("partition_id"), "earliest", "current", F.col("offset_at").alias("at_time"), saved.cast("long").alias("saved"),
+                                             F.when(p == 2, F.lit("B")).otherwise(F.lit("A")).alias("saved_topology"))
+
+
+_AT_TIME_SQL = f"""
+, ends AS (SELECT "partition", min("offset") AS earliest, max("offset") + 1 AS latest,
+                  coalesce(min("offset") FILTER (WHERE sent_ms >= {START_TIME_MS}), max("offset") + 1) AS at_time FROM messages GROUP BY "partition"),
+  pos AS (SELECT "partition" AS partition_id, earliest, latest, at_time,
+                 CASE "partition" WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 10 ELSE at_time + 5 END AS saved,
+                 CASE WHEN "partition" = 2 THEN 'B' ELSE 'A' END AS saved_topology FROM ends)"""
+
+
+@query("start_offset_plan_time", "D1", with_fixtures(["messages"], _AT_TIME_SQL + f"""
+, b AS (SELECT partition_id, at_time AS start, CASE WHEN saved IS NULL THEN 'none_saved' WHEN saved_topology <> 'A' THEN 'topology_changed' ELSE 'saved' END AS branch,
+               CASE WHEN saved IS NULL OR saved_topology <> 'A' THEN at_time ELSE saved END AS committed FROM pos)
+SELECT partition_id, branch, CAST(committed AS BIGINT) AS committed, (start - committed > {MAX_BEHIND} OR committed <= 0) AS reset,
+       CAST(CASE WHEN start - committed > {MAX_BEHIND} OR committed <= 0 THEN start ELSE committed END AS BIGINT) AS start_offset FROM b"""))
+def q_start_offset_plan_time(spark, sf):
+    """D1 with startOffsetTime a point in time."""
+    return offsets.start_offset_plan(_positions_at(spark, sf, START_TIME_MS), fx.RUNNING_TOPOLOGY, True, MAX_BEHIND, start_column="at_time")
+
+
+@query("range_reset_time", "D3", with_fixtures(["messages"], _AT_TIME_SQL + """
+SELECT partition_id, CAST(saved AS BIGINT) AS requested, CASE WHEN saved < earliest OR saved > latest THEN 'reset' WHEN saved IS NOT NULL THEN 'ok' END AS fetch_status,
+       CAST(CASE WHEN saved < earliest OR saved > latest THEN at_time ELSE saved END AS BIGINT) AS fetch_offset
+FROM (SELECT * REPLACE (CASE WHEN partition_id = 1 THEN -3 WHEN partition_id = 3 THEN latest + 1 ELSE saved END AS saved) FROM pos)"""))
+def q_range_reset_time(spark, sf):
+    """D3 with startOffsetTime a point in time: offsets out of range are fetched from there."""
+    p = _positions_at(spark, sf, START_TIME_MS)
+    asked = F.when(F.col("partition_id") == 1, F.lit(-3)).when(F.col("partition_id") == 3, F.col("current") + 1).otherwise(F.col("saved"))
+    r = offsets.range_reset(p.select("partition_id", asked.cast("long").alias("requested"), "earliest", F.col("current").alias("latest"), "at_time"), start_offset_time="at_time")
+    return r.select("partition_id", "requested", "fetch_status", "fetch_offset")
+
+
 @query("fetch_slice", "D2", fixtures_prefix(["messages", "emitted", "ack_log"])
        + _COMMIT_SQL.rstrip() + f"""
 , s AS (SELECT m.message_id, m."partition", m."offset", CAST(strlen(m.value_text) AS BIGINT) AS size,
@@ -688,11 +760,34 @@ def q_pending_prune_unbounded(spark, sf):
     return acks.pending_prune(fx.ack_log(spark, sf), fx.emitted(spark, sf), None)
 
 
-@query("pending_prune", "T3", None)
+def _prune_sql(log: str, behind: int) -> str:
+    """The ledger ack by ack: the pending offsets are a list that every step makes anew."""
+    return fixtures_prefix(["emitted", log]).replace("WITH", "WITH RECURSIVE", 1) + f"""
+, ranked AS MATERIALIZED (
+  SELECT "partition", "offset", ack_seq, row_number() OVER (PARTITION BY "partition" ORDER BY ack_seq, "offset") AS t FROM {log}),
+  f AS (
+  SELECT e."partition", CAST(0 AS BIGINT) AS t, CAST(NULL AS BIGINT) AS ack_seq, CAST(NULL AS BIGINT) AS "offset", CAST(NULL AS VARCHAR) AS action,
+         CAST(NULL AS BIGINT) AS min_pending_before, list(DISTINCT e."offset" ORDER BY e."offset") AS pending
+  FROM emitted e GROUP BY e."partition"
+  UNION ALL
+  SELECT f."partition", r.t, r.ack_seq, r."offset", CASE WHEN f.pending[1] < r."offset" - {behind} THEN 'clear' ELSE 'remove' END, f.pending[1],
+         CASE WHEN f.pending[1] < r."offset" - {behind} THEN list_filter(f.pending, lambda x: x >= r."offset")
+              ELSE list_filter(f.pending, lambda x: x <> r."offset") END
+  FROM f JOIN ranked r ON r."partition" = f."partition" AND r.t = f.t + 1)
+SELECT "partition", ack_seq, "offset", action, min_pending_before, pending[1] AS min_pending_after FROM f WHERE t > 0"""
+
+
+@query("pending_prune", "T3", _prune_sql("ack_log", MAX_BEHIND))
 def q_pending_prune(spark, sf):
     return acks.pending_prune(fx.ack_log(spark, sf), fx.emitted(spark, sf), MAX_BEHIND)
 
 
+@query("pending_prune_clears", "T3", _prune_sql("lagging_ack_log", fx.PRUNE_BEHIND))
+def q_pending_prune_clears(spark, sf):
+    """T3 with a bound that clears every partition many times."""
+    return acks.pending_prune(fx.lagging_ack_log(spark, sf), fx.emitted(spark, sf), fx.PRUNE_BEHIND)
+
+
 
 
 @query("flagship_route_counts", "P1 P7 J1 J3 (flagship)", _route_sql(""",
@@ -805,6 +900,19 @@ def q_stream_route_asof(spark, sf):
     return spark.read.parquet(f"{base}/out/routes").select("message_id", "path", "destination", "route_reason")
 
 
+@query("stream_route_asof_late", "J6 J7 T5", CATALOGUE["route_asof"].sql)
+def q_stream_route_asof_late(spark, sf):
+    """Events arrive up to 200 places late: messages wait until the horizon has passed them, so a change that comes after
+    a message it concerns still counts; the state keeps live names and the changes within the horizon."""
+    from sluice.streaming import pipelines as sp
+    base = sp.fresh_dir(spark, "stream-asof-late")
+    late = fx.table(spark, sf, "events").withColumn("arrival", F.col("event_id") + F.col("event_id") * 37 % 200)
+    path = sp.land_in_order(late, "arrival", 3, "events")
+    sp.route_asof_late_stream(sp.landed_stream(spark, path), 200, f"{base}/out", f"{base}/ckpt")
+    routed = spark.read.parquet(f"{base}/out/routes").select("message_id", "path", "destination", "route_reason")
+    return routed.unionByName(sp.route_waiting(spark, f"{base}/out"))
+
+
 @query("stream_latency", "A1 P10 T5", CATALOGUE["running_latency"].sql)
 def q_stream_latency(spark, sf):
     from sluice.streaming import pipelines as sp
@@ -824,24 +932,99 @@ def q_stream_bridge(spark, sf):
     return spark.read.parquet(f"{base}/out").select("queue", "seq", "value", "expiration_ms")
 
 
-@query("stream_pending_prune", "T3 T5", None)
+@query("stream_pending_prune", "T3 T5", CATALOGUE["pending_prune_clears"].sql)
 def q_stream_pending_prune(spark, sf):
     from sluice.streaming import pipelines as sp
     base = sp.fresh_dir(spark, "stream-prune")
-    ev = sp.table_stream(spark, sf, "events")
-    eid = F.col("event_id")
-    rev8 = eid - eid % 8 + 7 - eid % 8
-    acked = (eid % 4 == 3) | (eid < F.lit(500) + F.lit(100) * (eid % 4)) | (eid % 3 != 0)
-    real = ev.where(acked).select(eid.alias("ack_id"), rev8.alias("ack_seq"))
-    unknown = ev.where(eid % 100 == 0).select((eid + 1_000_000).alias("ack_id"), rev8.alias("ack_seq"))
-    acks_s = real.unionByName(unknown).select((F.col("ack_id") % 4).cast("int").alias("partition"),
-                                             F.expr("ack_id div 4").alias("offset"), "ack_seq")
     bounds = fx.emitted(spark, sf).groupBy("partition").agg(F.min("offset").alias("first_offset"),
                                                             (F.max("offset") + 1).alias("next_offset"))
-    upd = sp.prune_updates(acks_s.join(bounds, "partition"), MAX_BEHIND)
-    w = upd.writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
-    sp.run_available_now(w)
-    return spark.read.schema(sp.PRUNE_OUT).parquet(f"{base}/out")
+    log = sp.land_in_order(fx.lagging_ack_log(spark, sf), "ack_seq", 3, "acks")
+    sp.prune_stream(sp.landed_stream(spark, log), bounds, fx.PRUNE_BEHIND, f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out/decisions").select(*acks.PRUNE_COLUMNS)
+
+
+_LEDGER_SQL = with_fixtures(["emitted", "ack_log"], """
+, m AS (SELECT "partition", "partition" || ':' || "offset" AS message_id FROM emitted),
+  a AS (SELECT DISTINCT "partition", "partition" || ':' || "offset" AS message_id FROM ack_log)
+SELECT "partition", message_id, CASE WHEN m.message_id IS NULL THEN 'unknown' WHEN a.message_id IS NULL THEN 'pending' ELSE 'acked' END AS outcome
+FROM m FULL JOIN a USING ("partition", message_id)""")
+
+
+@query("stream_commits", "A3 A4 P14 T5", with_fixtures(["emitted", "lagging_ack_log"], """
+, p AS (SELECT e."partition", coalesce(min(e."offset") FILTER (WHERE a."offset" IS NULL), max(e."offset") + 1) AS saved_offset
+        FROM emitted e LEFT JOIN (SELECT DISTINCT "partition", "offset" FROM lagging_ack_log) a USING ("partition", "offset") GROUP BY e."partition")
+SELECT "partition", saved_offset, '{"topology":{"id":"A","name":"topology"},"offset":' || saved_offset || ',"partition":' || "partition"
+       || ',"broker":{"host":"broker","port":9092},"topic":"readings"}' AS document FROM p"""))
+def q_stream_commits(spark, sf):
+    """The commit points of a running ledger, written by a listener as saved-offset documents while it runs."""
+    from sluice.streaming import listeners, pipelines as sp
+    base = sp.fresh_dir(spark, "stream-commits")
+    bounds = fx.emitted(spark, sf).groupBy("partition").agg(F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("next_offset"))
+    path = sp.land_in_order(fx.lagging_ack_log(spark, sf), "ack_seq", 3, "acks")
+    saved = listeners.SavedOffsets(spark, f"{base}/saved", "A", "topology", "broker", 9092, "readings")
+    cadence = listeners.CommitCadence(saved, lambda b: spark.read.parquet(f"{base}/out/low/batch={b}").withColumnRenamed("low", "commit_offset"))
+    spark.streams.addListener(cadence)
+    try:
+        sp.prune_stream(sp.landed_stream(spark, path), bounds, 1 << 40, f"{base}/out", f"{base}/ckpt")
+        listeners.heard(spark)
+    finally:
+        spark.streams.removeListener(cadence)
+    if cadence.failure is not None:
+        raise cadence.failure
+    return saved.read().select("partition", "saved_offset", "document")
+
+
+@query("stream_replay", "J8 T5", with_fixtures(["replay_fails"], """
+SELECT "partition", "offset", step + 1 AS batch, min("offset") OVER (PARTITION BY "partition", step) AS replay_from FROM replay_fails"""))
+def q_stream_replay(spark, sf):
+    from sluice.streaming import pipelines as sp
+    base = sp.fresh_dir(spark, "stream-replay")
+    log = fx.replay_log(spark, sf)
+    last = log.where("step = 0 and kind = 'message'").limit(1).withColumn("step", F.lit(fx.REPLAY_STEPS - 1))  # something lands after the last failures
+    path = sp.land_steps(log.unionByName(last), "step", fx.REPLAY_STEPS, "replay")
+    sp.replay_stream(sp.landed_stream(spark, path), fx.emitted(spark, sf), f"{base}/out", f"{base}/ckpt")
+    r = spark.read.parquet(f"{base}/out/replayed")
+    return r.select("partition", "offset", F.col("batch").cast("int").alias("batch"), "replay_from")
+
+
+@query("stream_ack_ledger", "T1 T5", _LEDGER_SQL)
+def q_stream_ack_ledger(spark, sf):
+    """The ledger over two runs of one query: the second starts from the first one's checkpoint, with messages pending
+    and acks waiting across the restart.  Messages without an ack have expired or are still in the state."""
+    from sluice.streaming import ledger, pipelines as sp
+    base = sp.fresh_dir(spark, "stream-ledger")
+    log = fx.ledger_log(spark, sf)
+    half = log.agg(F.percentile_approx("at_ms", 0.5)).first()[0]
+    path = sp.land_in_order(log.where(F.col("at_ms") <= half), "at_ms", 2, "ledger")
+    run = lambda: ledger.run_to_end(ledger.ack_ledger(sp.landed_stream(spark, path)), f"{base}/out", f"{base}/ckpt")
+    run()
+    sp.land_in_order(log.where(F.col("at_ms") > half), "at_ms", 2, "ledger", path)
+    run()
+    left = spark.read.schema(ledger.LEDGER_OUT).parquet(f"{base}/out").withColumn("outcome", F.when(F.col("outcome") == "expired", "pending").otherwise(F.col("outcome")))
+    held = ledger.pending_now(spark, f"{base}/ckpt").withColumn("outcome", F.lit("pending"))
+    early = ledger.pending_now(spark, f"{base}/ckpt", "early").withColumn("outcome", F.lit("unknown"))
+    columns = ["partition", "message_id", "outcome"]
+    return left.select(*columns).unionByName(held.select(*columns)).unionByName(early.select(*columns))
+
+
+@query("stream_auto_abort_timers", "D6 D7 T5", with_fixtures(["queue_state"], f"""
+, o AS (SELECT * FROM queue_state WHERE state = 'open' AND (queue <> '1-URGENT' OR opened_at < TIMESTAMP '1996-01-01 00:00:00')),
+  hw AS (SELECT max(epoch_ms(opened_at) + CASE WHEN price > {CONFIRM_PRICE} THEN 3600000 ELSE 0 END) - 1800000 AS mark FROM o)
+SELECT queue, seq,
+       CASE WHEN auto_abort_ms = 0 OR price > {CONFIRM_PRICE} THEN 'confirmed'
+            WHEN epoch_ms(opened_at) + auto_abort_ms < hw.mark THEN 'waiting' ELSE 'open' END AS new_state,
+       CASE WHEN auto_abort_ms = 0 THEN 0 WHEN price > {CONFIRM_PRICE} OR epoch_ms(opened_at) + auto_abort_ms < hw.mark THEN seq END AS txn_id
+FROM o, hw"""))
+def q_stream_auto_abort_timers(spark, sf):
+    """Items return to their queue when the watermark passes their deadline; nothing is fetched from 1-URGENT any more
+    when most of its items expire."""
+    from sluice.streaming import ledger, pipelines as sp
+    base = sp.fresh_dir(spark, "stream-abort-timers")
+    path = sp.land_in_order(fx.open_log(spark, sf), "at_ms", 3, "open")
+    ledger.run_to_end(ledger.auto_abort_timers(sp.landed_stream(spark, path), delay="30 minutes"), f"{base}/out", f"{base}/ckpt")
+    left = spark.read.schema(ledger.ABORT_OUT).parquet(f"{base}/out").select("queue", "seq", "new_state", "txn_id")
+    held = ledger.open_now(spark, f"{base}/ckpt")
+    return left.unionByName(held.select("queue", "seq", F.lit("open").alias("new_state"), F.lit(None).cast("long").alias("txn_id")))
 
 
 # ---------------------------------------------------------------- landed deliveries (S1-S5) and publish records
@@ -909,11 +1092,26 @@ def landed_records(spark: SparkSession, sf: str, protocol: str) -> DataFrame:
     return envelope.declare_fields(m.select(*made[protocol]), landed.RECORDS[protocol])
 
 
+ADMITTED = "4096"            # messages of a queue in a micro-batch of the sources
+
+
 def _source_query(protocol: str) -> QueryFn:
     def fn(spark: SparkSession, sf: str) -> DataFrame:
-        from sluice.sources import landed
+        """Kafka: the projection of its source's rows.  The others: deliveries land in files and are read as a stream, so
+        many of each queue at a time as the configuration admits."""
+        from sluice.config import PipelineConfig
+        from sluice.sources import broker_log, landed
+        from sluice.streaming import pipelines as sp
         records = landed_records(spark, sf, protocol)
-        env = landed.kafka_to_envelope(records) if protocol == "kafka" else landed.TO_ENVELOPE[protocol](records)
+        if protocol == "kafka":
+            env = landed.kafka_to_envelope(records)
+        else:
+            base = sp.fresh_dir(spark, f"source-{protocol}")
+            config = PipelineConfig.from_options(protocol, {"prefetchCount": ADMITTED, "queueSize": ADMITTED})
+            broker_log.land(records, f"{base}/log", protocol)
+            stream = broker_log.read_stream(spark, f"{base}/log", config, f"{base}/progress.json")
+            sp.run_until_idle(stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt"))
+            env = spark.read.schema(stream.schema).parquet(f"{base}/out")
         d = decode.decode(env, BODY_SCHEMA)
         extra = {"kafka": F.col("headers")["a"], "amqp": F.col("context")["p"], "jms": F.col("context")["delivery_mode"],
                  "mqtt": F.col("context")["qos"], "kestrel": F.lit(None)}[protocol]
@@ -928,11 +1126,6 @@ for _protocol, _operators in (("kafka", "S1 P7 P8"), ("amqp", "S2 P7 P8"), ("jms
     query(f"source_{_protocol}", _operators, _landed_sql(_protocol))(_source_query(_protocol))
 
 
-def _redelivered(spark: SparkSession, sf: str) -> DataFrame:
-    m = fx.messages(spark, sf)
-    return m.unionByName(m.where(F.col("event_id") % 29 == 0))
-
-
 _SINK_TWO_HOP = """
   twice AS (SELECT * FROM messages UNION ALL SELECT * FROM messages WHERE event_id % 29 = 0),
   good AS (SELECT t.*, d.name, d.grouped, d.site, d.sensor, d.sensor_id
@@ -947,30 +1140,46 @@ def _sink_sql(select: str) -> str:
 
 
 def _sink(spark: SparkSession, sf: str, protocol: str) -> DataFrame:
-    from sluice.streaming import pipelines as sp
+    """The messages as a stream, some delivered twice, routed and published in three micro-batches; what the published
+    files hold.  MQTT messages carry a quality of service, but for every fourth."""
+    from sluice.streaming import pipelines as sp, publish
+    base = sp.fresh_dir(spark, f"sink-{protocol}")
     dest = fx.destinations(spark, sf)
-    r = sp.labelled_routes(_redelivered(spark, sf), fx.paths(spark), sp.publishable(dest, protocol), one_hop=protocol in sp.ONE_HOP)
-    return sp.sink_records(protocol, r.where(F.col("output") == "good"), dest)
+    eid = F.col("event_id")
+    m = fx.messages_from(sp.table_stream(spark, sf, "events", order="event_id", batches=3))
+    m = m.withColumn("_copy", F.explode(F.when(eid % 29 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("_copy")
+    m = m.withColumn("context", F.when(eid % 4 != 0, F.create_map(F.lit("qos"), (eid % 3).cast("string"))).otherwise(F.col("context")))
+    r = sp.labelled_routes(m, fx.paths(spark), sp.publishable(dest, protocol), one_hop=protocol in sp.ONE_HOP)
+    records = sp.sink_records(protocol, r.where(F.col("output") == "good"), dest)
+    sp.run_available_now(publish.publish(records, f"{base}/out", "sink").option("checkpointLocation", f"{base}/ckpt"))
+    return publish.published(spark, f"{base}/out", records.schema)
 
 
-@query("sink_mqtt", "S9 J2", _sink_sql("""
-SELECT message_id, name AS topic, CAST(strlen(value_text) AS BIGINT) AS body_len, false AS retain, CAST(NULL AS INTEGER) AS qos FROM good"""))
+@query("sink_mqtt", "S9 J2 T5", _sink_sql("""
+SELECT message_id, name AS topic, hex(value_text) AS body, false AS retain, CASE WHEN event_id % 4 <> 0 THEN CAST(event_id % 3 AS INTEGER) END AS qos FROM good"""))
 def q_sink_mqtt(spark, sf):
-    return _sink(spark, sf, "mqtt").select("message_id", "topic", F.length("body").cast("long").alias("body_len"), "retain", "qos")
+    return _sink(spark, sf, "mqtt").select("message_id", "topic", F.hex("body").alias("body"), "retain", "qos")
 
 
-@query("sink_jms", "S8 J2 P3 P4", _sink_sql("""
-SELECT message_id, 'jq' AS queue, CAST(strlen(value_text) AS BIGINT) AS body_len, sent_ms AS jms_timestamp FROM good"""))
+@query("sink_jms", "S8 J2 P3 P4 T5", _sink_sql("""
+SELECT message_id, 'jq' AS queue, hex(value_text) AS body, sent_ms AS jms_timestamp FROM good"""))
 def q_sink_jms(spark, sf):
-    return _sink(spark, sf, "jms").select("message_id", "queue", F.length("body").cast("long").alias("body_len"), "jms_timestamp")
+    return _sink(spark, sf, "jms").select("message_id", "queue", F.hex("body").alias("body"), "jms_timestamp")
+
+
+@query("sink_kestrel", "S10 J2 T5", _sink_sql("""
+SELECT message_id, name AS queue, hex(value_text) AS data, CAST(30000 AS BIGINT) AS expiration_ms, sent_ms + 30000 AS expires_ms FROM good"""))
+def q_sink_kestrel(spark, sf):
+    return _sink(spark, sf, "kestrel").select("message_id", "queue", F.hex("data").alias("data"), "expiration_ms", epoch_ms("expires_at").alias("expires_ms"))
 
 
-@query("sink_kafka", "S6 J1 P1 P4", _sink_sql("""
-SELECT key_text, CAST(strlen(value_text) AS BIGINT) AS value_len, CAST(sent_ms AS VARCHAR) AS time_header FROM good
+@query("sink_kafka", "S6 J1 P1 P4 T5", _sink_sql("""
+SELECT CASE WHEN grouped THEN site || '.' || sensor || '.readings' ELSE site || '.' || sensor || '.' || sensor_id || '.readings' END AS topic,
+       key_text, hex(value_text) AS value, CAST(sent_ms AS VARCHAR) AS time_header FROM good
 WHERE NOT (NOT grouped AND sensor_id IS NULL)"""))
 def q_sink_kafka(spark, sf):
     r = _sink(spark, sf, "kafka")
-    return r.select(bytes_text("key").alias("key_text"), F.length("value").cast("long").alias("value_len"),
+    return r.select("topic", bytes_text("key").alias("key_text"), F.hex("value").alias("value"),
                     F.decode(F.element_at("headers", 1)["value"], "UTF-8").alias("time_header"))
 
 

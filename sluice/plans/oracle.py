@@ -67,9 +67,18 @@ FIXTURE_SQL: dict[str, str] = {
     UNION ALL
     SELECT event_id + 1000000, event_id - event_id % 8 + 7 - event_id % 8
     FROM events WHERE event_id % 100 = 0)""",
+    "lagging_ack_log": """
+  SELECT CAST(event_id % 4 AS INTEGER) AS "partition", "offset", ack_seq FROM (
+    SELECT event_id, event_id // 4 AS "offset", event_id + event_id * 13 % 97 AS ack_seq FROM events WHERE event_id % 37 <> 5
+    UNION ALL SELECT event_id, event_id // 4, event_id + 200 FROM events WHERE event_id % 53 = 7
+    UNION ALL SELECT event_id, event_id // 4 + 60, event_id FROM events WHERE event_id % 211 = 3)""",
     "fail_log": """
   SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS "offset", event_id AS fail_seq
   FROM acked_events WHERE NOT acked AND event_id % 21 = 0""",
+    "replay_fails": """
+  SELECT DISTINCT CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS "offset", CAST(step AS INTEGER) AS step FROM (
+    SELECT event_id, (event_id // 250) % 3 AS step FROM acked_events WHERE NOT acked AND event_id % 21 = 0
+    UNION ALL SELECT event_id, (event_id // 250) % 3 + 1 FROM acked_events WHERE NOT acked AND event_id % 42 = 0 AND (event_id // 250) % 3 < 2)""",
     "latencies": """
   SELECT CAST(user_id % 2 AS INTEGER) AS task, event_id AS seq, event_id * 10 AS arrival_ms,
          CASE WHEN event_id % 97 = 0 THEN CAST(-1 AS BIGINT) ELSE CAST(floor(value) AS BIGINT) END AS val
@@ -100,6 +109,7 @@ FIXTURE_SQL: dict[str, str] = {
 _DEPENDS = {
     "ack_log": ["acked_events"],
     "fail_log": ["acked_events"],
+    "replay_fails": ["acked_events"],
     "queue_state": ["queue_items"],
     "next_put": ["queue_items"],
 }

@@ -19,6 +19,7 @@ DAY_MS = 86_400_000
 QUEUE_OBSERVED_AT = "1998-01-01 00:00:00"
 QUEUE_NEXT_PUT_DAYS = 30
 MAX_OFFSET_BEHIND = 1000
+PRUNE_BEHIND = 50            # bound of the lagging ack log
 RUNNING_TOPOLOGY = "A"
 
 
@@ -206,6 +207,42 @@ def ack_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ack_seq"))
 
 
+def lagging_ack_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Acknowledgements that come up to 96 places late, some never, some twice, some 60 offsets ahead, so a bound of
+    ``PRUNE_BEHIND`` clears every partition again and again."""
+    e = table(spark, sf_dir, "events")
+    eid = _eid()
+    late = e.where(eid % 37 != 5).select(eid.alias("id"), F.expr("event_id div 4").alias("offset"), (eid + eid * 13 % 97).alias("ack_seq"))
+    again = e.where(eid % 53 == 7).select(eid.alias("id"), F.expr("event_id div 4").alias("offset"), (eid + 200).alias("ack_seq"))
+    early = e.where(eid % 211 == 3).select(eid.alias("id"), F.expr("event_id div 4 + 60").alias("offset"), eid.alias("ack_seq"))
+    return late.unionByName(again).unionByName(early).select((F.col("id") % 4).cast("int").alias("partition"), "offset", "ack_seq")
+
+
+def ledger_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Emits and acks as one log (origin, partition, message_id, kind, at, at_ms); an ack comes up to five minutes after
+    its message or one before it, and some are of unknown ids."""
+    e = table(spark, sf_dir, "events")
+    eid, at = _eid(), epoch_ms(ntz_as_utc("ts"))
+    emit = e.select(eid.alias("id"), F.lit("emit").alias("kind"), at.alias("at_ms"))
+    real = e.where(_acked(eid)).select(eid.alias("id"), F.lit("ack").alias("kind"), (at + (eid % 7 - 1) * 60_000).alias("at_ms"))
+    unknown = e.where(eid % 100 == 0).select((eid + 1_000_000).alias("id"), F.lit("ack").alias("kind"), at.alias("at_ms"))
+    name = F.concat_ws(":", (F.col("id") % 4).cast("string"), F.expr("id div 4").cast("string"))
+    return emit.unionByName(real).unionByName(unknown).select(
+        F.lit("log").alias("origin"), (F.col("id") % 4).cast("int").alias("partition"), name.alias("message_id"), "kind",
+        F.timestamp_millis("at_ms").alias("at"), "at_ms")
+
+
+def open_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetches and confirms of the open items as one log (queue, seq, kind, at, auto_abort_ms, at_ms).  Items priced above
+    250000 are confirmed after an hour; nothing is fetched from 1-URGENT from 1996 on."""
+    items = queue_state(spark, sf_dir).where("state = 'open'")
+    items = items.where((F.col("queue") != "1-URGENT") | (F.col("opened_at") < F.lit("1996-01-01").cast("timestamp")))
+    items = items.withColumn("at_ms", epoch_ms("opened_at"))
+    fetch = items.select("queue", "seq", F.lit("open").alias("kind"), "auto_abort_ms", "at_ms")
+    confirm = items.where("price > 250000").select("queue", "seq", F.lit("confirm").alias("kind"), "auto_abort_ms", (F.col("at_ms") + 3_600_000).alias("at_ms"))
+    return fetch.unionByName(confirm).withColumn("at", F.timestamp_millis("at_ms"))
+
+
 def fail_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failed messages: not acked and event_id % 21 = 0."""
     e = table(spark, sf_dir, "events")
@@ -215,6 +252,34 @@ def fail_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         eid.alias("fail_seq"))
 
 
+def binary_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(message_id, protocol, value): epoch ms, CRLF and the props of an event, some with bytes that are no text; some
+    heads are no number, some bodies have no separator or nothing at all."""
+    eid = _eid()
+    m = messages(spark, sf_dir, [F.col("props")])
+    body = F.when(eid % 23 == 0, F.unhex(F.lit("FF000D0AFE"))).otherwise(F.col("props").cast("binary"))
+    head = F.when(eid % 13 == 0, F.lit("not a time")).otherwise(epoch_ms("ts").cast("string"))
+    value = F.concat(head.cast("binary"), F.when(eid % 19 == 0, F.lit("").cast("binary")).otherwise(F.lit("\r\n").cast("binary")), body)
+    return m.select("message_id", F.lit("kestrel").alias("protocol"), F.when(eid % 17 != 0, value).otherwise(F.lit("").cast("binary")).alias("value"))
+
+
+REPLAY_STEPS = 4
+
+
+def replay_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(kind, partition, offset, step): offsets land in three steps; those of ``fail_log`` fail in their own step, every
+    second of them again one step later, some twice in a step.  Nothing fails in the last step."""
+    e = table(spark, sf_dir, "events")
+    eid = _eid()
+    step = (F.expr("event_id div 250") % 3).cast("int")
+    key = [(eid % 4).cast("int").alias("partition"), F.expr("event_id div 4").alias("offset")]
+    message = e.select(F.lit("message").alias("kind"), *key, step.alias("step"))
+    bad = e.where(~_acked(eid) & (eid % 21 == 0))
+    fail = lambda rows, at: rows.select(F.lit("fail").alias("kind"), *key, at.cast("int").alias("step"))
+    again = bad.where((eid % 2 == 0) & (step < 2))
+    return message.unionByName(fail(bad, step)).unionByName(fail(again, step + 1)).unionByName(fail(bad.where(eid % 5 == 0), step)).withColumn("step", F.col("step"))
+
+
 def latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latencies_from(table(spark, sf_dir, "events"))
 

@@ -13,7 +13,7 @@
 * ``route_asof_stream``: J7 in a stream, the registry snapshot carried from
   one micro-batch to the next as a table.
 * ``bridge_stream``: S11 queue-to-queue bridge with expiry.
-* ``prune_updates``: T3 pending prune as a stateful fold per Kafka partition.
+* ``prune_stream``: T3 pending prune, the out-of-order window carried as a table.
 * ``auto_abort_stream``: D6 with the open items carried as a table and the
   deadlines evaluated at each micro-batch's event-time high-water mark.
 * ``route_stream(protocol=...)``: also lands that broker's publish records
@@ -62,13 +62,13 @@ def admission(max_files: int | None = None, max_bytes: str | None = None,
 FILES_PER_BATCH = 4
 
 
-def landed_in_order(spark: SparkSession, folder: str, name: str, order: str, batches: int) -> str:
-    """The table as a log that lands over time: ``batches`` ranges of ``order``
+def land_in_order(t: DataFrame, order: str, batches: int, name: str, path: str | None = None) -> str:
+    """A table as a log that lands over time: ``batches`` ranges of ``order``
     written one after the other (file sources read by time), each as
-    ``FILES_PER_BATCH`` files.  Rows without an ``order`` land with the first."""
-    t = fx.table(spark, folder, name)
+    ``FILES_PER_BATCH`` files, in a new folder or at the end of ``path``.  Rows
+    without an ``order`` land with the first."""
     cuts = t.stat.approxQuantile(order, [i / batches for i in range(1, batches)], 0.01)
-    path = fresh_dir(spark, f"landed-{name}")
+    path = path or fresh_dir(t.sparkSession, f"landed-{name}")
     for low, high in zip([None, *cuts], [*cuts, None]):
         above = F.lit(True) if low is None else F.col(order) > low
         upto = F.lit(True) if high is None else F.col(order) <= high
@@ -77,6 +77,12 @@ def landed_in_order(spark: SparkSession, folder: str, name: str, order: str, bat
     return path
 
 
+def landed_stream(spark: SparkSession, path: str, files: int = FILES_PER_BATCH) -> DataFrame:
+    """A stream over what ``land_in_order`` wrote, one range of ``files`` files a micro-batch."""
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.format("parquet").schema(schema).options(**admission(max_files=files)).load(path)
+
+
 def table_stream(spark: SparkSession, folder: str, name: str, options: dict[str, str] | None = None,
                  order: str | None = None, batches: int = 1) -> DataFrame:
     """A file stream over ``<folder>/<name>.parquet`` (the schema of the table);
@@ -85,7 +91,7 @@ def table_stream(spark: SparkSession, folder: str, name: str, options: dict[str,
     schema = fx.table(spark, folder, name).schema
     if order is not None and batches > 1:
         opts = admission(max_files=FILES_PER_BATCH) | (options or {})
-        return spark.readStream.format("parquet").schema(schema).options(**opts).load(landed_in_order(spark, folder, name, order, batches))
+        return spark.readStream.format("parquet").schema(schema).options(**opts).load(land_in_order(fx.table(spark, folder, name), order, batches, name))
     r = spark.readStream.format("parquet").schema(schema).option("pathGlobFilter", f"{name}.parquet")
     for k, v in (options or {}).items():
         r = r.option(k, v)
@@ -98,6 +104,16 @@ def run_available_now(df_writer) -> StreamingQuery:
     return q
 
 
+def run_until_idle(df_writer) -> StreamingQuery:
+    """Run until the sources have no more, then stop; for sources that admit little at a time by themselves."""
+    q = df_writer.start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return q
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
@@ -221,6 +237,58 @@ def route_asof_stream(spark: SparkSession, events: DataFrame, base: str, checkpo
     return run_available_now(w)
 
 
+def _asof_state(spark: SparkSession, out: str, batch_id: int) -> tuple[DataFrame, DataFrame, int]:
+    """What a batch left: waiting messages, changes, and the sequence number up to which all is decided."""
+    waiting, changes, mark = (spark.read.parquet(f"{out}/{x}/batch={batch_id}") for x in ("waiting", "changes", "mark"))
+    return waiting, changes, mark.first()["mark"]
+
+
+_ROUTED = ["message_id", "path", "destination", "route_reason"]
+
+
+def route_asof_late_stream(events: DataFrame, horizon: int, out: str, checkpoint: str) -> StreamingQuery:
+    """J7 in a stream whose events come up to ``horizon`` sequence numbers late.
+
+    All up to (largest number seen - ``horizon``) has arrived; that is the mark.  A message is routed when the mark has
+    passed it, against every change up to its number, however late the change came; until then it waits
+    (``<out>/waiting/batch=<id>``).  Of the changes up to the mark only the last of each name and path is carried, and
+    only if it is an add: a removed name is one that is not there (``<out>/changes/batch=<id>``).  So the state holds the
+    live names, and the messages and changes of the horizon.  Events behind the mark when they arrive land under
+    ``<out>/late/batch=<id>`` and count for nothing.  ``route_waiting`` routes what still waits at the end."""
+    from sluice.operators.registry import last_ops
+    from sluice.operators.scan import materialize
+    spark = events.sparkSession
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        seen = batch.agg(F.max("event_id")).first()[0]
+        before = None
+        if batch_id > 0:
+            waiting, known, before = _asof_state(spark, out, batch_id - 1)
+        mark = max(x for x in ((seen - horizon) if seen is not None else None, before, -1) if x is not None)
+        behind = F.col("event_id") <= (before if before is not None else -1)
+        timely = batch.where(~behind)
+        msgs = fx.messages_from(timely).withColumn("selected", fx.selector_path(bytes_text("key"), F.col("origin"))).select("message_id", "event_id", "selected")
+        changes = fx.registry_changes_from(timely)
+        if batch_id > 0:
+            msgs, changes = waiting.unionByName(msgs), known.unionByName(changes)
+        msgs, changes = materialize(msgs), materialize(changes)
+        decided = changes.where(F.col("seq") <= mark)
+        ready = routing.route_as_of(msgs.where(F.col("event_id") <= mark), F.col("selected"), "event_id", decided, materialize_hops=False)
+        live = last_ops(decided).where(F.col("op").startswith("add"))
+        write_batch({"routes": ready.select(*_ROUTED), "waiting": msgs.where(F.col("event_id") > mark),
+                     "changes": live.unionByName(changes.where(F.col("seq") > mark)), "late": batch.where(behind),
+                     "mark": spark.range(1).select(F.lit(mark).cast("long").alias("mark"))}, out, batch_id)
+
+    return run_available_now(events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
+
+
+def route_waiting(spark: SparkSession, out: str) -> DataFrame:
+    """The routes of the messages that ``route_asof_late_stream`` still holds, as if nothing more came."""
+    last = spark.read.parquet(f"{out}/mark").agg(F.max("batch")).first()[0]
+    waiting, changes, _ = _asof_state(spark, out, last)
+    return routing.route_as_of(waiting, F.col("selected"), "event_id", changes).select(*_ROUTED)
+
+
 # ------------------------------------------------------------------ latency (A1)
 
 LATENCY_OUT = T.StructType([T.StructField("task", T.IntegerType()), T.StructField("seq", T.LongType()),
@@ -307,53 +375,50 @@ def bridge_stream(spark: SparkSession, orders: DataFrame, out: str, checkpoint:
 
 # ------------------------------------------------------------------ pending prune
 
-PRUNE_OUT = T.StructType([
-    T.StructField("partition", T.IntegerType()), T.StructField("ack_seq", T.LongType()),
-    T.StructField("offset", T.LongType()), T.StructField("action", T.StringType()),
-    T.StructField("min_pending_before", T.LongType()), T.StructField("min_pending_after", T.LongType())])
-PRUNE_STATE = T.StructType([T.StructField("low", T.LongType()), T.StructField("next", T.LongType()),
-                            T.StructField("removed", T.ArrayType(T.LongType()))])
+def prune_stream(acks: DataFrame, bounds: DataFrame, max_offset_behind: int, out: str, checkpoint: str) -> StreamingQuery:
+    """T3 in a stream of acks (partition, offset, ack_seq): every micro-batch is decided by ``acks.prune_step``; the
+    offset up to which nothing is pending and the acked offsets above it are carried as tables (``<out>/low/batch=<id>``,
+    ``<out>/removed/batch=<id>``), decisions land under ``<out>/decisions/batch=<id>``.  ``bounds`` is what has been
+    emitted: (partition, first_offset, next_offset).  Acks are taken in order of ack_seq within a micro-batch; one that
+    comes in a later batch counts at arrival.  A retried batch reads the same prior state and overwrites its outputs."""
+    from sluice.operators.acks import prune_step
+    spark = acks.sparkSession
 
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        low, removed = (spark.read.parquet(f"{out}/{x}/batch={batch_id - 1}") if batch_id > 0 else None for x in ("low", "removed"))
+        decisions, low, removed = prune_step(batch, bounds, low, removed, max_offset_behind)
+        write_batch({"decisions": decisions, "low": low, "removed": removed}, out, batch_id)
 
-def _prune_state_fold(max_offset_behind: int):
-    def fold(key: Tuple[Any, ...], pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            low, nxt, removed = state.get
-            removed = set(removed)
-        else:
-            low, nxt, removed = None, None, set()
-        batch = pd.concat(list(pdfs)).sort_values(["ack_seq", "offset"])
-        rows = []
-        for seq, off, first, end in zip(batch["ack_seq"], batch["offset"], batch["first_offset"],
-                                        batch["next_offset"]):
-            if low is None:
-                low, nxt = int(first), int(end)
-            nxt = max(nxt, int(end))
-            o = int(off)
-            before = low if low < nxt else None
-            if before is not None and before < o - max_offset_behind:
-                action = "clear"
-                if o > low:
-                    removed = {x for x in removed if x >= o}
-                    low = min(o, nxt)
-            else:
-                action = "remove"
-                if low <= o < nxt:
-                    removed.add(o)
-            while low < nxt and low in removed:
-                removed.discard(low)
-                low += 1
-            rows.append((int(key[0]), int(seq), o, action, before, low if low < nxt else None))
-        state.update((low, nxt, sorted(removed)))
-        yield pd.DataFrame(rows, columns=[f.name for f in PRUNE_OUT.fields])
-    return fold
+    return run_available_now(acks.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
 
 
-def prune_updates(acks_with_bounds: DataFrame, max_offset_behind: int) -> DataFrame:
-    """T3 on a stream of acks (partition, offset, ack_seq, first_offset,
-    next_offset); state is compact (bounded by the out-of-order window)."""
-    return acks_with_bounds.groupBy("partition").applyInPandasWithState(
-        _prune_state_fold(max_offset_behind), PRUNE_OUT, PRUNE_STATE, "append", GroupStateTimeout.NoTimeout)
+# ------------------------------------------------------------------ replay of failures
+
+def land_steps(t: DataFrame, step: str, steps: int, name: str, files: int = FILES_PER_BATCH) -> str:
+    """A table as a log that lands in the steps its column ``step`` names, 0 to ``steps`` - 1, each in ``files`` files."""
+    path = fresh_dir(t.sparkSession, f"landed-{name}")
+    for i in range(steps):
+        t.where(F.col(step) == i).repartition(files).write.mode("append").parquet(path)
+    return path
+
+
+def replay_stream(log: DataFrame, messages: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """J8 in a stream of (kind, partition, offset): 'message' rows are new offsets, 'fail' rows are offsets whose
+    processing failed.  Every micro-batch first replays what failed in the one before, read again from ``messages`` (the
+    log, a table) from the smallest failed offset of each partition, then goes on with its new offsets
+    (``<out>/replayed/batch=<id>``, ``<out>/emitted/batch=<id>``).  A failed offset is removed when it is replayed, and
+    comes back if it fails again; several failures in one micro-batch are one.  What failed last is carried as
+    ``<out>/failed/batch=<id>``; a retried batch reads the same failures and overwrites its outputs."""
+    from sluice.operators.offsets import replay_failed
+    spark = log.sparkSession
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.select("kind", "partition", "offset")
+        failed = batch.where("kind = 'fail'").select("partition", "offset").distinct()
+        before = spark.read.schema(failed.schema).parquet(f"{out}/failed/batch={batch_id - 1}") if batch_id > 0 else failed.where("false")
+        write_batch({"replayed": replay_failed(messages, before), "emitted": batch.where("kind = 'message'").select("partition", "offset"), "failed": failed}, out, batch_id)
+
+    return run_available_now(log.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
 
 
 def commit_trigger() -> dict[str, str]:

@@ -9,8 +9,8 @@ from sluice.operators import acks, decode
 from sluice.operators.envelope import ENVELOPE_COLUMNS, make_envelope, with_default_stream
 
 
-def brute_prune(n, log, behind):
-    pending = set(range(n))
+def brute_prune(first, n, log, behind):
+    pending = set(range(first, n))
     out = []
     for seq, o in log:
         before = min(pending) if pending else None
@@ -24,18 +24,95 @@ def brute_prune(n, log, behind):
     return out
 
 
+def prune_logs(rnd, partitions, most):
+    """{partition: (first, next, [(seq, offset), ...])}: late, missing, repeated and unknown acks."""
+    out = {}
+    for part in range(partitions):
+        first = rnd.choice([0, 5])
+        n = first + rnd.randint(1, most)
+        lag = rnd.choice([1, 5, 30, 200])
+        offs = sorted(range(first, n), key=lambda x: x + rnd.random() * lag)
+        share = rnd.choice([0.6, 0.95, 1])
+        offs = [o for o in offs if rnd.random() < share]
+        for _ in range(rnd.randint(0, 25)):
+            offs.insert(rnd.randint(0, len(offs)), rnd.choice([rnd.randint(first, n - 1), n + rnd.randint(0, 40), rnd.randint(-3, first)]))
+        out[part] = (first, n, list(enumerate(offs)))
+    return out
+
+
+def prune_frames(spark, logs):
+    em = spark.createDataFrame([(p, o) for p, (a, b, _) in logs.items() for o in range(a, b)], "partition int, offset long")
+    log = spark.createDataFrame([(p, o, s) for p, (_, _, log) in logs.items() for s, o in log], "partition int, offset long, ack_seq long")
+    return em, log
+
+
+def brute_of(logs, behind):
+    return {(p, *r) for p, (a, b, log) in logs.items() for r in brute_prune(a, b, log, behind)}
+
+
+def decided(df):
+    return {tuple(r) for r in df.select("partition", "ack_seq", "offset", "action", "min_pending_before", "min_pending_after").collect()}
+
+
 def test_pending_prune_matches_brute_force(spark):
-    rnd = random.Random(3)
-    n = 400
-    offs = list(range(n))
-    rnd.shuffle(offs)
-    offs = offs[:300] + [rnd.randint(0, n - 1) for _ in range(20)] + [n + 5]
-    log = list(enumerate(offs))
-    emitted = spark.createDataFrame([(0, o) for o in range(n)], "partition int, offset long")
-    ack_df = spark.createDataFrame([(0, o, s) for s, o in log], "partition int, offset long, ack_seq long")
-    got = [(r.ack_seq, r.offset, r.action, r.min_pending_before, r.min_pending_after)
-           for r in acks.pending_prune(ack_df, emitted, 25).orderBy("ack_seq").collect()]
-    assert got == brute_prune(n, log, 25)
+    logs = prune_logs(random.Random(5), 40, 120)
+    em, log = prune_frames(spark, logs)
+    want = brute_of(logs, 3)
+    got = acks.pending_prune(log, em, 3).checkpoint()
+    assert decided(got) == want and got.count() == len(want) and sum(r[3] == "clear" for r in want) > 100
+
+
+def test_pending_prune_over_many_blocks(spark):
+    logs = {p: v for p, v in prune_logs(random.Random(8), 12, 150).items() if len(v[2]) > 60}
+    em, log = prune_frames(spark, logs)
+    assert decided(acks.pending_prune(log, em, 2, block_size=48)) == brute_of(logs, 2)
+
+
+def test_prune_steps_are_one_ledger(spark):
+    logs = prune_logs(random.Random(11), 40, 120)
+    em, log = prune_frames(spark, logs)
+    bounds = em.groupBy("partition").agg(F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("next_offset"))
+    low = removed = None
+    steps = set()
+    for a, b in ((-1, 20), (20, 10**6)):
+        part = log.where((F.col("ack_seq") > a) & (F.col("ack_seq") <= b))
+        rows, low, removed = acks.prune_step(part, bounds, low, removed, 3)
+        removed = removed.checkpoint()
+        steps |= decided(rows)
+    assert steps == brute_of(logs, 3)
+
+
+def test_prune_groups_stay_small(spark, monkeypatch):
+    """One partition and one offset hold most rows; no group of the search sees more than two blocks of them."""
+    from sluice.operators import nearest
+    seen = spark.sparkContext.accumulator(0)
+    n, size = 1500, 64
+    points = spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("p"), F.when(F.col("id") == 3, 10**6).otherwise(F.col("id") % 7).alias("v"))
+    queries = spark.range(n).select(F.lit(1).alias("k"), "id", F.lit(n).cast("long").alias("at"), F.lit(50).alias("least"))
+    inner = nearest._in_block
+
+    def counted(p, q):
+        if p.num_rows > size or q.num_rows > 3 * size:
+            seen.add(1)
+        return inner(p, q)
+
+    monkeypatch.setattr(nearest, "_in_block", counted)
+    got = nearest.nearest(points, queries, "k", "p", "v", "at", "least", "found", block_size=size).collect()
+    assert len(got) == n and {r["found"] for r in got} == {3} and seen.value == 0
+
+
+def test_nearest_both_ways(spark):
+    rnd = random.Random(2)
+    pts = [(k, p, rnd.randint(0, 20)) for k in (0, 7) for p in rnd.sample(range(-30, 300), 100)]
+    qs = [(i, rnd.choice([0, 7, 8, None]), rnd.choice([rnd.randint(-40, 310), None]), rnd.randint(0, 22)) for i in range(300)]
+    points = spark.createDataFrame(pts, "k int, p long, v long")
+    queries = spark.createDataFrame(qs, "id int, k int, at long, least long")
+    from sluice.operators.nearest import nearest
+    for ahead in (False, True):
+        got = {r["id"]: r["found"] for r in nearest(points, queries, "k", "p", "v", "at", "least", "found", ahead=ahead, block_size=40).collect()}
+        for i, k, at, least in qs:
+            good = [p for kk, p, v in pts if kk == k and at is not None and v >= least and (p > at if ahead else p < at)]
+            assert got[i] == ((min(good) if ahead else max(good)) if good else None)
 
 
 def test_pending_and_unknown(spark):
@@ -69,6 +146,17 @@ def test_decode_split_partitions_input(spark):
     assert len(good) + len(dead) == raw.count()
 
 
+def test_arrow_decoder_contains_failures(spark):
+    bodies = [b"1704067200000\r\nabc", b"12\r\n\xff\x00\r\nx", b"no time\r\nx", b"\xff\r\nx", b"", None, b"nothing", b"7\r\n"] * 40
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "id int, value binary").withColumn("decoded", F.lit(1)).drop("decoded").repartition(3)
+    d = decode.decode_arrow(df, decode.BINARY_PAYLOAD, decode.timestamp_body_decoder)
+    want = [((1704067200000, b"abc"), None), ((12, b"\xff\x00\r\nx"), None), (None, "undecodable"), (None, "undecodable"),
+            (None, "empty"), (None, "empty"), (None, "undecodable"), ((7, b""), None)]
+    for r in d.collect():
+        assert ((r.decoded.sent_ms, bytes(r.decoded.body)) if r.decoded else None, r.dead_reason) == want[r.id % 8]
+    assert decode.decode_arrow(df.where("false"), decode.BINARY_PAYLOAD, decode.timestamp_body_decoder).count() == 0
+
+
 def test_observe_counts_and_payload_decoder(spark):
     raw = spark.createDataFrame(
         [("q", 0, i, v) for i, v in enumerate([b"1704067200000\r\n" + b"0" * 1000, b"12\r\n", b"nope", b"", None])],

@@ -19,6 +19,8 @@ def test_options_parse_both_prefetch_spellings():
         PipelineConfig.from_options("mqtt", {"qos": "SOMETIMES"})
     k = PipelineConfig.from_options("kafka", {"queueSize": "500", "custom": "x"})
     assert k.admission() == {"maxOffsetsPerTrigger": "500"} and k.extra == {"custom": "x"}
+    assert PipelineConfig.from_options("amqp", {"prefectCount": "7", "queueSize": "9"}).admission() == {"prefetch": "7"}
+    assert [PipelineConfig.from_options(p, {}).admission() for p in ("amqp", "jms", "mqtt", "kestrel")] == [{"prefetch": "1024"}] * 4
 
 
 def test_ack_required_from_config(spark):

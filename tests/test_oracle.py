@@ -17,10 +17,10 @@ def con():
     return c
 
 
-def test_every_query_has_sql_or_is_declared_rows_only():
+def test_every_query_has_sql():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     q, s = catalogue.queries(), catalogue.oracle_sql()
-    assert set(q) - set(s) == {"pending_prune", "stream_pending_prune"}
+    assert set(q) == set(s)
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
