@@ -1,20 +1,22 @@
 """Exact top-k search by no-random-access aggregation (operator 2).
 
-Every dimension is a list of the candidates sorted by that component.  A query reads lists from the end its own component
-favours; a component of 0 needs no list.  In each round it reads on in the quarter of its lists where most is still open
-(its component times the way from the frontier, the next value, to the list's other end), and keeps for every candidate
+Every dimension is a list of the candidates sorted by that component.  A query reads all its lists from the end its own
+component favours (a component of 0 needs no list) to the same depth, which grows step by step, and keeps for every
+candidate
 
 * what has been read of it;
-* an upper bound: that and, for the unread part, the smaller of the sum of the frontiers and the product of the unread
-  parts' norms (Cauchy-Schwarz; a candidate's norm is a number kept with its id);
+* an upper bound: that and, for the unread part, the smaller of the sum of the frontiers (the values last read) and the
+  product of the norms of the unread parts (Cauchy-Schwarz; the squares read so far are taken from a candidate's norm);
 * a lower bound: that and the larger of the lists' other ends and the negative product of the norms.
 
-A candidate whose upper bound is below the k-th best lower bound cannot qualify and is dropped, whether it has been read
-anywhere or not.  Reading stops when no outsider can qualify, that is when few candidates are left; the lists are then
-read to the end for these only, which gives their exact scores.
+A candidate whose upper bound is below the query's k-th best lower bound cannot qualify and is dropped, whether it has
+been read anywhere or not.  A query stops when no outsider can qualify, that is when few candidates are left; the lists
+are then read to the end for these only, which gives their exact scores.
 
-How deep that is depends on the vectors: where few components carry most of a product, lists end early; for directions
-spread evenly over many dimensions no bound excludes much before nearly everything is read.
+Lists are read for a block of queries at once: what is read, what is open and the bounds of all its queries and
+candidates are matrix products of the queries with the candidates cut at the frontiers.  Queries that have stopped leave
+the block.  How deep the others read depends on the vectors: where few components carry most of a product, lists end
+early; for directions spread evenly over many dimensions no bound excludes much before nearly everything is read.
 
 Distribution: candidates are dealt to blocks of at most about ``candidate_block`` rows and queries to
 blocks of ``query_block``; every query block meets every candidate block in a task of its own, and the
@@ -33,59 +35,64 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import written
 
-#: Candidates, as a multiple of k, that are few enough to resolve; the longest step down a list, as its part.
-FEW, STEPS = 4, 8
+#: Candidates, as a multiple of k, that are few enough to resolve; the depths at which bounds are made, as shares.
+FEW = 4
+DEPTHS = (1 / 64, 1 / 12, 1 / 4, 1 / 2, 3 / 4, 7 / 8, 19 / 20)
 
 
 class Lists:
     """The sorted lists of some candidates, whose rows are in the order of their ids."""
 
     def __init__(self, values: np.ndarray):
-        self.values = values
-        self.order = np.argsort(values, axis=0, kind="stable")
-        self.norms = (values * values).sum(axis=1)
-
-    def top(self, query: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int, int]:
-        """Rows and scores of the k best candidates, the positions read and the candidates resolved; rows flagged in
-        ``own`` take no part.  All values are integers that doubles hold exactly."""
+        self.values, self.sorted = values, np.sort(values, axis=0)
+
+    def bounds(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds of all scores when all lists have been read to ``depth``; candidates that share the
+        value last read count as read."""
+        c, n = self.values, len(self.values)
+        top, bottom = self.sorted[n - depth], self.sorted[depth - 1]
+        from_top, from_bottom = c >= top, c <= bottom
+        both = lambda a, b: np.concatenate((a, b), axis=1)  # noqa: E731  lists read from their last and from their first entry
+        q = both(np.maximum(queries, 0), np.minimum(queries, 0))
+        seen = both(from_top, from_bottom)
+        twice = both(c, c)
+        done = q @ np.where(seen, twice, 0).T
+        ahead = q @ np.where(seen, 0, np.concatenate((top, bottom))).T
+        worst = q @ np.where(seen, 0, np.concatenate((self.sorted[0], self.sorted[-1]))).T
+        open_q = (q * q) @ (~seen).astype(c.dtype).T
+        open_c = (q != 0).astype(c.dtype) @ np.where(seen, 0, twice * twice).T
+        norms = np.sqrt(open_q) * np.sqrt(open_c) * c.dtype.type(1 + 1e-5) + c.dtype.type(1)
+        return done + np.maximum(worst, -norms), done + np.minimum(ahead, norms)
+
+    def top(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray, int, int]]:
+        """For each query, rows and scores of the k best candidates, the positions read and the candidates resolved; a row
+        flagged in the query's row of ``own`` takes no part.  All values are integers that their type holds exactly."""
         n = len(self.values)
-        use = np.flatnonzero(query)
-        q, up = query[use], query[use] > 0
-        worst = q * np.where(up, self.values.min(axis=0, initial=0)[use], self.values.max(axis=0, initial=0)[use])
-        alive = ~own
-        done, open_q, open_c = np.zeros(n), np.full(n, (q * q).sum()), self.norms.copy()
-        read = np.zeros((n, len(use)), order="F")
-        at, step = np.zeros(len(use), np.int64), 2 * k
-
-        def frontier() -> np.ndarray:
-            place = np.minimum(at, n - 1)
-            return q * self.values[self.order[np.where(up, n - 1 - place, place), use], use]
-
-        ahead = frontier() if n else q
-        while alive.sum() > FEW * k and (at < n).any():
-            gain = np.where(at < n, ahead - worst, -np.inf)
-            for j in np.argsort(-gain, kind="stable")[:max(1, len(use) // 4)]:
-                to = min(at[j] + step, n)
-                rows = self.order[n - to:n - at[j], use[j]] if up[j] else self.order[at[j]:to, use[j]]
-                v = self.values[rows, use[j]]
-                done[rows] += q[j] * v
-                open_q[rows] -= q[j] * q[j]
-                open_c[rows] -= v * v
-                read[rows, j] = 1
-                at[j] = to
-            step = min(2 * step, max(2 * k, n // STEPS))
-            ahead = frontier()
-            norms = np.sqrt(np.maximum(open_q, 0) * np.maximum(open_c, 0)) * (1 + 1e-9) + 1e-3
-            upper = done + np.minimum(ahead.sum() - read @ ahead, norms)
-            lower = done + np.maximum(worst.sum() - read @ worst, -norms)
+        out: list = [None] * len(queries)
+        lists = (queries != 0).sum(axis=1)
+
+        def resolve(i: int, alive: np.ndarray, depth: int) -> None:
             left = np.flatnonzero(alive)
-            if len(left) > k:
-                least = np.partition(lower[left], len(left) - k)[len(left) - k]
-                alive[left[upper[left] < least - 1e-3]] = False
-        left = np.flatnonzero(alive)
-        scores = self.values[left] @ query  # what is left of the lists, for these only
-        best = np.lexsort((left, -scores))[:k]
-        return left[best], scores[best], int(at.sum()), len(left)
+            scores = self.values[left] @ queries[i]  # what is left of the lists, for these only
+            best = np.lexsort((left, -scores))[:k]
+            out[i] = left[best], scores[best], int(lists[i]) * depth, len(left)
+
+        active, alive, depth = np.arange(len(queries)), ~own, 0
+        for share in DEPTHS:
+            stop = (alive.sum(axis=1) <= FEW * k) | (lists[active] == 0)
+            for i, a in zip(active[stop], alive[stop], strict=True):
+                resolve(i, a, depth)
+            active, alive = active[~stop], alive[~stop]
+            if not len(active) or int(n * share) <= depth:
+                continue
+            depth = int(n * share)
+            lower, upper = self.bounds(queries[active], depth)
+            lower[own[active]] = -np.inf
+            floor = np.partition(lower, n - k, axis=1)[:, n - k]
+            alive = alive & (upper >= floor[:, None])
+        for i, a in zip(active, alive, strict=True):
+            resolve(i, a, depth)
+        return out
 
 
 def top_k_block(queries: np.ndarray, query_ids: np.ndarray, cands: np.ndarray, ids: np.ndarray,
@@ -98,12 +105,14 @@ def top_k_block(queries: np.ndarray, query_ids: np.ndarray, cands: np.ndarray, i
     if max(most, square) >= 2.0**50:
         i, j, score = _by_integers(queries, query_ids, cands, ids, k)
         return i, j, score, np.full(len(i), n * dim), np.full(len(i), n)
+    kind = np.float32 if max(most, square) < 2.0**23 else np.float64  # sums of integers stay exact
     rank = np.argsort(ids, kind="stable")
-    lists = Lists(cands[rank].astype(np.float64))
+    lists = Lists(cands[rank].astype(kind))
     out = []
-    for i, query in enumerate(queries.astype(np.float64)):
-        rows, scores, read, resolved = lists.top(query, ids[rank] == query_ids[i], k)
-        out.append((np.full(len(rows), i), rank[rows], scores.astype(np.int64), np.full(len(rows), read), np.full(len(rows), resolved)))
+    for i in range(0, len(queries), 128):
+        own = query_ids[i:i + 128, None] == ids[rank][None, :]
+        for j, (rows, scores, read, resolved) in enumerate(lists.top(queries[i:i + 128].astype(kind), own, k), i):
+            out.append((np.full(len(rows), j), rank[rows], scores.astype(np.int64), np.full(len(rows), read), np.full(len(rows), resolved)))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 5
 
 
@@ -127,7 +136,7 @@ def floor_256(vec: Column) -> Column:
 
 
 def nra_top_k(vectors: DataFrame, vec_id: str, components: Column, is_query: Column, k: int = 5,
-              candidate_block: int = 8192, query_block: int = 1024) -> DataFrame:
+              candidate_block: int = 16384, query_block: int = 256) -> DataFrame:
     """The k rows of ``vectors`` with the largest integer inner product for every query row:
     (query_id, rank from 1, vec_id, score, n_read, n_resolved), ties to the smaller id.  ``n_read`` counts the list
     positions the query read in the result's block of candidates, ``n_resolved`` the candidates it resolved there.
