@@ -488,9 +488,8 @@ SELECT p."partition", t.time_ms,
 FROM (SELECT DISTINCT "partition" FROM messages) p, times t"""))
 def q_offset_for_time(spark, sf):
     m = fx.messages(spark, sf)
-    times = spark.range(26).select((F.lit(1_704_067_200_000) + F.col("id") * 133_200_000).alias("time_ms"))
-    times = times.unionByName(spark.createDataFrame([(offsets.LATEST_TIME,), (offsets.EARLIEST_TIME,)], "time_ms long"))
-    requests = m.select("partition").distinct().withColumn("_all", F.lit(1)).join(times.withColumn("_all", F.lit(1)), "_all").drop("_all")
+    times = [offsets.LATEST_TIME, offsets.EARLIEST_TIME, *(1_704_067_200_000 + i * 133_200_000 for i in range(26))]
+    requests = m.select("partition").distinct().withColumn("time_ms", F.explode(F.lit(times).cast("array<long>")))
     return offsets.offsets_for_times(m.select("partition", "offset", "ts"), requests)
 
 

@@ -73,7 +73,8 @@ def test_get_beyond_the_group_limit_and_its_state(spark):
 
 def test_redelivered_messages_are_published_as_often_as_delivered(spark):
     from sluice.sources import fixtures as fx
-    m = catalogue._redelivered(spark, SF_SMALL)
+    m = fx.messages(spark, SF_SMALL)
+    m = m.unionByName(m.where(F.col("event_id") % 29 == 0))
     dest = fx.destinations(spark, SF_SMALL)
     r = pipelines.labelled_routes(m, fx.paths(spark), dest, one_hop=True)
     good = r.where("output = 'good'")
