@@ -20,7 +20,10 @@ TOXIC = 0.3
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text scores ``TOXIC`` or more go; the model is learned from the labelled rows."""
+    """Documents whose text scores ``TOXIC`` or more go; the model is learned from the labelled rows.
+
+    A null or empty text scores as one without a match and stays; every row is judged by its own text, so repeated rows
+    and rows without an id stay or go each by itself.  An empty table stays empty."""
     docs = docs.select(*COLUMNS)
     model = toxicity_grammar.learn(docs, queries.training_labels(spark, sf_dir))
     return toxicity_grammar.score(docs, model).where(F.col("score") < TOXIC).drop("score")
@@ -42,7 +45,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose tiles cover half of a benchmark item's words go."""
+    """Documents whose tiles cover half of a benchmark item's words go.
+
+    The verdict is the text's: rows of equal texts go together, whatever their ids.  Null and empty texts match nothing
+    and stay, as does every document when there are no items."""
     docs = docs.select(*COLUMNS).withColumn("__hash", F.xxhash64("text"))  # the verdict is the text's, whatever its id
     leaks = string_tiling.decontaminate(docs, table(spark, sf_dir, "benchmark"), doc_id="__hash").select(F.col("doc_id").alias("__hash")).distinct()
     leaks = written(leaks, "leaks")
@@ -82,7 +88,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the texts, read back: (doc_id, start, n_tokens, ids_crc32) of every document.
 
-    Documents with a ``time`` lie in the order of their times, others in that of their ids."""
+    Documents with a ``time`` lie in the order of their times, others in that of their ids.  A null or empty text is the
+    end id alone; repeated rows and rows without an id are documents of their own.  An empty table gives no rows."""
     path = scratch(spark, "pipeline-tokens")
     bitplane.write_tokens(docs, path, queries.tokenizer_path(), order="time" if "time" in docs.columns else None)
     return bitplane.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
