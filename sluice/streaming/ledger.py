@@ -1,12 +1,16 @@
 """Keyed broker state with event-time timers: the ack ledger (T1) and auto-abort.
 
-Both are ``transformWithState`` processors over a map state.  A broker partition or queue can hold a third of all
-messages, so the grouping key is (partition or queue, shard) with the shard taken from the message: the state and the
-work of a hot partition are spread over ``shards`` groups, and no group has to see another's messages.
+Both are ``transformWithState`` processors.  A broker partition or queue can hold a third of all messages, so the
+grouping key is (partition or queue, shard) with the shard taken from the message: the state and the work of a hot
+partition are spread over ``shards`` groups, and no group has to see another's messages.
 
-Time is event time.  Timers fire when the watermark passes them, for groups without any input as well; they are rounded
-up to ``tick_ms``, so a group has a timer a tick and not one a message.  Rows later than the watermark are dropped by
-Spark, so its delay has to cover the disorder of the input.
+A processor in Python pays a round trip for every call to its state, so a group's entries are one value of two arrays:
+read once and written once for a micro-batch or a timer, however many messages it settles.  ``shards`` is to be chosen
+so that what is pending of a group fits in a task.
+
+Time is event time.  Timers fire when the watermark passes them, for groups without any input as well.  Due times are
+rounded up to ``tick_ms``; a group has one timer, at its earliest, which settles all that the watermark has passed.
+Rows later than the watermark are dropped by Spark, so its delay has to cover the disorder of the input.
 
 The state lives in the RocksDB state store below the query's checkpoint, which is how it survives a restart; what is
 pending right now is read from there (``pending_now``).
@@ -21,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.stateful_processor import ValueState
 
 STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -42,14 +47,52 @@ def rocksdb_state(spark: SparkSession):
             spark.conf.set(STORE_CONF, before)
 
 
-def _millis(times: pd.Series) -> list[int]:
-    return [int(t.value // 1_000_000) for t in times]
-
-
 def _tick(ms: int, tick: int) -> int:
     return -(-ms // tick) * tick
 
 
+class Entries:
+    """A group's entries, id -> time, in memory between one read and one write of its value state."""
+
+    def __init__(self, state: ValueState):
+        self.state = state
+        self.was = state.get()
+        self.at = dict(zip(*self.was, strict=True)) if self.was is not None else {}
+
+    def due(self, wait: int, tick: int, now: int) -> list[tuple]:
+        """The entries whose wait is over, which leave."""
+        last = now // tick * tick - wait  # of what is due by then
+        over = [(i, at) for i, at in self.at.items() if at <= last]
+        for i, _ in over:
+            del self.at[i]
+        return over
+
+    def next(self, wait: int, tick: int) -> list[int]:
+        """The due time of the earliest entry, if there is one."""
+        return [_tick(min(self.at.values()) + wait, tick)] if self.at else []
+
+    def write(self) -> None:
+        if not self.at:
+            if self.was is not None:
+                self.state.clear()
+            return
+        now = (list(self.at), list(self.at.values()))
+        if self.was is None or now != (list(self.was[0]), list(self.was[1])):
+            self.state.update(now)
+
+
+def _set_timer(handle: StatefulProcessorHandle, due: list[int]) -> None:
+    """One timer for the group, at the earliest of the due times."""
+    at = min(due, default=None)
+    kept = False
+    for t in list(handle.listTimers()):
+        kept |= t == at
+        if t != at:
+            handle.deleteTimer(t)
+    if at is not None and not kept:
+        handle.registerTimer(at)
+
+
 # ------------------------------------------------------------------ ack ledger
 
 LEDGER_OUT = "origin string, partition int, message_id string, outcome string, at_ms long"
@@ -63,56 +106,53 @@ class AckLedger(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState("pending", "message_id string", "at_ms long")
-        self.early = handle.getMapState("early", "message_id string", "at_ms long")
+        self.pending = handle.getValueState("pending", "message_id array<string>, at_ms array<long>")
+        self.early = handle.getValueState("early", "message_id array<string>, at_ms array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         emits: dict[str, int] = {}
         acks: dict[str, list[int]] = {}
         for part in rows:
-            for kind, mid, at in zip(part["kind"], part["message_id"], _millis(part["at"]), strict=True):
+            for kind, mid, at in zip(part["kind"], part["message_id"], part["at_ms"].tolist(), strict=True):
                 if kind == "emit":
                     emits[mid] = min(at, emits.get(mid, at))
                 else:
                     acks.setdefault(mid, []).append(at)
-        out, self.ticks = [], set()
+        pending, early = Entries(self.pending), Entries(self.early)
+        out = []
         for mid, times in acks.items():
             times.sort()
             if mid in emits:
                 del emits[mid]
-            elif self.pending.containsKey((mid,)):
-                self.pending.removeKey((mid,))
+            elif mid in pending.at:
+                del pending.at[mid]
             else:  # its message may still come
-                if not self.early.containsKey((mid,)):
-                    self._keep(self.early, mid, times.pop(0), self.wait_ms)
+                if mid not in early.at:
+                    early.at[mid] = times.pop(0)
                 out += [(mid, "unknown", t) for t in times]
                 continue
             out.append((mid, "acked", times[0]))
             out += [(mid, "unknown", t) for t in times[1:]]
         for mid, at in emits.items():
-            if self.early.containsKey((mid,)):
-                out.append((mid, "acked", self.early.getValue((mid,))[0]))
-                self.early.removeKey((mid,))
+            if mid in early.at:
+                out.append((mid, "acked", early.at.pop(mid)))
             else:
-                self._keep(self.pending, mid, at, self.ttl_ms)
+                pending.at[mid] = at
+        self._keep(pending, early)
         yield self._frame(key, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        out = []
-        for state, wait, outcome in ((self.pending, self.ttl_ms, "expired"), (self.early, self.wait_ms, "unknown")):
-            due = [(mid, at) for (mid,), (at,) in state.iterator() if _tick(at + wait, self.tick_ms) <= now]
-            for mid, at in due:
-                state.removeKey((mid,))
-                out.append((mid, outcome, at))
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        pending, early = Entries(self.pending), Entries(self.early)
+        out = [(mid, "expired", at) for mid, at in pending.due(self.ttl_ms, self.tick_ms, now)]
+        out += [(mid, "unknown", at) for mid, at in early.due(self.wait_ms, self.tick_ms, now)]
+        self._keep(pending, early)
         yield self._frame(key, out)
 
-    def _keep(self, state, mid: str, at: int, wait: int) -> None:
-        state.updateValue((mid,), (at,))
-        tick = _tick(at + wait, self.tick_ms)
-        if tick not in self.ticks:
-            self.handle.registerTimer(tick)
-            self.ticks.add(tick)
+    def _keep(self, pending: Entries, early: Entries) -> None:
+        pending.write()
+        early.write()
+        _set_timer(self.handle, pending.next(self.ttl_ms, self.tick_ms) + early.next(self.wait_ms, self.tick_ms))
 
     @staticmethod
     def _frame(key, rows: list[tuple]) -> pd.DataFrame:
@@ -134,7 +174,7 @@ def ack_ledger(log: DataFrame, delay: str = "10 minutes", wait_ms: int = 600_000
 
     A message that is emitted again while pending is the same entry.  Rows with a null id or time take no part."""
     log = log.where(F.col("message_id").isNotNull() & F.col("at").isNotNull()).withWatermark("at", delay)
-    keyed = log.select("origin", "partition", "message_id", "kind", "at", F.pmod(F.xxhash64("message_id"), F.lit(shards)).cast("int").alias("shard"))
+    keyed = log.select("origin", "partition", "message_id", "kind", "at", F.unix_millis("at").alias("at_ms"), F.pmod(F.xxhash64("message_id"), F.lit(shards)).cast("int").alias("shard"))
     return keyed.groupBy("origin", "partition", "shard").transformWithStateInPandas(
         AckLedger(wait_ms, ttl_ms, tick_ms), LEDGER_OUT, "append", "eventTime")
 
@@ -144,7 +184,7 @@ def pending_now(spark: SparkSession, checkpoint: str, state: str = "pending") ->
     messages, or 'early' acks whose message has not come yet."""
     with rocksdb_state(spark):
         held = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", state).load()
-    return held.select("key.origin", "key.partition", F.col("user_map_key.message_id").alias("message_id"), F.col("user_map_value.at_ms").alias("at_ms"))
+    return held.select("key.origin", "key.partition", F.inline(F.arrays_zip("value.message_id", "value.at_ms")))
 
 
 # ------------------------------------------------------------------ auto-abort
@@ -161,49 +201,52 @@ class AutoAbort(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "seq long", "deadline_ms long")
-        self.early = handle.getMapState("early", "seq long", "at_ms long")
+        self.open = handle.getValueState("open", "seq array<long>, deadline_ms array<long>")
+        self.early = handle.getValueState("early", "seq array<long>, at_ms array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         opened: dict[int, tuple[int, int]] = {}
         confirmed: dict[int, int] = {}
         for part in rows:
-            for kind, seq, at, abort in zip(part["kind"], part["seq"], _millis(part["at"]), part["auto_abort_ms"], strict=True):
+            for kind, seq, at, abort in zip(part["kind"], part["seq"].tolist(), part["at_ms"].tolist(), part["auto_abort_ms"].tolist(), strict=True):
                 if kind == "open":
-                    opened[int(seq)] = (at, int(abort))
+                    opened[seq] = (at, abort)
                 else:
-                    confirmed[int(seq)] = min(at, confirmed.get(int(seq), at))
+                    confirmed[seq] = min(at, confirmed.get(seq, at))
+        held, early = Entries(self.open), Entries(self.early)
         out = []
         for seq, (at, abort) in opened.items():
             if abort == 0:  # confirmed when it is fetched
                 out.append((seq, "confirmed", 0, at))
                 continue
             by = confirmed.pop(seq, None)
-            if by is None and self.early.containsKey((seq,)):
-                by = self.early.getValue((seq,))[0]
-                self.early.removeKey((seq,))
+            if by is None:
+                by = early.at.pop(seq, None)
             if by is not None and by < at + abort:
                 out.append((seq, "confirmed", seq, by))
             else:
-                self.open.updateValue((seq,), (at + abort,))
-                self.handle.registerTimer(_tick(at + abort, self.tick_ms))
+                held.at[seq] = at + abort
         for seq, at in confirmed.items():
-            if not self.open.containsKey((seq,)):
-                self.early.updateValue((seq,), (at,))
-                self.handle.registerTimer(_tick(at + self.wait_ms, self.tick_ms))
-            elif at < self.open.getValue((seq,))[0]:  # a later one comes after the abort
-                self.open.removeKey((seq,))
+            if seq not in held.at:
+                early.at[seq] = at
+            elif at < held.at[seq]:  # a later one comes after the abort
+                del held.at[seq]
                 out.append((seq, "confirmed", seq, at))
+        self._keep(held, early)
         yield self._frame(key, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        back = [(seq, deadline) for (seq,), (deadline,) in self.open.iterator() if _tick(deadline, self.tick_ms) <= now]
-        for seq, _ in back:
-            self.open.removeKey((seq,))
-        for seq in [s for (s,), (at,) in self.early.iterator() if _tick(at + self.wait_ms, self.tick_ms) <= now]:
-            self.early.removeKey((seq,))
-        yield self._frame(key, [(seq, "waiting", seq, deadline) for seq, deadline in back])
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        held, early = Entries(self.open), Entries(self.early)
+        out = [(seq, "waiting", seq, deadline) for seq, deadline in held.due(0, self.tick_ms, now)]
+        early.due(self.wait_ms, self.tick_ms, now)
+        self._keep(held, early)
+        yield self._frame(key, out)
+
+    def _keep(self, held: Entries, early: Entries) -> None:
+        held.write()
+        early.write()
+        _set_timer(self.handle, held.next(0, self.tick_ms) + early.next(self.wait_ms, self.tick_ms))
 
     @staticmethod
     def _frame(key, rows: list[tuple]) -> pd.DataFrame:
@@ -222,7 +265,7 @@ def auto_abort_timers(log: DataFrame, delay: str = "0 seconds", wait_ms: int = 6
     watermark passes the deadline, whether or not anything happens in that queue.  A confirm that comes before its item
     is kept for ``wait_ms``.  Rows with a null seq or time take no part."""
     log = log.where(F.col("seq").isNotNull() & F.col("at").isNotNull()).withWatermark("at", delay)
-    keyed = log.select("queue", F.col("seq").cast("long").alias("seq"), "kind", "at", F.coalesce(F.col("auto_abort_ms").cast("long"), F.lit(0)).alias("auto_abort_ms"),
+    keyed = log.select("queue", F.col("seq").cast("long").alias("seq"), "kind", "at", F.unix_millis("at").alias("at_ms"), F.coalesce(F.col("auto_abort_ms").cast("long"), F.lit(0)).alias("auto_abort_ms"),
                        F.pmod(F.xxhash64("seq"), F.lit(shards)).cast("int").alias("shard"))
     return keyed.groupBy("queue", "shard").transformWithStateInPandas(AutoAbort(wait_ms, tick_ms), ABORT_OUT, "append", "eventTime")
 
@@ -231,7 +274,7 @@ def open_now(spark: SparkSession, checkpoint: str) -> DataFrame:
     """(queue, seq, deadline_ms) of the items that are open after the query's last batch."""
     with rocksdb_state(spark):
         held = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "open").load()
-    return held.select("key.queue", F.col("user_map_key.seq").alias("seq"), F.col("user_map_value.deadline_ms").alias("deadline_ms"))
+    return held.select("key.queue", F.inline(F.arrays_zip("value.seq", "value.deadline_ms")))
 
 
 def run_to_end(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
