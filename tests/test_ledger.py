@@ -1,5 +1,7 @@
 """Keyed state with event-time timers: the ack ledger (T1) and auto-abort."""
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from sluice.streaming import ledger
@@ -57,3 +59,78 @@ def test_idle_queue_returns_its_items(spark):
     run()  # the watermark is at minute 29; nothing happened in the idle queue
     assert out() == [("busy", 4, "confirmed", 4), ("busy", 5, "confirmed", 5), ("idle", 1, "waiting", 1), ("idle", 2, "confirmed", 0)]
     assert sorted(r.seq for r in ledger.open_now(spark, f"{base}/ckpt").collect()) == [3, 6]
+
+
+class Counted:
+    """A state handle that keeps its states and timers in memory and counts the calls."""
+
+    def __init__(self):
+        self.calls, self.timers, self.states = 0, set(), {}
+
+    def _state(self, name, *schema):
+        handle, held = self, self.states.setdefault(name, {})
+
+        class State:
+            def __getattr__(self, call):
+                def made(*args):
+                    handle.calls += 1
+                    return {"get": lambda: held.get("value"), "update": lambda v: held.update(value=v), "clear": held.clear, "containsKey": lambda k: k in held,
+                            "getValue": lambda k: held[k], "updateValue": held.__setitem__, "removeKey": held.pop, "iterator": lambda: iter([*held.items()])}[call](*args)
+                return made
+        return State()
+
+    getValueState = getMapState = _state
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.discard(at)
+
+    def listTimers(self):
+        self.calls += 1
+        return iter([*self.timers])
+
+
+class Watermark:
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+
+@pytest.mark.parametrize("made, column, key", [(lambda: ledger.AckLedger(MINUTE, MINUTE, MINUTE), "message_id", ("q", 0, 0)), (lambda: ledger.AutoAbort(MINUTE, MINUTE), "seq", ("q", 0))])
+def test_state_calls_do_not_grow_with_the_messages(made, column, key):
+    calls = []
+    for n in (10, 3000):
+        handle, processor = Counted(), made()
+        processor.init(handle)
+        ids = list(range(n)) if column == "seq" else [str(i) for i in range(n)]
+        at = [1_000_000 + 50 * MINUTE * i // n for i in range(n)]  # due in some fifty ticks
+        rows = pd.DataFrame({"kind": "open" if column == "seq" else "emit", column: ids, "at": pd.to_datetime(at, unit="ms"), "at_ms": at, "auto_abort_ms": MINUTE})
+        [*processor.handleInputRows(key, iter([rows]), Watermark(0))]
+        out = [f for t in sorted(handle.timers) for f in processor.handleExpiredTimer(key, Watermark(10 ** 9), Watermark(t))]
+        assert sorted(x for f in out for x in f[column]) == sorted(ids)
+        assert not any(handle.states.values())
+        calls.append(handle.calls)
+    assert calls[0] == calls[1] < 40
+
+
+def test_timers_settle_what_is_due_and_keep_the_rest(spark):
+    """A due time equal to the watermark, and of several due times the later ones."""
+    base = fresh_dir(spark, "test-due")
+    schema = "origin string, partition int, message_id string, kind string, minute double"
+    run = lambda: ledger.run_to_end(ledger.ack_ledger(stream(spark, f"{base}/log"), "0 seconds", wait_ms=2 * MINUTE, ttl_ms=10 * MINUTE, tick_ms=MINUTE, shards=1),
+                                    f"{base}/out", f"{base}/ckpt")
+    out = lambda: sorted((r.message_id, r.outcome) for r in spark.read.schema(ledger.LEDGER_OUT).parquet(f"{base}/out").collect())
+    held = lambda: sorted(r.message_id for r in ledger.pending_now(spark, f"{base}/ckpt").collect())
+    land(spark, f"{base}/log", [("q", 0, f"m{i}", "emit", i / 2) for i in range(10)], schema)
+    run()
+    assert (out(), held()) == ([], [f"m{i}" for i in range(10)])
+    land(spark, f"{base}/log", [("z", 0, "clock", "emit", 12.0)], schema)
+    run()
+    assert (out(), held()) == ([(f"m{i}", "expired") for i in range(5)], ["clock", *(f"m{i}" for i in range(5, 10))])
+    land(spark, f"{base}/log", [("q", 0, "m7", "ack", 12.5), ("z", 0, "clock", "ack", 14.0)], schema)
+    run()
+    assert out() == sorted([*((f"m{i}", "expired") for i in (0, 1, 2, 3, 4, 5, 6, 8)), ("m7", "acked"), ("clock", "acked")])
+    assert held() == ["m9"]
