@@ -4,11 +4,12 @@ A push broker hands a consumer at most ``prefetch`` unacknowledged messages of a
 files, so deliveries are read by a Data Source of their own: its offset is the last delivery tag of every queue, and a
 micro-batch takes at most ``prefetch`` deliveries of each.
 
-``land`` writes deliveries below ``<path>/_queue=<queue>/``, sorted by tag, in several files for a large queue.  Tags
+``land`` writes deliveries below ``<path>/_queue=<queue>/``, sorted by tag, in several files for a large queue.  Files
+and their row groups are of bounded size, so what a micro-batch reads does not grow with the queue.  Tags
 rise within a queue; a delivery that lands later with a tag that has been passed is not read.  Deliveries of one tag
 (a redelivery) are admitted together.
 
-The driver reads file footers and the tags of the next files of a queue, never bodies; tasks read the admitted range of
+The driver reads file footers and, once, the tags of the next files of a queue, never bodies; tasks read the admitted range of
 a file each.  Spark asks such a source for its latest offset without saying where it stands, so the reader keeps the end
 of the last planned batch in ``progress``, a file next to the query's checkpoint, and goes on from there after a restart.
 """
@@ -35,6 +36,9 @@ from sluice.sources.landed import RECORDS, TO_ENVELOPE
 
 #: The queue and the rising number of a delivery, by protocol.
 KEYS = {"amqp": ("queue", "delivery_tag"), "jms": ("destination", "seq"), "mqtt": ("topic", "seq"), "kestrel": ("queue", "id")}
+#: Deliveries of a file and bytes of a row group at most: a micro-batch opens few files of a queue and reads few row groups.
+FILE_ROWS = 1 << 17
+ROW_GROUP_BYTES = 1 << 20
 _NO_QUEUE = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -44,7 +48,8 @@ def land(records: DataFrame, path: str, protocol: str, parts: int | None = None)
     queue, tag = KEYS[protocol]
     n = parts or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = records.where(F.col(tag).isNotNull()).withColumn("_queue", F.col(queue))
-    rows.repartitionByRange(n, queue, tag).sortWithinPartitions(queue, tag).write.mode("append").partitionBy("_queue").parquet(path)
+    bounds = {"maxRecordsPerFile": FILE_ROWS, "parquet.block.size": ROW_GROUP_BYTES}
+    rows.repartitionByRange(n, "_queue", tag).sortWithinPartitions("_queue", tag).write.mode("append").options(**bounds).partitionBy("_queue").parquet(path)
 
 
 def read_stream(spark: SparkSession, path: str, config: PipelineConfig, progress: str) -> DataFrame:
@@ -83,6 +88,7 @@ class LandedReader(DataSourceStreamReader):
         self.tag = KEYS[protocol][1]
         self.arrow = to_arrow_schema(schema)
         self.spans: dict[str, tuple[int, int]] = {}
+        self.tags: dict[str, np.ndarray] = {}
         self.at: dict[str, int] | None = None
 
     def initialOffset(self) -> dict:
@@ -112,15 +118,30 @@ class LandedReader(DataSourceStreamReader):
             self.spans[path] = (min(s.min for s in stats), max(s.max for s in stats))
         return self.spans[path]
 
+    def _next_tags(self, store: fs.FileSystem, path: str, start: int | None) -> np.ndarray:
+        """The least tags above ``start`` of a file, one more than a micro-batch takes.  A file's tags are read once and
+        kept until it has been passed."""
+        if path not in self.tags:
+            self.tags[path] = np.sort(pq.read_table(path, columns=[self.tag], filesystem=store, partitioning=None).column(0).to_numpy())
+        own = self.tags[path]
+        first = 0 if start is None else int(np.searchsorted(own, start, side="right"))
+        return own[first:first + self.prefetch + 1]
+
     def _admitted(self, store: fs.FileSystem, folder: str, start: int | None) -> int | None:
         """The last tag of a queue's next ``prefetch`` deliveries; None if there are none."""
-        after = sorted((span, f) for f in files.names(store, folder) if f.endswith(".parquet") for span in [self._span(store, f)] if start is None or span[1] > start)
+        after = []
+        for f in files.names(store, folder):
+            if f.endswith(".parquet"):
+                span = self._span(store, f)
+                if start is None or span[1] > start:
+                    after.append((span, f))
+                else:
+                    self.tags.pop(f, None)
         tags = np.zeros(0, np.int64)
-        for (low, _), path in after:
+        for (low, _), path in sorted(after):
             if len(tags) > self.prefetch and np.partition(tags, self.prefetch)[self.prefetch] < low:
                 break  # what follows lies beyond
-            own = pq.read_table(path, columns=[self.tag], filesystem=store, partitioning=None).column(0).to_numpy()
-            tags = np.concatenate((tags, own if start is None else own[own > start]))
+            tags = np.concatenate((tags, self._next_tags(store, path, start)))
         tags.sort()
         if len(tags) <= self.prefetch:
             return int(tags[-1]) if len(tags) else None
