@@ -144,3 +144,24 @@ def test_abort_removes_what_was_staged(spark):
     w.abort([m, empty, None], 0)
     store, root = files.opened(f"{base}/out")
     assert files.names(store, f"{root}/records") == []
+
+
+def test_a_micro_batch_reads_little_of_a_long_queue(spark, monkeypatch):
+    """Files are bounded and in order of the tags; the tags of a file are read once, not for every micro-batch."""
+    import glob
+    base = fresh_dir(spark, "test-log")
+    monkeypatch.setattr(broker_log, "FILE_ROWS", 100, raising=False)
+    broker_log.land(amqp(spark, [(q, (t * 7919) % 1000, str(t)) for q in ("a", "b") for t in range(1000)]), f"{base}/log", "amqp", parts=2)
+    found = [broker_log.pq.read_table(f, columns=["delivery_tag"], partitioning=None).column(0).to_pylist() for f in glob.glob(f"{base}/log/_queue=*/*.parquet")]
+    assert len(found) >= 20 and all(len(tags) <= 100 and tags == sorted(tags) for tags in found)
+    read, reads = broker_log.pq.read_table, Counter()
+    monkeypatch.setattr(broker_log.pq, "read_table", lambda path, **k: reads.update([path]) or read(path, **k))
+    r, at, ends = broker_log.LandedReader(f"{base}/log", "amqp", 30, f"{base}/p.json", landed.RECORDS["amqp"]), {}, []
+    while (end := r.latestOffset()) != at:
+        parts = r.partitions(at, end)
+        assert len(parts) <= 4  # 30 deliveries of two queues lie in two files of each at most
+        ends.append(end)
+        at = end
+    assert [e["a"] for e in ends] == [*range(29, 1000, 30), 999] and all(e["a"] == e["b"] for e in ends)
+    assert set(reads.values()) == {1}
+    assert len(r.tags) <= 2
