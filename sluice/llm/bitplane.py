@@ -18,6 +18,7 @@ from __future__ import annotations
 import struct
 import unicodedata
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -34,7 +35,9 @@ SEGMENT = 1 << 18
 SCHEMA = ("part int, segment long, start_in_part long, n_ids long, planes string, doc_ids array<long>, "
           "doc_sizes array<long>, block_sizes array<int>, plane_bytes array<array<int>>, data binary")
 #: Words of one generation that a worker remembers.
-_MEMORY = 500_000
+_MEMORY = 300_000
+#: Rows of an Arrow batch of texts, and bytes of text that are encoded at once: a worker holds one of each.
+_ROWS, _TEXT = 500, 2 << 20
 
 
 def to_planes(ids: np.ndarray, planes: str = "byte") -> list[bytes]:
@@ -80,22 +83,35 @@ def unpack(sizes: list[int], widths: list[list[int]], data: bytes, planes: str)
 
 class _Known(dict):
     """Words to their ids as bytes; a missing word is encoded.  Two generations bound the memory: when one is full,
-    words that are used again move from it to the next."""
+    words that are used again move from it to the next.  Most words of a corpus come once: a word is remembered when
+    its mark, a byte by its hash, is there from before."""
 
     def __init__(self, encode, most: int):
         self.encode, self.most, self.old = encode, most, {}
+        self.marks, self.marked = bytearray(1 << 20), 0
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
         if ids is None:
             ids = self.encode(word)
+            at = hash(word) & 0xFFFFF
+            if not self.marks[at]:
+                self.marks[at] = 1
+                self.marked += 1
+                return ids
         self[word] = ids
+        if len(self) > self.most:
+            self.age()
         return ids
 
     def age(self) -> None:
-        if len(self) > self.most:
-            self.old = dict(self)
-            self.clear()
+        self.old = dict(self)
+        self.clear()
+
+    def fade(self) -> None:
+        """Marks are taken back when they are so many that they tell little."""
+        if self.marked > len(self.marks) // 3:
+            self.marks, self.marked = bytearray(len(self.marks)), 0
 
 
 class WordEncoder:
@@ -123,7 +139,7 @@ class WordEncoder:
         """Little-endian 32-bit ids of each text, given and returned as bytes."""
         if not texts:
             return []
-        self.known.age()
+        self.known.fade()
         raw = np.frombuffer(b"\n".join([t or b"" for t in texts]) + b"\n", np.uint8)
         data = _LOWERED[raw]
         _unlower(data, raw)
@@ -211,7 +227,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
             return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
         total = 0
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", _TEXT):
             for i, raw in zip(batch.column("id").to_pylist(), coder.encode(batch.column("text").cast(pa.binary()).to_pylist()), strict=True):
                 ids.append(i)
                 sizes.append(len(raw) // 4 + 1)
@@ -223,7 +239,24 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
         if ids:
             yield flush()
 
-    rows.mapInArrow(encode, SCHEMA).write.mode("overwrite").option("compression", "uncompressed").parquet(path)
+    with _batches_of(docs.sparkSession, _ROWS):
+        rows.mapInArrow(encode, SCHEMA).write.mode("overwrite").option("compression", "uncompressed").parquet(path)
+
+
+@contextmanager
+def _batches_of(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs run within hand Python at most ``most`` rows at once: the default of 10,000 texts is some 50 MB, held by the
+    JVM and by the worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= most:
+        yield
+        return
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 _ARROW = pa.schema([("part", pa.int32()), ("segment", pa.int64()), ("start_in_part", pa.int64()), ("n_ids", pa.int64()), ("planes", pa.string()),
@@ -251,7 +284,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for i in range(batch.num_rows):  # a segment at a time
+                r = batch.slice(i, 1).to_pylist()[0]
                 raw = unpack(r["block_sizes"], r["plane_bytes"], r["data"], r["planes"]).tobytes()
                 sizes = np.array(r["doc_sizes"], dtype=np.int64)
                 ends = np.cumsum(sizes)

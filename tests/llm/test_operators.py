@@ -486,6 +486,26 @@ def test_encoder_gives_the_ids_of_whole_texts(texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in made] == [_ENCODER.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_a_text_of_many_words_does_not_fill_the_memory_of_words():
+    coder = bitplane.WordEncoder(tokenizer_path())
+    coder.known = bitplane._Known(coder.one, 100)
+    text = " ".join(f"zq{i}x" for i in range(1000)).encode()
+    got = coder.encode([text, text])
+    assert got[0] == got[1] == b"".join(coder.one(w) for w in text.split())
+    assert len(coder.known) <= 101 and len(coder.known.old) <= 101
+
+
+def test_token_writers_get_small_batches(spark):
+    """Rows a batch while token files are written, and the session's own number after it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with pytest.raises(ZeroDivisionError), bitplane._batches_of(spark, 7):
+        sizes = spark.range(100, numPartitions=1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+        assert max(r["n"] for r in sizes.collect()) == 7
+        1 / 0
+    assert spark.conf.get(name) == before
+
+
 _ENCODER = bitplane.WordEncoder(tokenizer_path())
 
 
