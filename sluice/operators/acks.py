@@ -113,18 +113,24 @@ def pending_prune_bounded(acks: DataFrame, emitted: DataFrame, max_offset_behind
     known = F.col("partition").isNotNull() & F.col("offset").isNotNull()
     ranked = materialize(running_count(acks.where(known).select("partition", "offset", "ack_seq"), ["partition"],
                                        ["ack_seq", "offset"], "t", by_position=True))
-    first = ranked.groupBy("partition", "offset").agg(F.min("t").alias("tau"))
+    first = ranked.groupBy("partition", "offset").agg(F.min("t").alias("tau"), F.max("t").alias("last"), F.count("*").alias("times"))
     sent = emitted.where(known).select("partition", "offset").distinct()
     sent = materialize(sent.join(first, ["partition", "offset"], "left")
-                       .select("partition", "offset", F.coalesce("tau", F.lit(NEVER)).alias("tau")))
-    again = ranked.join(sent, ["partition", "offset"]).where("t > tau").groupBy("partition", "offset").agg(F.min("t").alias("tau2"))
-    own = sent.where(F.col("tau") < NEVER).join(again, ["partition", "offset"], "left")
-    own = own.select("partition", F.col("tau").alias("t"), F.coalesce("tau2", F.lit(NEVER)).alias("spared_until"))
+                       .select("partition", "offset", F.coalesce("tau", F.lit(NEVER)).alias("tau"), "last", "times"))
+    own = sent.where(F.col("tau") < NEVER)  # of two acks the last is the second
+    own = own.withColumn("tau2", F.when(F.col("times") == 1, F.lit(NEVER)).when(F.col("times") == 2, F.col("last")))
+    more = own.where("times > 2").select("partition", "offset", "tau")
+    if not more.isEmpty():
+        again = ranked.join(more, ["partition", "offset"]).where("t > tau").groupBy("partition", "offset").agg(F.min("t").alias("second"))
+        own = own.join(again, ["partition", "offset"], "left").withColumn("tau2", F.coalesce("tau2", "second"))
     bound = F.lit(max_offset_behind)
-    ranked = ranked.join(own, ["partition", "t"], "left").withColumn("below", F.col("offset") - bound)
+    ranked = ranked.join(own.select("partition", "offset", "tau", "tau2"), ["partition", "offset"], "left")
+    ranked = ranked.select("partition", "offset", "ack_seq", "t", F.when(F.col("t") == F.col("tau"), F.col("tau2")).alias("spared_until"),
+                           (F.col("offset") - bound).alias("below"))
     ranked = materialize(nearest(sent, ranked, "partition", "offset", "tau", "below", "t", "low", block_size=block_size))
 
-    beyond = ranked.withColumns({"over": F.col("offset") + 1, "over_bound": F.when(F.col("spared_until").isNotNull(), F.col("offset") + bound + 1)})
+    beyond = ranked.select("partition", "t", "spared_until", (F.col("offset") + 1).alias("over"),
+                           F.when(F.col("spared_until").isNotNull(), F.col("offset") + bound + 1).alias("over_bound"))
     beyond = nearest(ranked, beyond, "partition", "t", "low", "t", "over", "by_low", ahead=True, block_size=block_size)
     beyond = nearest(ranked, materialize(beyond), "partition", "t", "offset", "t", "over_bound", "by_own", ahead=True, block_size=block_size)
     by_own = F.when(F.col("by_own") <= F.col("spared_until"), F.col("by_own"))
@@ -137,13 +143,17 @@ def pending_prune_bounded(acks: DataFrame, emitted: DataFrame, max_offset_behind
     last = F.when(F.col("clear"), F.struct("t", "offset", F.coalesce("spared_until", F.lit(0).cast("long")).alias("until")))
     marked = materialize(prefix_scan(marked.select("partition", "offset", "ack_seq", "t", "clear", last.alias("last")), ["partition"], "t", {"since": ("max", F.col("last"))}))
     ends = sent.agg(F.min("offset")).first()[0] or 0
-    after = marked.withColumns({"spared": F.col("since.until") > F.col("t"), "from": F.coalesce("since.offset", F.lit(ends - 1)), "later": F.col("t") + 1})
-    after = nearest(sent, after.select("partition", "t", "from", "later", "spared"), "partition", "offset", "tau", "from", "later", "left", ahead=True, block_size=block_size)
-    after = materialize(after.select("partition", "t", F.when(F.col("spared"), F.col("from")).otherwise(F.col("left")).alias("pending")))
-    start = sent.groupBy("partition").agg(F.min("offset").alias("pending")).select("partition", F.lit(1).cast("long").alias("t"), "pending")
-    before = after.select("partition", (F.col("t") + 1).alias("t"), "pending").unionByName(start)
-    out = marked.join(after.withColumnRenamed("pending", "min_pending_after"), ["partition", "t"])
-    out = out.join(before.withColumnRenamed("pending", "min_pending_before"), ["partition", "t"], "left")
+    after = marked.select("partition", "offset", "ack_seq", "t", "clear", (F.col("since.until") > F.col("t")).alias("spared"),
+                          F.coalesce("since.offset", F.lit(ends - 1)).alias("from"), (F.col("t") + 1).alias("later"))
+    after = nearest(sent, after, "partition", "offset", "tau", "from", "later", "left", ahead=True, block_size=block_size)
+    pending = F.when(F.col("spared"), F.col("from")).otherwise(F.col("left"))
+    after = materialize(after.select("partition", "offset", "ack_seq", "t", "clear", pending.alias("min_pending_after")))
+    # before an ack is after the one before it; before the first, all that was sent is pending
+    held = F.struct("t", F.col("min_pending_after").alias("pending"))
+    out = prefix_scan(after, ["partition"], "t", {"held": ("max", held)}, exclusive=True)
+    start = sent.groupBy("partition").agg(F.min("offset").alias("pending"))  # a row a partition
+    out = out.join(F.broadcast(start), "partition", "left")
+    out = out.withColumn("min_pending_before", F.when(F.col("t") == 1, F.col("pending")).otherwise(F.col("held.pending")))
     out = out.withColumn("action", F.when(F.col("clear"), F.lit("clear")).otherwise(F.lit("remove")))
     return out.select("t", *PRUNE_COLUMNS) if ranks else out.select(*PRUNE_COLUMNS)
 

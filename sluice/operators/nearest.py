@@ -66,8 +66,11 @@ def _in_block(points: pa.Table, queries: pa.Table) -> pa.Table:
 
 
 def _meet(points: DataFrame, queries: DataFrame, block_size: int) -> DataFrame:
-    """Queries (with _key, _blk, _at, _least) against the points of their block: ``_found`` or null."""
-    met = queries.groupBy("_key", "_blk").agg(F.ceil(F.count("*") / block_size).cast("int").alias("_deals"))
+    """Queries (with _key, _blk, _at, _least) against the points of their block: ``_found`` or null.
+
+    The number of groups of every block goes to all tasks, a row for ``block_size`` positions, so points and queries are
+    shuffled once, to their groups."""
+    met = F.broadcast(queries.groupBy("_key", "_blk").agg(F.ceil(F.count("*") / block_size).cast("int").alias("_deals")))
     deal = F.pmod(F.xxhash64(*queries.columns), F.col("_deals")).cast("int").alias("_deal")
     dealt = queries.join(met, ["_key", "_blk"]).select(*queries.columns, deal)
     copies = points.join(met, ["_key", "_blk"]).select("_key", "_blk", "_pos", "_val", F.explode(F.sequence(F.lit(0), F.col("_deals") - 1)).alias("_deal"))

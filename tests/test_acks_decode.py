@@ -101,6 +101,33 @@ def test_prune_groups_stay_small(spark, monkeypatch):
     assert len(got) == n and {r["found"] for r in got} == {3} and seen.value == 0
 
 
+def test_search_shuffles_points_and_queries_once(spark):
+    """To their groups; the number of groups of a block goes to the tasks, whatever the tables' sizes."""
+    from sluice.operators.nearest import nearest
+    points = spark.range(200).select((F.col("id") % 2).alias("k"), F.col("id").alias("p"), (F.col("id") % 7).alias("v"))
+    queries = spark.range(300).select((F.col("id") % 2).alias("k"), F.col("id").alias("at"), F.lit(5).alias("least"))
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, -1)
+    try:
+        found = nearest(points, queries, "k", "p", "v", "at", "least", "found")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "CoGroup" in plan
+        for r in found.collect():
+            assert r["found"] == max((p for p in range(min(r["at"], 200)) if p % 2 == r["k"] and p % 7 >= 5), default=None)
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_prune_of_offsets_acked_again_and_again(spark):
+    """An ack that clears spares its own offset until it is acked again: the second, of two acks or of more."""
+    logs = {p: (0, 30, list(enumerate([9, 20, *again, 28, 29, 27, 20, 21]))) for p, again in
+            enumerate([[], [20], [20, 20], [9, 20, 9, 20, 9], [22, 9, 9, 20, 20, 24, 24, 24]])}
+    em, log = prune_frames(spark, logs)
+    for behind in (3, 7):
+        assert decided(acks.pending_prune(log, em, behind)) == brute_of(logs, behind)
+
+
 def test_nearest_both_ways(spark):
     rnd = random.Random(2)
     pts = [(k, p, rnd.randint(0, 20)) for k in (0, 7) for p in rnd.sample(range(-30, 300), 100)]
