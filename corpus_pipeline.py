@@ -37,11 +37,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = pigeonhole_join.jaccard_join(docs, n=5, p=80)
     first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("component_hash"))
     kept = groups.where((F.col("n_shingles") == 0) | first)
-    kept = kept.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h"), (F.col("n_shingles") == 0).alias("__empty")).distinct()
+    row = {"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__none": F.isnull("doc_id")}
+    kept = kept.withColumns(row).select(*row, F.col("text_hash").alias("__hash"), (F.col("n_shingles") == 0).alias("__empty")).distinct()
     kept = written(kept, "kept")
-    out = docs.withColumn("__hash", F.xxhash64("text")).join(kept, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")))
+    out = docs.withColumns(row | {"__hash": F.xxhash64("text")}).join(kept, [*row, "__hash"])
     out = out.withColumn("__own", F.when(F.col("__empty"), F.monotonically_increasing_id()))
-    return out.dropDuplicates(["doc_id", "text", "__own"]).select(*COLUMNS)  # repeated rows with words are copies
+    # repeated rows with words are copies; the join has brought them together, texts are not dealt out again
+    return out.dropDuplicates([*row, "__hash", "text", "__own"]).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,12 +39,24 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
 
 
+#: Spark's setting that removes a query's shuffle files when it ends, not when the driver collects its garbage.
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read again: later steps that use it twice neither
-    compute it again nor depend on the executors that made it."""
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    compute it again nor depend on the executors that made it.  Shuffle files of the write go when it ends."""
+    spark = df.sparkSession
+    path, was = scratch(spark, name), spark.conf.get(_REMOVE_SHUFFLES, None)
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if was is None:
+            spark.conf.unset(_REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(_REMOVE_SHUFFLES, was)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def n_words(text: Column) -> Column:

@@ -12,15 +12,18 @@ signatures written and the expected number of weak ones (subsets so small that u
 It leaves slack, so that a set need not index its poorest segments: one with no element, or just one, says
 little and would gather unrelated sets in one bucket.  A set whose poor segments exceed the slack indexes all.
 
-Copies (equal sets) are one set from the start.  Buckets are never expanded into pairs.  A map task ties the
-members of a bucket that it sees to the least of them and sends that one on, packed with the other signatures
-of the same part of the hash space; the part's task ties the least members of all map tasks in the same way.
-So a bucket has one entry a map task at most, however hot it is, and the ties give the components of the
-candidate graph.  All similar pairs lie inside such a component.  Before that the same entries are counted: the
-slack makes similar pairs agree in several segments, so a set that shares fewer signatures is similar to none and
-is left out of the ties, which keeps chance ties from joining groups.  Each component is verified exactly:
-small ones packed together, large ones dealt into blocks by size, every pair of blocks whose sizes allow a link
-in a task of its own.  A task returns a spanning forest of its links and the number of links of each set.
+Copies (equal sets) are one set from the start.  The slack makes similar pairs agree in several segments, so a
+set that shares fewer signatures than that is similar to none and is left out first; for this a bucket has one
+entry a map task at most, however hot it is.  The buckets of the rest give the candidate graph.  One of few
+members gives its pairs, which are counted; a larger, hot one is never expanded into pairs.  Of a similar pair
+that meets in a small bucket, the signatures of small buckets that it shares and the hot ones that it can share
+are as many as both sets need, or it is no candidate.  Any other similar pair shares hot signatures alone: sets
+with fewer of them than they need have no such pair, and the others leave out their need - 1 hottest and are tied
+to the least member of each bucket left, for of what a pair shares its rarest is left to both.  So a passage that
+many texts have does not join them.  All similar pairs lie inside a component of pairs and ties.  Each component
+is verified exactly: small ones packed together, large ones dealt into blocks by size, every pair of blocks whose
+sizes allow a link in a task of its own; blocks grow with the root of the component, up to a bound.  A task
+returns a spanning forest of its links and the number of links of each set.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import mix64, text_slices, words_of, written
@@ -164,15 +167,14 @@ def _signed(s: np.ndarray, band: int, p: int) -> tuple[np.ndarray, int]:
     return np.concatenate(out).view(np.int64), max(1, need)
 
 
-def _least_members(sig: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of signatures and their members: (the different signatures, the least member of each, ties as rows of a
-    member and the least member of a signature they share, other than itself)."""
-    order = np.lexsort((member, sig))
-    sig, member = sig[order], member[order]
+#: Members up to which a bucket gives its pairs; a larger one is hot.
+FEW = 8
+
+
+def _runs(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places at which sorted signatures change, and how many are equal from there."""
     first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))) if len(sig) else np.zeros(0, np.int64)
-    least = np.repeat(member[first], np.diff(np.append(first, len(sig))))
-    apart = member != least
-    return sig[first], member[first], np.unique(np.stack([member[apart], least[apart]], axis=1), axis=0)
+    return first, np.diff(np.append(first, len(sig)))
 
 
 #: Signatures that a map task gathers before it sends them on.
@@ -180,8 +182,7 @@ _GATHER = 4_000_000
 
 
 def _packed(kind: int, a: np.ndarray, b: np.ndarray) -> bytes:
-    """A kind (0 signatures and members, 1 ties) and two equally long columns; members repeat, so they go as places
-    among the different ones."""
+    """A kind and two equally long columns; members repeat, so they go as places among the different ones."""
     who, place = np.unique(b, return_inverse=True)
     place = zstandard.compress(np.diff(place, prepend=0).astype(np.int32).tobytes(), 1)
     return np.array([kind, len(a), len(who)], np.int64).tobytes() + a.astype(np.int64).tobytes() + who.astype(np.int64).tobytes() + place
@@ -195,18 +196,18 @@ def _unpacked(raw: bytes) -> tuple[int, np.ndarray, np.ndarray]:
 
 
 def _entries(n: int, p: int, parts: int, count: bool):
-    """Texts to packed index entries by part of the hash space, and the ties seen on the way; with ``count`` the
-    numbers of signatures shared and needed instead of the ties.  Kinds: 0 entries, 1 ties or numbers shared, 2 entries
-    already shared, 3 numbers needed."""
+    """Texts to packed index entries by part of the hash space.  With ``count`` a signature has one entry: kinds are
+    0 entries, 1 numbers shared, 2 entries already shared, 3 numbers needed.  Else it has one for each member: 0
+    entries, 1 entries that are hot here already, in any part, 2 an entry of each of their signatures."""
     def send(sigs: list[np.ndarray], keys: list[int], needs: list[int]) -> pa.RecordBatch:
         sig = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
         member = np.repeat(np.array(keys, np.int64), [len(s) for s in sigs])
         rows: list[tuple[int, bytes]] = []
+        sig, member = _different(sig, member)
+        first, size = _runs(sig)
         if count:
-            sig, member = _different(sig, member)
-            first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))) if len(sig) else np.zeros(0, np.int64)
-            several = np.diff(np.append(first, len(sig))) > 1
-            who, times = np.unique(member[np.repeat(several, np.diff(np.append(first, len(sig))))], return_counts=True)
+            several = size > 1
+            who, times = np.unique(member[np.repeat(several, size)], return_counts=True)
             if len(who):
                 rows.append((int(who[0] % parts), _packed(1, times, who)))
             if keys:
@@ -214,10 +215,9 @@ def _entries(n: int, p: int, parts: int, count: bool):
             for kind, at in ((0, first[~several]), (2, first[several])):
                 rows += _by_part(kind, sig[at], member[at], parts)
         else:
-            sig, member, ties = _least_members(sig, member)
-            rows += _by_part(0, sig, member, parts)
-            if len(ties):
-                rows.append((int(ties[0, 0] % parts), _packed(1, ties[:, 0], ties[:, 1])))
+            hot = np.repeat(size > FEW, size)
+            for kind, at in ((0, np.flatnonzero(~hot)), (1, np.flatnonzero(hot)), (2, first[size > FEW])):
+                rows += _by_part(kind, sig[at], member[at], parts, spread=kind == 1)
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "entries"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,10 +246,11 @@ def _different(sig: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndar
     return sig[new], member[new]
 
 
-def _by_part(kind: int, sig: np.ndarray, member: np.ndarray, parts: int) -> list[tuple[int, bytes]]:
+def _by_part(kind: int, sig: np.ndarray, member: np.ndarray, parts: int, spread: bool = False) -> list[tuple[int, bytes]]:
+    """Packed entries by part of the hash space of the signatures, or with ``spread`` of the members."""
     order = np.lexsort((sig, member))  # by member: the places pack well
     sig, member = sig[order], member[order]
-    part = (mix64(sig.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    part = (mix64((member if spread else sig).view(np.uint64)) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     sig, member, part = sig[order], member[order], part[order]
     edge = np.append(np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))), len(part)) if len(part) else [0]
@@ -268,22 +269,56 @@ def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
         sig, member, counted = sig[order], member[order], counted[order]
         new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (member[1:] != member[:-1])))
         sig, member, counted = sig[new], member[new], counted[new]
-        first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
-        size = np.diff(np.append(first, len(sig)))
+        _, size = _runs(sig)
         who, times = np.unique(member[np.repeat(size > 1, size) & ~counted], return_counts=True)
         out.append(pd.DataFrame({"k1": who, "shared": times, "need": 0}))
     return pd.concat(out).astype("int64") if out else pd.DataFrame({"k1": [], "shared": [], "need": []}).astype("int64")
 
 
-def _tied(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The ties of one part of the hash space."""
+def _met(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one part of the hash space: pairs of members and the signatures of small buckets that they share there
+    (hot false), and signatures of hot buckets and their members (hot true, shared 1)."""
     held = [_unpacked(r) for r in pdf["entries"]]
-    known = [np.stack([a, b], axis=1) for kind, a, b in held if kind == 1]
-    sig = [(a, b) for kind, a, b in held if kind == 0]
-    if sig:
-        known.append(_least_members(np.concatenate([a for a, _ in sig]), np.concatenate([b for _, b in sig]))[2])
-    ties = np.unique(np.concatenate(known), axis=0) if known else np.zeros((0, 2), np.int64)
-    return pd.DataFrame({"a": ties[:, 0], "b": ties[:, 1]})
+    hot = [(a, b) for kind, a, b in held if kind == 1]
+    known = np.concatenate([np.zeros(0, np.int64), *(a for kind, a, _ in held if kind == 2)])
+    few = [(a, b) for kind, a, b in held if kind == 0]
+    pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    if few:
+        sig, member = _different(*(np.concatenate(x) for x in zip(*few, strict=True)))
+        first, size = _runs(sig)
+        many = (size > FEW) | np.isin(sig[first], known)
+        hot.append((sig[np.repeat(many, size)], member[np.repeat(many, size)]))
+        for n in range(2, FEW + 1):
+            at = first[(size == n) & ~many][:, None]
+            i, j = np.triu_indices(n, 1)
+            pairs.append((member[at + i].ravel(), member[at + j].ravel()))  # members of a bucket are sorted
+    a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(a) else np.zeros(0, np.int64)
+    out = [pd.DataFrame({"hot": False, "a": a[new], "b": b[new], "shared": np.diff(np.append(new, len(a)))})]
+    out += [pd.DataFrame({"hot": True, "a": x, "b": y, "shared": 1}) for x, y in hot]
+    return pd.concat(out).astype({"hot": "bool", "a": "int64", "b": "int64", "shared": "int64"})
+
+
+def _candidates(met: DataFrame, needs: DataFrame) -> DataFrame:
+    """(a, b) whose components hold all similar pairs, from what ``_met`` returns, a table, and the number of
+    signatures (k1, need) that each member needs to share."""
+    hot = met.where("hot").select(F.col("a").alias("sig"), F.col("b").alias("k1"))
+    each = needs.join(hot.groupBy("k1").agg(F.count("*").alias("hot")), "k1", "left").withColumn("hot", F.coalesce("hot", F.lit(0)))
+    each = written(each, "needs")
+    pairs = met.where("not hot").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    for x in ("a", "b"):
+        pairs = pairs.join(each.select(F.col("k1").alias(x), F.col("need").alias(f"need_{x}"), F.col("hot").alias(f"hot_{x}")), x)
+    pairs = pairs.where(F.col("shared") + F.least("hot_a", "hot_b") >= F.greatest("need_a", "need_b")).select("a", "b")
+    # hot buckets: a member may come twice, then it leaves out fewer of them
+    hot = written(hot.join(each.where("hot >= need"), "k1"), "hot")
+    sizes = written(hot.groupBy("sig").agg(F.count("*").alias("size")), "sizes")
+    rarest = Window.partitionBy("k1").orderBy("size", "sig")
+    hot = hot.join(sizes, "sig").withColumn("place", F.row_number().over(rarest)).where("place <= hot - need + 1")
+    hot = written(hot.select("sig", "k1"), "rarest")
+    least = written(hot.groupBy("sig").agg(F.min("k1").alias("b")), "least")
+    return pairs.unionByName(hot.join(least, "sig").select(F.col("k1").alias("a"), "b"))
 
 
 def similar_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
@@ -376,25 +411,29 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     shares = base.select("text").mapInArrow(_entries(n, p, parts, True), packed).groupBy("part").applyInPandas(_shared, "k1 long, shared long, need long")
     shares = shares.groupBy("k1").agg(F.sum("shared").alias("shared"), F.max("need").alias("need"))
     # a set that shares fewer signatures than any similar pair does is similar to none
-    likely = written(shares.where("shared >= need").select("k1"), "likely")
-    likely = sets.join(likely, "k1").select(F.col("rep.doc_id").alias("id"), F.col("rep.th").alias("h"))
+    needs = written(shares.where("shared >= need").select("k1", "need"), "likely")
+    likely = sets.join(needs.select("k1"), "k1").select(F.col("rep.doc_id").alias("id"), F.col("rep.th").alias("h"))
     likely = written(likely, "likely-texts")
     if likely.count() * 64 <= broadcast_bytes:
         likely = F.broadcast(likely)  # two numbers a row
-    again = keyed.join(likely, keyed["th"].eqNullSafe(F.col("h")) & keyed["doc_id"].eqNullSafe(F.col("id"))).select("text")
-    ties = again.mapInArrow(_entries(n, p, parts, False), packed).groupBy("part").applyInPandas(_tied, "a long, b long")
-    roots = components(ties, "a", "b")
+    again = keyed.join(likely, keyed["th"].eqNullSafe(F.col("h")) & keyed["doc_id"].eqNullSafe(F.col("id")))
+    again = written(again.select("doc_id", "th", "text"), "texts")  # the members are among them
+    met = again.select("text").mapInArrow(_entries(n, p, parts, False), packed).groupBy("part").applyInPandas(
+        _met, "hot boolean, a long, b long, shared long")
+    roots = components(_candidates(written(met, "met"), needs), "a", "b")
 
     # tasks: small components whole, several to a task; of large ones the blocks of equal or neighbouring size bands
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / p) + 1e-9).cast("long")  # similar sizes are at most one apart
     members = sets.join(roots, sets["k1"] == roots["node"]).select("v", "k1", "k2", "copies", "n", "rep", "root").withColumn("band", band)
     members = written(members, "members")
     per = members.groupBy("root").agg(F.count("*").alias("g"), F.sum("n").alias("w"))
-    per = per.withColumn("large", F.greatest(F.ceil(F.col("g") / block), F.ceil(F.col("w") / block_elements)) > 1)
+    # blocks of a large component grow with its root, so that the sets sent grow with the power 1.5 of its members
+    per = per.withColumn("size", F.greatest(F.lit(block), F.least(F.lit(4 * block), F.floor(F.sqrt(F.col("g") * block / 8)))))
+    per = per.withColumn("large", F.greatest(F.ceil(F.col("g") / F.col("size")), F.ceil(F.col("w") / block_elements)) > 1)
     totals = per.agg(F.sum("w").alias("w"), F.sum("g").alias("g")).first()
     bins = max(1, int((totals["g"] or 0) // block), int((totals["w"] or 0) // block_elements))
-    units = members.join(per.where("large").select("root"), "root").groupBy("root", "band").agg(
-        F.ceil(F.greatest(F.count("*") / block, F.sum("n") / block_elements)).cast("int").alias("blocks"))
+    units = members.join(per.where("large").select("root", "size"), "root").groupBy("root", "band").agg(
+        F.ceil(F.greatest(F.count("*") / F.first("size"), F.sum("n") / block_elements)).cast("int").alias("blocks"))
     units = written(units, "units")
     near = units.select("root", "blocks", F.struct("band", "blocks").alias("other"), F.explode(F.expr("sequence(band - 1, band + 1)")).alias("band"))
     near = near.groupBy("root", "band").agg(F.collect_list("other").alias("others"))  # three at most
@@ -415,7 +454,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     row_bytes = 96 + 48 * F.size("tasks")
     if (placed.agg(F.sum(row_bytes)).first()[0] or 0) <= broadcast_bytes:
         placed = F.broadcast(placed)  # measured; otherwise texts and members meet by hash
-    fetched = keyed.join(placed, keyed["th"].eqNullSafe(F.col("h")) & keyed["doc_id"].eqNullSafe(F.col("id")))
+    fetched = again.join(placed, again["th"].eqNullSafe(F.col("h")) & again["doc_id"].eqNullSafe(F.col("id")))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # repeated rows of a representative

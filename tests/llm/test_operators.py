@@ -24,7 +24,7 @@ from sluice.llm import (
     string_tiling,
     toxicity_grammar,
 )
-from sluice.llm.common import scratch, words_of
+from sluice.llm.common import scratch, words_of, written
 from sluice.llm.components import components
 from sluice.llm.queries import tokenizer_path
 from tests.conftest import SF_SMALL
@@ -371,6 +371,62 @@ def test_jaccard_join(spark, docs, rows, none, n, p, block, most):
     assert pigeonhole_join.jaccard_join(none).count() == 0
 
 
+def _passages(rng, texts):
+    """(doc_id, text): texts of own words with one or two of three common passages, families of near copies of 2, 5, 12
+    and 40 members, one of them all with a passage, and short texts."""
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+    common = [words(25) for _ in range(3)]
+
+    def text():
+        out = words(rng.integers(60, 200))
+        for k in rng.choice(3, rng.integers(1, 3), replace=False):
+            out += common[k]
+        return out
+    out = [text() for _ in range(texts)]
+    for size in (2, 5, 12, 40):
+        base = text() if size == 12 else words(100)
+        for _ in range(size):
+            own = list(base)
+            for at in rng.integers(0, len(own), rng.integers(0, 4)):
+                own[at] = words(1)[0]
+            out.append(own)
+    out += [words(n)[:n - 1] + ["end"] for n in rng.integers(1, 12, 60)]
+    return [(i, " ".join(t)) for i, t in enumerate(out)]
+
+
+@pytest.mark.parametrize(("n", "p", "few"), [(5, 80, 8), (1, 60, 8), (3, 90, 2), (2, 70, 2)])
+def test_jaccard_join_of_texts_with_common_passages(spark, monkeypatch, n, p, few):
+    monkeypatch.setattr(pigeonhole_join, "FEW", few)
+    rows = _passages(np.random.default_rng(n), 250)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = pigeonhole_join.jaccard_join(docs, n=n, p=p, block=16)
+    assert Counter(map(tuple, got.select("doc_id", "n_shingles", "n_links", "component_id").collect())) == cases.jaccard(rows, n, p)
+
+
+def test_common_passages_do_not_join_texts(spark, monkeypatch):
+    tables = {}
+    kept = pigeonhole_join.written
+    monkeypatch.setattr(pigeonhole_join, "written", lambda df, name: tables.setdefault(name, kept(df, name)))
+    rows = _passages(np.random.default_rng(5), 1500)
+    pigeonhole_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), n=5, p=80, block=16)
+    assert max(r["count"] for r in tables["members"].groupBy("root").count().collect()) < 200
+    assert tables["placed"].agg(F.sum(F.size("tasks"))).first()[0] < 2000
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {x for i in range(found.size()) if (x := found.apply(i).getName()).startswith("shuffle_")}
+    conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files(), spark.conf.get(conf)
+    df = spark.range(20_000).groupBy((F.col("id") % 5000).alias("k")).count()
+    out = written(df, "test")
+    assert not files() - before and spark.conf.get(conf) == was
+    assert out.count() == written(df, "test").count() == df.count() == 5000  # the frame is still good
+
+
 @given(st.integers(9, 400), st.sampled_from([60, 80, 90]), st.integers(0, 2**32))
 @settings(max_examples=150, deadline=None)
 def test_similar_sets_share_a_signature(size, p, seed):
@@ -389,6 +445,8 @@ def test_similar_sets_share_a_signature(size, p, seed):
         b = c
     if len(b) != len(a) or (a != b).any():
         assert np.intersect1d(pigeonhole_join.signatures(a, p), pigeonhole_join.signatures(b, p)).size
+        (one, need), (two, other) = pigeonhole_join.indexed(a, p), pigeonhole_join.indexed(b, p)
+        assert len(np.intersect1d(one, two)) >= max(need, other)
 
 
 # -- 8

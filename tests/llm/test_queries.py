@@ -116,6 +116,18 @@ def test_near_duplicates_tell_rows_of_one_id_apart(spark):
     assert got == Counter({(None, ""): 2, (1, near(b)): 1, (3, near(d)): 1, (5, "single"): 1})
 
 
+def test_near_duplicates_deals_texts_out_once(spark):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.near_duplicates(spark, _odd_ids(spark, [(i, t, "s") for i, t in enumerate(_texts(9, 20))]), SF_SMALL)
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert out.count() == 9
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert len([x for x in plan if "Exchange hashpartitioning" in x]) == 2  # the documents, and the rows kept
+
+
 def test_decontamination_tells_rows_of_one_id_apart(spark):
     item = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").first()["text"]
     a, b = _texts(2, 60)
